@@ -28,7 +28,7 @@ class BlockAssembler(StatefulProcessor):
     Chunks and marker may come in any order and more than once. State not completed in time is reported and dropped.
     """
 
-    def __init__(self, block_chunks: int, timeout_ms: int) -> None:
+    def __init__(self, block_chunks: int, timeout_ms: int | None) -> None:
         self.block_chunks = block_chunks
         self.timeout_ms = timeout_ms
 
@@ -58,7 +58,7 @@ class BlockAssembler(StatefulProcessor):
             self._forget()
         else:
             self.facts.update((seen, marker, total, size, checksum))
-            if first_time:
+            if first_time and self.timeout_ms is not None:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -94,17 +94,21 @@ class BlockAssembler(StatefulProcessor):
         )
 
     def _forget(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+        if self.timeout_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
         self.chunks.clear()
         self.facts.clear()
 
 
-def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_ms: int = 3_600_000) -> DataFrame:
+def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_ms: int | None = None) -> DataFrame:
     """Blocks of files as soon as they are complete; a file of up to ``block_chunks`` chunks is one block.
 
     State is kept per block, so that a file of any size is spread over tasks and never held whole. Larger files are
     finished by :func:`covenant.operators.files.file_digests` over the written blocks. Needs the RocksDB state store.
+
+    With ``timeout_ms`` incomplete blocks are given up after that time. Use it for continuous runs only: a drained
+    run would go on for its timers, and without them the state simply waits for the next run.
     """
     place = F.when(F.col("is_last_chunk"), F.greatest(F.col("chunk_index") - 1, F.lit(0))).otherwise(
         F.col("chunk_index")
@@ -116,5 +120,5 @@ def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_m
         statefulProcessor=BlockAssembler(block_chunks, timeout_ms),
         outputStructType=BLOCK_SCHEMA,
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="None" if timeout_ms is None else "ProcessingTime",
     )
