@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from covenant.functions.headers import CONTENT_TYPE, header_last_exact
-from covenant.functions.text import blank_to_null
+from covenant.functions.text import bind, blank_to_null
 
 # Content types.
 N_QUADS = "application/n-quads"
@@ -39,6 +39,7 @@ STATEMENT = (
     rf"{_GAP}({_IRI}|{_BLANK})\s*+({_IRI})\s*+({_IRI}|{_BLANK}|{_LITERAL})\s*+({_IRI}|{_BLANK})?\s*+\.{_GAP}"
 )
 _PLAIN_STRING = "^^<http://www.w3.org/2001/XMLSchema#string>"
+_SEPARATOR = "\u0001"
 
 
 def content_type(headers: Column) -> Column:
@@ -61,32 +62,53 @@ def statements(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(STATEMENT), F.lit(0))
 
 
-def covers(text: Column, found: Column) -> Column:
-    """The statements leave nothing of the text over."""
-    return (F.array_join(found, "") == text) | ~text.rlike(r"\S")
+def _may_start(text: Column) -> Column:
+    """Cheap test that spares prose and other formats the statement search."""
+    return text.rlike(r"\A\s*+(?:[<_#]|\z)")
 
 
-def quad(statement: Column) -> Column:
-    term = [F.regexp_extract(statement, STATEMENT, i) for i in range(1, 5)]
-    plain = F.when(
-        term[2].endswith(_PLAIN_STRING), F.substring(term[2], F.lit(1), F.length(term[2]) - len(_PLAIN_STRING))
-    ).otherwise(term[2])
-    return F.struct(
-        term[0].alias("subject"),
-        term[1].alias("predicate"),
-        plain.alias("object"),
-        F.when(term[3] != "", term[3]).alias("graph"),
+def _packed(statement: Column) -> Column:
+    """Subject, predicate, graph and object with a separator only literals could contain; the object comes last."""
+    terms = F.regexp_replace(statement, STATEMENT, f"$1{_SEPARATOR}$2{_SEPARATOR}$4{_SEPARATOR}$3")
+    return F.when(
+        terms.endswith(_PLAIN_STRING), F.substring(terms, F.lit(1), F.length(terms) - len(_PLAIN_STRING))
+    ).otherwise(terms)
+
+
+def _packed_quads(text: Column, kind_of_content: Column) -> Column:
+    """Distinct packed statements, or null when the text is not valid line-based RDF (graphs need N-Quads)."""
+
+    def checked(found: Column) -> Column:
+        covered = (F.array_join(found, "") == text) | ~text.rlike(r"\S")
+        return F.when(covered, F.array_distinct(F.transform(found, _packed)))
+
+    def graphs_allowed(packed: Column) -> Column:
+        has_graph = F.exists(packed, lambda q: F.substring_index(q, _SEPARATOR, 3) != _without_graph(q))
+        return F.when((F.lower(kind_of_content) != N_TRIPLES) | ~has_graph, packed)
+
+    readable = is_line_based(kind_of_content) & _may_start(text)
+    return F.when(readable, bind(bind(statements(text), checked), graphs_allowed))
+
+
+def _without_graph(packed: Column) -> Column:
+    return F.concat(F.substring_index(packed, _SEPARATOR, 2), F.lit(_SEPARATOR))
+
+
+def _unpack(packed: Column) -> Column:
+    return bind(
+        F.split(packed, _SEPARATOR, 4),
+        lambda t: F.struct(
+            F.get(t, F.lit(0)).alias("subject"),
+            F.get(t, F.lit(1)).alias("predicate"),
+            F.get(t, F.lit(3)).alias("object"),
+            F.when(F.get(t, F.lit(2)) != "", F.get(t, F.lit(2))).alias("graph"),
+        ),
     )
 
 
 def quads(text: Column, kind_of_content: Column) -> Column:
-    """Distinct quads of a payload, or null when it is not valid line-based RDF (graphs need N-Quads)."""
-    found = statements(text)
-    parsed = F.when(is_line_based(kind_of_content) & covers(text, found), F.array_distinct(F.transform(found, quad)))
-    return F.when(
-        (F.lower(kind_of_content) != N_TRIPLES) | ~F.exists(parsed, lambda q: q["graph"].isNotNull()),
-        parsed,
-    )
+    """Distinct quads of a payload, or null when it is not valid line-based RDF."""
+    return F.transform(_packed_quads(text, kind_of_content), _unpack)
 
 
 def quad_line(q: Column) -> Column:

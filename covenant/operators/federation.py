@@ -77,7 +77,13 @@ def federate(
     if predicate is not None:
         allowed = allowed & predicate(lambda key: label_value(label["entries"], F.lit(key.upper())), F.col("attributes"))
     joined = bounded_join(
-        labelled, rules, ["topic_key"], spread=["partition", "offset"], residual=allowed, bound=bound
+        labelled,
+        rules,
+        ["topic_key"],
+        spread=["partition", "offset"],
+        residual=allowed,
+        measure=grants if requests is None else None,
+        bound=bound,
     )
     return joined.select("consumer_id", *messages.columns)
 
@@ -96,7 +102,14 @@ def federate_decisions(
     """
     labelled = _labelled(messages)
     rules = entitlements(grants, requests, require_topic_grant=require_topic_grant)
-    joined = bounded_join(labelled, rules, ["topic_key"], spread=["partition", "offset"], bound=bound)
+    joined = bounded_join(
+        labelled,
+        rules,
+        ["topic_key"],
+        spread=["partition", "offset"],
+        measure=grants if requests is None else None,
+        bound=bound,
+    )
     decided = joined.withColumn("reason", refusal_reason(F.col("attributes"), F.col("__label")))
     kept = [
         F.when(F.col("reason").isNull(), F.col(c)).alias(c) if c == "value" else F.col(c) for c in messages.columns

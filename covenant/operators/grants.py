@@ -64,31 +64,35 @@ def flatten_grants(documents: DataFrame) -> DataFrame:
     )
 
 
-def attribute_lists(grants: DataFrame) -> DataFrame:
-    """``(consumer_id, topic_key, attributes)`` for every topic **or product name** a consumer has attributes under.
+def consumer_topics(grants: DataFrame) -> DataFrame:
+    """``(consumer_id, topic_key, granted, attributes)`` per consumer and topic **or product name**, in lower case.
 
-    Lists are the union over all matching products, in document order. A repeated attribute counts once: the rule is
-    a conjunction, and repeats are folded before they are shuffled into a list.
+    ``granted`` is true when a product's topic is the key; a product's name alone only contributes attributes.
+    Attributes are the union over all matching products, in document order. A repeated attribute counts once: the
+    rule is a conjunction, and repeats are folded before they are shuffled into a list.
     """
-    keyed = grants.where("has_attribute AND consumer_id IS NOT NULL").select(
+    attribute = ["has_attribute", "attribute_name", "attribute_value"]
+    keyed = grants.where("consumer_id IS NOT NULL").select(
         "consumer_id",
         F.explode(F.array_distinct(F.array_compact(F.array(F.lower("topic"), F.lower("product"))))).alias("topic_key"),
+        F.lower("topic").alias("topic"),
         "position",
-        "attribute_name",
-        "attribute_value",
+        *attribute,
     )
-    folded = keyed.groupBy("consumer_id", "topic_key", "attribute_name", "attribute_value").agg(
-        F.min("position").alias("position")
+    folded = keyed.groupBy("consumer_id", "topic_key", *attribute).agg(
+        F.min("position").alias("position"),
+        F.max(F.coalesce(F.col("topic_key") == F.col("topic"), F.lit(False))).alias("granted"),
     )
-    ordered = F.array_sort(
-        F.collect_list(
-            F.struct("position", F.col("attribute_name").alias("name"), F.col("attribute_value").alias("value"))
-        )
+    stated = F.when(
+        F.col("has_attribute"),
+        F.struct("position", F.col("attribute_name").alias("name"), F.col("attribute_value").alias("value")),
     )
     return folded.groupBy("consumer_id", "topic_key").agg(
-        F.transform(ordered, lambda a: F.struct(a["name"].alias("name"), a["value"].alias("value"))).alias(
-            "attributes"
-        )
+        F.max("granted").alias("granted"),
+        F.transform(
+            F.array_sort(F.collect_list(stated)),
+            lambda a: F.struct(a["name"].alias("name"), a["value"].alias("value")),
+        ).alias("attributes"),
     )
 
 
@@ -107,18 +111,18 @@ def entitlements(grants: DataFrame, requests: DataFrame | None = None, *, requir
     Without ``requests`` every granted pair counts. With them only requested pairs do; and without
     ``require_topic_grant`` a request of any known consumer is honoured even when no product grants the topic.
     """
-    pairs = access_pairs(grants)
-    if requests is not None:
-        asked = requests.select("consumer_id", F.lower(trim_all(F.col("topic"))).alias("topic_key")).distinct()
-        known = grants.select("consumer_id").distinct()
-        pairs = (
-            asked.join(pairs, ["consumer_id", "topic_key"], "left_semi")
-            if require_topic_grant
-            else asked.join(known, "consumer_id", "left_semi")
-        )
-    elif not require_topic_grant:
-        raise ValueError("without topic grants the requested topics must be given")
-    joined = pairs.join(attribute_lists(grants), ["consumer_id", "topic_key"], "left")
+    topics = consumer_topics(grants)
+    if requests is None:
+        if not require_topic_grant:
+            raise ValueError("without topic grants the requested topics must be given")
+        return topics.where("granted").drop("granted")
+    asked = requests.select("consumer_id", F.lower(trim_all(F.col("topic"))).alias("topic_key")).distinct()
+    if require_topic_grant:
+        return asked.join(topics.where("granted").drop("granted"), ["consumer_id", "topic_key"])
+    known = grants.select("consumer_id").distinct()
+    joined = asked.join(known, "consumer_id", "left_semi").join(
+        topics.drop("granted"), ["consumer_id", "topic_key"], "left"
+    )
     return joined.withColumn("attributes", F.coalesce("attributes", F.array().cast(ATTRIBUTES)))
 
 
@@ -127,10 +131,11 @@ def attributes_for(requests: DataFrame, grants: DataFrame, *, bound: BroadcastBo
     asked = requests.select("consumer_id", "topic").distinct().withColumn("topic_key", F.lower("topic"))
     found = bounded_join(
         asked,
-        attribute_lists(grants),
+        consumer_topics(grants).drop("granted"),
         ["consumer_id", "topic_key"],
         how="left",
         spread=["consumer_id", "topic"],
+        measure=grants,
         bound=bound,
     )
     return found.select(
@@ -152,6 +157,7 @@ def has_topic_access(
         ["consumer_id", "topic_key"],
         how="left_anti" if denied else "left_semi",
         spread=requests.columns,
+        measure=grants,
         bound=bound,
     ).drop("topic_key")
     return checked.withColumn("details", F.format_string(TOPIC_REFUSED, "topic", "consumer_id")) if denied else checked
@@ -160,7 +166,9 @@ def has_topic_access(
 def known_consumer(requests: DataFrame, grants: DataFrame, *, bound: BroadcastBound = DEFAULT_BOUND) -> DataFrame:
     """Requests of consumers that appear under any product."""
     known = grants.where("consumer_id IS NOT NULL").select("consumer_id").distinct()
-    return bounded_join(requests, known, ["consumer_id"], how="left_semi", spread=requests.columns, bound=bound)
+    return bounded_join(
+        requests, known, ["consumer_id"], how="left_semi", spread=requests.columns, measure=grants, bound=bound
+    )
 
 
 def active_feeds(feeds: DataFrame, status: DataFrame, *, bound: BroadcastBound = DEFAULT_BOUND) -> DataFrame:
@@ -172,5 +180,7 @@ def active_feeds(feeds: DataFrame, status: DataFrame, *, bound: BroadcastBound =
             "certificate_status"
         )
     )
-    joined = bounded_join(feeds, settled, ["client_name"], how="left", spread=feeds.columns, bound=bound)
+    joined = bounded_join(
+        feeds, settled, ["client_name"], how="left", spread=["feed_id"], measure=listed, bound=bound
+    )
     return joined.where(F.coalesce("certificate_status", F.lit("NOT_FOUND")) == "ACTIVE").drop("certificate_status")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 class BroadcastBound:
     """A side is broadcast only when it has at most this many rows and bytes."""
 
-    rows: int = 200_000
+    rows: int = 100_000
     bytes: int = 64 * 1024 * 1024
     hot_share: float = 0.02
 
@@ -23,12 +23,12 @@ NEVER_BROADCAST = BroadcastBound(rows=-1)
 
 
 def fits(df: DataFrame, bound: BroadcastBound) -> bool:
-    """Check the bound with one job that stops reading after ``bound.rows + 1`` rows."""
+    """Check the bound. Partitions are read one after the other until ``bound.rows + 1`` rows were seen."""
     if bound.rows < 0:
         return False
     row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    size = df.limit(bound.rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes).alias("bytes")).first()
-    return size["rows"] <= bound.rows and (size["bytes"] or 0) <= bound.bytes
+    sizes = df.select(row_bytes.alias("bytes")).take(bound.rows + 1)
+    return len(sizes) <= bound.rows and sum(row["bytes"] for row in sizes) <= bound.bytes
 
 
 def bounded_join(
@@ -39,13 +39,15 @@ def bounded_join(
     how: str = "inner",
     spread: Sequence[str],
     residual: Column | None = None,
+    measure: DataFrame | None = None,
     bound: BroadcastBound = DEFAULT_BOUND,
 ) -> DataFrame:
     """Equi-join on ``keys`` (columns named alike on both sides; the left ones are kept).
 
     ``right`` is the side expected to be small: inner, left, semi and anti joins only. When it exceeds the bound, both
     sides are shuffled, and the rows of a hot left key are spread over several partitions by ``spread`` while the
-    matching right rows are repeated once per partition.
+    matching right rows are repeated once per partition. ``measure`` is what to measure instead of ``right``: give the
+    input of an aggregated right side, which is cheap to read in part and no smaller.
     """
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
     condition = None
@@ -53,7 +55,7 @@ def bounded_join(
         equal = left[key] == renamed[f"__r_{key}"]
         condition = equal if condition is None else condition & equal
     dropped = [f"__r_{key}" for key in keys]
-    if fits(right, bound):
+    if fits(right if measure is None else measure, bound):
         full = condition if residual is None else condition & residual
         return left.join(F.broadcast(renamed), full, how).drop(*dropped)
 
@@ -85,10 +87,12 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> dict[int, int
     how a key is spread, never the result.
     """
     counts = df.groupBy(F.xxhash64(*keys).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    heavy = counts.join(F.broadcast(total)).where(F.col("rows") >= F.col("total") * share)
+    seen = Observation()
+    largest = counts.observe(seen, F.sum("rows").alias("total")).orderBy(F.desc("rows")).limit(int(1 / share)).collect()
+    if not largest:
+        return {}
+    total = seen.get["total"]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return {
-        row["key"]: max(2, -(-row["rows"] * partitions // row["total"]))
-        for row in heavy.select("key", "rows", "total").collect()
+        row["key"]: max(2, -(-row["rows"] * partitions // total)) for row in largest if row["rows"] >= total * share
     }

@@ -179,9 +179,8 @@ def skipped_file_report(rejects: DataFrame) -> DataFrame:
 def checksum_summary(report: DataFrame, *, with_totals: bool = False) -> DataFrame:
     """Counts and bytes per organisation, schema, product and topic, with sub-totals on request."""
     keys = ["org_name", "schema_name", "product_name", "topic"]
-    grouped = report.rollup(*keys) if with_totals else report.groupBy(*keys)
     status = F.col("checksum_status")
-    return grouped.agg(
+    counts = report.groupBy(*keys).agg(
         F.count_if(status == PASS).alias("ok"),
         F.count_if(status == FAIL).alias("mismatch"),
         F.count_if(status == ABSENT).alias("unchecked"),
@@ -189,3 +188,8 @@ def checksum_summary(report: DataFrame, *, with_totals: bool = False) -> DataFra
         F.sum("input_bytes").alias("input_bytes"),
         F.sum("output_bytes").alias("output_bytes"),
     )
+    if not with_totals:
+        return counts
+    # Sub-totals add up the counts, so that no message row is repeated per level.
+    sums = [c for c in counts.columns if c not in keys]
+    return counts.rollup(*keys).agg(*[F.sum(c).alias(c) for c in sums])

@@ -42,39 +42,49 @@ class BlockAssembler(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first_time = not self.facts.exists()
         seen, marker, total, size, checksum = (0, None, None, None, None) if first_time else self.facts.get()
+        arrived: dict[int, bytes] = {}
         for frame in rows:
             for row in frame.itertuples(index=False):
                 total, size = int(row.total_chunks), int(row.file_size)
                 if row.is_last_chunk:
                     marker, checksum = int(row.chunk_index), row.file_checksum
-                    continue
-                index = (int(row.chunk_index),)
-                if not self.chunks.containsKey(index):
-                    seen += 1
-                self.chunks.updateValue(index, (bytes(row.chunk_data),))
-        needed = self.block_chunks if marker is None else marker - key[3] * self.block_chunks
-        if seen >= needed:
-            yield self._emit(key, marker, total, size, checksum, abandoned=False)
+                else:
+                    arrived[int(row.chunk_index)] = bytes(row.chunk_data)
+        if first_time and self._complete(key, marker, len(arrived)):
+            # Everything came in one micro-batch: nothing needs to be kept.
+            yield self._block(key, arrived, marker, total, size, checksum)
+            return
+        for index, data in arrived.items():
+            seen += not self.chunks.containsKey((index,))
+            self.chunks.updateValue((index,), (data,))
+        if self._complete(key, marker, seen):
+            yield self._block(key, self._kept(), marker, total, size, checksum)
             self._forget()
         else:
             self.facts.update((seen, marker, total, size, checksum))
             if first_time and self.timeout_ms is not None:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
 
+    def _complete(self, key, marker: int | None, seen: int) -> bool:
+        return seen >= (self.block_chunks if marker is None else marker - key[3] * self.block_chunks)
+
+    def _kept(self) -> dict[int, bytes]:
+        return {int(index[0]): bytes(data[0]) for index, data in self.chunks.iterator()}
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.facts.exists():
             _, marker, total, size, checksum = self.facts.get()
-            yield self._emit(key, marker, total, size, checksum, abandoned=True)
+            yield self._block(key, self._kept(), marker, total, size, checksum, abandoned=True)
             self._forget()
 
     def close(self) -> None:
         pass
 
-    def _emit(self, key, marker, total, size, checksum, *, abandoned: bool) -> pd.DataFrame:
-        found = sorted((int(i[0]), bytes(d[0])) for i, d in self.chunks.iterator())
-        if marker is not None:
-            found = [(i, d) for i, d in found if i < marker]
-        content = None if abandoned else b"".join(data for _, data in found)
+    def _block(
+        self, key, chunks: dict[int, bytes], marker, total, size, checksum, *, abandoned: bool = False
+    ) -> pd.DataFrame:
+        found = [data for index, data in sorted(chunks.items()) if marker is None or index < marker]
+        content = None if abandoned else b"".join(found)
         whole = key[3] == 0 and marker is not None and not abandoned
         return pd.DataFrame(
             {

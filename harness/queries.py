@@ -280,7 +280,7 @@ def target_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT 'hub-' || event_type AS topic, count(*) AS messages, sum(strlen(props)) AS bytes FROM events GROUP BY 1""")
+@query("""SELECT 'hub-' || event_type AS topic, count(*) AS messages, sum(strlen(props))::BIGINT AS bytes FROM events GROUP BY 1""")
 def messages_for_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = for_target(views.event_messages(spark, sf_dir), F.lit(""), F.lit("hub"))
     return rows.groupBy("topic").agg(
@@ -341,10 +341,7 @@ def checksum_report(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM report GROUP BY ROLLUP (org_name, schema_name, product_name, topic)""")
 def checksum_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = messages.with_checksum_status(views.envelopes(spark, sf_dir))
-    report = messages.checksum_report(checked, "SKIP", F.lit("hub")).withColumn(
-        # A skipped empty payload counts as skipped, too.
-        "output_bytes", F.col("output_bytes")
-    )
+    report = messages.checksum_report(checked, "SKIP", F.lit("hub"))
     return messages.checksum_summary(report, with_totals=True)
 
 
@@ -378,7 +375,7 @@ def flatten_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
     coalesce(string_agg(f.pair, ',' ORDER BY f.pair), '') AS pairs
   FROM asked a LEFT JOIN found f ON f.consumer_id = a.consumer_id AND f.topic = a.topic GROUP BY ALL""")
 def attributes_for(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = grants.flatten_grants(views.grant_documents(spark, sf_dir))
+    rows = views.grant_rows(spark, sf_dir)
     found = grants.attributes_for(views.topic_requests(spark, sf_dir), rows)
     named = F.transform("attributes", lambda a: F.concat_ws("=", a["name"], a["value"]))
     return found.select(
@@ -389,7 +386,7 @@ def attributes_for(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_LINES}, {_REQUESTS} SELECT * FROM requests r WHERE EXISTS (SELECT 1 FROM lines g
   WHERE g.consumer_id = r.consumer_id AND lower(g.topic) = lower(trim(r.topic)))""")
 def has_topic_access(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = grants.flatten_grants(views.grant_documents(spark, sf_dir))
+    rows = views.grant_rows(spark, sf_dir)
     return grants.has_topic_access(views.topic_requests(spark, sf_dir), rows)
 
 
@@ -397,7 +394,7 @@ def has_topic_access(spark: SparkSession, sf_dir: str) -> DataFrame:
   AS details FROM requests r WHERE NOT EXISTS (SELECT 1 FROM lines g
   WHERE g.consumer_id = r.consumer_id AND lower(g.topic) = lower(trim(r.topic)))""")
 def denied_topic_access(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = grants.flatten_grants(views.grant_documents(spark, sf_dir))
+    rows = views.grant_rows(spark, sf_dir)
     return grants.has_topic_access(views.topic_requests(spark, sf_dir), rows, denied=True, bound=NEVER_BROADCAST)
 
 
@@ -407,7 +404,7 @@ def known_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = views.table(spark, sf_dir, "customer").select(
         "c_custkey", F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("consumer_id")
     )
-    return grants.known_consumer(customers, grants.flatten_grants(views.grant_documents(spark, sf_dir)))
+    return grants.known_consumer(customers, views.grant_rows(spark, sf_dir))
 
 
 def _attributes(*pairs: tuple[str | None, str | None]) -> Column:
@@ -799,7 +796,7 @@ _RECEIVED = f"""{_FILES}, received AS (SELECT *, total - (k % 97 = 0 AND total >
   CASE WHEN k % 97 = 0 THEN content[1001 : size] ELSE content END AS actual FROM sized)"""
 
 
-@query(f"""WITH {_RECEIVED} SELECT k AS file_sequence_id, name AS file_name, total AS total_chunks, arrived AS chunk_count,
+@query(f"""WITH {_RECEIVED} SELECT k AS file_sequence_id, name AS file_name, total AS total_chunks, arrived::BIGINT AS chunk_count,
   size AS file_size, sha256(content) AS file_checksum, octet_length(actual) AS actual_size, sha256(actual) AS actual_checksum
   FROM received WHERE k % 89 <> 0""")
 def assemble_files(spark: SparkSession, sf_dir: str) -> DataFrame:

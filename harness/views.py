@@ -157,6 +157,33 @@ def grant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select(F.from_json(document, GRANTS_DOCUMENT).alias("d")).select("d.*")
 
 
+def grant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of :func:`grant_documents`, taken from the order lines directly."""
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    linestatus = F.struct(F.lit("linestatus").alias("name"), F.col("l_linestatus").alias("value"))
+    returnflag = F.struct(F.lit("returnflag").alias("name"), F.col("l_returnflag").alias("value"))
+    attributes = F.when(F.col("l_linenumber") == 2, F.array(linestatus)).when(
+        F.col("l_linenumber") > 2, F.array(returnflag, linestatus)
+    )
+    return lines.select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("product"),
+        F.concat(F.lit("T"), F.col("l_suppkey").cast("string")).alias("topic"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("consumer_id"),
+        "l_linenumber",
+        F.posexplode_outer(attributes).alias("attr_pos", "a"),
+    ).select(
+        "product",
+        "topic",
+        "consumer_id",
+        F.array(F.lit(0), "l_linenumber", F.lit(0), F.coalesce("attr_pos", F.lit(0))).alias("position"),
+        F.col("a").isNotNull().alias("has_attribute"),
+        F.col("a.name").alias("attribute_name"),
+        F.col("a.value").alias("attribute_value"),
+    )
+
+
 def topic_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic request per order, by its customer."""
     return table(spark, sf_dir, "orders").select(
