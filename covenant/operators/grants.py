@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covenant.functions.text import trim_all
@@ -13,6 +13,14 @@ from covenant.schemas import ATTRIBUTES
 TOPIC_REFUSED = "Topic (%s) is not valid for client (%s)."
 
 
+def document_position(producer: Column, product: Column, consumer: Column, attribute: Column) -> Column:
+    """One number that sorts like the four places, each counted up to 32,767."""
+    position = F.lit(0).cast("bigint")
+    for place in (producer, product, consumer, attribute):
+        position = F.shiftleft(position, 15) + F.least(place, F.lit(32_767)).cast("bigint")
+    return position
+
+
 def flatten_grants(documents: DataFrame) -> DataFrame:
     """One row per attribute of a consumer of a product of a producer.
 
@@ -57,19 +65,24 @@ def flatten_grants(documents: DataFrame) -> DataFrame:
         "topic",
         "product_type",
         "consumer_id",
-        F.array("producer_pos", "product_pos", "consumer_pos", F.coalesce("attr_pos", F.lit(0))).alias("position"),
+        document_position(
+            F.col("producer_pos"), F.col("product_pos"), F.col("consumer_pos"), F.coalesce("attr_pos", F.lit(0))
+        ).alias("position"),
         F.col("a").isNotNull().alias("has_attribute"),
         F.col("a.name").alias("attribute_name"),
         F.col("a.value").alias("attribute_value"),
     )
 
 
-def consumer_topics(grants: DataFrame) -> DataFrame:
+def consumer_topics(
+    grants: DataFrame, only: DataFrame | None = None, *, bound: BroadcastBound = DEFAULT_BOUND
+) -> DataFrame:
     """``(consumer_id, topic_key, granted, attributes)`` per consumer and topic **or product name**, in lower case.
 
     ``granted`` is true when a product's topic is the key; a product's name alone only contributes attributes.
     Attributes are the union over all matching products, in document order. A repeated attribute counts once: the
-    rule is a conjunction, and repeats are folded before they are shuffled into a list.
+    rule is a conjunction, and repeats are folded before they are shuffled into a list. ``only`` holds the keys of
+    interest; others are dropped first.
     """
     attribute = ["has_attribute", "attribute_name", "attribute_value"]
     keyed = grants.where("consumer_id IS NOT NULL").select(
@@ -79,6 +92,15 @@ def consumer_topics(grants: DataFrame) -> DataFrame:
         "position",
         *attribute,
     )
+    if only is not None:
+        keyed = bounded_join(
+            keyed,
+            only,
+            ["consumer_id", "topic_key"],
+            how="left_semi",
+            spread=["position", "attribute_name", "attribute_value"],
+            bound=bound,
+        )
     folded = keyed.groupBy("consumer_id", "topic_key", *attribute).agg(
         F.min("position").alias("position"),
         F.max(F.coalesce(F.col("topic_key") == F.col("topic"), F.lit(False))).alias("granted"),
@@ -129,15 +151,9 @@ def entitlements(grants: DataFrame, requests: DataFrame | None = None, *, requir
 def attributes_for(requests: DataFrame, grants: DataFrame, *, bound: BroadcastBound = DEFAULT_BOUND) -> DataFrame:
     """Attribute list of each requested ``(consumer_id, topic)``; empty when nothing matches. Topics are not trimmed."""
     asked = requests.select("consumer_id", "topic").distinct().withColumn("topic_key", F.lower("topic"))
-    found = bounded_join(
-        asked,
-        consumer_topics(grants).drop("granted"),
-        ["consumer_id", "topic_key"],
-        how="left",
-        spread=["consumer_id", "topic"],
-        measure=grants,
-        bound=bound,
-    )
+    keys = asked.select("consumer_id", "topic_key").distinct()
+    lists = consumer_topics(grants, keys, bound=bound).drop("granted")
+    found = asked.join(lists, ["consumer_id", "topic_key"], "left")
     return found.select(
         "consumer_id", "topic", F.coalesce("attributes", F.array().cast(ATTRIBUTES)).alias("attributes")
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,6 +18,7 @@ BLOCK_SCHEMA = (
     "abandoned boolean"
 )
 _KEYS = ["topic", "file_sequence_id", "file_name", "block_index"]
+_FACTS = "seen array<int>, marker_index int, total_chunks int, file_size bigint, file_checksum string"
 
 
 class BlockAssembler(StatefulProcessor):
@@ -34,73 +34,66 @@ class BlockAssembler(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.chunks = handle.getMapState("chunks", "chunk_index int", "chunk_data binary")
-        self.facts = handle.getValueState(
-            "facts", "seen int, marker_index int, total_chunks int, file_size bigint, file_checksum string"
-        )
+        self.chunks = handle.getListState("chunks", "chunk_index int, chunk_data binary")
+        self.facts = handle.getValueState("facts", _FACTS)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first_time = not self.facts.exists()
-        seen, marker, total, size, checksum = (0, None, None, None, None) if first_time else self.facts.get()
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self.facts.get()
+        seen, marker, total, size, checksum = known if known else ([], None, None, None, None)
+        before = set(seen)
         arrived: dict[int, bytes] = {}
-        for frame in rows:
-            for row in frame.itertuples(index=False):
-                total, size = int(row.total_chunks), int(row.file_size)
-                if row.is_last_chunk:
-                    marker, checksum = int(row.chunk_index), row.file_checksum
-                else:
-                    arrived[int(row.chunk_index)] = bytes(row.chunk_data)
-        if first_time and self._complete(key, marker, len(arrived)):
-            # Everything came in one micro-batch: nothing needs to be kept.
-            yield self._block(key, arrived, marker, total, size, checksum)
+        for row in rows:
+            total, size = row["total_chunks"], row["file_size"]
+            if row["is_last_chunk"]:
+                marker, checksum = row["chunk_index"], row["file_checksum"]
+            elif row["chunk_index"] not in before:
+                arrived[row["chunk_index"]] = bytes(row["chunk_data"])
+        needed = self.block_chunks if marker is None else marker - key[3] * self.block_chunks
+        if len(before) + len(arrived) >= needed:
+            # Complete within one micro-batch, as most blocks are: nothing was kept and nothing needs to be.
+            chunks = {**self._kept(), **arrived} if known else arrived
+            yield self._block(key, chunks, marker, total, size, checksum)
+            if known:
+                self._forget()
             return
-        for index, data in arrived.items():
-            seen += not self.chunks.containsKey((index,))
-            self.chunks.updateValue((index,), (data,))
-        if self._complete(key, marker, seen):
-            yield self._block(key, self._kept(), marker, total, size, checksum)
-            self._forget()
-        else:
-            self.facts.update((seen, marker, total, size, checksum))
-            if first_time and self.timeout_ms is not None:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
-
-    def _complete(self, key, marker: int | None, seen: int) -> bool:
-        return seen >= (self.block_chunks if marker is None else marker - key[3] * self.block_chunks)
-
-    def _kept(self) -> dict[int, bytes]:
-        return {int(index[0]): bytes(data[0]) for index, data in self.chunks.iterator()}
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.facts.exists():
-            _, marker, total, size, checksum = self.facts.get()
-            yield self._block(key, self._kept(), marker, total, size, checksum, abandoned=True)
+        if arrived:
+            self.chunks.appendList(list(arrived.items()))
+        self.facts.update((sorted(before | arrived.keys()), marker, total, size, checksum))
+        if not known and self.timeout_ms is not None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.facts.get()
+        if known:
+            yield self._block(key, self._kept(), *known[1:], abandoned=True)
             self._forget()
 
     def close(self) -> None:
         pass
 
+    def _kept(self) -> dict[int, bytes]:
+        return {index: bytes(data) for index, data in self.chunks.get()}
+
     def _block(
         self, key, chunks: dict[int, bytes], marker, total, size, checksum, *, abandoned: bool = False
-    ) -> pd.DataFrame:
+    ) -> Row:
         found = [data for index, data in sorted(chunks.items()) if marker is None or index < marker]
         content = None if abandoned else b"".join(found)
         whole = key[3] == 0 and marker is not None and not abandoned
-        return pd.DataFrame(
-            {
-                "topic": [key[0]],
-                "file_sequence_id": [key[1]],
-                "file_name": [key[2]],
-                "block_index": [key[3]],
-                "content": [content],
-                "chunk_count": [len(found)],
-                "marker_index": pd.array([marker], dtype="Int32"),
-                "total_chunks": pd.array([total], dtype="Int32"),
-                "file_size": pd.array([size], dtype="Int64"),
-                "file_checksum": [checksum],
-                "actual_checksum": [hashlib.sha256(content).hexdigest() if whole else None],
-                "abandoned": [abandoned],
-            }
+        digest = hashlib.sha256(content).hexdigest() if whole else None
+        return Row(
+            topic=key[0],
+            file_sequence_id=key[1],
+            file_name=key[2],
+            block_index=key[3],
+            content=content,
+            chunk_count=len(found),
+            marker_index=marker,
+            total_chunks=total,
+            file_size=size,
+            file_checksum=checksum,
+            actual_checksum=digest,
+            abandoned=abandoned,
         )
 
     def _forget(self) -> None:
@@ -126,7 +119,7 @@ def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_m
     keyed = chunks.withColumn("file_name", base_name(F.col("file_name"))).withColumn(
         "block_index", F.floor(place / F.lit(block_chunks)).cast("int")
     )
-    return keyed.groupBy(*_KEYS).transformWithStateInPandas(
+    return keyed.groupBy(*_KEYS).transformWithState(
         statefulProcessor=BlockAssembler(block_chunks, timeout_ms),
         outputStructType=BLOCK_SCHEMA,
         outputMode="Append",

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covenant.operators.grants import flatten_grants
+from covenant.operators.grants import document_position, flatten_grants
 from covenant.schemas import CONSUMER_DOCUMENT, GRANTS_DOCUMENT
 
 
@@ -177,7 +177,7 @@ def grant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product",
         "topic",
         "consumer_id",
-        F.array(F.lit(0), "l_linenumber", F.lit(0), F.coalesce("attr_pos", F.lit(0))).alias("position"),
+        document_position(F.lit(0), F.col("l_linenumber"), F.lit(0), F.coalesce("attr_pos", F.lit(0))).alias("position"),
         F.col("a").isNotNull().alias("has_attribute"),
         F.col("a.name").alias("attribute_name"),
         F.col("a.value").alias("attribute_value"),
