@@ -71,12 +71,15 @@ def connection_problem(client_name: Column, key: Column, host: Column, port: Col
 def feed_candidates(documents: DataFrame, node_id: str) -> DataFrame:
     """Every product of every producer as a feed row with ``reason``: null when the feed is usable.
 
-    Only a product's first configuration counts; a product without one is rejected on its own.
+    Only a product's first configuration counts; a product without one is rejected on its own. A producer that is not
+    valid is rejected with each of its products.
     """
     producers = documents.select(
         F.col("clientId").alias("document_client"), F.explode("producers").alias("p")
     ).where("p IS NOT NULL")
-    products = producers.withColumn("d", F.explode_outer("p.products"))
+    products = producers.withColumn("d", F.explode_outer("p.products")).where(
+        F.col("d").isNotNull() | ~valid_producer(F.col("p"))
+    )
     configuration = F.get(F.col("d.configurations"), F.lit(0))
     shaped = products.select(
         "document_client",
@@ -137,7 +140,7 @@ def feeds(documents: DataFrame, node_id: str) -> DataFrame:
 def feed_rejects(documents: DataFrame, node_id: str) -> DataFrame:
     return (
         feed_candidates(documents, node_id)
-        .where("reason IS NOT NULL AND (product IS NOT NULL OR topic IS NOT NULL OR reason = 'INVALID_PRODUCER')")
+        .where("reason IS NOT NULL")
         .select("document_client", "producer", "product", "topic", "reason", "details")
     )
 

@@ -160,16 +160,18 @@ def _parts() -> list[Column]:
     ]
 
 
+def block_of(chunk_index: Column, block_chunks: int) -> Column:
+    """Block of a chunk. A marker after a full block makes an empty block of its own, so full blocks need not wait."""
+    return F.floor(chunk_index / F.lit(block_chunks)).cast("int")
+
+
 def assemble_blocks(chunks: DataFrame, block_chunks: int = BLOCK_CHUNKS) -> DataFrame:
-    """Join runs of ``block_chunks`` chunks. The marker belongs to the block of the last data chunk.
+    """Join runs of ``block_chunks`` chunks.
 
     A block never grows with its file, so a file holding most of the rows spreads over all tasks.
     """
-    place = F.when(F.col("is_last_chunk"), F.greatest(F.col("chunk_index") - 1, F.lit(0))).otherwise(
-        F.col("chunk_index")
-    )
     named = chunks.withColumn("file_name", base_name(F.col("file_name"))).withColumn(
-        "block_index", F.floor(place / F.lit(block_chunks)).cast("int")
+        "block_index", block_of(F.col("chunk_index"), block_chunks)
     )
     return named.groupBy(*_FILE_KEYS, "block_index").agg(*_parts())
 
@@ -178,7 +180,7 @@ def file_digests(blocks: DataFrame) -> DataFrame:
     """Size and digest of finished files from their blocks, read in order with one block in memory at a time.
 
     SHA-256 is sequential, so a file is one pass; its blocks were joined in parallel before. Missing blocks or chunks
-    show as a wrong size and digest.
+    show as a wrong size and digest; a repeated block is read once.
     """
     ordered = (
         blocks.select(
@@ -210,9 +212,13 @@ class _OpenFile:
         self.digest = hashlib.sha256()
         self.size = self.chunks = self.blocks = 0
         self.finished = False
+        self.last_block = None
         self.total_chunks = self.file_size = self.checksum = None
 
     def add(self, block: dict) -> None:
+        if block["block_index"] == self.last_block:
+            return
+        self.last_block = block["block_index"]
         content = block["content"] or b""
         self.digest.update(content)
         self.size += len(content)

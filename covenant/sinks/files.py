@@ -71,7 +71,8 @@ def _write_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_large_files(blocks: DataFrame) -> DataFrame:
     """Store files given as ordered blocks (``file_sequence_id, uri, block_index, content, file_checksum``).
 
-    Each file is streamed by one task with one block in memory, and published only when its digest is as promised.
+    Each file is streamed by one task with one block in memory, and published only when its digest is as promised. A
+    repeated block is written once.
     """
     ordered = (
         blocks.select("file_sequence_id", "uri", "block_index", "content", "file_checksum")
@@ -83,7 +84,7 @@ def write_large_files(blocks: DataFrame) -> DataFrame:
 
 def _write_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key = landing = problem = None
-    digest, expected = hashlib.sha256(), None
+    digest, expected, last_block = hashlib.sha256(), None, None
 
     def close() -> pa.RecordBatch:
         failure = problem
@@ -100,6 +101,10 @@ def _write_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i] for name in ("file_sequence_id", "uri", "content", "file_checksum")}
             found_key = (row["file_sequence_id"].as_py(), row["uri"].as_py())
+            block = batch.column("block_index")[i].as_py()
+            if found_key == key and block == last_block:
+                continue
+            last_block = block
             if found_key != key:
                 if key is not None:
                     yield close()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from covenant.functions.text import base_name
-from covenant.operators.files import BLOCK_CHUNKS
+from covenant.operators.files import BLOCK_CHUNKS, block_of
 
 BLOCK_SCHEMA = (
     "topic string, file_sequence_id bigint, file_name string, block_index int, content binary, chunk_count bigint, "
@@ -105,19 +105,17 @@ class BlockAssembler(StatefulProcessor):
 
 
 def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_ms: int | None = None) -> DataFrame:
-    """Blocks of files as soon as they are complete; a file of up to ``block_chunks`` chunks is one block.
+    """Blocks of files as soon as they are complete; a file of fewer than ``block_chunks`` chunks is one block.
 
     State is kept per block, so that a file of any size is spread over tasks and never held whole. Larger files are
-    finished by :func:`covenant.operators.files.file_digests` over the written blocks. Needs the RocksDB state store.
+    finished by :func:`covenant.operators.files.file_digests` over the written blocks, which reads a block delivered
+    again only once. Needs the RocksDB state store.
 
     With ``timeout_ms`` incomplete blocks are given up after that time. Use it for continuous runs only: a drained
     run would go on for its timers, and without them the state simply waits for the next run.
     """
-    place = F.when(F.col("is_last_chunk"), F.greatest(F.col("chunk_index") - 1, F.lit(0))).otherwise(
-        F.col("chunk_index")
-    )
     keyed = chunks.withColumn("file_name", base_name(F.col("file_name"))).withColumn(
-        "block_index", F.floor(place / F.lit(block_chunks)).cast("int")
+        "block_index", block_of(F.col("chunk_index"), block_chunks)
     )
     return keyed.groupBy(*_KEYS).transformWithState(
         statefulProcessor=BlockAssembler(block_chunks, timeout_ms),
