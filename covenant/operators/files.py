@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covenant.functions.checksums import checksum_status
 from covenant.functions.text import base_name, is_blank
@@ -148,6 +149,10 @@ _JOINED = "listagg(CASE WHEN NOT is_last_chunk THEN chunk_data END) WITHIN GROUP
 _FILE_KEYS = ["file_sequence_id", "file_name"]
 
 
+def _keys(by: Sequence[str]) -> list[str]:
+    return [*by, *_FILE_KEYS]
+
+
 def _parts() -> list[Column]:
     last = F.col("is_last_chunk")
     return [
@@ -165,27 +170,27 @@ def block_of(chunk_index: Column, block_chunks: int) -> Column:
     return F.floor(chunk_index / F.lit(block_chunks)).cast("int")
 
 
-def assemble_blocks(chunks: DataFrame, block_chunks: int = BLOCK_CHUNKS) -> DataFrame:
-    """Join runs of ``block_chunks`` chunks.
+def assemble_blocks(chunks: DataFrame, block_chunks: int = BLOCK_CHUNKS, *, by: Sequence[str] = ()) -> DataFrame:
+    """Join runs of ``block_chunks`` chunks. ``by`` names columns that tell files with equal ids and names apart.
 
     A block never grows with its file, so a file holding most of the rows spreads over all tasks.
     """
     named = chunks.withColumn("file_name", base_name(F.col("file_name"))).withColumn(
         "block_index", block_of(F.col("chunk_index"), block_chunks)
     )
-    return named.groupBy(*_FILE_KEYS, "block_index").agg(*_parts())
+    return named.groupBy(*_keys(by), "block_index").agg(*_parts())
 
 
-def file_digests(blocks: DataFrame) -> DataFrame:
+def file_digests(blocks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """Size and digest of finished files from their blocks, read in order with one block in memory at a time.
 
     SHA-256 is sequential, so a file is one pass; its blocks were joined in parallel before. Missing blocks or chunks
     show as a wrong size and digest; a repeated block is read once.
     """
+    keys = _keys(by)
     ordered = (
         blocks.select(
-            "file_sequence_id",
-            "file_name",
+            *keys,
             "block_index",
             "content",
             F.col("chunk_count").cast("bigint").alias("chunk_count"),
@@ -194,14 +199,33 @@ def file_digests(blocks: DataFrame) -> DataFrame:
             "file_size",
             "file_checksum",
         )
-        .repartition(*_FILE_KEYS)
-        .sortWithinPartitions(*_FILE_KEYS, "block_index")
-    )
-    return ordered.mapInArrow(
-        _fold_blocks,
-        "file_sequence_id bigint, file_name string, content binary, chunk_count bigint, block_count int, "
-        "total_chunks int, file_size bigint, file_checksum string, actual_size bigint, actual_checksum string",
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "block_index")
     )
+    key_fields = [field for field in ordered.schema.fields if field.name in keys]
+    return ordered.mapInArrow(_block_folder(keys), T.StructType(key_fields + _DIGEST_FIELDS))
+
+
+_DIGEST_FIELDS = [
+    T.StructField("content", T.BinaryType()),
+    T.StructField("chunk_count", T.LongType()),
+    T.StructField("block_count", T.IntegerType()),
+    T.StructField("total_chunks", T.IntegerType()),
+    T.StructField("file_size", T.LongType()),
+    T.StructField("file_checksum", T.StringType()),
+    T.StructField("actual_size", T.LongType()),
+    T.StructField("actual_checksum", T.StringType()),
+]
+_DIGEST_ARROW = [
+    ("content", pa.binary()),
+    ("chunk_count", pa.int64()),
+    ("block_count", pa.int32()),
+    ("total_chunks", pa.int32()),
+    ("file_size", pa.int64()),
+    ("file_checksum", pa.string()),
+    ("actual_size", pa.int64()),
+    ("actual_checksum", pa.string()),
+]
 
 
 class _OpenFile:
@@ -229,10 +253,9 @@ class _OpenFile:
         if block["marker_index"] is not None:
             self.finished, self.checksum = True, block["file_checksum"]
 
-    def row(self) -> dict:
+    def row(self, names: Sequence[str]) -> dict:
         return {
-            "file_sequence_id": self.key[0],
-            "file_name": self.key[1],
+            **dict(zip(names, self.key)),
             "content": None,
             "chunk_count": self.chunks,
             "block_count": self.blocks,
@@ -248,51 +271,40 @@ def _larger(a, b):
     return a if b is None else b if a is None else max(a, b)
 
 
-_DIGEST_SCHEMA = pa.schema(
-    [
-        ("file_sequence_id", pa.int64()),
-        ("file_name", pa.string()),
-        ("content", pa.binary()),
-        ("chunk_count", pa.int64()),
-        ("block_count", pa.int32()),
-        ("total_chunks", pa.int32()),
-        ("file_size", pa.int64()),
-        ("file_checksum", pa.string()),
-        ("actual_size", pa.int64()),
-        ("actual_checksum", pa.string()),
-    ]
-)
-
-
-def _fold_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    current: _OpenFile | None = None
-    for batch in batches:
-        done = []
-        for i in range(batch.num_rows):
-            block = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-            key = (block["file_sequence_id"], block["file_name"])
-            if current is None or current.key != key:
-                if current is not None and current.finished:
-                    done.append(current.row())
-                current = _OpenFile(key)
-            current.add(block)
-        if done:
-            yield pa.RecordBatch.from_pylist(done, schema=_DIGEST_SCHEMA)
-    if current is not None and current.finished:
-        yield pa.RecordBatch.from_pylist([current.row()], schema=_DIGEST_SCHEMA)
-
-
-def fold_repeats(chunks: DataFrame) -> DataFrame:
+def _block_folder(keys: Sequence[str]):
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = schema = None
+        for batch in batches:
+            schema = pa.schema([batch.schema.field(k) for k in keys] + [pa.field(*f) for f in _DIGEST_ARROW])
+            done = []
+            for i in range(batch.num_rows):
+                block = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                key = tuple(block[k] for k in keys)
+                if current is None or current.key != key:
+                    if current is not None and current.finished:
+                        done.append(current.row(keys))
+                    current = _OpenFile(key)
+                current.add(block)
+            if done:
+                yield pa.RecordBatch.from_pylist(done, schema=schema)
+        if current is not None and current.finished:
+            yield pa.RecordBatch.from_pylist([current.row(keys)], schema=schema)
+
+    return fold
+
+
+def fold_repeats(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """One row per chunk of a file. Delivery is at least once, so copies of a chunk are not part of the file twice."""
     named = chunks.withColumn("file_name", base_name(F.col("file_name")))
-    return named.groupBy(*_FILE_KEYS, "is_last_chunk", "chunk_index").agg(
+    return named.groupBy(*_keys(by), "is_last_chunk", "chunk_index").agg(
         *[F.max(c).alias(c) for c in ("chunk_data", "total_chunks", "file_size", "file_checksum")]
     )
 
 
-def _shape(chunks: DataFrame, block_chunks: int) -> tuple[bool, bool]:
+def _shape(chunks: DataFrame, block_chunks: int, by: Sequence[str]) -> tuple[bool, bool]:
     """Whether there are files above the block size, and repeated chunks. Reads no payload."""
-    per_chunk = chunks.groupBy("file_sequence_id", base_name(F.col("file_name")), "is_last_chunk", "chunk_index").agg(
+    keys = [*by, "file_sequence_id", base_name(F.col("file_name")), "is_last_chunk", "chunk_index"]
+    per_chunk = chunks.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("copies"), F.max("total_chunks").alias("total")
     )
     most = per_chunk.agg(F.max("total").alias("total"), F.max("copies").alias("copies")).first()
@@ -303,6 +315,7 @@ def assemble_files(
     chunks: DataFrame,
     block_chunks: int = BLOCK_CHUNKS,
     *,
+    by: Sequence[str] = (),
     large_files: bool | None = None,
     repeats: bool | None = None,
 ) -> DataFrame:
@@ -311,20 +324,21 @@ def assemble_files(
     Files of up to ``block_chunks`` chunks are joined into ``content`` with one shuffle. Larger ones keep their bytes
     in :func:`assemble_blocks` and have null ``content`` here. Every chunk of a transfer states the same total, which
     decides. Repeated chunks are folded first. ``large_files`` and ``repeats`` say whether any exist; left out, one
-    job over the chunk numbers finds out, so that the payload is not shuffled twice for nothing.
+    job over the chunk numbers finds out, so that the payload is not shuffled twice for nothing. ``by`` names columns
+    that tell files with equal ids and names apart.
     """
     if large_files is None or repeats is None:
-        found = _shape(chunks, block_chunks)
+        found = _shape(chunks, block_chunks, by)
         large_files = found[0] if large_files is None else large_files
         repeats = found[1] if repeats is None else repeats
-    single = fold_repeats(chunks) if repeats else chunks
+    single = fold_repeats(chunks, by=by) if repeats else chunks
     is_large = F.coalesce(F.col("total_chunks") > block_chunks, F.lit(False))
     small = (single.where(~is_large) if large_files else single).withColumn(
         "file_name", base_name(F.col("file_name"))
     )
-    joined = small.groupBy(*_FILE_KEYS).agg(*_parts()).where("marker_index IS NOT NULL")
+    joined = small.groupBy(*_keys(by)).agg(*_parts()).where("marker_index IS NOT NULL")
     whole = joined.select(
-        *_FILE_KEYS,
+        *_keys(by),
         "content",
         F.col("chunk_count").cast("bigint").alias("chunk_count"),
         F.lit(1).alias("block_count"),
@@ -336,7 +350,7 @@ def assemble_files(
     )
     if not large_files:
         return whole
-    return whole.unionByName(file_digests(assemble_blocks(single.where(is_large), block_chunks)))
+    return whole.unionByName(file_digests(assemble_blocks(single.where(is_large), block_chunks, by=by), by=by))
 
 
 def verify_files(assembled: DataFrame) -> DataFrame:
@@ -354,15 +368,15 @@ def verify_files(assembled: DataFrame) -> DataFrame:
     )
 
 
-def chunk_counts(chunks: DataFrame) -> DataFrame:
+def chunk_counts(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """Received, repeated and missing data chunks per file. Repeats are folded first, so no file is one big group."""
     per_chunk = (
         chunks.withColumn("file_name", base_name(F.col("file_name")))
-        .groupBy(*_FILE_KEYS, "is_last_chunk", "chunk_index")
+        .groupBy(*_keys(by), "is_last_chunk", "chunk_index")
         .agg(F.count(F.lit(1)).alias("copies"), F.max("total_chunks").alias("total_chunks"))
     )
     data = ~F.col("is_last_chunk")
-    counts = per_chunk.groupBy(*_FILE_KEYS).agg(
+    counts = per_chunk.groupBy(*_keys(by)).agg(
         F.coalesce(F.sum(F.when(data, F.col("copies"))), F.lit(0)).alias("received"),
         F.count_if(data).alias("distinct_chunks"),
         F.max("total_chunks").alias("total_chunks"),
@@ -370,7 +384,7 @@ def chunk_counts(chunks: DataFrame) -> DataFrame:
         F.bool_or("is_last_chunk").alias("finished"),
     )
     return counts.select(
-        *_FILE_KEYS,
+        *_keys(by),
         "received",
         (F.col("received") - F.col("distinct_chunks")).alias("repeated"),
         F.greatest(F.col("total_chunks") - F.col("distinct_chunks"), F.lit(0)).alias("missing"),

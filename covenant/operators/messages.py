@@ -106,8 +106,13 @@ def dead_letters(rejected: DataFrame, reason: str = "reason") -> DataFrame:
     return rejected.withColumn("headers", add_header(F.col("headers"), DEAD_LETTER_REASON, F.col(reason)))
 
 
-def checksum_report(checked: DataFrame, on_mismatch: str | None, server: Column) -> DataFrame:
-    """One typed row per verified message. A mismatch is reported as the error it raises."""
+def checksum_report(
+    checked: DataFrame, on_mismatch: str | None, server: Column, size: Column | None = None
+) -> DataFrame:
+    """One typed row per verified message. A mismatch is reported as the error it raises.
+
+    ``size`` is the payload size where the payload itself is no longer at hand.
+    """
     action = mismatch_action(on_mismatch)
     failed = F.col("checksum_status") == FAIL
     error = F.when(
@@ -116,7 +121,7 @@ def checksum_report(checked: DataFrame, on_mismatch: str | None, server: Column)
             F.lit("checksum mismatch on topic "), F.col("topic"), F.lit(" offset "), F.col("offset").cast("string")
         ),
     )
-    size = F.octet_length("value").cast("bigint")
+    size = F.octet_length("value").cast("bigint") if size is None else size
     dropped = failed & F.lit(action in (SKIP, ABORT))
     named = checked.withColumn("__names", exchange_metadata(F.col("headers"), server))
     return named.select(

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covenant.functions.naming import storage_key
-from covenant.operators.files import BLOCK_CHUNKS, assemble_blocks, assemble_files, file_progress, verify_files
+from covenant.operators.files import (
+    BLOCK_CHUNKS,
+    assemble_blocks,
+    assemble_files,
+    file_progress,
+    fold_repeats,
+    verify_files,
+)
+from covenant.operators.joins import bounded_join
 from covenant.operators.versions import first_failures, next_counters, plan_versions, store_until_first_failure
 from covenant.session import written
 from covenant.sinks.files import publish_files, write_files, write_large_files
@@ -26,50 +34,59 @@ class Landing:
 
 
 def land_files(
-    chunks: DataFrame, destinations: DataFrame, counters: DataFrame, root: str, work: str, *, block_chunks: int = BLOCK_CHUNKS
+    chunks: DataFrame,
+    destinations: DataFrame,
+    counters: DataFrame,
+    root: str,
+    work: str,
+    *,
+    block_chunks: int = BLOCK_CHUNKS,
 ) -> Landing:
-    """Store the files of one run below ``root``.
+    """Store the files of some runs below ``root``.
 
     ``chunks`` has the chunk columns and ``run``; ``destinations`` gives ``run, destination``. Everything that is used
     more than once is a table below ``work`` (a folder all executors reach), so lost executors repeat little and no
     file is stored by a plan that is evaluated twice. Files are stored under a staging name, in any order, and moved
     to their names only up to the first failure of their run.
     """
-    per_run = chunks.select("run", "file_sequence_id", "file_name").distinct()
-    assembled = verify_files(assemble_files(chunks.drop("run"), block_chunks))
+    assembled = verify_files(assemble_files(chunks, block_chunks, by=["run"]))
     received = written(
-        assembled.join(per_run, ["file_sequence_id", "file_name"]).join(destinations, "run"), f"{work}/received"
+        bounded_join(assembled, destinations, ["run"], spread=["file_sequence_id"]), f"{work}/received"
     )
     good = received.where("error IS NULL")
+    base = root.rstrip("/")
     plan = written(
         plan_versions(good.drop("content"), counters).withColumn(
-            "uri",
-            F.concat(F.lit(root.rstrip("/") + "/"), storage_key(F.col("final_destination"), F.col("file_name"))),
+            "uri", F.concat(F.lit(f"{base}/"), storage_key(F.col("final_destination"), F.col("file_name")))
         ),
         f"{work}/plan",
     )
-    staged_uri = F.concat(
-        F.lit(f"{root.rstrip('/')}/.staged/"), F.col("run").cast("string"), F.lit("-"), "file_sequence_id"
-    )
-    named = good.select("run", "file_sequence_id", "content", "block_count", "file_checksum", staged_uri.alias("uri"))
+    staged_uri = F.concat(F.lit(f"{base}/.staged/"), F.col("run").cast("string"), F.lit("-"), "file_sequence_id")
+    named = good.select("run", "file_sequence_id", "content", "file_checksum", staged_uri.alias("uri"))
     stored = write_files(named.where("content IS NOT NULL"))
-    if not named.where("content IS NULL").isEmpty():
-        large = named.where("content IS NULL").select("file_sequence_id", "uri", F.col("file_checksum").alias("whole"))
-        blocks = assemble_blocks(chunks.drop("run"), block_chunks).join(large, "file_sequence_id")
-        stored = stored.unionByName(write_large_files(blocks.withColumn("file_checksum", F.col("whole"))))
-    outcome = written(stored, f"{work}/stored").drop("uri")
+    large = named.where("content IS NULL").select("run", "file_sequence_id", "uri", F.col("file_checksum").alias("whole"))
+    if not large.isEmpty():
+        blocks = assemble_blocks(fold_repeats(chunks, by=["run"]), block_chunks, by=["run"])
+        blocks = blocks.join(large, ["run", "file_sequence_id"]).withColumn("file_checksum", F.col("whole"))
+        stored = stored.unionByName(write_large_files(blocks))
+    outcome = written(stored, f"{work}/stored").select(F.col("target").alias("staged_uri"), "ok", "error")
     broken = received.where("error IS NOT NULL").select(
         "run", "file_sequence_id", F.lit(None).cast("string").alias("staged_uri"), F.lit(False).alias("ok"), "error"
     )
     results = (
         named.select("run", "file_sequence_id", F.col("uri").alias("staged_uri"))
-        .join(outcome, "file_sequence_id")
+        .join(outcome, "staged_uri")
         .unionByName(broken)
     )
     results = written(results, f"{work}/results")
-    publishable = store_until_first_failure(results).join(plan.select("file_sequence_id", "uri"), "file_sequence_id")
+    publishable = store_until_first_failure(results).join(
+        plan.select("run", "file_sequence_id", "uri"), ["run", "file_sequence_id"]
+    )
+    publishable = written(publishable.select("run", "file_sequence_id", "staged_uri", "uri"), f"{work}/publishable")
     published = written(publish_files(publishable), f"{work}/published")
-    stored_runs = published.where("ok").join(results.select("run", "file_sequence_id"), "file_sequence_id")
+    stored_runs = published.where("ok").select("file_sequence_id", F.col("target").alias("uri")).join(
+        publishable.select("run", "file_sequence_id", "uri"), ["file_sequence_id", "uri"]
+    )
     nothing = stored_runs.limit(0)
     return Landing(
         plan=plan,

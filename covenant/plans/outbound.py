@@ -18,6 +18,7 @@ from covenant.operators.files import (
     rejected_file_requests,
     valid_file_requests,
 )
+from covenant.operators.joins import NEVER_BROADCAST, bounded_join
 from covenant.operators.messages import Payload, to_envelope
 from covenant.sources.objects import read_files, read_large_chunks, stat_files
 
@@ -54,8 +55,14 @@ def outbound_files(
     listing = stat_files(requested)
     checked = check_file_requests(requested, listing)
     valid = valid_file_requests(checked)
-    small = valid.join(read_files(listing), "uri").where("error IS NULL").withColumn("file_name", F.col("path"))
+    # Contents are never broadcast; an object asked for by very many requests is spread over several tasks.
+    spread = {"spread": ["file_sequence_id"], "bound": NEVER_BROADCAST}
+    small = (
+        bounded_join(valid, read_files(listing), ["uri"], **spread)
+        .where("error IS NULL")
+        .withColumn("file_name", F.col("path"))
+    )
     sequences = valid.select("file_sequence_id", "uri")
-    large = sequences.join(read_large_chunks(listing, chunk_size), "uri").drop("uri")
+    large = bounded_join(sequences, read_large_chunks(listing, chunk_size), ["uri"], **spread).drop("uri")
     chunks = chunk_files(small, chunk_size).unionByName(large)
     return chunks, deliveries, rejected_file_requests(checked)

@@ -13,16 +13,24 @@ from pyspark.sql import functions as F
 
 from covenant.sources.objects import open_filesystem
 
-_RESULT = "file_sequence_id bigint, uri string, ok boolean, error string"
+# ``target`` is where a file should go, ``uri`` where it is: null after a failure.
+_RESULT = "file_sequence_id bigint, target string, uri string, ok boolean, error string"
 _RESULT_ARROW = pa.schema(
-    [("file_sequence_id", pa.int64()), ("uri", pa.string()), ("ok", pa.bool_()), ("error", pa.string())]
+    [
+        ("file_sequence_id", pa.int64()),
+        ("target", pa.string()),
+        ("uri", pa.string()),
+        ("ok", pa.bool_()),
+        ("error", pa.string()),
+    ]
 )
 
 
-def _result(sequence: int, uri: str | None, problem: Exception | None) -> pa.RecordBatch:
+def _result(sequence: int, target: str, problem: Exception | None) -> pa.RecordBatch:
     row = {
         "file_sequence_id": sequence,
-        "uri": None if problem else uri,
+        "target": target,
+        "uri": None if problem else target,
         "ok": problem is None,
         "error": f"{type(problem).__name__}: {problem}" if problem else None,
     }

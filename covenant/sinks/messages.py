@@ -29,10 +29,14 @@ def write_messages(
     server: str = "",
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Write a batch: to Kafka (``sink`` = bootstrap servers), or as files below ``sink`` by consumer and topic."""
+    """Write a batch: to Kafka (``sink`` = bootstrap servers), or as files below ``sink`` by consumer and topic.
+
+    Files are rebalanced by consumer and topic first: small ones are merged, a hot topic is split.
+    """
     if format == "kafka":
         rows = for_target(delivered, F.lit(target), F.lit(server))
         rows.write.format("kafka").option("kafka.bootstrap.servers", sink).options(**dict(options or {})).save()
         return
     keys = [c for c in ("consumer_id", "topic") if c in delivered.columns]
-    delivered.write.mode("append").format(format).options(**dict(options or {})).partitionBy(*keys).save(sink)
+    balanced = delivered.hint("rebalance", *keys) if keys else delivered
+    balanced.write.mode("append").format(format).options(**dict(options or {})).partitionBy(*keys).save(sink)

@@ -35,14 +35,19 @@ def scan_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def stat_files(requests: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``uri, is_file, size`` of the distinct referenced objects that exist."""
-    return _spread(requests, partitions).mapInArrow(_stat, "uri string, is_file boolean, size bigint")
+    """``uri, is_file, size`` of the distinct referenced objects that exist; many requests ask for one object once."""
+    uris = requests.where("uri IS NOT NULL").select("uri").distinct()
+    return _spread(uris, partitions, "uri").mapInArrow(_stat, "uri string, is_file boolean, size bigint")
 
 
-def _spread(requests: DataFrame, partitions: int | None) -> DataFrame:
-    """Distinct references; many requests for one object read it once."""
-    uris = requests.where("uri IS NOT NULL").select("uri").distinct()
-    return uris if partitions is None else uris.repartition(partitions)
+def _spread(references: DataFrame, partitions: int | None, *columns: str) -> DataFrame:
+    """Even shares of references. Their rows are tiny but the work behind each is not, so the number of partitions is
+    fixed here; left to adaptive execution they would be merged into a few."""
+    spark = references.sparkSession
+    shares = partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism
+    )
+    return references.repartition(shares, *columns)
 
 
 def _stat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,10 +66,10 @@ def _stat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(found, schema=schema)
 
 
-def read_files(listing: DataFrame, inline_bytes: int = INLINE_BYTES) -> DataFrame:
+def read_files(listing: DataFrame, inline_bytes: int = INLINE_BYTES, partitions: int | None = None) -> DataFrame:
     """``uri, content, size, error`` of listed files up to ``inline_bytes``; :func:`read_large_chunks` takes the rest."""
     small = listing.where(F.col("is_file") & (F.col("size") <= inline_bytes)).select("uri")
-    return small.mapInArrow(_read_whole, "uri string, content binary, size bigint, error string")
+    return _spread(small, partitions, "uri").mapInArrow(_read_whole, "uri string, content binary, size bigint, error string")
 
 
 _WHOLE = pa.schema([("uri", pa.string()), ("content", pa.binary()), ("size", pa.int64()), ("error", pa.string())])
@@ -90,6 +95,7 @@ def read_large_chunks(
     *,
     inline_bytes: int = INLINE_BYTES,
     range_chunks: int = 64,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Chunks of listed files above ``inline_bytes``: ``uri`` and the chunk columns without the sequence id.
 
@@ -103,10 +109,11 @@ def read_large_chunks(
     )
     ranges = large.withColumn(
         "first_chunk", F.explode(F.sequence(F.lit(0), F.col("total_chunks") - 1, F.lit(range_chunks)))
-    ).repartition("uri", "first_chunk")
+    )
+    ranges = _spread(ranges, partitions, "uri", "first_chunk")
     schema = "uri string, chunk_index int, total_chunks int, file_size bigint, chunk_data binary, file_checksum string"
     data = ranges.mapInArrow(_range_reader(chunk_size, range_chunks), schema)
-    markers = large.repartition("uri").mapInArrow(_digest, schema)
+    markers = _spread(large, partitions, "uri").mapInArrow(_digest, schema)
     return data.unionByName(markers).select(
         "uri",
         base_name(F.col("uri")).alias("file_name"),

@@ -20,6 +20,7 @@ from covenant.operators.files import (
     rejected_file_requests,
     valid_file_requests,
 )
+from covenant.operators.joins import NEVER_BROADCAST, bounded_join
 from covenant.operators.messages import (
     Payload,
     abort_on_mismatch,
@@ -28,7 +29,7 @@ from covenant.operators.messages import (
     to_envelope,
     with_checksum_status,
 )
-from covenant.streaming.progress import ProgressTable, not_yet_delivered
+from covenant.streaming.progress import ProgressTable, merge_progress, not_yet_delivered
 from covenant.streaming.refresh import Refreshed
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -126,32 +127,29 @@ def inbound_writer(
         if exact and progress is not None:
             # Positions saved by an earlier attempt at this batch do not count.
             saved = progress.updates().where(F.col("run") < batch_id)
-            named = not_yet_delivered(named, _latest(saved))
+            named = not_yet_delivered(named, merge_progress(saved))
         checked = with_checksum_status(named)
         if action == ABORT:
             abort_on_mismatch(checked)
         folder = batch_folder(sink, batch_id)
         # A skipped mismatch stays as a row without payload: it moves progress and shows in the report.
         skipped = (F.col("checksum_status") == FAIL) & F.lit(action == SKIP)
-        report = checksum_report(checked, on_mismatch, F.lit(server)) if reports else None
-        checked.withColumn("skipped", skipped).withColumn(
-            "value", F.when(~skipped, F.col("value"))
-        ).write.mode("overwrite").parquet(folder)
-        if report is not None:
-            report.write.mode("overwrite").parquet(batch_folder(reports, batch_id))
+        stored = checked.withColumns(
+            {"skipped": skipped, "payload_bytes": F.octet_length("value").cast("bigint")}
+        ).withColumn("value", F.when(~skipped, F.col("value")))
+        stored.write.mode("overwrite").parquet(folder)
+        if reports:
+            rows = _read_batch(batch.sparkSession, stored, folder, [c for c in stored.columns if c != "value"])
+            checksum_report(rows, on_mismatch, F.lit(server), F.col("payload_bytes")).write.mode("overwrite").parquet(
+                batch_folder(reports, batch_id)
+            )
         if progress is not None:
-            rows = _read_batch(batch.sparkSession, checked, folder, ["client", "server", "topic", "partition", "offset"])
+            rows = _read_batch(batch.sparkSession, stored, folder, ["client", "server", "topic", "partition", "offset"])
             progress.commit(next_offsets(rows), batch_id)
 
     return write
 
 
-def _latest(updates: DataFrame) -> DataFrame:
-    from covenant.streaming.progress import merge_progress
-
-    return merge_progress(updates)
-
-
 def file_outbound_writer(
     contents: Callable[[DataFrame], DataFrame],
     sink: str,
@@ -170,7 +168,14 @@ def file_outbound_writer(
         requests = decode_file_requests(batch)
         checked = check_file_requests(requests, listing(requests) if listing else None)
         valid = valid_file_requests(checked)
-        fetched = valid.join(contents(valid), "uri", "left")
+        fetched = bounded_join(
+            valid.drop("size"),
+            contents(valid),
+            ["uri"],
+            how="left",
+            spread=["file_sequence_id"],
+            bound=NEVER_BROADCAST,
+        )
         failed = F.col("error").isNotNull() | F.col("content").isNull()
         files = fetched.where(~failed).withColumn("file_name", F.col("path"))
         chunk_files(files, chunk_size).write.mode("overwrite").parquet(batch_folder(sink, batch_id))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covenant.operators.joins import bounded_join
 from covenant.schemas import PROGRESS
 
 KEYS = ["client", "server", "topic", "partition"]
@@ -50,7 +51,7 @@ def not_yet_delivered(rows: DataFrame, progress: DataFrame) -> DataFrame:
     """Rows at or past the saved position of their key, each once: redelivery after a crash adds nothing."""
     saved = progress.select(*KEYS, "next_offset")
     fresh = (
-        rows.join(saved, KEYS, "left")
+        bounded_join(rows, saved, KEYS, how="left", spread=["offset"])
         .where(F.col("next_offset").isNull() | (F.col("offset") >= F.col("next_offset")))
         .drop("next_offset")
     )

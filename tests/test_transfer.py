@@ -85,7 +85,8 @@ def test_landing_stops_at_the_first_failure(spark, work):
     contents = {i: f"file number {i} ".encode() * i for i in range(1, 7)}
     sent = files.chunk_files(
         spark.createDataFrame(
-            [(i, f"src/f{i}.txt", data) for i, data in contents.items()], "file_sequence_id bigint, file_name string, content binary"
+            [(i, f"src/f{i}.txt", data) for i, data in contents.items()],
+            "file_sequence_id bigint, file_name string, content binary"
         ),
         10,
     ).withColumn("run", F.when(F.col("file_sequence_id") <= 4, "a").otherwise("b"))
