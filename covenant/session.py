@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str = "covenant", cpus: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -25,30 +25,26 @@ def local_session(name: str = "covenant", cpus: int | str = "*", memory: str = "
     return spark
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    ``fallback`` is for tests on one machine, where the setting may be absent.
+    Only a local session, whose executors are this very process, may do without the setting.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = f"{tempfile.gettempdir()}/covenant"
     return folder.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, purpose: str, fallback: str | None = None) -> str:
+def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark, fallback)}/{purpose}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df, path: str):
+def written(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: the plan behind it runs once and survives lost executors."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def local_directory(path: str) -> str:
-    """Path of a ``file:`` URI or plain path, created when missing."""
-    plain = path.removeprefix("file://").removeprefix("file:")
-    os.makedirs(plain, exist_ok=True)
-    return plain

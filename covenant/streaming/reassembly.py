@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from covenant.functions.text import base_name
-from covenant.operators.files import BLOCK_CHUNKS, block_of
+from covenant.operators.files import BLOCK_CHUNKS, block_of, file_digests
 
 BLOCK_SCHEMA = (
     "topic string, file_sequence_id bigint, file_name string, block_index int, content binary, chunk_count bigint, "
@@ -123,3 +123,24 @@ def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_m
         outputMode="Append",
         timeMode="None" if timeout_ms is None else "ProcessingTime",
     )
+
+
+def finished_files(blocks: DataFrame) -> DataFrame:
+    """Files whose blocks have all been emitted, from the table of blocks: small ones as they are, large ones digested."""
+    kept = blocks.where("NOT abandoned")
+    whole = kept.where("actual_checksum IS NOT NULL").dropDuplicates(["topic", "file_sequence_id", "file_name"])
+    small = whole.select(
+        "topic",
+        "file_sequence_id",
+        "file_name",
+        "content",
+        "chunk_count",
+        F.lit(1).alias("block_count"),
+        "total_chunks",
+        "file_size",
+        "file_checksum",
+        F.octet_length("content").cast("bigint").alias("actual_size"),
+        "actual_checksum",
+    )
+    large = kept.where("actual_checksum IS NULL").drop("actual_checksum", "abandoned")
+    return small.unionByName(file_digests(large, by=["topic"]))

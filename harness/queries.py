@@ -22,7 +22,7 @@ from covenant.sources import messages as message_source
 from covenant.sources.objects import read_files, stat_files
 from covenant.streaming import federation as streams
 from covenant.streaming.progress import ProgressTable, merge_progress
-from covenant.streaming.reassembly import reassemble
+from covenant.streaming.reassembly import finished_files, reassemble
 from harness import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,8 +147,7 @@ def label_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH parts AS (
     SELECT doc_id, i, trim(unnest(string_split(text, ','))) AS part, i AS n
-    FROM (SELECT doc_id, 0 AS i, substr(replace(replace(text, chr(10), ' '), chr(13), ' '), 1, length(text)) AS text
-          FROM documents)),
+    FROM (SELECT doc_id, 0 AS i, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM documents)),
   numbered AS (SELECT doc_id, part, row_number() OVER (PARTITION BY doc_id) AS n FROM parts WHERE part <> ''),
   cut AS (SELECT doc_id, n, part, least(nullif(strpos(part, '='), 0), nullif(strpos(part, ':'), 0)) AS c FROM numbered),
   pairs AS (SELECT doc_id, n, upper(trim(substr(part, 1, c - 1))) AS k, upper(trim(substr(part, c + 1))) AS v FROM cut)
@@ -1029,8 +1028,8 @@ def drained_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.current().drop("run")
 
 
-@query(f"""WITH {_FILES} SELECT k AS file_sequence_id, name AS file_name, total::BIGINT AS chunk_count, size,
-  sha256(content) AS actual_checksum, total AS marker_index FROM sized WHERE total <= 64""")
+@query(f"""WITH {_FILES} SELECT k AS file_sequence_id, name AS file_name, total::BIGINT AS chunk_count,
+  size AS actual_size, sha256(content) AS actual_checksum, sha256(content) AS file_checksum FROM sized""")
 def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "reassembled")
     chunks = files.chunk_files(views.files(spark, sf_dir), 1000).withColumn("topic", F.lit("files"))
@@ -1041,7 +1040,7 @@ def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
         started = (
-            reassemble(stream)
+            reassemble(stream, block_chunks=16)
             .writeStream.format("parquet")
             .option("path", f"{root}/blocks")
             .option("checkpointLocation", f"{root}/checkpoint")
@@ -1051,13 +1050,8 @@ def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         started.awaitTermination()
     finally:
         spark.conf.set(provider, before)
-    return spark.read.parquet(f"{root}/blocks").where("NOT abandoned AND actual_checksum IS NOT NULL").select(
-        "file_sequence_id",
-        "file_name",
-        "chunk_count",
-        F.octet_length("content").cast("bigint").alias("size"),
-        "actual_checksum",
-        "marker_index",
+    return finished_files(spark.read.parquet(f"{root}/blocks")).select(
+        "file_sequence_id", "file_name", "chunk_count", "actual_size", "actual_checksum", "file_checksum"
     )
 
 

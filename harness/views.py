@@ -107,8 +107,11 @@ def policy_json() -> str:
 
 
 def grants(spark: SparkSession) -> DataFrame:
-    text = spark.createDataFrame([(policy_json(),)], "json string")
-    return flatten_grants(text.select(F.from_json("json", GRANTS_DOCUMENT).alias("d")).select("d.*"))
+    return _grants_of(spark, policy_json())
+
+
+def _grants_of(spark: SparkSession, text: str) -> DataFrame:
+    return flatten_grants(spark.range(1).select(F.from_json(F.lit(text), GRANTS_DOCUMENT).alias("d")).select("d.*"))
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,8 +283,7 @@ def event_grants(spark: SparkSession) -> DataFrame:
         for p, t, c, a in EVENT_POLICY
     ]
     text = json.dumps({"clientId": "owner", "producers": [{"name": "p-1", "products": products}]})
-    one = spark.createDataFrame([(text,)], "json string")
-    return flatten_grants(one.select(F.from_json("json", GRANTS_DOCUMENT).alias("d")).select("d.*"))
+    return _grants_of(spark, text)
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:

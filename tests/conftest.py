@@ -3,20 +3,17 @@ import tempfile
 
 import pytest
 
-from covenant.session import local_session
+from covenant.session import local_session, shared_folder
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 8)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="covenant-"))
-    return session
+    return local_session("tests", 8)
 
 
 @pytest.fixture
 def work(spark):
     """A new folder for one test."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    root = shared_folder(spark)
     os.makedirs(root, exist_ok=True)
     return tempfile.mkdtemp(prefix="test-", dir=root)

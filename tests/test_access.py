@@ -167,6 +167,32 @@ def test_plan_parses_labels_below_the_join_and_digests_above(spark):
 def _stored(spark, df):
     from covenant.session import scratch_path
 
-    path = scratch_path(spark, "plan", "/tmp")
+    path = scratch_path(spark, "plan")
     df.write.parquet(path)
     return path
+
+
+def test_a_hot_key_is_spread(spark):
+    left = spark.range(6000).select(
+        "id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("string").alias("k")
+    )
+    right = spark.range(-1, 6000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = bounded_join(left, right, ["k"], spread=["id"], bound=NEVER_BROADCAST)
+        sizes = [r["count"] for r in joined.where("k = '-1'").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 2000 and max(sizes) <= 1500 and joined.count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_routing_reads_no_payload(spark):
+    from harness import views
+
+    from covenant.sources.messages import security_label
+
+    rows = security_label(views.messages(spark, "/root/testdata/sf0.001"))
+    plan = federation.federate(rows, views.grants(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "text:string" not in plan and "doc_id:bigint" in plan
