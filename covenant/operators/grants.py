@@ -85,13 +85,13 @@ def consumer_topics(
     interest; others are dropped first.
     """
     attribute = ["has_attribute", "attribute_name", "attribute_value"]
-    keyed = grants.where("consumer_id IS NOT NULL").select(
-        "consumer_id",
-        F.explode(F.array_distinct(F.array_compact(F.array(F.lower("topic"), F.lower("product"))))).alias("topic_key"),
-        F.lower("topic").alias("topic"),
-        "position",
-        *attribute,
+    named = grants.where("consumer_id IS NOT NULL").select(
+        "consumer_id", F.lower("topic").alias("topic"), F.lower("product").alias("product"), "position", *attribute
     )
+    names = F.when(F.col("topic").eqNullSafe(F.col("product")), F.array("topic")).otherwise(F.array("topic", "product"))
+    keyed = named.select(
+        "consumer_id", F.explode(names).alias("topic_key"), "topic", "position", *attribute
+    ).where("topic_key IS NOT NULL")
     if only is not None:
         keyed = bounded_join(
             keyed,
