@@ -1055,9 +1055,9 @@ def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {_RECEIVED}, good AS (SELECT k, content, 'p' || (k % 7) AS run FROM received
+@query(f"""WITH {_RECEIVED}, good AS (SELECT k, content, 'p' || (k // 50) AS run FROM received
     WHERE k % 89 <> 0 AND NOT (k % 97 = 0 AND size > 0)),
-  failed AS (SELECT 'p' || (k % 7) AS run, min(k) AS at FROM received WHERE k % 89 <> 0 AND k % 97 = 0 AND size > 0 GROUP BY 1),
+  failed AS (SELECT 'p' || (k // 50) AS run, min(k) AS at FROM received WHERE k % 89 <> 0 AND k % 97 = 0 AND size > 0 GROUP BY 1),
   numbered AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY k) AS rn, count(*) OVER (PARTITION BY run) AS n
     FROM good)
   SELECT g.k AS file_sequence_id, 'in/' || g.run || CASE WHEN n > 1 THEN '-v' || (10 + rn) ELSE '' END || '.txt' AS name,
@@ -1065,7 +1065,7 @@ def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receive, verify, store and publish files, then read the published ones back."""
     root = scratch_path(spark, "landed")
-    run = F.concat(F.lit("p"), (F.col("file_sequence_id") % 7).cast("string"))
+    run = F.concat(F.lit("p"), F.floor(F.col("file_sequence_id") / 50).cast("string"))
     chunks = written(_received(spark, sf_dir).withColumn("run", run), f"{root}/chunks")
     runs = chunks.select("run").distinct()
     destinations = runs.withColumn("destination", F.concat(F.lit("in/"), "run", F.lit(".txt")))
