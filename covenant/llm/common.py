@@ -20,6 +20,9 @@ SLICE_BYTES = 4 << 20
 #: Words longer than this are hashed one by one.
 LONG_WORD = 256
 
+#: Bits of a filter of row keys. It is broadcast, and this bounds it; beyond it more rows pass than need to.
+FILTER_BITS = 1 << 24
+
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
@@ -153,3 +156,20 @@ def gram_starts(bounds: np.ndarray, size: int) -> np.ndarray:
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+def row_filter(keys: DataFrame) -> np.ndarray:
+    """A bit set of fixed size that holds every key of the column ``row``: at most FILTER_BITS / 32 numbers are collected."""
+    bit = f"pmod(row, {FILTER_BITS})"
+    words = keys.groupBy(F.expr(f"shiftright({bit}, 5)").alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, int({bit} % 32)))").alias("bits")
+    )
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    for batch in words.toArrow().to_batches():
+        out[batch.column("word").to_numpy()] = batch.column("bits").to_numpy()
+    return out
+
+
+def in_filter(keys: pa.Array, bits: np.ndarray) -> pa.Array:
+    at = keys.to_numpy(zero_copy_only=False) % FILTER_BITS
+    return pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0)

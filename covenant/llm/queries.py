@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covenant.llm import substring
+from covenant.llm import near_dup, substring
 from covenant.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,9 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

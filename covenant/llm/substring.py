@@ -15,11 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import gram_hashes, gram_starts, row_key, signed, split_words, text_slices
+from covenant.llm.common import gram_hashes, gram_starts, in_filter, row_filter, row_key, signed, split_words, text_slices
+from covenant.session import scratch_path, written
 
 #: Words of a window.
 WIDTH = 13
@@ -45,6 +47,20 @@ def _cell(hashes: np.ndarray, cells: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
 
 
+def write_gaps(cells: np.ndarray) -> bytes:
+    """Ascending distinct integers as one byte per gap; 255 means that the gap goes on in the next byte."""
+    gaps = np.diff(cells.astype(np.int64), prepend=0)
+    ends = np.cumsum(gaps // 255 + 1) - 1
+    out = np.full(ends[-1] + 1 if len(ends) else 0, 255, np.uint8)
+    out[ends] = gaps % 255
+    return out.tobytes()
+
+
+def read_gaps(packed: bytes) -> np.ndarray:
+    gaps = np.frombuffer(packed, np.uint8)
+    return np.cumsum(gaps, dtype=np.int64)[gaps < 255]
+
+
 def _sketch(cells: int, width: int, depth: int):
     """Arrow map: texts to the non-empty blocks of the partition's sketch, as bits for 'one' and for 'two or more'."""
 
@@ -64,27 +80,25 @@ def _sketch(cells: int, width: int, depth: int):
         yield from emit(parts)
 
     def emit(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
         for row, found in enumerate(parts):
             if not found:
                 continue
             every = np.sort(np.concatenate(found))
-            twice = np.unique(every[1:][every[1:] == every[:-1]])
+            new = np.r_[True, every[1:] != every[:-1]]
+            again = every[~new]
+            once, twice = every[new], again[np.r_[True, again[1:] != again[:-1]]] if len(again) else again
             edges = np.arange(0, cells + 1, BLOCK, dtype=np.uint64)
-            one, two = np.searchsorted(every, edges), np.searchsorted(twice, edges)
-            for block in range(cells // BLOCK):
-                if one[block] == one[block + 1]:
-                    continue
-                bits = []
-                for values, at in ((every, one), (twice, two)):
-                    flags = np.zeros(BLOCK, bool)
-                    flags[values[at[block] : at[block + 1]] - np.uint32(block * BLOCK)] = True
-                    bits.append(packer.compress(np.packbits(flags).tobytes()))
+            one, two = np.searchsorted(once, edges), np.searchsorted(twice, edges)
+            for block in np.flatnonzero(one[1:] > one[:-1]):
+                lists = [
+                    write_gaps(values[at[block] : at[block + 1]] - np.uint32(block * BLOCK))
+                    for values, at in ((once, one), (twice, two))
+                ]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "block": pa.array([row * (cells // BLOCK) + block], pa.int64()),
-                        "one": pa.array([bits[0]], pa.binary()),
-                        "two": pa.array([bits[1]], pa.binary()),
+                        "block": pa.array([row * (cells // BLOCK) + int(block)], pa.int64()),
+                        "one": pa.array([lists[0]], pa.binary()),
+                        "two": pa.array([lists[1]], pa.binary()),
                     }
                 )
 
@@ -93,29 +107,24 @@ def _sketch(cells: int, width: int, depth: int):
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks in order of their number to the bits of cells that reached two, one block in memory."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    packer = zstandard.ZstdCompressor(level=1)
 
-    def done(block: int, two: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(
-            {"block": pa.array([block], pa.int64()), "two": pa.array([packer.compress(two.tobytes())], pa.binary())}
-        )
+    def done(block: int, counts: np.ndarray) -> pa.RecordBatch:
+        bits = zstandard.ZstdCompressor(level=1).compress(np.packbits(counts > 1).tobytes())
+        return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "two": pa.array([bits], pa.binary())})
 
-    current, one, two = None, None, None
+    current, counts = None, np.zeros(0, np.uint8)
     for batch in batches:
         for i in range(batch.num_rows):
             block = batch.column("block")[i].as_py()
             if block != current:
                 if current is not None:
-                    yield done(current, two)
-                current = block
-                one, two = np.zeros(BLOCK // 8, np.uint8), np.zeros(BLOCK // 8, np.uint8)
-            seen = np.frombuffer(unpack(batch.column("one")[i].as_py()), np.uint8)
-            two |= np.frombuffer(unpack(batch.column("two")[i].as_py()), np.uint8)
-            two |= one & seen
-            one |= seen
+                    yield done(current, counts)
+                current, counts = block, np.zeros(BLOCK, np.uint8)
+            seen = read_gaps(batch.column("one")[i].as_py())
+            counts[seen] = np.minimum(counts[seen] + 1, 2)
+            counts[read_gaps(batch.column("two")[i].as_py())] = 2
     if current is not None:
-        yield done(current, two)
+        yield done(current, counts)
 
 
 def repeat_sketch(texts: DataFrame, cells: int, width: int = WIDTH, depth: int = DEPTH) -> DataFrame:
@@ -252,46 +261,72 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _cut(width: int):
-    """Arrow map: rows with text and flags to the kept text, its words, and the counts."""
+def _merge_flags(width: int):
+    """Arrow map: all flags of a row to the word ranges they cover, as packed pairs (first, end)."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flags = batch.column("flags")
-            for first, end, data, offsets in text_slices(batch.column("text")):
-                words = split_words(data, offsets, fold=False)
-                out: dict[str, list] = {"kept_text": [], "n_words": [], "n_removed": [], "kept_sha256": []}
-                for i in range(end - first):
-                    a, b = words.bounds[i], words.bounds[i + 1]
-                    starts, ends = words.starts[a:b], words.ends[a:b]
-                    packs = flags[first + i].as_py() or []
-                    gone = np.zeros(b - a + 1, np.int64)
-                    for pack in packs:
-                        at = np.unique(np.frombuffer(pack, "<u4")).astype(np.int64)
-                        np.add.at(gone, at, 1)
-                        np.add.at(gone, at + width, -1) if len(at) else None
-                    gone = np.cumsum(gone)[: b - a] > 0
-                    whole = data[offsets[i] : offsets[i + 1]].tobytes()
-                    starts, ends = starts - offsets[i], ends - offsets[i]
-                    if gone.any():
-                        # Spaces stay with the word before them, so the rest reads as it did.
-                        nexts = np.r_[starts[1:], len(whole)]
-                        text = whole[: starts[0]] + b"".join(whole[s:e] for s, e in zip(starts[~gone], nexts[~gone], strict=True))
-                    else:
-                        text = whole
-                    joined = b" ".join(whole[s:e] for s, e in zip(starts[~gone], ends[~gone], strict=True))
-                    out["kept_text"].append(text.decode())
-                    out["n_words"].append(int(b - a))
-                    out["n_removed"].append(int(gone.sum()))
-                    out["kept_sha256"].append(hashlib.sha256(joined).hexdigest())
-                part = batch.slice(first, end - first)
-                kept = [part.column(c) for c in part.schema.names if c != "flags"]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(out["kept_text"], pa.string()), pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept_sha256"], pa.string())],
-                    names=[*[c for c in part.schema.names if c != "flags"], "kept_text", "n_words", "n_removed", "kept_sha256"],
-                )
+            out = []
+            for packs in batch.column("flags").to_pylist():
+                at = np.unique(np.concatenate([np.frombuffer(p, "<u4") for p in packs])).astype(np.int64)
+                breaks = np.flatnonzero(at[1:] > at[:-1] + width)
+                ranges = np.stack([at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]] + width], axis=1)
+                out.append(ranges.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], names=["row", "ranges"])
+
+    return merge
+
+
+def _without(bits):
+    """Arrow map: rows the filter is sure to have no flags for, with null ranges."""
+
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.filter(pa.compute.invert(in_filter(batch.column("row"), bits.value)))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.nulls(part.num_rows, pa.binary())], names=[*part.schema.names, "ranges"]
+            )
+
+    return without
+
+
+def _maybe(bits):
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(in_filter(batch.column("row"), bits.value))
 
-    return cut
+    return maybe
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a text and the word ranges to remove, to the kept text, the counts, and the digest of kept words."""
+    for batch in batches:
+        ranges = batch.column("ranges")
+        for first, end, data, offsets in text_slices(batch.column("text")):
+            words = split_words(data, offsets, fold=False)
+            texts, counts, removed, digests = [], [], [], []
+            for i in range(end - first):
+                a, b = words.bounds[i], words.bounds[i + 1]
+                starts, ends = words.starts[a:b] - offsets[i], words.ends[a:b] - offsets[i]
+                whole = data[offsets[i] : offsets[i + 1]].tobytes()
+                kept, text = np.ones(b - a, bool), whole
+                for x, y in np.frombuffer(ranges[first + i].as_py() or b"", "<u4").reshape(-1, 2):
+                    kept[x:y] = False
+                if not kept.all():
+                    # Spaces stay with the word before them, so what is left reads as it did.
+                    nexts = np.r_[starts[1:], len(whole)]
+                    text = whole[: starts[0]] + b"".join(whole[s:e] for s, e in zip(starts[kept], nexts[kept], strict=True))
+                joined = b" ".join(whole[s:e] for s, e in zip(starts[kept], ends[kept], strict=True))
+                texts.append(text.decode())
+                counts.append(int(b - a))
+                removed.append(int(b - a - kept.sum()))
+                digests.append(hashlib.sha256(joined).hexdigest())
+            part = batch.slice(first, end - first)
+            names = [c for c in part.schema.names if c not in ("row", "ranges")]
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in names], pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
+                names=[*names, "kept_text", "n_words", "n_removed", "kept_sha256"],
+            )
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_cells: int = MAX_CELLS) -> DataFrame:
@@ -317,10 +352,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
     for found in repeat_sketch(docs, cells, width, depth).toLocalIterator():
         row, block = divmod(found["block"], per_row)
         bits[row, block * (BLOCK // 8) : (block + 1) * (BLOCK // 8)] = np.frombuffer(unpack(bytes(found["two"])), np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
-    flags = (
+    ranges = written(
         rows.mapInArrow(
-            _candidates(shared, cells, width, depth),
+            _candidates(spark.sparkContext.broadcast(bits), cells, width, depth),
             "window bigint, packed bigint, doc_id bigint, row bigint, flags binary",
         )
         .repartition("window")
@@ -328,12 +362,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
         .mapInArrow(_decide, "row bigint, flags binary")
         .groupBy("row")
         .agg(F.collect_list("flags").alias("flags"))
+        .mapInArrow(_merge_flags(width), "row bigint, ranges binary"),
+        scratch_path(spark, "ranges"),
     )
-    return (
-        rows.join(flags, "row", "left")
-        .select("doc_id", "text", "flags")
-        .mapInArrow(
-            _cut(width),
-            "doc_id bigint, text string, kept_text string, n_words bigint, n_removed bigint, kept_sha256 string",
-        )
+    # Only texts that may lose words are shuffled to meet their ranges.
+    flagged = spark.sparkContext.broadcast(row_filter(ranges))
+    shape = "row bigint, doc_id bigint, text string"
+    some = rows.mapInArrow(_maybe(flagged), shape).join(ranges, "row", "left")
+    none = rows.mapInArrow(_without(flagged), f"{shape}, ranges binary")
+    return some.select("row", "doc_id", "text", "ranges").union(none).mapInArrow(
+        _cut, "doc_id bigint, text string, kept_text string, n_words bigint, n_removed bigint, kept_sha256 string"
     )
