@@ -1,15 +1,87 @@
-"""Corpus cleaning as a run of stages, each of which writes its documents for the next one."""
+"""Corpus cleaning as a run of stages, each of which writes its documents for the next one.
+
+Every stage but the last returns the columns of the documents it is given. Rows keep their texts unless words are cut out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from covenant.llm.common import table
+from covenant.llm import decontaminate, langid, near_dup, packing, substring
+from covenant.llm.common import drop_rows, row_key, table
+from covenant.llm.queries import vocabulary
 from covenant.session import scratch_path, written
 
-STAGES: list = []
+#: Language predictions below this are rejected: no learned language fits.
+LEAST_SCORE = 0.2
+
+
+def _apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list]:
+    """``docs`` with own columns of these names out of the way, and the columns that bring them back."""
+    moved = docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c in names})
+    return moved, [F.col(new).alias(old) for new, old in zip(moved.columns, docs.columns, strict=True)]
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; null texts, texts without a letter and texts no language fits go.
+
+    The classifier learns from the rows of the given documents that have a language.
+    """
+    model = langid.train(langid.learnable(docs))
+    moved, columns = _apart(docs, "lang_pred", "score")
+    found = langid.identify(moved, model)
+    known = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return known.select(*columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id. Of rows that share that id one text
+    stays, with its exact repetitions; rows without an id stay."""
+    found = written(near_dup.near_duplicates(docs).select("row", "doc_id", "kept"), scratch_path(spark, "groups"))
+    first = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("row").alias("first"))
+    gone = found.join(first, "doc_id", "left").where("NOT kept OR row <> first").select(F.col("row").alias("__row")).distinct()
+    return drop_rows(docs, written(gone, scratch_path(spark, "gone"))).select(*docs.columns)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that documents with smaller ids have; documents with nothing left go."""
+    moved, columns = _apart(docs, "kept_text", "n_words", "n_removed", "kept_sha256")
+    found = substring.remove_repeats(moved)
+    cut = F.col("n_removed") > 0
+    left = found.where(~cut | (F.col("n_removed") < F.col("n_words")))
+    return left.select(
+        *[
+            F.when(cut, F.col("kept_text")).otherwise(F.col("text")).alias("text") if c == "text"
+            else F.when(cut, F.char_length("kept_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars"
+            else column
+            for c, column in zip(docs.columns, columns, strict=True)
+        ]
+    )
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontaminate.find_contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    gone = written(found.where("contaminated").select(row_key("doc_id", "text").alias("__row")), scratch_path(spark, "contaminated"))
+    kept = docs.withColumn("__row", row_key("doc_id", "text")).join(gone, "__row", "left_anti")
+    return kept.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in training sequences."""
+    return packing.pack(docs, vocabulary())
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("substrings", substrings),
+    ("decontamination", decontamination),
+    ("packing", pack),
+]
 
-#: Language identification and the kernels behind it have no SQL form.
+#: Kernels, signatures and tokenizers have no SQL form.
 ORACLE_SQL = None
 
 

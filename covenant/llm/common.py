@@ -158,9 +158,9 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def row_filter(keys: DataFrame) -> np.ndarray:
-    """A bit set of fixed size that holds every key of the column ``row``: at most FILTER_BITS / 32 numbers are collected."""
-    bit = f"pmod(row, {FILTER_BITS})"
+def row_filter(keys: DataFrame, name: str = "row") -> np.ndarray:
+    """A bit set of fixed size that holds every key of a column: at most FILTER_BITS / 32 numbers are collected."""
+    bit = f"pmod({name}, {FILTER_BITS})"
     words = keys.groupBy(F.expr(f"shiftright({bit}, 5)").alias("word")).agg(
         F.expr(f"bit_or(shiftleft(1L, int({bit} % 32)))").alias("bits")
     )
@@ -170,6 +170,26 @@ def row_filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def in_filter(keys: pa.Array, bits: np.ndarray) -> pa.Array:
+def in_filter(keys: pa.Array, bits: np.ndarray) -> np.ndarray:
     at = keys.to_numpy(zero_copy_only=False) % FILTER_BITS
-    return pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0)
+    return (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0
+
+
+def split_rows(keyed: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``__row`` may be in ``keys`` (all that are, and a few more), and the rest, without a shuffle."""
+    bits = keyed.sparkSession.sparkContext.broadcast(row_filter(keys, "__row"))
+
+    def part(wanted: bool):
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(in_filter(batch.column("__row"), bits.value) == wanted))
+
+        return keyed.mapInArrow(pick, keyed.schema)
+
+    return part(True), part(False)
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose key (doc_id, text) is in ``gone`` (__row); only rows that may be are shuffled."""
+    maybe, no = split_rows(docs.withColumn("__row", row_key("doc_id", "text")), gone)
+    return maybe.join(gone, "__row", "left_anti").select(*no.columns).union(no).drop("__row")

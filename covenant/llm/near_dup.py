@@ -135,7 +135,7 @@ def _describe(size: int, bands: int, rows: int):
 def _needed_sets(size: int, bits):
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(in_filter(batch.column("row"), bits.value))
+            batch = batch.filter(pa.array(in_filter(batch.column("row"), bits.value)))
             for first, end, data, offsets in text_slices(batch.column("text")):
                 sets = shingle_sets(data, offsets, size)
                 yield pa.RecordBatch.from_arrays(

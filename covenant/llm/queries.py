@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from covenant.llm import near_dup, substring
-from covenant.llm.common import table
+from covenant.llm import brown_lm, decontaminate, langid, near_dup, packing, substring
+from covenant.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,13 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def vocabulary() -> str:
+    """The public byte-level vocabulary installed beside the libraries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @query()
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
@@ -34,3 +42,37 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query()
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(langid.learnable(docs))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
+
+
+@query()
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query()
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = brown_lm.train(brown_lm.training_rows(docs))
+    return brown_lm.score(docs, model).withColumn("held_out", held_out(F.col("doc_id"), 7, 2))

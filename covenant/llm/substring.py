@@ -15,12 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import gram_hashes, gram_starts, in_filter, row_filter, row_key, signed, split_words, text_slices
+from covenant.llm.common import gram_hashes, gram_starts, row_key, signed, split_rows, split_words, text_slices
 from covenant.session import scratch_path, written
 
 #: Words of a window.
@@ -272,36 +271,15 @@ def _merge_flags(width: int):
                 breaks = np.flatnonzero(at[1:] > at[:-1] + width)
                 ranges = np.stack([at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]] + width], axis=1)
                 out.append(ranges.astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], names=["row", "ranges"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], names=["__row", "__ranges"])
 
     return merge
 
 
-def _without(bits):
-    """Arrow map: rows the filter is sure to have no flags for, with null ranges."""
-
-    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = batch.filter(pa.compute.invert(in_filter(batch.column("row"), bits.value)))
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.nulls(part.num_rows, pa.binary())], names=[*part.schema.names, "ranges"]
-            )
-
-    return without
-
-
-def _maybe(bits):
-    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(in_filter(batch.column("row"), bits.value))
-
-    return maybe
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with a text and the word ranges to remove, to the kept text, the counts, and the digest of kept words."""
     for batch in batches:
-        ranges = batch.column("ranges")
+        ranges = batch.column("__ranges")
         for first, end, data, offsets in text_slices(batch.column("text")):
             words = split_words(data, offsets, fold=False)
             texts, counts, removed, digests = [], [], [], []
@@ -322,7 +300,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed.append(int(b - a - kept.sum()))
                 digests.append(hashlib.sha256(joined).hexdigest())
             part = batch.slice(first, end - first)
-            names = [c for c in part.schema.names if c not in ("row", "ranges")]
+            names = [c for c in part.schema.names if c not in ("__row", "__ranges")]
             yield pa.RecordBatch.from_arrays(
                 [*[part.column(c) for c in names], pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
                 names=[*names, "kept_text", "n_words", "n_removed", "kept_sha256"],
@@ -332,16 +310,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_cells: int = MAX_CELLS) -> DataFrame:
     """Remove every word covered by a ``width``-word window that also starts in a document with a smaller doc_id.
 
-    Takes (doc_id, text), other columns are ignored. Returns per row doc_id, ``text`` (null as it was), ``kept_text``
-    (unchanged where nothing went; null texts are empty), n_words, n_removed, kept_sha256 (of the kept words joined by
-    one space). Windows are judged on the input. Rows that share a doc_id do not remove one another, a null doc_id
+    Returns the columns of ``docs`` (doc_id, text and any others; of the names added here, its own are replaced) and
+    ``kept_text`` (the text where nothing went; null texts are empty), n_words, n_removed, kept_sha256 (of the kept words
+    joined by one space). Windows are judged on the input. Rows that share a doc_id do not remove one another, a null doc_id
     counts as larger than any other, equal rows get equal results, texts of fewer than ``width`` words lose nothing.
 
     Window hashes have 96 bits. The sketch is bounded by ``depth * max_cells / 8`` bytes on the driver and in each
     worker.
     """
     spark = docs.sparkSession
-    rows = docs.select(row_key("doc_id", "text").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    docs = docs.drop("kept_text", "n_words", "n_removed", "kept_sha256")
+    keyed = docs.withColumn("__row", row_key("doc_id", "text"))
+    rows = keyed.select(F.col("__row").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # A window starts about every seven bytes. Only the width of the sketch depends on this: where words are shorter,
     # more windows pass the filter.
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -362,14 +342,13 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
         .mapInArrow(_decide, "row bigint, flags binary")
         .groupBy("row")
         .agg(F.collect_list("flags").alias("flags"))
-        .mapInArrow(_merge_flags(width), "row bigint, ranges binary"),
+        .mapInArrow(_merge_flags(width), "__row bigint, __ranges binary"),
         scratch_path(spark, "ranges"),
     )
     # Only texts that may lose words are shuffled to meet their ranges.
-    flagged = spark.sparkContext.broadcast(row_filter(ranges))
-    shape = "row bigint, doc_id bigint, text string"
-    some = rows.mapInArrow(_maybe(flagged), shape).join(ranges, "row", "left")
-    none = rows.mapInArrow(_without(flagged), f"{shape}, ranges binary")
-    return some.select("row", "doc_id", "text", "ranges").union(none).mapInArrow(
-        _cut, "doc_id bigint, text string, kept_text string, n_words bigint, n_removed bigint, kept_sha256 string"
-    )
+    maybe, no = split_rows(keyed, ranges)
+    none = no.withColumn("__ranges", F.lit(None).cast("binary"))
+    schema = docs.withColumns(
+        {"kept_text": F.lit(""), "n_words": F.lit(0).cast("bigint"), "n_removed": F.lit(0).cast("bigint"), "kept_sha256": F.lit("")}
+    ).schema
+    return maybe.join(ranges, "__row", "left").select(*none.columns).union(none).mapInArrow(_cut, schema)
