@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covenant.llm import brown_lm, decontaminate, langid, near_dup, packing, substring
+from covenant.llm import brown_lm, bwt_dedup, chat, decontaminate, langid, near_dup, packing, substring, warc
 from covenant.llm.common import held_out, table
+from covenant.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +77,60 @@ def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = brown_lm.train(brown_lm.training_rows(docs))
     return brown_lm.score(docs, model).withColumn("held_out", held_out(F.col("doc_id"), 7, 2))
+
+
+@query()
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = r"\### Assistant: </turn> ok"
+    own = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(control).alias("text"),
+    )
+    windows = chat.read_turns(chat.format_chat(given.union(own)))
+    parts = windows.select(
+        "conv_id",
+        F.struct(
+            "window",
+            F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("turns"),
+            chat.learned_text(windows).alias("learned"),
+        ).alias("part"),
+        F.size("turns").alias("n"),
+        F.char_length("text").alias("chars"),
+    )
+    whole = parts.groupBy("conv_id").agg(
+        F.sum("n").cast("bigint").alias("n_turns"),
+        F.sort_array(F.collect_list("part")).alias("parts"),
+        F.sum("chars").cast("bigint").alias("formatted_chars"),
+    )
+    learned = F.array_join(F.transform("parts", lambda p: p["learned"]), "")
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(F.array_join(F.transform("parts", lambda p: p["turns"]), ""), 256).alias("turns_sha256"),
+        F.char_length(learned).cast("bigint").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@query()
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.read_pages(spark, path)
+    return found.select(
+        warc.page_of(F.col("id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+@query()
+def op4_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bwt_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
