@@ -32,7 +32,7 @@ CELLS_PER_WINDOW = 3
 MAX_CELLS = 1 << 29
 BLOCK = 1 << 22
 #: Windows a task gathers before it settles them, and flags before it passes them on.
-GATHER = 2_000_000
+GATHER = 1_000_000
 
 _LAST = np.int64(np.iinfo(np.int64).max)
 
@@ -146,6 +146,7 @@ def _candidates(bits, cells: int, width: int, depth: int):
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, amount = [], 0
+        sketch = np.frombuffer(bits.value, np.uint8).reshape(depth, -1)
         for batch in batches:
             keys = batch.column("row").to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").fill_null(int(_LAST)).to_numpy(zero_copy_only=False)
@@ -159,7 +160,7 @@ def _candidates(bits, cells: int, width: int, depth: int):
                 for row in range(depth):
                     found = gram_hashes(words.hashes, width, row + 1)[at]
                     cell = _cell(found, cells)
-                    kept &= (bits.value[row][cell >> np.uint64(3)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8)) & 1) > 0
+                    kept &= (sketch[row][cell >> np.uint64(3)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8)) & 1) > 0
                     hashes.append(found)
                 if not kept.any():
                     continue
@@ -334,7 +335,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
         bits[row, block * (BLOCK // 8) : (block + 1) * (BLOCK // 8)] = np.frombuffer(unpack(bytes(found["two"])), np.uint8)
     ranges = written(
         rows.mapInArrow(
-            _candidates(spark.sparkContext.broadcast(bits), cells, width, depth),
+            _candidates(spark.sparkContext.broadcast(bits.tobytes()), cells, width, depth),
             "window bigint, packed bigint, doc_id bigint, row bigint, flags binary",
         )
         .repartition("window")
