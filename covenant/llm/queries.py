@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covenant.llm import brown_lm, bwt_dedup, chat, decontaminate, langid, near_dup, packing, substring, warc
+from covenant.llm import ann, brown_lm, bwt_dedup, chat, decontaminate, langid, near_dup, packing, substring, warc
 from covenant.llm.common import held_out, table
 from covenant.session import scratch_path
 
@@ -134,3 +134,9 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bwt_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
