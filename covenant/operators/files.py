@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,8 +26,8 @@ BLOCK_CHUNKS = 64
 
 
 def file_uri(source_type: Column, container: Column, path: Column, azure_account: str | None = None) -> Column:
-    """Filesystem URI of a reference, understood by Spark's and Arrow's filesystems."""
-    host = F.lit(f"@{azure_account}.dfs.core.windows.net/" if azure_account else "/")
+    """Filesystem URI of a reference, understood by Spark's and Arrow's filesystems; null for AZURE without an account."""
+    host = F.lit(f"@{azure_account}.dfs.core.windows.net/" if azure_account else None).cast("string")
     key = F.regexp_replace(path, "^/+", "")
     return (
         F.when(source_type == S3, F.concat(F.lit("s3a://"), container, F.lit("/"), key))
@@ -72,8 +73,9 @@ def check_file_requests(
 ) -> DataFrame:
     """Add ``reason`` and ``details``: null for a valid request.
 
-    ``listing`` has ``uri, is_file, size`` of objects that exist; with it, missing objects and local directories are
-    rejected too, and valid requests get their ``size``.
+    ``listing`` has ``uri, is_file, size`` of objects that exist and, if it has the column, an ``error`` for those that
+    could not be asked about, which are FETCH rejects. With it, missing objects and local directories are rejected too,
+    and valid requests get their ``size``.
     """
     kind, path = F.col("source_type"), F.col("path")
     known = kind.isin(S3, AZURE, GCP, LOCAL)
@@ -87,16 +89,19 @@ def check_file_requests(
             (kind != LOCAL) & is_blank(F.col("storage_container")),
             F.struct(F.lit(VALIDATION), F.lit("storage container is required")),
         )
+        .when(F.col("uri").isNull(), F.struct(F.lit(VALIDATION), F.lit("no storage account is configured")))
     )
     checked = requests.withColumn("__p", problem)
     if listing is not None:
-        found = listing.select("uri", F.col("is_file").alias("__is_file"), F.col("size"))
+        failure = F.col("error") if "error" in listing.columns else F.lit(None).cast("string")
+        found = listing.select("uri", F.col("is_file").alias("__is_file"), F.col("size"), failure.alias("__error"))
         checked = bounded_join(
             checked.drop("size"), found, ["uri"], how="left", spread=["file_sequence_id"], bound=bound
         )
         checked = checked.withColumn(
             "__p",
             F.when(F.col("__p").isNotNull(), F.col("__p"))
+            .when(F.col("__error").isNotNull(), F.struct(F.lit(FETCH), F.col("__error").alias("col2")))
             .when(
                 F.col("__is_file").isNull(),
                 F.struct(F.lit(VALIDATION), F.concat(F.lit("object does not exist: "), path)),
@@ -105,7 +110,7 @@ def check_file_requests(
                 (kind == LOCAL) & ~F.col("__is_file"),
                 F.struct(F.lit(VALIDATION), F.concat(F.lit("not a file: "), path)),
             ),
-        ).drop("__is_file")
+        ).drop("__is_file", "__error")
     return (
         checked.withColumn("reason", F.col("__p.col1")).withColumn("details", F.col("__p.col2")).drop("__p")
     )
@@ -120,10 +125,11 @@ def rejected_file_requests(checked: DataFrame) -> DataFrame:
     return checked.where("reason IS NOT NULL").select("topic", "partition", "file_sequence_id", "reason", "details")
 
 
-def chunk_files(files: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
+def chunk_files(files: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE, *, by: Sequence[str] = ()) -> DataFrame:
     """Cut ``(file_sequence_id, file_name, content)`` into fixed-size chunks and one closing marker per file.
 
-    The marker follows the last data chunk and carries the digest of the whole file; an empty file is its marker only.
+    Sequence ids are unique within a partition of a topic only: ``by`` names the columns that go with them, and every
+    chunk carries them. The marker follows the last data chunk and carries the digest of the whole file; an empty file is its marker only.
     """
     size = F.octet_length("content")
     sized = files.withColumn("total_chunks", F.ceil(size / F.lit(chunk_size)).cast("int")).withColumn(
@@ -132,6 +138,7 @@ def chunk_files(files: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataF
     numbered = sized.withColumn("chunk_index", F.explode(F.sequence(F.lit(0), F.col("total_chunks"))))
     last = F.col("chunk_index") == F.col("total_chunks")
     return numbered.select(
+        *by,
         "file_sequence_id",
         base_name(F.col("file_name")).alias("file_name"),
         "chunk_index",
@@ -294,10 +301,15 @@ def _block_folder(keys: Sequence[str]):
 
 
 def fold_repeats(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
-    """One row per chunk of a file. Delivery is at least once, so copies of a chunk are not part of the file twice."""
+    """One row per chunk of a file. Delivery is at least once, so copies of a chunk are not part of the file twice.
+
+    Of copies that differ the largest is kept and ``conflict`` is true.
+    """
     named = chunks.withColumn("file_name", base_name(F.col("file_name")))
+    values = ("chunk_data", "total_chunks", "file_size", "file_checksum")
+    differ = [F.coalesce(F.min(c) != F.max(c), F.lit(False)) for c in values]
     return named.groupBy(*_keys(by), "is_last_chunk", "chunk_index").agg(
-        *[F.max(c).alias(c) for c in ("chunk_data", "total_chunks", "file_size", "file_checksum")]
+        *[F.max(c).alias(c) for c in values], reduce(lambda a, b: a | b, differ).alias("conflict")
     )
 
 
@@ -369,11 +381,19 @@ def verify_files(assembled: DataFrame) -> DataFrame:
 
 
 def chunk_counts(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
-    """Received, repeated and missing data chunks per file. Repeats are folded first, so no file is one big group."""
+    """Received, repeated, conflicting and missing chunks per file. Repeats are folded first, so no file is one big group.
+
+    Copies of a chunk that differ are ``conflicting``: which of them is right only the file's digest can tell.
+    """
+    content = F.xxhash64("chunk_data", "file_checksum")
     per_chunk = (
         chunks.withColumn("file_name", base_name(F.col("file_name")))
         .groupBy(*_keys(by), "is_last_chunk", "chunk_index")
-        .agg(F.count(F.lit(1)).alias("copies"), F.max("total_chunks").alias("total_chunks"))
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.max("total_chunks").alias("total_chunks"),
+            F.coalesce(F.min(content) != F.max(content), F.lit(False)).alias("conflict"),
+        )
     )
     data = ~F.col("is_last_chunk")
     counts = per_chunk.groupBy(*_keys(by)).agg(
@@ -382,6 +402,7 @@ def chunk_counts(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
         F.max("total_chunks").alias("total_chunks"),
         F.coalesce(F.max(F.when(data, F.col("chunk_index"))) + 1, F.lit(0)).alias("seen_up_to"),
         F.bool_or("is_last_chunk").alias("finished"),
+        F.count_if("conflict").alias("conflicting"),
     )
     return counts.select(
         *_keys(by),
@@ -391,11 +412,20 @@ def chunk_counts(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
         (F.col("seen_up_to") != F.col("distinct_chunks")).alias("has_gaps"),
         "total_chunks",
         "finished",
+        "conflicting",
     )
 
 
-def file_progress(stored: DataFrame, rejects: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Next sequence id per key: past the highest stored or rejected file, whichever is later; nothing for neither."""
+def file_progress(
+    stored: DataFrame, rejects: DataFrame, keys: list[str] | None = None, *, pending: DataFrame | None = None
+) -> DataFrame:
+    """Next sequence id per key: past the highest stored or rejected file, but never past one of ``pending``, the files
+    that failed or are not finished, which are to be read again. Nothing for keys without any file."""
     by = keys or ["topic"]
-    seen = stored.select(*by, "file_sequence_id").unionByName(rejects.select(*by, "file_sequence_id"))
-    return seen.groupBy(*by).agg((F.max("file_sequence_id") + 1).alias("next_sequence_id"))
+    here = [*by, F.col("file_sequence_id"), F.lit(False).alias("__open")]
+    seen = stored.select(*here).unionByName(rejects.select(*here))
+    if pending is not None:
+        seen = seen.unionByName(pending.select(*by, "file_sequence_id", F.lit(True).alias("__open")))
+    past = F.max(F.when(~F.col("__open"), F.col("file_sequence_id"))) + 1
+    first_open = F.min(F.when(F.col("__open"), F.col("file_sequence_id")))
+    return seen.groupBy(*by).agg(F.least(past, first_open).alias("next_sequence_id"))

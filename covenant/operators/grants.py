@@ -13,30 +13,32 @@ from covenant.schemas import ATTRIBUTES
 TOPIC_REFUSED = "Topic (%s) is not valid for client (%s)."
 
 
-def document_position(producer: Column, product: Column, consumer: Column, attribute: Column) -> Column:
-    """One number that sorts like the four places, each counted up to 32,767."""
-    position = F.lit(0).cast("bigint")
-    for place in (producer, product, consumer, attribute):
-        position = F.shiftleft(position, 15) + F.least(place, F.lit(32_767)).cast("bigint")
-    return position
+def document_position(document: Column, producer: Column, product: Column, consumer: Column, attribute: Column) -> Column:
+    """The five places in the order of a reader: document, producer, product, consumer, attribute."""
+    places = {"document": document, "producer": producer, "product": product, "consumer": consumer, "attribute": attribute}
+    return F.struct(*[place.cast("bigint").alias(name) for name, place in places.items()])
 
 
 def flatten_grants(documents: DataFrame) -> DataFrame:
     """One row per attribute of a consumer of a product of a producer.
 
     Empty or null levels yield nothing, except that a consumer without attributes keeps one row with
-    ``has_attribute`` false. ``position`` is the place of the attribute in its document.
+    ``has_attribute`` false. ``position`` is the place of the attribute in its document, after that of the document: its
+    column ``document`` if there is one, else its row's place in ``documents``.
     """
+    number = F.col("document") if "document" in documents.columns else F.monotonically_increasing_id()
     producers = documents.select(
-        F.col("clientId").alias("client_id"), F.posexplode("producers").alias("producer_pos", "p")
+        number.alias("document"), F.col("clientId").alias("client_id"), F.posexplode("producers").alias("producer_pos", "p")
     ).where("p IS NOT NULL")
     products = producers.select(
+        "document",
         "client_id",
         "producer_pos",
         F.col("p.name").alias("producer"),
         F.posexplode("p.products").alias("product_pos", "d"),
     ).where("d IS NOT NULL")
     consumers = products.select(
+        "document",
         "client_id",
         "producer_pos",
         "producer",
@@ -48,6 +50,7 @@ def flatten_grants(documents: DataFrame) -> DataFrame:
     ).where("c IS NOT NULL")
     attributes = F.filter(F.col("c.attributes"), lambda a: a.isNotNull())
     return consumers.select(
+        "document",
         "client_id",
         "producer",
         "product",
@@ -66,7 +69,11 @@ def flatten_grants(documents: DataFrame) -> DataFrame:
         "product_type",
         "consumer_id",
         document_position(
-            F.col("producer_pos"), F.col("product_pos"), F.col("consumer_pos"), F.coalesce("attr_pos", F.lit(0))
+            F.col("document"),
+            F.col("producer_pos"),
+            F.col("product_pos"),
+            F.col("consumer_pos"),
+            F.coalesce("attr_pos", F.lit(0)),
         ).alias("position"),
         F.col("a").isNotNull().alias("has_attribute"),
         F.col("a.name").alias("attribute_name"),

@@ -72,7 +72,8 @@ def with_checksum_status(envelopes: DataFrame) -> DataFrame:
 def verify_checksum(envelopes: DataFrame, on_mismatch: str | None = SKIP) -> DataFrame:
     """Envelopes to deliver. SKIP drops mismatches, LOG_ONLY keeps them, ABORT fails the job.
 
-    An aborting job commits no output; in a stream use :func:`abort_on_mismatch` before the first write.
+    ABORT is a filter, so it runs whichever columns are used. An aborting job commits no output; in a stream use
+    :func:`abort_on_mismatch` before the first write.
     """
     checked = with_checksum_status(envelopes)
     action = mismatch_action(on_mismatch)
@@ -82,9 +83,8 @@ def verify_checksum(envelopes: DataFrame, on_mismatch: str | None = SKIP) -> Dat
         message = F.concat(
             F.lit("checksum mismatch on topic "), F.col("topic"), F.lit(" offset "), F.col("offset").cast("string")
         )
-        return checked.withColumn(
-            "checksum_status",
-            F.when(F.col("checksum_status") == FAIL, F.raise_error(message)).otherwise(F.col("checksum_status")),
+        return checked.where(
+            F.when(F.col("checksum_status") == FAIL, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
         )
     return checked
 

@@ -62,10 +62,28 @@ def store_until_first_failure(
     )
 
 
+def held_back(plan: DataFrame, failures: DataFrame, run_keys: Sequence[str] = ("run",)) -> DataFrame:
+    """Products several runs of which are planned and one of which failed. Versions are given by product, so what another
+    run would publish now could be replaced when the failed one is repeated: nothing of such a product is published."""
+    runs = plan.select("product_key", *run_keys).distinct()
+    several = runs.groupBy("product_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("product_key")
+    failed = runs.join(failures.select(*run_keys), list(run_keys), "left_semi").select("product_key").distinct()
+    return several.join(failed, "product_key", "left_semi")
+
+
 def next_counters(
-    plan: DataFrame, counters: DataFrame, failures: DataFrame, run_keys: Sequence[str] = ("run",)
+    plan: DataFrame,
+    counters: DataFrame,
+    failures: DataFrame,
+    run_keys: Sequence[str] = ("run",),
+    *,
+    published: DataFrame | None = None,
 ) -> DataFrame:
-    """Counters after a run: the highest version given, unless a run of the product failed (then unchanged)."""
+    """Counters after a run: the highest version given, unless a run of the product failed (then unchanged).
+
+    ``published`` holds ``product_key, version`` of files that reached their names although a publication before them in
+    the product failed. A counter never stays below those, so that no later run can replace them.
+    """
     failed = plan.join(failures.select(*run_keys), list(run_keys), "left_semi").select("product_key").distinct()
     advanced = (
         plan.where("version IS NOT NULL")
@@ -73,6 +91,9 @@ def next_counters(
         .agg(F.max("version").alias("advanced"))
         .join(failed, "product_key", "left_anti")
     )
+    if published is not None:
+        reached = published.where("version IS NOT NULL").groupBy("product_key").agg(F.max("version").alias("advanced"))
+        advanced = advanced.unionByName(reached).groupBy("product_key").agg(F.max("advanced").alias("advanced"))
     return counters.join(advanced, "product_key", "full_outer").select(
         "product_key", F.coalesce("advanced", "counter").cast("bigint").alias("counter")
     )

@@ -17,7 +17,7 @@ from covenant.operators.files import (
     verify_files,
 )
 from covenant.operators.joins import bounded_join
-from covenant.operators.versions import first_failures, next_counters, plan_versions, store_until_first_failure
+from covenant.operators.versions import first_failures, held_back, next_counters, plan_versions, store_until_first_failure
 from covenant.session import written
 from covenant.sinks.files import publish_files, write_files, write_large_files
 
@@ -79,19 +79,33 @@ def land_files(
         .unionByName(broken)
     )
     results = written(results, f"{work}/results")
-    publishable = store_until_first_failure(results).join(
-        plan.select("run", "file_sequence_id", "uri"), ["run", "file_sequence_id"]
+    failures = first_failures(results)
+    waiting = held_back(plan, failures)
+    publishable = (
+        store_until_first_failure(results)
+        .join(plan.select("run", "file_sequence_id", "uri", "product_key", "version"), ["run", "file_sequence_id"])
+        .join(waiting, "product_key", "left_anti")
+    )
+    publishable = written(
+        publishable.select("run", "file_sequence_id", "product_key", "version", "staged_uri", "uri"), f"{work}/publishable"
     )
-    publishable = written(publishable.select("run", "file_sequence_id", "staged_uri", "uri"), f"{work}/publishable")
     published = written(publish_files(publishable), f"{work}/published")
-    stored_runs = published.where("ok").select("file_sequence_id", F.col("target").alias("uri")).join(
-        publishable.select("run", "file_sequence_id", "uri"), ["file_sequence_id", "uri"]
+    outcomes = publishable.join(
+        published.select("file_sequence_id", F.col("target").alias("uri"), "ok"), ["file_sequence_id", "uri"]
     )
-    nothing = stored_runs.limit(0)
+    done, undone = outcomes.where("ok"), outcomes.where(~F.col("ok"))
+    # A failed publication ends its run as a failed store does. What came after it is under its name already, so the
+    # counter of its product goes past that.
+    stopped = undone.groupBy("run").agg(F.min("file_sequence_id").alias("failed_at"))
+    broken_products = undone.select("product_key").distinct()
+    after = done.join(broken_products, "product_key", "left_semi").select("product_key", "version")
+    # Everything that did not get to its name is read again: failed, held back, not published, or without its marker.
+    file_keys = ["run", "file_sequence_id"]
+    pending = chunks.select(*file_keys).distinct().join(done.select(*file_keys), file_keys, "left_anti")
     return Landing(
         plan=plan,
         results=results,
         published=published,
-        counters=next_counters(plan, counters, first_failures(results)),
-        progress=file_progress(stored_runs, nothing, ["run"]),
+        counters=next_counters(plan, counters, failures.unionByName(stopped), published=after),
+        progress=file_progress(done, done.limit(0), ["run"], pending=pending),
     )

@@ -10,7 +10,6 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covenant.functions.checksums import payload_checksum
 from covenant.functions.text import base_name
 from covenant.operators.files import DEFAULT_CHUNK_SIZE, FETCH
 
@@ -35,9 +34,12 @@ def scan_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def stat_files(requests: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``uri, is_file, size`` of the distinct referenced objects that exist; many requests ask for one object once."""
+    """``uri, is_file, size, error`` of the distinct referenced objects; many requests ask for one object once.
+
+    Objects that do not exist have no row. Those a store gave no answer about have an ``error`` and nothing else.
+    """
     uris = requests.where("uri IS NOT NULL").select("uri").distinct()
-    return _spread(uris, partitions, "uri").mapInArrow(_stat, "uri string, is_file boolean, size bigint")
+    return _spread(uris, partitions, "uri").mapInArrow(_stat, "uri string, is_file boolean, size bigint, error string")
 
 
 def _spread(references: DataFrame, partitions: int | None, *columns: str) -> DataFrame:
@@ -51,14 +53,15 @@ def _spread(references: DataFrame, partitions: int | None, *columns: str) -> Dat
 
 
 def _stat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("uri", pa.string()), ("is_file", pa.bool_()), ("size", pa.int64())])
+    schema = pa.schema([("uri", pa.string()), ("is_file", pa.bool_()), ("size", pa.int64()), ("error", pa.string())])
     for batch in batches:
         found = []
         for uri in batch.column("uri").to_pylist():
             try:
                 filesystem, path = open_filesystem(uri)
                 info = filesystem.get_file_info(path)
-            except (OSError, ValueError, pa.ArrowException):
+            except (OSError, ValueError, pa.ArrowException) as problem:
+                found.append({"uri": uri, "error": f"{FETCH}: {type(problem).__name__}"})
                 continue
             if info.type != pafs.FileType.NotFound:
                 is_file = info.type == pafs.FileType.File
@@ -100,7 +103,7 @@ def read_large_chunks(
     """Chunks of listed files above ``inline_bytes``: ``uri`` and the chunk columns without the sequence id.
 
     A file is cut into ranges of ``range_chunks`` chunks that are read by different tasks. Its closing marker comes
-    from a second pass that digests the file in order, a step at a time.
+    from a second pass that digests the file in order, a step at a time. What cannot be read gives a row with ``error``.
     """
     large = (
         listing.where(F.col("is_file") & (F.col("size") > inline_bytes))
@@ -111,7 +114,7 @@ def read_large_chunks(
         "first_chunk", F.explode(F.sequence(F.lit(0), F.col("total_chunks") - 1, F.lit(range_chunks)))
     )
     ranges = _spread(ranges, partitions, "uri", "first_chunk")
-    schema = "uri string, chunk_index int, total_chunks int, file_size bigint, chunk_data binary, file_checksum string"
+    schema = "uri string, chunk_index int, total_chunks int, file_size bigint, chunk_data binary, file_checksum string, error string"
     data = ranges.mapInArrow(_range_reader(chunk_size, range_chunks), schema)
     markers = _spread(large, partitions, "uri").mapInArrow(_digest, schema)
     return data.unionByName(markers).select(
@@ -123,6 +126,7 @@ def read_large_chunks(
         "chunk_data",
         "file_size",
         "file_checksum",
+        "error",
     )
 
 
@@ -134,11 +138,14 @@ _PIECES = pa.schema(
         ("file_size", pa.int64()),
         ("chunk_data", pa.binary()),
         ("file_checksum", pa.string()),
+        ("error", pa.string()),
     ]
 )
 
 
-def _piece(row: dict, index: int, data: bytes | None, checksum: str | None) -> pa.RecordBatch:
+def _piece(
+    row: dict, index: int, data: bytes | None, checksum: str | None, problem: Exception | None = None
+) -> pa.RecordBatch:
     piece = {
         "uri": row["uri"],
         "chunk_index": index,
@@ -146,6 +153,7 @@ def _piece(row: dict, index: int, data: bytes | None, checksum: str | None) -> p
         "file_size": row["size"],
         "chunk_data": data,
         "file_checksum": checksum,
+        "error": f"{FETCH}: {type(problem).__name__}" if problem else None,
     }
     return pa.RecordBatch.from_pylist([piece], schema=_PIECES)
 
@@ -154,12 +162,15 @@ def _range_reader(chunk_size: int, range_chunks: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                filesystem, path = open_filesystem(row["uri"])
                 stop = min(row["first_chunk"] + range_chunks, row["total_chunks"])
-                with filesystem.open_input_file(path) as source:
-                    source.seek(row["first_chunk"] * chunk_size)
-                    for index in range(row["first_chunk"], stop):
-                        yield _piece(row, index, source.read(chunk_size), None)
+                try:
+                    filesystem, path = open_filesystem(row["uri"])
+                    with filesystem.open_input_file(path) as source:
+                        source.seek(row["first_chunk"] * chunk_size)
+                        for index in range(row["first_chunk"], stop):
+                            yield _piece(row, index, source.read(chunk_size), None)
+                except (OSError, ValueError, pa.ArrowException) as problem:
+                    yield _piece(row, row["first_chunk"], None, None, problem)
 
     return read
 
@@ -167,13 +178,12 @@ def _range_reader(chunk_size: int, range_chunks: int):
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            filesystem, path = open_filesystem(row["uri"])
             digest = hashlib.sha256()
-            with filesystem.open_input_stream(path) as stream:
-                while step := stream.read(_READ_STEP):
-                    digest.update(step)
-            yield _piece(row, row["total_chunks"], None, digest.hexdigest())
-
-
-def with_digest(files: DataFrame) -> DataFrame:
-    return files.withColumn("checksum", payload_checksum(F.col("content")))
+            try:
+                filesystem, path = open_filesystem(row["uri"])
+                with filesystem.open_input_stream(path) as stream:
+                    while step := stream.read(_READ_STEP):
+                        digest.update(step)
+                yield _piece(row, row["total_chunks"], None, digest.hexdigest())
+            except (OSError, ValueError, pa.ArrowException) as problem:
+                yield _piece(row, row["total_chunks"], None, None, problem)

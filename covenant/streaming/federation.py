@@ -14,6 +14,7 @@ from covenant.functions.rdf import normalise_rdf
 from covenant.operators.federation import federate_decisions
 from covenant.operators.files import (
     DEFAULT_CHUNK_SIZE,
+    FETCH,
     check_file_requests,
     chunk_files,
     decode_file_requests,
@@ -29,7 +30,10 @@ from covenant.operators.messages import (
     to_envelope,
     with_checksum_status,
 )
-from covenant.streaming.progress import ProgressTable, merge_progress, not_yet_delivered
+from covenant.plans.outbound import SEQUENCE, file_chunks
+from covenant.session import scratch_path, written
+from covenant.sources.objects import stat_files
+from covenant.streaming.progress import KEYS, ProgressTable, not_yet_delivered
 from covenant.streaming.refresh import Refreshed
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -118,16 +122,16 @@ def inbound_writer(
 ) -> BatchWriter:
     """Verify and store one micro-batch of envelopes.
 
-    ABORT raises before anything of the batch is written. ``exact`` drops rows already covered by saved progress.
+    ABORT raises before anything of the batch is written. ``exact`` drops rows whose position an earlier micro-batch wrote
+    to the sink; offsets may come late and in any order.
     """
     action = mismatch_action(on_mismatch)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         named = batch.withColumns({"client": F.lit(client), "server": F.lit(server)})
-        if exact and progress is not None:
-            # Positions saved by an earlier attempt at this batch do not count.
-            saved = progress.updates().where(F.col("run") < batch_id)
-            named = not_yet_delivered(named, merge_progress(saved))
+        if exact:
+            # What an earlier attempt at this batch wrote does not count.
+            named = not_yet_delivered(named, delivered_before(batch.sparkSession, sink, batch_id))
         checked = with_checksum_status(named)
         if action == ABORT:
             abort_on_mismatch(checked)
@@ -151,21 +155,25 @@ def inbound_writer(
 
 
 def file_outbound_writer(
-    contents: Callable[[DataFrame], DataFrame],
+    contents: Callable[[DataFrame], DataFrame] | None,
     sink: str,
     rejects: str,
     *,
     listing: Callable[[DataFrame], DataFrame] | None = None,
     chunk_size: int = DEFAULT_CHUNK_SIZE,
+    azure_account: str | None = None,
 ) -> BatchWriter:
     """Turn one micro-batch of file references into chunks; bad references become rejects and the stream goes on.
 
-    ``contents`` gives ``uri, content, error`` of the valid requests' objects. A read error is a reject with reason
-    FETCH.
+    Without ``contents`` the objects are read from their stores, whatever their size. ``contents`` reads them otherwise: it
+    gives ``uri, content, error`` of the valid requests' objects. What cannot be read is a reject with reason FETCH. Chunks
+    and rejects carry topic, partition and sequence id.
     """
+    if contents is None:
+        return _object_writer(sink, rejects, chunk_size, azure_account)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        requests = decode_file_requests(batch)
+        requests = decode_file_requests(batch, azure_account)
         checked = check_file_requests(requests, listing(requests) if listing else None)
         valid = valid_file_requests(checked)
         fetched = bounded_join(
@@ -178,9 +186,13 @@ def file_outbound_writer(
         )
         failed = F.col("error").isNotNull() | F.col("content").isNull()
         files = fetched.where(~failed).withColumn("file_name", F.col("path"))
-        chunk_files(files, chunk_size).write.mode("overwrite").parquet(batch_folder(sink, batch_id))
+        chunk_files(files, chunk_size, by=SEQUENCE).write.mode("overwrite").parquet(batch_folder(sink, batch_id))
         unread = fetched.where(failed).select(
-            "topic", "partition", "file_sequence_id", F.lit("FETCH").alias("reason"), F.col("error").alias("details")
+            "topic",
+            "partition",
+            "file_sequence_id",
+            F.lit(FETCH).alias("reason"),
+            F.coalesce("error", F.lit("no content was given")).alias("details"),
         )
         rejected_file_requests(checked).unionByName(unread).write.mode("overwrite").parquet(
             batch_folder(rejects, batch_id)
@@ -189,6 +201,28 @@ def file_outbound_writer(
     return write
 
 
+def _object_writer(sink: str, rejects: str, chunk_size: int, azure_account: str | None) -> BatchWriter:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        work = scratch_path(batch.sparkSession, "file-batch")
+        requests = decode_file_requests(batch, azure_account)
+        listing = written(stat_files(requests), f"{work}/listing")
+        checked = check_file_requests(requests, listing)
+        chunks, unread = file_chunks(valid_file_requests(checked), listing, chunk_size, work)
+        chunks.write.mode("overwrite").parquet(batch_folder(sink, batch_id))
+        rejected_file_requests(checked).unionByName(unread).write.mode("overwrite").parquet(batch_folder(rejects, batch_id))
+
+    return write
+
+
+def delivered_before(spark: SparkSession, sink: str, batch: int) -> DataFrame | None:
+    """Positions that earlier micro-batches wrote to a sink; None when there are none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    written_before = spark.read.option("basePath", sink).parquet(sink).where(F.col("batch") < batch)
+    return written_before.select(*KEYS, "offset")
+
+
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     """Everything the micro-batches wrote."""
     return spark.read.option("basePath", sink).parquet(sink).drop("batch")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covenant.operators.joins import bounded_join
 from covenant.schemas import PROGRESS
 
 KEYS = ["client", "server", "topic", "partition"]
@@ -47,12 +46,9 @@ class ProgressTable:
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
-def not_yet_delivered(rows: DataFrame, progress: DataFrame) -> DataFrame:
-    """Rows at or past the saved position of their key, each once: redelivery after a crash adds nothing."""
-    saved = progress.select(*KEYS, "next_offset")
-    fresh = (
-        bounded_join(rows, saved, KEYS, how="left", spread=["offset"])
-        .where(F.col("next_offset").isNull() | (F.col("offset") >= F.col("next_offset")))
-        .drop("next_offset")
-    )
-    return fresh.dropDuplicates([*KEYS, "offset"])
+def not_yet_delivered(rows: DataFrame, delivered: DataFrame | None) -> DataFrame:
+    """Rows whose position (client, server, topic, partition, offset) is not in ``delivered``, each once: redelivery after
+    a crash adds nothing, and an offset that comes late is not lost."""
+    position = [*KEYS, "offset"]
+    fresh = rows.dropDuplicates(position)
+    return fresh if delivered is None else fresh.join(delivered.select(*position), position, "left_anti")

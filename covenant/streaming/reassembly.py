@@ -13,11 +13,12 @@ from covenant.functions.text import base_name
 from covenant.operators.files import BLOCK_CHUNKS, block_of, file_digests
 
 BLOCK_SCHEMA = (
-    "topic string, file_sequence_id bigint, file_name string, block_index int, content binary, chunk_count bigint, "
+    "topic string, partition int, file_sequence_id bigint, file_name string, block_index int, content binary, chunk_count bigint, "
     "marker_index int, total_chunks int, file_size bigint, file_checksum string, actual_checksum string, "
     "abandoned boolean"
 )
-_KEYS = ["topic", "file_sequence_id", "file_name", "block_index"]
+_FILE = ["topic", "partition", "file_sequence_id", "file_name"]
+_KEYS = [*_FILE, "block_index"]
 _FACTS = "seen array<int>, marker_index int, total_chunks int, file_size bigint, file_checksum string"
 
 
@@ -25,7 +26,8 @@ class BlockAssembler(StatefulProcessor):
     """Keeps the chunks of one block until they are complete.
 
     A block is done when it has all its chunks: ``block_chunks`` of them, or up to the marker in a file's last block.
-    Chunks and marker may come in any order and more than once. State not completed in time is reported and dropped.
+    Chunks and marker may come in any order and more than once. State not completed in time is reported and dropped. Of a
+    completed block a mark stays, so that late repeats open no state again; with a timeout the mark expires after it.
     """
 
     def __init__(self, block_chunks: int, timeout_ms: int | None) -> None:
@@ -36,8 +38,13 @@ class BlockAssembler(StatefulProcessor):
         self.handle = handle
         self.chunks = handle.getListState("chunks", "chunk_index int, chunk_data binary")
         self.facts = handle.getValueState("facts", _FACTS)
+        self.done = handle.getValueState("done", "done boolean", self.timeout_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if self.done.exists():
+            for _ in rows:
+                pass
+            return
         known = self.facts.get()
         seen, marker, total, size, checksum = known if known else ([], None, None, None, None)
         before = set(seen)
@@ -48,13 +55,14 @@ class BlockAssembler(StatefulProcessor):
                 marker, checksum = row["chunk_index"], row["file_checksum"]
             elif row["chunk_index"] not in before:
                 arrived[row["chunk_index"]] = bytes(row["chunk_data"])
-        needed = self.block_chunks if marker is None else marker - key[3] * self.block_chunks
+        needed = self.block_chunks if marker is None else marker - key[4] * self.block_chunks
         if len(before) + len(arrived) >= needed:
             # Complete within one micro-batch, as most blocks are: nothing was kept and nothing needs to be.
             chunks = {**self._kept(), **arrived} if known else arrived
             yield self._block(key, chunks, marker, total, size, checksum)
             if known:
                 self._forget()
+            self.done.update((True,))
             return
         if arrived:
             self.chunks.appendList(list(arrived.items()))
@@ -79,13 +87,14 @@ class BlockAssembler(StatefulProcessor):
     ) -> Row:
         found = [data for index, data in sorted(chunks.items()) if marker is None or index < marker]
         content = None if abandoned else b"".join(found)
-        whole = key[3] == 0 and marker is not None and not abandoned
+        whole = key[4] == 0 and marker is not None and not abandoned
         digest = hashlib.sha256(content).hexdigest() if whole else None
         return Row(
             topic=key[0],
-            file_sequence_id=key[1],
-            file_name=key[2],
-            block_index=key[3],
+            partition=key[1],
+            file_sequence_id=key[2],
+            file_name=key[3],
+            block_index=key[4],
             content=content,
             chunk_count=len(found),
             marker_index=marker,
@@ -128,11 +137,9 @@ def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_m
 def finished_files(blocks: DataFrame) -> DataFrame:
     """Files whose blocks have all been emitted, from the table of blocks: small ones as they are, large ones digested."""
     kept = blocks.where("NOT abandoned")
-    whole = kept.where("actual_checksum IS NOT NULL").dropDuplicates(["topic", "file_sequence_id", "file_name"])
+    whole = kept.where("actual_checksum IS NOT NULL").dropDuplicates(_FILE)
     small = whole.select(
-        "topic",
-        "file_sequence_id",
-        "file_name",
+        *_FILE,
         "content",
         "chunk_count",
         F.lit(1).alias("block_count"),
@@ -143,4 +150,4 @@ def finished_files(blocks: DataFrame) -> DataFrame:
         "actual_checksum",
     )
     large = kept.where("actual_checksum IS NULL").drop("actual_checksum", "abandoned")
-    return small.unionByName(file_digests(large, by=["topic"]))
+    return small.unionByName(file_digests(large, by=["topic", "partition"]))

@@ -7,11 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from covenant.session import scratch_path, written
+
 
 class Refreshed:
     """A DataFrame loaded again once ``ttl`` seconds have passed, or on demand.
 
-    Ask for it inside ``foreachBatch``, so that each micro-batch joins one consistent version.
+    Each load is written as a table of its own below the shared folder, so that whatever reads the frame until the next
+    load sees one version, also when the source changes meanwhile. Ask for it inside ``foreachBatch``.
     """
 
     # Fixed value: seconds a loaded document stays valid by default.
@@ -33,7 +36,8 @@ class Refreshed:
         return self._value
 
     def refresh(self) -> DataFrame:
-        self._value, self._loaded_at = self._load(), self._clock()
+        loaded = self._load()
+        self._value, self._loaded_at = written(loaded, scratch_path(loaded.sparkSession, "refreshed")), self._clock()
         return self._value
 
     def clear(self) -> None:

@@ -15,7 +15,9 @@ from covenant.operators import counts, federation, feeds, files, grants, message
 from covenant.operators import rdf as rdf_ops
 from covenant.operators.joins import NEVER_BROADCAST
 from covenant.plans.inbound import land_files
+from covenant.plans.outbound import outbound_files as outbound_file_plan
 from covenant.plans.outbound import outbound_messages
+from covenant.sinks.files import write_files
 from covenant.session import scratch_path, written
 from covenant.sinks.messages import for_target
 from covenant.sources import messages as message_source
@@ -309,6 +311,15 @@ def verify_checksum_log_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("topic", "offset", "checksum_status", "actual_checksum")
 
 
+@query(f"""WITH {_ENVELOPES} SELECT topic, pos AS "offset" FROM envelopes WHERE status <> 'FAIL'""")
+def verify_checksum_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes that were checked once already go through; that a mismatch stops the job is a test."""
+    clean = views.envelopes(spark, sf_dir).where(
+        F.trim(F.lower("payload_checksum")).isin("") | (F.lower("payload_checksum") == F.sha2("value", 256))
+    )
+    return messages.verify_checksum(clean, "ABORT").select("topic", "offset")
+
+
 @query(f"""WITH {_ENVELOPES} SELECT 'c' AS client, 's' AS server, topic, 0 AS partition, max(pos) + 1 AS next_offset
   FROM envelopes GROUP BY topic""")
 def next_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -725,7 +736,7 @@ def destination_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _REFERENCES = """refs AS (SELECT doc_id AS k, source, doc_id % 20 AS c,
   CASE doc_id % 4 WHEN 0 THEN 'S3' WHEN 1 THEN 'AZURE' WHEN 2 THEN 'GCP' ELSE 'LOCAL' END AS kind,
-  CASE doc_id % 4 WHEN 0 THEN 's3a://box' WHEN 1 THEN 'abfss://box' WHEN 2 THEN 'gs://box' ELSE 'file:' END
+  CASE doc_id % 4 WHEN 0 THEN 's3a://box' WHEN 1 THEN 'abfss://box@acct.dfs.core.windows.net' WHEN 2 THEN 'gs://box' ELSE 'file:' END
     || '/d/' || doc_id || '.txt' AS uri, n_chars FROM documents),
 checked AS (SELECT *, CASE WHEN c IN (1, 5, 7, 10) THEN 'DESERIALIZATION' WHEN c IN (2, 3, 6, 9) THEN 'VALIDATION'
   WHEN k % 8 = 0 THEN 'VALIDATION' WHEN k % 12 = 3 THEN 'VALIDATION' END AS reason FROM refs)"""
@@ -736,14 +747,14 @@ checked AS (SELECT *, CASE WHEN c IN (1, 5, 7, 10) THEN 'DESERIALIZATION' WHEN c
   CASE WHEN c IN (1, 2, 7, 9, 10) THEN NULL WHEN c = 3 THEN 'S3' WHEN c = 5 THEN 's3' WHEN c = 6 THEN 'GCP' ELSE kind END
     AS source_type FROM refs""")
 def decode_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir))
+    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir), "acct")
     return decoded.select("file_sequence_id", "topic", "parse_state", "source_type")
 
 
 @query(f"""WITH {_REFERENCES} SELECT k AS file_sequence_id, kind AS source_type, uri, n_chars AS size
   FROM checked WHERE reason IS NULL""")
 def valid_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir))
+    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir), "acct")
     checked = files.check_file_requests(decoded, views.file_listing(spark, sf_dir))
     return files.valid_file_requests(checked).select("file_sequence_id", "source_type", "uri", "size")
 
@@ -754,13 +765,14 @@ def valid_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
   WHEN c = 6 THEN 'storage container is required' WHEN k % 8 = 0 THEN 'object does not exist: /d/' || k || '.txt'
   ELSE 'not a file: /d/' || k || '.txt' END AS details FROM checked WHERE reason IS NOT NULL""")
 def rejected_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir))
+    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir), "acct")
     checked = files.check_file_requests(decoded, views.file_listing(spark, sf_dir), bound=NEVER_BROADCAST)
     return files.rejected_file_requests(checked).drop("partition")
 
 
-_FILES = """files AS (SELECT doc_id AS k, lang || '-doc' || doc_id || '.txt' AS name,
-  CASE WHEN doc_id % 41 = 0 THEN ''::BLOB ELSE encode(text) END AS content FROM documents),
+_FILES = """files AS (SELECT doc_id AS k, lang || '-doc' || doc_id || '.txt' AS name, encode(text) AS content FROM documents
+  UNION ALL SELECT doc_id + 1000000000, lang || '-doc' || (doc_id + 1000000000) || '.txt', ''::BLOB FROM documents
+  WHERE doc_id % 41 = 0),
 sized AS (SELECT *, octet_length(content) AS size, ceil(octet_length(content) / 1000.0)::INT AS total FROM files)"""
 
 
@@ -814,8 +826,8 @@ def verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_RECEIVED} SELECT k AS file_sequence_id, name AS file_name,
   (arrived * CASE WHEN k % 83 = 0 THEN 2 ELSE 1 END)::BIGINT AS received,
   CASE WHEN k % 83 = 0 THEN arrived ELSE 0 END::BIGINT AS repeated, (total - arrived)::BIGINT AS missing,
-  k % 97 = 0 AND total > 1 AS has_gaps, total AS total_chunks, k % 89 <> 0 AS finished
-  FROM received WHERE k % 89 <> 0 OR arrived > 0""")
+  k % 97 = 0 AND total > 1 AS has_gaps, total AS total_chunks, k % 89 <> 0 AS finished,
+  0::BIGINT AS conflicting FROM received WHERE k % 89 <> 0 OR arrived > 0""")
 def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.chunk_counts(_received(spark, sf_dir))
 
@@ -836,7 +848,7 @@ def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_REFERENCES} SELECT k AS file_sequence_id, 'SKIPPED' AS match, 0::BIGINT AS output_bytes,
   split_part(reason, ' ', 1) AS reason FROM checked WHERE reason IS NOT NULL""")
 def skipped_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir))
+    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir), "acct")
     rejects = files.rejected_file_requests(files.check_file_requests(decoded, views.file_listing(spark, sf_dir)))
     return messages.skipped_file_report(rejects).select(
         "file_sequence_id", "match", "output_bytes", F.substring_index("exception", ":", 1).alias("reason")
@@ -845,11 +857,51 @@ def skipped_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_REFERENCES} SELECT source AS topic, max(k) + 1 AS next_sequence_id FROM checked GROUP BY source""")
 def file_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir))
+    decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir), "acct")
     checked = files.check_file_requests(decoded, views.file_listing(spark, sf_dir))
     return files.file_progress(files.valid_file_requests(checked), files.rejected_file_requests(checked))
 
 
+@query("""SELECT 'r' || r_regionkey AS consumer_id, 't' || (doc_id % 2) AS topic, doc_id // 2 AS file_sequence_id,
+  sha256(text) AS actual_checksum FROM documents JOIN region ON r_regionkey % 2 = doc_id % 2""")
+def outbound_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File references of two topics with the same offsets and file names: what each consumer gets, put together again."""
+    root = scratch_path(spark, "outbound")
+    store = f"{root}/store" if "://" in root or root.startswith("file:") else f"file:{root}/store"
+    local = store.removeprefix("file:")
+    documents = views.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("t"), F.col("doc_id") % 2).alias("topic"), F.floor(F.col("doc_id") / 2).alias("offset"), "text"
+    )
+    name = F.concat(F.lit(f"{local}/"), "topic", F.lit("/"), F.col("offset").cast("string"), F.lit(".txt"))
+    given = documents.select(
+        F.col("offset").alias("file_sequence_id"), F.concat(F.lit("file:"), name).alias("uri"), F.encode("text", "UTF-8").alias("content")
+    )
+    stored = written(write_files(given), f"{root}/given")
+    messages_in = documents.select(
+        "topic",
+        F.lit(0).alias("partition"),
+        "offset",
+        F.current_timestamp().alias("timestamp"),
+        F.lit(None).cast("binary").alias("key"),
+        F.encode(F.to_json(F.struct(F.lit("LOCAL").alias("sourceType"), name.alias("path"))), "UTF-8").alias("value"),
+        F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
+    ).where(F.lit(stored.where("NOT ok").isEmpty()))
+    regions = views.table(spark, sf_dir, "region")
+    grants = regions.select(
+        F.concat(F.lit("t"), F.col("r_regionkey") % 2).alias("topic"),
+        F.lit("files").alias("product"),
+        F.concat(F.lit("r"), "r_regionkey").alias("consumer_id"),
+        F.lit(0).alias("position"),
+        F.lit(False).alias("has_attribute"),
+        F.lit(None).cast("string").alias("attribute_name"),
+        F.lit(None).cast("string").alias("attribute_value"),
+    )
+    chunks, deliveries, _ = outbound_file_plan(messages_in, grants, chunk_size=1000, work=f"{root}/work")
+    sent = chunks.join(deliveries, ["topic", "partition", "file_sequence_id"])
+    built = files.assemble_files(sent, by=["consumer_id", "topic", "partition"], large_files=True, repeats=False)
+    return built.select("consumer_id", "topic", "file_sequence_id", "actual_checksum")
+
+
 # --- versions ----------------------------------------------------------------------------------------------------
 
 _VERSIONS = """planned AS (SELECT doc_id AS k, CASE WHEN doc_id % 3 = 0 THEN 'hot-a-b' ELSE source || '-' || lang || '-p'
@@ -901,7 +953,7 @@ def store_until_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_VERSIONS}, before AS (SELECT DISTINCT pk, length(pk) AS c FROM planned WHERE length(pk) % 2 = 0),
-  failed AS (SELECT DISTINCT source FROM documents WHERE doc_id % 37 = 30 AND doc_id % 2 = 0),
+  failed AS (SELECT DISTINCT source FROM documents WHERE doc_id % 37 = 30),
   broken AS (SELECT DISTINCT pk FROM counted JOIN documents ON doc_id = k WHERE source IN (SELECT source FROM failed)),
   advanced AS (SELECT pk, max(counter + rn) AS a FROM counted WHERE n > 1 AND pk NOT IN (SELECT pk FROM broken) GROUP BY pk)
   SELECT coalesce(a.pk, b.pk) AS product_key, coalesce(a.a, b.c) AS counter FROM before b FULL JOIN advanced a ON a.pk = b.pk""")
@@ -911,7 +963,7 @@ def next_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("file_sequence_id"), F.col("source").alias("run")
     )
     plan = versions.plan_versions(named, counters).join(runs, "file_sequence_id")
-    failures = versions.first_failures(_results(spark, sf_dir).where("file_sequence_id % 2 = 0"))
+    failures = versions.first_failures(_results(spark, sf_dir))
     return versions.next_counters(plan, counters, failures)
 
 
@@ -1032,7 +1084,8 @@ def drained_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
   size AS actual_size, sha256(content) AS actual_checksum, sha256(content) AS file_checksum FROM sized""")
 def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "reassembled")
-    chunks = files.chunk_files(views.files(spark, sf_dir), 1000).withColumn("topic", F.lit("files"))
+    named = views.files(spark, sf_dir).withColumns({"topic": F.lit("files"), "partition": F.lit(0)})
+    chunks = files.chunk_files(named, 1000, by=["topic", "partition"])
     stored = written(chunks.repartition("chunk_index"), f"{root}/chunks")
     stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/chunks")
     provider = "spark.sql.streaming.stateStore.providerClass"

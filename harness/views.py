@@ -180,7 +180,7 @@ def grant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product",
         "topic",
         "consumer_id",
-        document_position(F.lit(0), F.col("l_linenumber"), F.lit(0), F.coalesce("attr_pos", F.lit(0))).alias("position"),
+        document_position(F.lit(0), F.lit(0), F.col("l_linenumber"), F.lit(0), F.coalesce("attr_pos", F.lit(0))).alias("position"),
         F.col("a").isNotNull().alias("has_attribute"),
         F.col("a.name").alias("attribute_name"),
         F.col("a.value").alias("attribute_value"),
@@ -234,14 +234,15 @@ def consumer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: the id is the sequence, the text the bytes; every 41st file is empty."""
+    """Documents as files: the id is the sequence, the text the bytes; beside every 41st there is an empty file."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(
+    empty = docs.where("doc_id % 41 = 0").withColumn("doc_id", F.col("doc_id") + 1_000_000_000).withColumn("text", F.lit(""))
+    return docs.unionByName(empty).select(
         F.col("doc_id").alias("file_sequence_id"),
         F.concat("source", F.lit("/"), "lang", F.lit("-doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias(
             "file_name"
         ),
-        F.encode(F.when(F.col("doc_id") % 41 == 0, "").otherwise(F.col("text")), "UTF-8").alias("content"),
+        F.encode("text", "UTF-8").alias("content"),
     )
 
 
@@ -361,7 +362,7 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What exists of the referenced objects: not every 8th; every 12th is a directory."""
     doc = F.col("doc_id").cast("string")
     kind = F.col("doc_id") % 4
-    prefix = F.when(kind == 0, "s3a://box").when(kind == 1, "abfss://box").when(kind == 2, "gs://box").otherwise("file:")
+    prefix = F.when(kind == 0, "s3a://box").when(kind == 1, "abfss://box@acct.dfs.core.windows.net").when(kind == 2, "gs://box").otherwise("file:")
     return table(spark, sf_dir, "documents").where("doc_id % 8 <> 0").select(
         F.concat(prefix, F.lit("/d/"), doc, F.lit(".txt")).alias("uri"),
         (F.col("doc_id") % 12 != 3).alias("is_file"),

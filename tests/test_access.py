@@ -33,6 +33,21 @@ def attribute_map(df):
     return {(r["consumer_id"], r["topic"]): [(a["name"], a["value"]) for a in r["attributes"]] for r in df.collect()}
 
 
+def test_places_beyond_any_small_number_and_several_documents(spark):
+    names = [f"n{i}" for i in range(40_000)]
+    many = policy(spark, [product("t", ("c", [(n, "1") for n in reversed(names)]))])
+    found = attribute_map(grants.attributes_for(requests(spark, ("c", "t")), many))
+    assert [n for n, _ in found["c", "t"]] == list(reversed(names))
+    documents = [
+        (i, json.dumps({"clientId": "o", "producers": [{"name": "p", "products": [product("t", ("c", [(n, "1")]))]}]}))
+        for i, n in ((0, "zz"), (1, "aa"), (2, "mm"))
+    ]
+    text = spark.createDataFrame(documents, "document bigint, j string").repartition(3)
+    several = grants.flatten_grants(text.select("document", F.from_json("j", GRANTS_DOCUMENT).alias("d")).select("document", "d.*"))
+    found = attribute_map(grants.attributes_for(requests(spark, ("c", "t")), several))
+    assert [n for n, _ in found["c", "t"]] == ["zz", "aa", "mm"]
+
+
 def test_attributes_for(spark):
     rows = policy(
         spark,

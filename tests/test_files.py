@@ -8,7 +8,7 @@ from covenant.functions import naming
 from covenant.operators import files, versions
 from covenant.operators.ranking import number_rows
 
-TEXT = b"Hello World! This is a test for chunking."
+TEXT = b"Rivers bend slowly where the ground is s."
 FILES = "file_sequence_id bigint, file_name string, content binary"
 
 
@@ -17,7 +17,7 @@ def sha(data):
 
 
 CONTENTS = {
-    42: ("dir/hello.txt", TEXT),
+    42: ("dir/rivers.txt", TEXT),
     43: ("empty.txt", b""),
     44: ("exact.bin", bytes(range(16))),
     45: ("multi.txt", "añ京🙂" .encode() * 7),
@@ -37,7 +37,7 @@ def test_chunking(chunks):
     assert [r["is_last_chunk"] for r in rows] == [False] * 6 + [True]
     assert b"".join(bytes(r["chunk_data"]) for r in rows[:-1]) == TEXT
     assert rows[-1]["chunk_data"] is None and rows[-1]["file_checksum"] == sha(TEXT)
-    assert {(r["total_chunks"], r["file_size"], r["file_name"]) for r in rows} == {(6, 41, "hello.txt")}
+    assert {(r["total_chunks"], r["file_size"], r["file_name"]) for r in rows} == {(6, 41, "rivers.txt")}
     sizes = {k: [r for r in chunks.collect() if r["file_sequence_id"] == k] for k in (43, 44)}
     assert [(r["chunk_index"], r["is_last_chunk"], r["total_chunks"]) for r in sizes[43]] == [(0, True, 0)]
     assert sorted(r["chunk_index"] for r in sizes[44]) == [0, 1, 2]
@@ -133,6 +133,18 @@ def test_file_requests(spark):
     assert files.rejected_file_requests(checked).count() == len(REQUESTS) - 2
 
 
+def test_references_without_an_answer(spark):
+    values = [b'{"sourceType":"AZURE","storageContainer":"b","path":"x"}', b'{"sourceType":"S3","storageContainer":"b","path":"y"}']
+    rows = spark.createDataFrame(
+        [("t", 0, i, v) for i, v in enumerate(values)], "topic string, partition int, offset bigint, value binary"
+    )
+    listing = spark.createDataFrame(
+        [("s3a://b/y", None, None, "FETCH: OSError")], "uri string, is_file boolean, size bigint, error string"
+    )
+    checked = files.check_file_requests(files.decode_file_requests(rows), listing).collect()
+    assert {r["file_sequence_id"]: r["reason"] for r in checked} == {0: "VALIDATION", 1: "FETCH"}
+
+
 def test_uris(spark):
     kinds = spark.createDataFrame([("S3",), ("AZURE",), ("GCP",), ("LOCAL",), ("?",)], "k string")
     uri = files.file_uri(F.col("k"), F.lit("box"), F.lit("/d/f.txt"), "account")
@@ -151,20 +163,32 @@ def test_file_progress(spark):
     found = {r["topic"]: r["next_sequence_id"] for r in files.file_progress(stored, rejects).collect()}
     assert found == {"t": 10, "u": 101}
     assert files.file_progress(stored.limit(0), rejects.limit(0)).count() == 0
+    # A failed or unfinished file is read again, whatever came after it.
+    pending = spark.createDataFrame([("t", 8), ("t", 12), ("v", 4)], "topic string, file_sequence_id bigint")
+    found = {r["topic"]: r["next_sequence_id"] for r in files.file_progress(stored, rejects, pending=pending).collect()}
+    assert found == {"t": 8, "u": 101, "v": 4}
+
+
+def test_copies_that_differ_are_reported(spark, chunks):
+    other = chunks.where("file_sequence_id = 42 AND chunk_index = 1").withColumn("chunk_data", F.lit(b"zzzz"))
+    counts = {r["file_sequence_id"]: r for r in files.chunk_counts(chunks.unionByName(other)).collect()}
+    assert {k: r["conflicting"] for k, r in counts.items()} == {42: 1, 43: 0, 44: 0, 45: 0, 46: 0}
+    folded = files.fold_repeats(chunks.unionByName(other).unionByName(chunks)).where("conflict").collect()
+    assert [(r["file_sequence_id"], r["chunk_index"]) for r in folded] == [(42, 1)]
 
 
 DESTINATIONS = [
-    ("jsonschema-testorg-sampleproduct-v1.nt", ("jsonschema", "testorg", "sampleproduct")),
-    ("/received-files/avroschema-financeorg-reportdata-v1.xlsx", ("avroschema", "financeorg", "reportdata")),
-    ("output/received/xmlschema-myorgco-dataproduct-v3.xml", ("xmlschema", "myorgco", "dataproduct")),
+    ("profile-watts-meters-v1.nt", ("profile", "watts", "meters")),
+    ("/landing/table-harbour-tides-v1.xlsx", ("table", "harbour", "tides")),
+    ("store/in/tree-oakfield-rings-v3.xml", ("tree", "oakfield", "rings")),
     ("a\\b\\s- o -p", ("s", "o", "p")),
     (".s-o-p", (".s", "o", "p")),
     (None, None),
     ("  ", None),
-    ("tc_f_out.nt", None),
-    ("eqbdpggas.nt", None),
+    ("one_name.nt", None),
+    ("nodashes.nt", None),
     ("schema-org.nt", None),
-    ("--sampleproduct-v1.nt", None),
+    ("--meters-v1.nt", None),
     ("a-b-c/", None),
 ]
 
@@ -243,6 +267,13 @@ def test_first_failure(spark):
     counters = spark.createDataFrame([("p1", 5), ("p3", 1)], "product_key string, counter bigint")
     after = versions.next_counters(planned, counters, versions.first_failures(results))
     assert {r["product_key"]: r["counter"] for r in after.collect()} == {"p1": 5, "p2": 4, "p3": 1}
+    # What was published in spite of a failed publication is never to be replaced.
+    out = spark.createDataFrame([("p1", 6), ("p1", 7), ("p3", None)], "product_key string, version bigint")
+    after = versions.next_counters(planned, counters, versions.first_failures(results), published=out)
+    assert {r["product_key"]: r["counter"] for r in after.collect()} == {"p1": 7, "p2": 4, "p3": 1}
+    shared = planned.union(spark.createDataFrame([("w", "p2", 9)], planned.schema))
+    waiting = versions.held_back(shared, versions.first_failures(results)).collect()
+    assert [r["product_key"] for r in waiting] == ["p2"]
 
 
 def test_numbering_matches_a_plain_window(spark):

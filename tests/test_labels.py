@@ -5,7 +5,7 @@ from covenant.functions.headers import header_all, header_first, header_last, se
 from covenant.functions.labels import attributes_allow, parse_label, refusal_reason
 from covenant.schemas import ATTRIBUTES
 
-LABEL = "nationality=uk,clearance=secret,organisation_type=gov"
+LABEL = "country=nl,grade=amber,sector=health"
 
 CASES = [
     (None, {}),
@@ -13,7 +13,7 @@ CASES = [
     ("   \t  ", {}),
     (" ", {}),
     ("A=B", {"A": "B"}),
-    (" nationality : uk ", {"NATIONALITY": "UK"}),
+    (" country : nl ", {"COUNTRY": "NL"}),
     ("A=B,C=D", {"A": "B", "C": "D"}),
     (", a=b , , c : d , ", {"A": "B", "C": "D"}),
     ("A=1,a=2", {"A": "2"}),
@@ -44,19 +44,19 @@ def test_parse_label(spark):
 ATTRIBUTE_CASES = [
     (None, None),
     ([], None),
-    ([("nationality", "UK")], None),
-    ([("department", "BEIS")], "MISSING_ATTRIBUTE"),
-    ([("clearance", "TOPSECRET")], "VALUE_MISMATCH"),
-    ([("nationality", "UK"), ("clearance", "SECRET")], None),
-    ([("nationality", "UK"), ("department", "BEIS")], "MISSING_ATTRIBUTE"),
-    ([("nationality", "UK"), ("clearance", "TOPSECRET")], "VALUE_MISMATCH"),
-    ([None, ("nationality", "uk")], None),
+    ([("country", "NL")], None),
+    ([("desk", "NORTH")], "MISSING_ATTRIBUTE"),
+    ([("grade", "CRIMSON")], "VALUE_MISMATCH"),
+    ([("country", "NL"), ("grade", "AMBER")], None),
+    ([("country", "NL"), ("desk", "NORTH")], "MISSING_ATTRIBUTE"),
+    ([("country", "NL"), ("grade", "CRIMSON")], "VALUE_MISMATCH"),
+    ([None, ("country", "nl")], None),
     ([None], None),
-    ([(None, "uk")], "INVALID_FILTER"),
-    ([("nationality", None)], "INVALID_FILTER"),
-    ([("nationality", " uk")], "VALUE_MISMATCH"),
-    ([("nationality", "fr"), ("department", "x")], "VALUE_MISMATCH"),
-    ([("department", "x"), ("nationality", "fr")], "MISSING_ATTRIBUTE"),
+    ([(None, "nl")], "INVALID_FILTER"),
+    ([("country", None)], "INVALID_FILTER"),
+    ([("country", " nl")], "VALUE_MISMATCH"),
+    ([("country", "pl"), ("desk", "x")], "VALUE_MISMATCH"),
+    ([("desk", "x"), ("country", "pl")], "MISSING_ATTRIBUTE"),
 ]
 
 

@@ -57,6 +57,22 @@ def test_checksum_abort(spark):
     messages.abort_on_mismatch(messages.with_checksum_status(df.where("offset = 6")))
 
 
+@pytest.mark.parametrize(
+    "use",
+    [
+        lambda df, path: df.select("topic", "offset").collect(),
+        lambda df, path: df.count(),
+        lambda df, path: df.select("offset", "value").write.parquet(path),
+        lambda df, path: df.drop("checksum_status", "actual_checksum").agg(F.max("offset")).first(),
+    ],
+)
+def test_abort_holds_whichever_columns_are_used(spark, work, use):
+    df = spark.createDataFrame([good(4), bad(5), good(6)], ENVELOPE)
+    with pytest.raises(Exception, match="checksum mismatch on topic t offset 5"):
+        use(messages.verify_checksum(df, "ABORT"), f"{work}/out")
+    assert messages.verify_checksum(df.where("offset <> 5"), "ABORT").count() == 2
+
+
 def test_report_values(spark):
     df = spark.createDataFrame([good(1), bad(2), envelope(3, checksum="")], ENVELOPE)
     rows = {
@@ -77,23 +93,23 @@ def test_report_values(spark):
     assert (total["ok"], total["mismatch"], total["unchecked"], total["input_bytes"]) == (1, 1, 1, 27)
 
 
-JSON = '{"orgName":"bp","schemaType":"avro","productType":"gas"}'
+JSON = '{"orgName":"acme","schemaType":"csv","productType":"wind"}'
 METADATA = [
-    ([("orgName", " neso "), ("schemaType", "eq"), ("productType", "sample1")], ("neso", "eq", "sample1")),
+    ([("orgName", " gridco "), ("schemaType", "load"), ("productType", "week7")], ("gridco", "load", "week7")),
     ([("ORGNAME", "a"), ("orgname", "b")], ("b", None, None)),
-    ([("metadata", JSON)], ("bp", "avro", "gas")),
+    ([("metadata", JSON)], ("acme", "csv", "wind")),
     ([("metadata", "")], ("hub", None, None)),
     ([("metadata", "plain text")], ("hub", None, None)),
     ([("metadata", '{"other":1}')], ("hub", None, None)),
     ([("metadata", '{"orgName":')], ("hub", None, None)),
-    ([("Security-Label", "NATIONALITY=UK,ORGANISATION_TYPE=ENV")], ("ENV", None, None)),
-    ([("Security-Label", "ORGANISATION=GOV")], ("GOV", None, None)),
-    ([("Security-Label", "ORGANISATION=GOV,ORGANISATION_TYPE=ENV")], ("ENV", None, None)),
-    ([("orgName", "neso"), ("Security-Label", "ORGANISATION_TYPE=ENV")], ("neso", None, None)),
+    ([("Security-Label", "COUNTRY=NL,ORGANISATION_TYPE=AGRI")], ("AGRI", None, None)),
+    ([("Security-Label", "ORGANISATION=EDU")], ("EDU", None, None)),
+    ([("Security-Label", "ORGANISATION=EDU,ORGANISATION_TYPE=AGRI")], ("AGRI", None, None)),
+    ([("orgName", "gridco"), ("Security-Label", "ORGANISATION_TYPE=AGRI")], ("gridco", None, None)),
     ([("Security-Label", "@@@ not a label @@@")], ("hub", None, None)),
-    ([("Security-Label", "A=B"), ("security-label", "ORGANISATION=GOV")], ("GOV", None, None)),
-    ([("orgName", "first"), ("m", '{"schemaType":"avro"}'), ("schemaType", "late")], ("first", "avro", None)),
-    ([("schemaType", "eq"), ("m", '{"orgName":null,"schemaType":null}'), ("orgName", "late")], ("hub", "eq", None)),
+    ([("Security-Label", "A=B"), ("security-label", "ORGANISATION=EDU")], ("EDU", None, None)),
+    ([("orgName", "first"), ("m", '{"schemaType":"csv"}'), ("schemaType", "late")], ("first", "csv", None)),
+    ([("schemaType", "load"), ("m", '{"orgName":null,"schemaType":null}'), ("orgName", "late")], ("hub", "load", None)),
     ([("m", '{"x":1}'), ("m", ' {"productType": 7}')], ("hub", None, "7")),
     ([], ("hub", None, None)),
 ]

@@ -118,8 +118,10 @@ def test_redelivery(spark):
         [("c", "s", "t", 0, 1), ("c", "s", "t", 0, 2), ("c", "s", "t", 0, 2), ("c", "s", "u", 0, 1)],
         "client string, server string, topic string, partition int, offset bigint",
     )
-    saved = spark.createDataFrame([("c", "s", "t", 0, 2)], "client string, server string, topic string, partition int, next_offset bigint")
-    assert sorted((r["topic"], r["offset"]) for r in not_yet_delivered(rows, saved).collect()) == [("t", 2), ("u", 1)]
+    # Offset 1 came after 2: it is not covered by what was delivered.
+    before = spark.createDataFrame([("c", "s", "t", 0, 2)], rows.schema)
+    assert sorted((r["topic"], r["offset"]) for r in not_yet_delivered(rows, before).collect()) == [("t", 1), ("u", 1)]
+    assert not_yet_delivered(rows, None).count() == 3
 
 
 def test_file_references_in_a_stream(spark, work):
@@ -145,7 +147,7 @@ def test_reassembly(spark, work):
     )
     lost = chunks.where("NOT (file_sequence_id = 2 AND chunk_index = 0)")
     # Every chunk twice, in any order, over several micro-batches.
-    lost.unionAll(lost).withColumn("topic", F.lit("t")).repartition(5, F.rand(2)).write.parquet(f"{work}/in")
+    lost.unionAll(lost).withColumns({"topic": F.lit("t"), "partition": F.lit(0)}).repartition(5, F.rand(2)).write.parquet(f"{work}/in")
     schema = spark.read.parquet(f"{work}/in").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{work}/in")
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
@@ -155,7 +157,7 @@ def test_reassembly(spark, work):
         query.option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    blocks = spark.read.parquet(f"{work}/blocks").drop("topic", "actual_checksum", "abandoned")
+    blocks = spark.read.parquet(f"{work}/blocks").drop("topic", "partition", "actual_checksum", "abandoned")
     done = files.verify_files(files.file_digests(blocks)).collect()
     found = {r["file_sequence_id"]: r["actual_checksum"] for r in done if r["error"] is None}
     assert found == {i: hashlib.sha256(data).hexdigest() for i, data in contents.items() if i != 2}

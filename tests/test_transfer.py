@@ -4,10 +4,12 @@ import hashlib
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from covenant.operators import files
 from covenant.operators.grants import flatten_grants
+from covenant.plans import outbound
 from covenant.plans.inbound import land_files
 from covenant.plans.outbound import outbound_files
 from covenant.schemas import GRANTS_DOCUMENT, MESSAGE
@@ -135,10 +137,97 @@ def test_outbound_files(spark, work):
     )
     chunks, deliveries, rejects = outbound_files(spark.createDataFrame(rows, MESSAGE), grants, chunk_size=4)
     assert sorted((r["file_sequence_id"], r["chunk_index"]) for r in chunks.collect()) == [(s, i) for s in (0, 2) for i in range(3)]
-    assert sorted((r["consumer_id"], r["file_sequence_id"]) for r in deliveries.collect()) == [("c1", 0), ("c1", 1), ("c1", 2), ("c2", 0)]
+    assert sorted((r["consumer_id"], r["file_sequence_id"]) for r in deliveries.collect()) == [("c1", 0), ("c1", 2), ("c2", 0)]
     assert [(r["file_sequence_id"], r["reason"]) for r in rejects.collect()] == [(1, "VALIDATION")]
 
 
+def grants_of(spark, **topics):
+    products = [{"topic": t, "consumers": [{"idpClientId": c} for c in consumers]} for t, consumers in topics.items()]
+    text = spark.createDataFrame([(json.dumps({"producers": [{"products": products}]}),)], "j string")
+    return flatten_grants(text.select(F.from_json("j", GRANTS_DOCUMENT).alias("d")).select("d.*"))
+
+
+@pytest.mark.parametrize("inline_bytes", [1 << 20, 4])
+def test_files_stay_within_their_topic(spark, work, inline_bytes):
+    """Two topics and two partitions with the same offsets and file names; small objects, and the same read in ranges."""
+    rows, wanted = [], {}
+    for topic, partition in (("ta", 0), ("ta", 1), ("tb", 0)):
+        os.makedirs(f"{work}/{topic}{partition}")
+        path = f"{work}/{topic}{partition}/f.txt"
+        wanted[topic, partition] = f"bytes of {topic} {partition}".encode()
+        with open(path, "wb") as out:
+            out.write(wanted[topic, partition])
+        value = json.dumps({"sourceType": "LOCAL", "path": path}).encode()
+        rows.append((topic, partition, 0, None, None, value, []))
+    grants = grants_of(spark, ta=["ca"], tb=["cb"])
+    chunks, deliveries, rejects = outbound_files(
+        spark.createDataFrame(rows, MESSAGE), grants, chunk_size=6, inline_bytes=inline_bytes, work=f"{work}/run"
+    )
+    keys = ["topic", "partition", "file_sequence_id"]
+    sent = chunks.join(deliveries, keys)
+    built = files.verify_files(files.assemble_files(sent, by=["consumer_id", "topic", "partition"])).collect()
+    found = {(r["consumer_id"], r["topic"], r["partition"]): bytes(r["content"]) for r in built}
+    assert found == {("ca", "ta", 0): wanted["ta", 0], ("ca", "ta", 1): wanted["ta", 1], ("cb", "tb", 0): wanted["tb", 0]}
+    assert all(r["error"] is None for r in built) and rejects.count() == 0
+
+
+@pytest.mark.parametrize("inline_bytes", [1 << 20, 2])
+def test_unreadable_objects_are_rejects(spark, work, monkeypatch, inline_bytes):
+    with open(f"{work}/there", "wb") as out:
+        out.write(b"content")
+    values = [{"sourceType": "LOCAL", "path": f"{work}/{name}"} for name in ("there", "gone")]
+    rows = [("t", 0, i, None, None, json.dumps(v).encode(), []) for i, v in enumerate(values)]
+    listing = spark.createDataFrame(
+        [(f"file:{work}/{name}", True, 7, None) for name in ("there", "gone")],
+        "uri string, is_file boolean, size bigint, error string",
+    )
+    # The second object goes away between the listing and the reading.
+    monkeypatch.setattr(outbound, "stat_files", lambda requests: listing)
+    chunks, deliveries, rejects = outbound_files(
+        spark.createDataFrame(rows, MESSAGE), grants_of(spark, t=["c"]), chunk_size=4, inline_bytes=inline_bytes, work=f"{work}/run"
+    )
+    assert [(r["file_sequence_id"], r["reason"]) for r in rejects.collect()] == [(1, "FETCH")]
+    assert [r["file_sequence_id"] for r in deliveries.collect()] == [0]
+    assert sorted((r["file_sequence_id"], r["chunk_index"]) for r in chunks.collect()) == [(0, 0), (0, 1), (0, 2)]
+
+
+def landing_of(spark, work, runs, destinations, counters, lost=None):
+    rows = [(i, f"f{i}.txt", f"{run} {i}".encode(), run) for run, ids in runs.items() for i in ids]
+    table = spark.createDataFrame(rows, "file_sequence_id bigint, file_name string, content binary, run string")
+    chunks = files.chunk_files(table, 3, by=["run"])
+    chunks = chunks.where(lost) if lost else chunks
+    return land_files(
+        chunks,
+        spark.createDataFrame(list(destinations.items()), "run string, destination string"),
+        spark.createDataFrame(list(counters.items()), "product_key string, counter bigint"),
+        f"file:{work}/store",
+        f"{work}/work",
+    )
+
+
+def next_ids(landing):
+    return {r["run"]: r["next_sequence_id"] for r in landing.progress.collect()}
+
+
+def test_an_unfinished_file_is_read_again(spark, work):
+    landing = landing_of(spark, work, {"a": [1, 2, 3]}, {"a": "in/s-o-p.txt"}, {}, "NOT (file_sequence_id = 2 AND is_last_chunk)")
+    assert next_ids(landing) == {"a": 2}
+
+
+def test_a_failed_publication_is_read_again_and_nothing_is_replaced(spark, work):
+    os.makedirs(f"{work}/store/in/s-o-p-v11.txt/blocked")
+    landing = landing_of(spark, work, {"a": [1, 2, 3]}, {"a": "in/s-o-p.txt"}, {"s-o-p": 10})
+    assert next_ids(landing) == {"a": 1}
+    assert {r["product_key"]: r["counter"] for r in landing.counters.collect()} == {"s-o-p": 13}
+
+
+def test_runs_of_one_product_wait_for_each_other(spark, work):
+    lost = "NOT (run = 'a' AND file_sequence_id = 2 AND chunk_index = 0)"
+    landing = landing_of(spark, work, {"a": [1, 2], "b": [1, 5]}, {"a": "in/s-o-p.txt", "b": "in/s-o-p.txt"}, {"s-o-p": 10}, lost)
+    assert landing.published.count() == 0 and next_ids(landing) == {"a": 1, "b": 1}
+    assert {r["product_key"]: r["counter"] for r in landing.counters.collect()} == {"s-o-p": 10}
+
+
 def test_tagged_text(spark, work):
     lines = [
         "Security-Label:nationality=GBR¬Content-Type:application/n-triples\t<s> <p> \"a:b\tc\" .",
