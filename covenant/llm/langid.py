@@ -72,14 +72,21 @@ def _has_letter():
 
 def train(docs: DataFrame, sample: int = SAMPLE, features: int = FEATURES, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Fit on at most ``sample`` rows of ``docs`` (doc_id, text, lang) with a language and a letter, chosen by the hash of
-    their ids, in equal shares per language where there are enough. Their presences (n-gram codes) reach the driver."""
+    their ids, in about equal shares per language where there are enough. Their presences (n-gram codes) reach the driver."""
     usable = docs.where(F.col("lang").isNotNull() & _has_letter())
+    # At most ``sample`` rows: the languages that are learned, the most frequent ones.
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(sample)
+    counts = counts.withColumn("share", F.ceil(F.lit(sample) / F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))))
     order = F.xxhash64("doc_id", "lang")
+    # About three shares of each language are ranked, so no language's rows meet in one task.
+    few = F.pmod(F.col("order"), F.lit(1 << 40)).cast("double") * F.col("rows") < F.lit(3 << 40).cast("double") * F.col("share")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     chosen = (
         usable.select("doc_id", "lang", order.alias("order"))
+        .join(F.broadcast(counts), "lang")
+        .where(few)
         .withColumn("rank", rank)
-        .where(F.col("rank") <= sample)
+        .where(F.col("rank") <= F.col("share"))
         .orderBy("rank", "order", "doc_id")
         .limit(sample)
         .select("doc_id", "lang")
