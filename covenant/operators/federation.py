@@ -20,6 +20,7 @@ from covenant.operators.grants import entitlements
 from covenant.operators.joins import DEFAULT_BOUND, BroadcastBound, bounded_join
 
 Predicate = Callable[[Callable[[str], Column], Column], Column]
+Shape = Callable[[DataFrame], DataFrame]
 
 
 def attribute_filter(messages: DataFrame, attributes: Column) -> DataFrame:
@@ -45,6 +46,9 @@ def _labelled(messages: DataFrame) -> DataFrame:
     )
 
 
+_HELPERS = ("topic_key", "__label")
+
+
 def _strict(label: Column, rule: Column, allowed: Column) -> Column:
     message = F.concat(F.lit("malformed security label: "), header_first(F.col("headers"), SECURITY_LABEL))
     return F.when(label["malformed"] & ~rule["open"], F.raise_error(message).cast("boolean")).otherwise(allowed)
@@ -58,10 +62,14 @@ def federate(
     require_topic_grant: bool = True,
     on_bad_label: str = "quarantine",
     predicate: Predicate | None = None,
+    shape: Shape | None = None,
     bound: BroadcastBound = DEFAULT_BOUND,
 ) -> DataFrame:
     """Delivered messages: the message columns plus ``consumer_id``, one row per consumer and message.
 
+    ``shape`` turns messages into what is sent. It is applied once to each message that anyone gets, before the fan-out,
+    and must keep the columns it does not know.
+
     A malformed label is not delivered to consumers with attributes; ``on_bad_label="fail"`` stops the job instead.
     ``predicate`` adds a rule of the caller's own, given a label lookup and the attribute list.
 
@@ -76,16 +84,16 @@ def federate(
         allowed = _strict(label, rule, allowed)
     if predicate is not None:
         allowed = allowed & predicate(lambda key: label_value(label["entries"], F.lit(key.upper())), F.col("attributes"))
-    joined = bounded_join(
-        labelled,
-        rules,
-        ["topic_key"],
-        spread=["partition", "offset"],
-        residual=allowed,
-        measure=grants if requests is None else None,
-        bound=bound,
-    )
-    return joined.select("consumer_id", *messages.columns)
+    options = {
+        "spread": ["partition", "offset"],
+        "residual": allowed,
+        "measure": grants if requests is None else None,
+        "bound": bound,
+    }
+    if shape is not None:
+        labelled = shape(bounded_join(labelled, rules, ["topic_key"], how="left_semi", **options))
+    joined = bounded_join(labelled, rules, ["topic_key"], **options)
+    return joined.select("consumer_id", *[c for c in labelled.columns if c not in _HELPERS])
 
 
 def federate_decisions(
@@ -94,13 +102,16 @@ def federate_decisions(
     *,
     requests: DataFrame | None = None,
     require_topic_grant: bool = True,
+    shape: Shape | None = None,
     bound: BroadcastBound = DEFAULT_BOUND,
 ) -> DataFrame:
     """Every message and consumer with access to its topic, and ``reason``: null when delivered, else why not.
 
-    The payload of refused rows is dropped here, so that they stay small.
+    The payload of refused rows and its digest are dropped here, so that they stay small. ``shape`` is applied once per
+    message, before the fan-out, as in :func:`federate`.
     """
     labelled = _labelled(messages)
+    labelled = labelled if shape is None else shape(labelled)
     rules = entitlements(grants, requests, require_topic_grant=require_topic_grant)
     joined = bounded_join(
         labelled,
@@ -112,7 +123,9 @@ def federate_decisions(
     )
     decided = joined.withColumn("reason", refusal_reason(F.col("attributes"), F.col("__label")))
     kept = [
-        F.when(F.col("reason").isNull(), F.col(c)).alias(c) if c == "value" else F.col(c) for c in messages.columns
+        F.when(F.col("reason").isNull(), F.col(c)).alias(c) if c in ("value", "payload_checksum") else F.col(c)
+        for c in labelled.columns
+        if c not in _HELPERS
     ]
     return decided.select("consumer_id", *kept, "reason")
 

@@ -31,8 +31,9 @@ def outbound_messages(
     shared: Sequence[str] = DEFAULT_SHARED_HEADERS,
     payload: Payload = normalise_rdf,
 ) -> DataFrame:
-    """Envelopes for every entitled consumer. The payload is shaped and digested for delivered rows only."""
-    return to_envelope(federate(messages, grants), shared, payload)
+    """Envelopes for every entitled consumer. The payload of a message that anyone gets is shaped and digested once,
+    however many get it."""
+    return federate(messages, grants, shape=lambda wanted: to_envelope(wanted, shared, payload))
 
 
 #: Sequence ids are offsets, which are unique within these only.

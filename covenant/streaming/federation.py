@@ -79,8 +79,7 @@ def outbound_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         current = grants.get() if isinstance(grants, Refreshed) else grants
-        decided = federate_decisions(batch, current)
-        shaped = to_envelope(decided, shared, payload)
+        shaped = federate_decisions(batch, current, shape=lambda rows: to_envelope(rows, shared, payload))
         folder = batch_folder(sink, batch_id)
         shaped.write.mode("overwrite").parquet(folder)
         if progress is not None:
