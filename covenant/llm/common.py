@@ -15,7 +15,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: Texts are handled in slices of about this many bytes, so that temporary arrays stay small.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Words longer than this are hashed one by one.
 LONG_WORD = 256

@@ -31,8 +31,9 @@ DEPTH = 2
 CELLS_PER_WINDOW = 3
 MAX_CELLS = 1 << 29
 BLOCK = 1 << 22
-#: Windows a task gathers before it settles them, and flags before it passes them on.
-GATHER = 1_000_000
+#: Windows a task gathers for a part of the sketch, and windows or flags it gathers before it passes them on.
+SKETCHED = 4_000_000
+GATHER = 400_000
 
 _LAST = np.int64(np.iinfo(np.int64).max)
 
@@ -73,19 +74,23 @@ def _sketch(cells: int, width: int, depth: int):
                     for row in range(depth):
                         found = gram_hashes(words.hashes, width, row + 1)[at]
                         parts[row].append(_cell(found, cells).astype(np.uint32))
-            if parts and sum(map(len, parts[0])) > 4 * GATHER:
+            pa.default_memory_pool().release_unused()
+            if sum(map(len, parts[0])) > SKETCHED:
                 yield from emit(parts)
                 parts = [[] for _ in range(depth)]
         yield from emit(parts)
 
     def emit(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for row, found in enumerate(parts):
-            if not found:
+        for row in range(depth):
+            if not parts[row]:
                 continue
-            every = np.sort(np.concatenate(found))
+            every = np.concatenate(parts[row])
+            parts[row] = []
+            every.sort()
             new = np.r_[True, every[1:] != every[:-1]]
             again = every[~new]
             once, twice = every[new], again[np.r_[True, again[1:] != again[:-1]]] if len(again) else again
+            del every, new
             edges = np.arange(0, cells + 1, BLOCK, dtype=np.uint64)
             one, two = np.searchsorted(once, edges), np.searchsorted(twice, edges)
             for block in np.flatnonzero(one[1:] > one[:-1]):
@@ -148,6 +153,7 @@ def _candidates(bits, cells: int, width: int, depth: int):
         held, amount = [], 0
         sketch = np.frombuffer(bits.value, np.uint8).reshape(depth, -1)
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             keys = batch.column("row").to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").fill_null(int(_LAST)).to_numpy(zero_copy_only=False)
             for first, end, data, offsets in text_slices(batch.column("text")):
