@@ -17,7 +17,7 @@ from covenant.functions.labels import (
     rule_allows,
 )
 from covenant.operators.grants import entitlements
-from covenant.operators.joins import DEFAULT_BOUND, BroadcastBound, bounded_join
+from covenant.operators.joins import keyed_join
 
 Predicate = Callable[[Callable[[str], Column], Column], Column]
 Shape = Callable[[DataFrame], DataFrame]
@@ -63,7 +63,7 @@ def federate(
     on_bad_label: str = "quarantine",
     predicate: Predicate | None = None,
     shape: Shape | None = None,
-    bound: BroadcastBound = DEFAULT_BOUND,
+    salt: bool = False,
 ) -> DataFrame:
     """Delivered messages: the message columns plus ``consumer_id``, one row per consumer and message.
 
@@ -87,12 +87,11 @@ def federate(
     options = {
         "spread": ["partition", "offset"],
         "residual": allowed,
-        "measure": grants if requests is None else None,
-        "bound": bound,
+        "salt": salt,
     }
     if shape is not None:
-        labelled = shape(bounded_join(labelled, rules, ["topic_key"], how="left_semi", **options))
-    joined = bounded_join(labelled, rules, ["topic_key"], **options)
+        labelled = shape(keyed_join(labelled, rules, ["topic_key"], how="left_semi", **options))
+    joined = keyed_join(labelled, rules, ["topic_key"], **options)
     return joined.select("consumer_id", *[c for c in labelled.columns if c not in _HELPERS])
 
 
@@ -103,7 +102,7 @@ def federate_decisions(
     requests: DataFrame | None = None,
     require_topic_grant: bool = True,
     shape: Shape | None = None,
-    bound: BroadcastBound = DEFAULT_BOUND,
+    salt: bool = False,
 ) -> DataFrame:
     """Every message and consumer with access to its topic, and ``reason``: null when delivered, else why not.
 
@@ -113,13 +112,12 @@ def federate_decisions(
     labelled = _labelled(messages)
     labelled = labelled if shape is None else shape(labelled)
     rules = entitlements(grants, requests, require_topic_grant=require_topic_grant)
-    joined = bounded_join(
+    joined = keyed_join(
         labelled,
         rules,
         ["topic_key"],
         spread=["partition", "offset"],
-        measure=grants if requests is None else None,
-        bound=bound,
+        salt=salt,
     )
     decided = joined.withColumn("reason", refusal_reason(F.col("attributes"), F.col("__label")))
     kept = [

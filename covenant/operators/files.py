@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from covenant.functions.checksums import checksum_status
 from covenant.functions.text import base_name, is_blank
-from covenant.operators.joins import DEFAULT_BOUND, BroadcastBound, bounded_join
+from covenant.operators.joins import keyed_join
 from covenant.schemas import FILE_REQUEST
 
 # Storage kinds of a file reference, reject reasons and the default chunk size in bytes.
@@ -69,7 +69,7 @@ def decode_file_requests(messages: DataFrame, azure_account: str | None = None)
 
 
 def check_file_requests(
-    requests: DataFrame, listing: DataFrame | None = None, *, bound: BroadcastBound = DEFAULT_BOUND
+    requests: DataFrame, listing: DataFrame | None = None, *, salt: bool = False
 ) -> DataFrame:
     """Add ``reason`` and ``details``: null for a valid request.
 
@@ -95,8 +95,8 @@ def check_file_requests(
     if listing is not None:
         failure = F.col("error") if "error" in listing.columns else F.lit(None).cast("string")
         found = listing.select("uri", F.col("is_file").alias("__is_file"), F.col("size"), failure.alias("__error"))
-        checked = bounded_join(
-            checked.drop("size"), found, ["uri"], how="left", spread=["file_sequence_id"], bound=bound
+        checked = keyed_join(
+            checked.drop("size"), found, ["uri"], how="left", spread=["file_sequence_id"], salt=salt
         )
         checked = checked.withColumn(
             "__p",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covenant.functions.text import trim_all
-from covenant.operators.joins import DEFAULT_BOUND, BroadcastBound, bounded_join
+from covenant.operators.joins import keyed_join
 from covenant.schemas import ATTRIBUTES
 
 # Fixed value: message of a refused topic request.
@@ -82,7 +82,7 @@ def flatten_grants(documents: DataFrame) -> DataFrame:
 
 
 def consumer_topics(
-    grants: DataFrame, only: DataFrame | None = None, *, bound: BroadcastBound = DEFAULT_BOUND
+    grants: DataFrame, only: DataFrame | None = None, *, salt: bool = False
 ) -> DataFrame:
     """``(consumer_id, topic_key, granted, attributes)`` per consumer and topic **or product name**, in lower case.
 
@@ -100,13 +100,13 @@ def consumer_topics(
         "consumer_id", F.explode(names).alias("topic_key"), "topic", "position", *attribute
     ).where("topic_key IS NOT NULL")
     if only is not None:
-        keyed = bounded_join(
+        keyed = keyed_join(
             keyed,
             only,
             ["consumer_id", "topic_key"],
             how="left_semi",
             spread=["position", "attribute_name", "attribute_value"],
-            bound=bound,
+            salt=salt,
         )
     folded = keyed.groupBy("consumer_id", "topic_key", *attribute).agg(
         F.min("position").alias("position"),
@@ -155,11 +155,11 @@ def entitlements(grants: DataFrame, requests: DataFrame | None = None, *, requir
     return joined.withColumn("attributes", F.coalesce("attributes", F.array().cast(ATTRIBUTES)))
 
 
-def attributes_for(requests: DataFrame, grants: DataFrame, *, bound: BroadcastBound = DEFAULT_BOUND) -> DataFrame:
+def attributes_for(requests: DataFrame, grants: DataFrame, *, salt: bool = False) -> DataFrame:
     """Attribute list of each requested ``(consumer_id, topic)``; empty when nothing matches. Topics are not trimmed."""
     asked = requests.select("consumer_id", "topic").distinct().withColumn("topic_key", F.lower("topic"))
     keys = asked.select("consumer_id", "topic_key").distinct()
-    lists = consumer_topics(grants, keys, bound=bound).drop("granted")
+    lists = consumer_topics(grants, keys, salt=salt).drop("granted")
     found = asked.join(lists, ["consumer_id", "topic_key"], "left")
     return found.select(
         "consumer_id", "topic", F.coalesce("attributes", F.array().cast(ATTRIBUTES)).alias("attributes")
@@ -167,34 +167,33 @@ def attributes_for(requests: DataFrame, grants: DataFrame, *, bound: BroadcastBo
 
 
 def has_topic_access(
-    requests: DataFrame, grants: DataFrame, *, denied: bool = False, bound: BroadcastBound = DEFAULT_BOUND
+    requests: DataFrame, grants: DataFrame, *, denied: bool = False, salt: bool = False
 ) -> DataFrame:
     """Requests whose trimmed topic is granted to exactly this consumer id; or the denied ones with a message.
 
     Extra columns of ``requests`` are kept.
     """
     asked = requests.withColumn("topic_key", F.lower(trim_all(F.col("topic"))))
-    checked = bounded_join(
+    checked = keyed_join(
         asked,
         access_pairs(grants),
         ["consumer_id", "topic_key"],
         how="left_anti" if denied else "left_semi",
         spread=requests.columns,
-        measure=grants,
-        bound=bound,
+        salt=salt,
     ).drop("topic_key")
     return checked.withColumn("details", F.format_string(TOPIC_REFUSED, "topic", "consumer_id")) if denied else checked
 
 
-def known_consumer(requests: DataFrame, grants: DataFrame, *, bound: BroadcastBound = DEFAULT_BOUND) -> DataFrame:
+def known_consumer(requests: DataFrame, grants: DataFrame, *, salt: bool = False) -> DataFrame:
     """Requests of consumers that appear under any product."""
     known = grants.where("consumer_id IS NOT NULL").select("consumer_id").distinct()
-    return bounded_join(
-        requests, known, ["consumer_id"], how="left_semi", spread=requests.columns, measure=grants, bound=bound
+    return keyed_join(
+        requests, known, ["consumer_id"], how="left_semi", spread=requests.columns, salt=salt
     )
 
 
-def active_feeds(feeds: DataFrame, status: DataFrame, *, bound: BroadcastBound = DEFAULT_BOUND) -> DataFrame:
+def active_feeds(feeds: DataFrame, status: DataFrame, *, salt: bool = False) -> DataFrame:
     """Feeds whose producer certificate is ACTIVE. Unlisted clients count as NOT_FOUND and yield nothing."""
     listed = status.select(F.col("client_id").alias("client_name"), F.col("status").alias("certificate_status"))
     # A client listed twice with different answers is not trusted.
@@ -203,7 +202,7 @@ def active_feeds(feeds: DataFrame, status: DataFrame, *, bound: BroadcastBound =
             "certificate_status"
         )
     )
-    joined = bounded_join(
-        feeds, settled, ["client_name"], how="left", spread=["feed_id"], measure=listed, bound=bound
+    joined = keyed_join(
+        feeds, settled, ["client_name"], how="left", spread=["feed_id"], salt=salt
     )
     return joined.where(F.coalesce("certificate_status", F.lit("NOT_FOUND")) == "ACTIVE").drop("certificate_status")

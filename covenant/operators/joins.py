@@ -1,37 +1,17 @@
-"""Joins whose small side is broadcast only after its size was checked; beyond the bound hot keys are salted."""
+"""Equi-joins with one side that may have hot keys."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+#: A key with this share of the rows is hot where a caller asks for salting.
+HOT_SHARE = 0.02
 
-@dataclass(frozen=True)
-class BroadcastBound:
-    """A side is broadcast only when it has at most this many rows and bytes."""
 
-    rows: int = 100_000
-    bytes: int = 64 * 1024 * 1024
-    hot_share: float = 0.02
-
-
-DEFAULT_BOUND = BroadcastBound()
-NEVER_BROADCAST = BroadcastBound(rows=-1)
-
-
-def fits(df: DataFrame, bound: BroadcastBound) -> bool:
-    """Check the bound. Partitions are read one after the other until ``bound.rows + 1`` rows were seen."""
-    if bound.rows < 0:
-        return False
-    row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    sizes = df.select(row_bytes.alias("bytes")).take(bound.rows + 1)
-    return len(sizes) <= bound.rows and sum(row["bytes"] for row in sizes) <= bound.bytes
-
-
-def bounded_join(
+def keyed_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
@@ -39,15 +19,15 @@ def bounded_join(
     how: str = "inner",
     spread: Sequence[str],
     residual: Column | None = None,
-    measure: DataFrame | None = None,
-    bound: BroadcastBound = DEFAULT_BOUND,
+    salt: bool = False,
 ) -> DataFrame:
     """Equi-join on ``keys`` (columns named alike on both sides; the left ones are kept).
 
-    ``right`` is the side expected to be small: inner, left, semi and anti joins only. When it exceeds the bound, both
-    sides are shuffled, and the rows of a hot left key are spread over several partitions by ``spread`` while the
-    matching right rows are repeated once per partition. ``measure`` is what to measure instead of ``right``: give the
-    input of an aggregated right side, which is cheap to read in part and no smaller.
+    Spark chooses: a side is broadcast below its threshold, judged by what it measured, and adaptive execution splits skewed
+    shuffles. Inner, left, semi and anti joins only, whose left side it can split. With ``salt`` both sides are shuffled, one
+    job counts the left keys, and the rows of a hot one are spread over several partitions by ``spread`` while the matching
+    right rows are repeated once per partition: for sessions without adaptive execution, and for rows so large that a
+    partition of average size is too much.
     """
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
     condition = None
@@ -55,14 +35,11 @@ def bounded_join(
         equal = left[key] == renamed[f"__r_{key}"]
         condition = equal if condition is None else condition & equal
     dropped = [f"__r_{key}" for key in keys]
-    if fits(right if measure is None else measure, bound):
-        full = condition if residual is None else condition & residual
-        return left.join(F.broadcast(renamed), full, how).drop(*dropped)
-
-    hot = _hot_keys(left, keys, bound.hot_share)
+    hot = _hot_keys(left, keys) if salt else {}
     if not hot:
         full = condition if residual is None else condition & residual
-        return left.join(renamed, full, how).drop(*dropped)
+        other = renamed.hint("merge") if salt else renamed
+        return left.join(other, full, how).drop(*dropped)
     salts = F.create_map(*[F.lit(v) for pair in hot.items() for v in pair])
 
     def copies(cols: list[Column]) -> Column:
@@ -77,10 +54,10 @@ def bounded_join(
     full = condition & (salted["__salt"] == repeated["__r_salt"])
     if residual is not None:
         full = full & residual
-    return salted.join(repeated, full, how).drop("__salt", "__r_salt", *dropped)
+    return salted.join(repeated.hint("merge"), full, how).drop("__salt", "__r_salt", *dropped)
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> dict[int, int]:
+def _hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[int, int]:
     """Hashes of keys holding at least ``share`` of the rows, with the number of partitions each deserves.
 
     At most ``1 / share`` keys can qualify, so the result collected here is bounded. A hash collision only changes

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covenant.functions.naming import product_key, unversioned_destination, versioned_destination
-from covenant.operators.joins import DEFAULT_BOUND, BroadcastBound, bounded_join
+from covenant.operators.joins import keyed_join
 from covenant.operators.ranking import number_rows
 
 
 def plan_versions(
-    files: DataFrame, counters: DataFrame, *, width: int = 100_000, bound: BroadcastBound = DEFAULT_BOUND
+    files: DataFrame, counters: DataFrame, *, width: int = 100_000, salt: bool = False
 ) -> DataFrame:
     """Final destination of every file of a run.
 
@@ -24,8 +24,8 @@ def plan_versions(
     numbered = number_rows(
         keyed, ["product_key"], "file_sequence_id", number="__position", total="run_files", width=width
     )
-    counted = bounded_join(
-        numbered, counters, ["product_key"], how="left", spread=["file_sequence_id"], bound=bound
+    counted = keyed_join(
+        numbered, counters, ["product_key"], how="left", spread=["file_sequence_id"], salt=salt
     ).withColumn("counter", F.coalesce("counter", F.lit(0)).cast("bigint"))
     version = F.when(F.col("run_files") > 1, F.col("counter") + F.col("__position"))
     return (
@@ -46,16 +46,16 @@ def first_failures(results: DataFrame, run_keys: Sequence[str] = ("run",)) -> Da
 
 
 def store_until_first_failure(
-    results: DataFrame, run_keys: Sequence[str] = ("run",), *, bound: BroadcastBound = DEFAULT_BOUND
+    results: DataFrame, run_keys: Sequence[str] = ("run",), *, salt: bool = False
 ) -> DataFrame:
     """Stored files a run may publish: those before its first failure."""
-    joined = bounded_join(
+    joined = keyed_join(
         results,
         first_failures(results, run_keys),
         list(run_keys),
         how="left",
         spread=["file_sequence_id"],
-        bound=bound,
+        salt=salt,
     )
     return joined.where(F.col("failed_at").isNull() | (F.col("file_sequence_id") < F.col("failed_at"))).drop(
         "failed_at"

@@ -16,7 +16,7 @@ from covenant.operators.files import (
     fold_repeats,
     verify_files,
 )
-from covenant.operators.joins import bounded_join
+from covenant.operators.joins import keyed_join
 from covenant.operators.versions import first_failures, held_back, next_counters, plan_versions, store_until_first_failure
 from covenant.session import written
 from covenant.sinks.files import publish_files, write_files, write_large_files
@@ -51,7 +51,7 @@ def land_files(
     """
     assembled = verify_files(assemble_files(chunks, block_chunks, by=["run"]))
     received = written(
-        bounded_join(assembled, destinations, ["run"], spread=["file_sequence_id"]), f"{work}/received"
+        keyed_join(assembled, destinations, ["run"], spread=["file_sequence_id"]), f"{work}/received"
     )
     good = received.where("error IS NULL")
     base = root.rstrip("/")

@@ -19,7 +19,7 @@ from covenant.operators.files import (
     rejected_file_requests,
     valid_file_requests,
 )
-from covenant.operators.joins import NEVER_BROADCAST, bounded_join
+from covenant.operators.joins import keyed_join
 from covenant.operators.messages import Payload, to_envelope
 from covenant.session import scratch_path, written
 from covenant.sources.objects import INLINE_BYTES, read_files, read_large_chunks, stat_files
@@ -49,21 +49,21 @@ def file_chunks(
     Every chunk carries topic, partition and sequence id. Contents are never broadcast; an object asked for by very many
     requests is spread over several tasks.
     """
-    spread = {"spread": ["file_sequence_id"], "bound": NEVER_BROADCAST}
+    spread = {"spread": ["file_sequence_id"], "salt": True}
     small = written(read_files(listing, inline_bytes), f"{work}/small")
     large = written(read_large_chunks(listing, chunk_size, inline_bytes=inline_bytes), f"{work}/large")
     broken = (
         small.select("uri", "error").unionByName(large.select("uri", "error")).where("error IS NOT NULL")
         .groupBy("uri").agg(F.min("error").alias("details"))
     )
-    rejects = bounded_join(valid.select(*SEQUENCE, "file_sequence_id", "uri"), broken, ["uri"], **spread).select(
+    rejects = keyed_join(valid.select(*SEQUENCE, "file_sequence_id", "uri"), broken, ["uri"], **spread).select(
         *SEQUENCE, "file_sequence_id", F.lit(FETCH).alias("reason"), "details"
     )
-    whole = bounded_join(valid.drop("size"), small.where("error IS NULL").drop("error"), ["uri"], **spread).withColumn(
+    whole = keyed_join(valid.drop("size"), small.where("error IS NULL").drop("error"), ["uri"], **spread).withColumn(
         "file_name", F.col("path")
     )
     readable = large.join(broken.select("uri"), "uri", "left_anti").drop("error")
-    pieces = bounded_join(valid.select(*SEQUENCE, "file_sequence_id", "uri"), readable, ["uri"], **spread).drop("uri")
+    pieces = keyed_join(valid.select(*SEQUENCE, "file_sequence_id", "uri"), readable, ["uri"], **spread).drop("uri")
     return chunk_files(whole, chunk_size, by=SEQUENCE).unionByName(pieces), rejects
 
 

@@ -21,7 +21,7 @@ from covenant.operators.files import (
     rejected_file_requests,
     valid_file_requests,
 )
-from covenant.operators.joins import NEVER_BROADCAST, bounded_join
+from covenant.operators.joins import keyed_join
 from covenant.operators.messages import (
     Payload,
     abort_on_mismatch,
@@ -175,13 +175,13 @@ def file_outbound_writer(
         requests = decode_file_requests(batch, azure_account)
         checked = check_file_requests(requests, listing(requests) if listing else None)
         valid = valid_file_requests(checked)
-        fetched = bounded_join(
+        fetched = keyed_join(
             valid.drop("size"),
             contents(valid),
             ["uri"],
             how="left",
             spread=["file_sequence_id"],
-            bound=NEVER_BROADCAST,
+            salt=True,
         )
         failed = F.col("error").isNotNull() | F.col("content").isNull()
         files = fetched.where(~failed).withColumn("file_name", F.col("path"))

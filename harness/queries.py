@@ -13,7 +13,6 @@ from covenant.functions import text as txt
 from covenant.functions.labels import parse_label
 from covenant.operators import counts, federation, feeds, files, grants, messages, snapshots, versions
 from covenant.operators import rdf as rdf_ops
-from covenant.operators.joins import NEVER_BROADCAST
 from covenant.plans.inbound import land_files
 from covenant.plans.outbound import outbound_files as outbound_file_plan
 from covenant.plans.outbound import outbound_messages
@@ -405,7 +404,7 @@ def has_topic_access(spark: SparkSession, sf_dir: str) -> DataFrame:
   WHERE g.consumer_id = r.consumer_id AND lower(g.topic) = lower(trim(r.topic)))""")
 def denied_topic_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.grant_rows(spark, sf_dir)
-    return grants.has_topic_access(views.topic_requests(spark, sf_dir), rows, denied=True, bound=NEVER_BROADCAST)
+    return grants.has_topic_access(views.topic_requests(spark, sf_dir), rows, denied=True, salt=True)
 
 
 @query(f"""WITH {_LINES} SELECT c_custkey, 'c' || c_custkey AS consumer_id FROM customer
@@ -455,7 +454,7 @@ def federate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def federate_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routing when the grants are too large to broadcast: hot topics are salted, no payload is read."""
     rows = message_source.security_label(views.messages(spark, sf_dir))
-    return federation.federate(rows, views.grants(spark), bound=NEVER_BROADCAST).select("consumer_id", "topic", "offset")
+    return federation.federate(rows, views.grants(spark), salt=True).select("consumer_id", "topic", "offset")
 
 
 @query(f"""{DECISIONS} SELECT consumer AS consumer_id, topic, count(*) AS messages FROM decisions WHERE reason IS NULL
@@ -766,7 +765,7 @@ def valid_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
   ELSE 'not a file: /d/' || k || '.txt' END AS details FROM checked WHERE reason IS NOT NULL""")
 def rejected_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = files.decode_file_requests(views.file_reference_messages(spark, sf_dir), "acct")
-    checked = files.check_file_requests(decoded, views.file_listing(spark, sf_dir), bound=NEVER_BROADCAST)
+    checked = files.check_file_requests(decoded, views.file_listing(spark, sf_dir), salt=True)
     return files.rejected_file_requests(checked).drop("partition")
 
 

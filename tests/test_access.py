@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from covenant.operators import federation, grants
-from covenant.operators.joins import DEFAULT_BOUND, NEVER_BROADCAST, BroadcastBound, bounded_join, fits
+from covenant.operators.joins import keyed_join
 from covenant.schemas import GRANTS_DOCUMENT, MESSAGE
 
 
@@ -76,17 +76,17 @@ def test_attributes_for(spark):
     }
 
 
-@pytest.mark.parametrize("bound", [DEFAULT_BOUND, NEVER_BROADCAST])
-def test_topic_access(spark, bound):
+@pytest.mark.parametrize("salt", [False, True])
+def test_topic_access(spark, salt):
     rows = policy(spark, [product("dp1", ("CLIENT-123", [])), product("dp2", ("c2", None), name="dp3")])
     asked = requests(
         spark, ("CLIENT-123", "dp1"), ("CLIENT-123", " DP1 "), ("client-123", "dp1"), ("CLIENT-123", "dp2"), ("c2", "dp3")
     )
-    allowed = {tuple(r) for r in grants.has_topic_access(asked, rows, bound=bound).collect()}
+    allowed = {tuple(r) for r in grants.has_topic_access(asked, rows, salt=salt).collect()}
     assert allowed == {("CLIENT-123", "dp1"), ("CLIENT-123", " DP1 ")}
-    denied = {r["details"] for r in grants.has_topic_access(asked, rows, denied=True, bound=bound).collect()}
+    denied = {r["details"] for r in grants.has_topic_access(asked, rows, denied=True, salt=salt).collect()}
     assert "Topic (dp1) is not valid for client (client-123)." in denied and len(denied) == 3
-    known = {r["consumer_id"] for r in grants.known_consumer(asked, rows, bound=bound).collect()}
+    known = {r["consumer_id"] for r in grants.known_consumer(asked, rows, salt=salt).collect()}
     assert known == {"CLIENT-123", "c2"}
 
 
@@ -153,20 +153,17 @@ def test_salted_join_equals_plain_join(spark, how):
     )
     right = spark.range(0, 40, 1).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v"))
     right = right.unionByName(right.where("v > 60"))
-    found = bounded_join(left, right, ["k"], how=how, spread=["id"], bound=NEVER_BROADCAST)
+    found = keyed_join(left, right, ["k"], how=how, spread=["id"], salt=True)
     assert sorted(map(tuple, found.select("id", "k").collect())) == sorted(
         map(tuple, left.join(right, "k", how).select("id", "k").collect())
     )
     assert found.columns == left.columns + (["v"] if how in ("inner", "left") else [])
 
 
-def test_broadcast_is_bounded(spark):
-    rows = spark.range(100).select("id", F.lit("x" * 100).alias("text"))
-    assert fits(rows, BroadcastBound(rows=100))
-    assert not fits(rows, BroadcastBound(rows=99))
-    assert not fits(rows, BroadcastBound(rows=100, bytes=5000))
-    joined = bounded_join(rows, rows.select("id"), ["id"], spread=["id"], bound=BroadcastBound(rows=10))
-    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString() or joined.count() == 100
+def test_joins_run_nothing_before_they_are_used(spark):
+    rows = spark.range(100).select("id", F.raise_error(F.lit("was run")).cast("string").alias("text"))
+    joined = keyed_join(rows, spark.range(50).select("id"), ["id"], spread=["id"])
+    assert joined.columns == ["id", "text"]
 
 
 def test_plan_digests_once_per_message_below_the_fan_out(spark):
@@ -175,8 +172,7 @@ def test_plan_digests_once_per_message_below_the_fan_out(spark):
     messages = spark.read.schema(MESSAGE).parquet(_stored(spark, label_messages(spark, ["a=1"])))
     rows = policy(spark, [product("knowledge", ("c", [("a", "1")]))])
     plan = outbound_messages(messages, rows)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("BroadcastHashJoin") < plan.index("sha2") < plan.rindex("BroadcastHashJoin")
-    assert "LeftSemi" in plan and plan.rindex("BroadcastHashJoin") < plan.rindex("trim")
+    assert plan.index("Inner") < plan.index("sha2") < plan.index("LeftSemi")
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
@@ -196,7 +192,7 @@ def test_a_hot_key_is_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = bounded_join(left, right, ["k"], spread=["id"], bound=NEVER_BROADCAST)
+        joined = keyed_join(left, right, ["k"], spread=["id"], salt=True)
         sizes = [r["count"] for r in joined.where("k = '-1'").groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == 2000 and max(sizes) <= 1500 and joined.count() == 6000
     finally:
