@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covenant.llm import ann, brown_lm, bwt_dedup, chat, decontaminate, langid, near_dup, packing, substring, warc
+from covenant.llm import (
+    ann,
+    brown_lm,
+    bwt_dedup,
+    chat,
+    decontaminate,
+    langid,
+    near_dup,
+    packing,
+    sql,
+    substring,
+    warc,
+)
 from covenant.llm.common import held_out, table
 from covenant.session import scratch_path
 
@@ -33,13 +45,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@query()
+@query(sql.SUBSTRINGS)
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-@query()
+@query(sql.NEAR_DUPLICATES)
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -58,7 +70,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
 
 
-@query()
+@query(sql.CONTAMINATION)
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -79,7 +91,7 @@ def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.score(docs, model).withColumn("held_out", held_out(F.col("doc_id"), 7, 2))
 
 
-@query()
+@query(sql.CHAT)
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = r"\### Assistant: </turn> ok"
@@ -116,7 +128,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(sql.ARCHIVES)
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
