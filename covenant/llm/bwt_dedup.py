@@ -26,8 +26,8 @@ from covenant.session import scratch_path, written
 LENGTH = 400
 GRAM = 200
 #: Bytes of variants in one transform, and the most that variants of one anchor may have to be in one.
-TRANSFORM_BYTES = 2 << 20
-ANCHOR_BYTES = 8 << 20
+TRANSFORM_BYTES = 1 << 20
+ANCHOR_BYTES = 1 << 20
 #: Anchors a task gathers before it sorts out those it has seen twice.
 GATHER = 2_000_000
 
@@ -194,15 +194,21 @@ def _fetch(length: int):
 
 
 def suffix_order(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling of texts that each end in a symbol of its own; ``ends[i]`` is the end of i's text."""
+    """Suffix array by prefix doubling. ``symbols`` are bytes plus one, and 0 at the end of each text; ``ends[i]`` is the
+    end of i's text. Ends sort by their place, so suffixes of different texts always differ."""
     n = len(symbols)
-    rank, reach = symbols.astype(np.int64), 1
-    open_ = np.arange(n)
-    order = np.argsort(rank, kind="stable")
-    ordered = rank[order]
-    # Ranks are the first place of the group, so groups that are settled keep theirs.
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    rank[order] = np.repeat(first, np.diff(np.r_[first, n]))
+    # Seven symbols in one number to begin with; nothing is read past an end.
+    key, inside, reach = np.zeros(n, np.int64), np.ones(n, bool), 7
+    padded = np.r_[symbols.astype(np.int64), np.zeros(reach, np.int64)]
+    for i in range(reach):
+        inside &= padded[i : i + n] > 0
+        key = (key << 9) | np.where(inside, padded[i : i + n], 0)
+    order = np.argsort(key)
+    rank = np.empty(n, np.int64)
+    rank[order] = _first_of_equals(key[order])
+    finish = np.flatnonzero(symbols == 0)
+    rank[finish] = np.arange(len(finish))
+    open_ = np.flatnonzero(symbols > 0)
     while True:
         sizes = np.bincount(rank, minlength=n)
         open_ = open_[sizes[rank[open_]] > 1]
@@ -210,19 +216,22 @@ def suffix_order(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
             out = np.empty(n, np.int64)
             out[rank] = np.arange(n)
             return out
-        follow = rank[np.minimum(open_ + reach, ends[open_])]
         own = rank[open_]
-        by = np.lexsort((follow, own))
-        own, follow, places = own[by], follow[by], open_[by]
-        group = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        part = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (follow[1:] != follow[:-1])])
-        start = np.repeat(group, np.diff(np.r_[group, len(own)]))
-        within = np.repeat(part, np.diff(np.r_[part, len(own)])) - start
-        rank[places] = own + within
+        pair = own * n + rank[np.minimum(open_ + reach, ends[open_])]
+        by = np.argsort(pair)
+        own, pair, places = own[by], pair[by], open_[by]
+        # Ranks are the first place of the group, so groups that are settled keep theirs.
+        rank[places] = own + _first_of_equals(pair) - _first_of_equals(own)
         reach *= 2
 
 
-def repeated_starts(texts: list[bytes], length: int, wide_levels: int = 12) -> list[np.ndarray]:
+def _first_of_equals(values: np.ndarray) -> np.ndarray:
+    """For each of some sorted values the first place of its equals."""
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return np.repeat(first, np.diff(np.r_[first, len(values)]))
+
+
+def repeated_starts(texts: list[bytes], length: int, wide_levels: int = 6) -> list[np.ndarray]:
     """For each text, the places at which a string of ``length`` bytes starts that also starts anywhere else in the texts.
 
     ``known[p]`` becomes true when the common prefix of the suffixes p - 1 and p (in suffix order) has been found to be
@@ -232,23 +241,23 @@ def repeated_starts(texts: list[bytes], length: int, wide_levels: int = 12) -> l
     sizes = np.array([len(t) for t in texts])
     data = np.frombuffer(b"".join(t + b"\0" for t in texts), np.uint8)
     finish = np.cumsum(sizes + 1) - 1
-    symbols = data.astype(np.int64) + len(texts)
-    symbols[finish] = np.arange(len(texts))
+    symbols = data.astype(np.int32) + 1
+    symbols[finish] = 0
     n = len(symbols)
     order = suffix_order(symbols, np.repeat(finish, sizes + 1))
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
     before = (order - 1) % n
-    last = symbols[before]
+    last = symbols[before].astype(np.uint16)
     step = place[before]
     # The occurrence of the same symbol before each place of the transform; ends of texts have none.
     by = np.argsort(last, kind="stable")
     previous = np.full(n, -1)
-    same = last[by][1:] == last[by][:-1]
+    same = (last[by][1:] == last[by][:-1]) & (last[by][1:] > 0)
     previous[by[1:][same]] = by[:-1][same]
 
     heads = symbols[order]
-    known = np.r_[True, heads[1:] != heads[:-1]]
+    known = np.r_[True, (heads[1:] != heads[:-1]) | (heads[1:] == 0)]
     fresh = np.flatnonzero(known)
     usable = previous >= 0
     following = None
