@@ -24,6 +24,7 @@ from covenant.sources.objects import read_files, stat_files
 from covenant.streaming import federation as streams
 from covenant.streaming.progress import ProgressTable, merge_progress
 from covenant.streaming.reassembly import finished_files, reassemble
+from covenant.streaming.refresh import Refreshed
 from harness import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1069,6 +1070,15 @@ def drained_federation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""{_EVENT_DELIVERY} SELECT d.consumer AS consumer_id, d.topic, m.partition, d.pos AS "offset", reason,
+  CASE WHEN reason IS NULL THEN sha256(m.props) END AS payload_checksum FROM decisions d JOIN messages m ON m.pos = d.pos""")
+def federated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the drained stream from one batch over the same events."""
+    rows = views.event_messages(spark, sf_dir)
+    decided = federation.federate_decisions(rows, views.event_grants(spark), shape=messages.to_envelope)
+    return decided.select("consumer_id", "topic", "partition", "offset", "reason", "payload_checksum")
+
+
 @query(f"""{_EVENT_DELIVERY} SELECT d.consumer AS client, 'hub' AS server, d.topic, m.partition,
   max(d.pos) + 1 AS next_offset FROM decisions d JOIN messages m ON m.pos = d.pos WHERE reason IS NULL GROUP BY ALL""")
 def drained_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1079,6 +1089,86 @@ def drained_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.current().drop("run")
 
 
+@query(f"""{_EVENT_DELIVERY} SELECT d.consumer AS consumer_id, d.topic, m.partition, d.pos AS "offset", reason,
+  CASE WHEN reason IS NULL THEN sha256(m.props) END AS payload_checksum FROM decisions d JOIN messages m ON m.pos = d.pos""")
+def resumed_federation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drains over a table that grows in between give what one batch gives."""
+    root = scratch_path(spark, "resumed")
+    events = views.table(spark, sf_dir, "events")
+    grants = Refreshed(lambda: views.event_grants(spark))
+    for half in (0, 1):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).write.mode("append").parquet(f"{root}/events")
+        stream = views.as_event_messages(spark.readStream.schema(events.schema).parquet(f"{root}/events"))
+        streams.run_federation(stream, grants, f"{root}/sink", f"{root}/checkpoint").awaitTermination()
+    return streams.read_sink(spark, f"{root}/sink").select(
+        "consumer_id", "topic", "partition", "offset", "reason", "payload_checksum"
+    )
+
+
+def _inbound(spark: SparkSession, sf_dir: str, action: str, times: int) -> DataFrame:
+    """Envelopes received ``times`` times over, in several micro-batches, verified and stored."""
+    root = scratch_path(spark, "inbound")
+    envelopes = views.envelopes(spark, sf_dir)
+    progress = ProgressTable(spark, f"{root}/progress")
+    writer = streams.inbound_writer(
+        f"{root}/sink", client="c", server="s", on_mismatch=action, progress=progress, exact=times > 1
+    )
+    for _ in range(times):
+        # Offsets arrive in no order.
+        envelopes.repartition(3, F.xxhash64("offset")).write.mode("append").parquet(f"{root}/envelopes")
+        stream = spark.readStream.schema(envelopes.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/envelopes")
+        streams.drain(stream, writer, f"{root}/checkpoint")
+    stored = streams.read_sink(spark, f"{root}/sink")
+    return stored.select("topic", "offset", "checksum_status", "skipped")
+
+
+@query(f"""WITH {_ENVELOPES} SELECT topic, pos AS "offset", status AS checksum_status, status = 'FAIL' AS skipped FROM envelopes""")
+def drained_inbound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inbound(spark, sf_dir, "SKIP", 1)
+
+
+@query(f"""WITH {_ENVELOPES} SELECT topic, pos AS "offset", status AS checksum_status, false AS skipped FROM envelopes""")
+def redelivered_inbound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything is delivered twice and stored once."""
+    return _inbound(spark, sf_dir, "LOG_ONLY", 2)
+
+
+@query(f"""WITH {_REFERENCES} SELECT k AS file_sequence_id, source AS topic, reason, NULL::VARCHAR AS checksum FROM checked
+    WHERE reason IS NOT NULL
+  UNION ALL SELECT k, c.source, CASE WHEN k % 7 = 0 THEN 'FETCH' END, CASE WHEN k % 7 <> 0 THEN sha256(text) END
+    FROM checked c JOIN documents ON doc_id = k WHERE reason IS NULL""")
+def drained_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File references as a stream: chunks of those that can be read, rejects of the others; the stream goes on."""
+    root = scratch_path(spark, "file-requests")
+    written(views.file_reference_messages(spark, sf_dir), f"{root}/references")
+    given = views.table(spark, sf_dir, "documents").select(
+        F.col("doc_id"), F.when(F.col("doc_id") % 7 != 0, F.encode("text", "UTF-8")).alias("content")
+    )
+
+    def contents(valid: DataFrame) -> DataFrame:
+        named = valid.select("uri", F.regexp_extract("uri", r"(\d+)[.]txt$", 1).try_cast("bigint").alias("doc_id")).distinct()
+        return named.join(given, "doc_id").select("uri", "content", F.lit(None).cast("string").alias("error"))
+
+    writer = streams.file_outbound_writer(
+        contents,
+        f"{root}/chunks",
+        f"{root}/rejects",
+        listing=lambda requests: views.file_listing(spark, sf_dir),
+        chunk_size=1000,
+        azure_account="acct",
+    )
+    references = spark.read.parquet(f"{root}/references")
+    stream = spark.readStream.schema(references.schema).parquet(f"{root}/references")
+    streams.drain(stream, writer, f"{root}/checkpoint")
+    built = files.assemble_files(
+        streams.read_sink(spark, f"{root}/chunks"), by=["topic", "partition"], large_files=True, repeats=False
+    )
+    rejects = streams.read_sink(spark, f"{root}/rejects")
+    return rejects.select("file_sequence_id", "topic", "reason", F.lit(None).cast("string").alias("checksum")).union(
+        built.select("file_sequence_id", "topic", F.lit(None).cast("string"), "actual_checksum")
+    )
+
+
 @query(f"""WITH {_FILES} SELECT k AS file_sequence_id, name AS file_name, total::BIGINT AS chunk_count,
   size AS actual_size, sha256(content) AS actual_checksum, sha256(content) AS file_checksum FROM sized""")
 def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
