@@ -5,8 +5,8 @@ have equal anchors, and the windows of a text fall into runs that share one; the
 whose anchor occurs more than once can hold repeated windows. Equal segments are one variant, and all windows of a variant
 that occurs twice are repeated. Variants of one anchor that differ are compared in a Burrows-Wheeler transform of many
 anchors' variants at a time: breadth-first backward extension finds common prefixes by increasing length and stops at the
-least length, so what is still open then is repeated. An anchor with more bytes of variants than a task should hold is
-settled by grouping the hashes of its windows instead.
+least length, so what is still open then is repeated. An anchor with more bytes of variants than a transform should hold is
+settled by the hashes of its windows instead: in its task up to a bound, beyond it by grouping them across tasks.
 """
 
 from __future__ import annotations
@@ -25,9 +25,11 @@ from covenant.session import scratch_path, written
 
 LENGTH = 400
 GRAM = 200
-#: Bytes of variants in one transform, and the most that variants of one anchor may have to be in one.
+#: Bytes of variants in one transform, the most that variants of one anchor may have to be in one, and the most that one
+#: task holds of an anchor.
 TRANSFORM_BYTES = 1 << 20
 ANCHOR_BYTES = 1 << 20
+TASK_BYTES = 16 << 20
 #: Anchors a task gathers before it sorts out those it has seen twice.
 GATHER = 2_000_000
 
@@ -296,32 +298,60 @@ def as_ranges(places: np.ndarray, reach: int = 1) -> bytes:
     return np.stack([places[np.r_[0, breaks + 1]], places[np.r_[breaks, len(places) - 1]] + reach], axis=1).astype("<u4").tobytes()
 
 
-def _transform(length: int):
+def repeated_windows(variants: list[tuple], length: int) -> list[np.ndarray]:
+    """As :func:`repeated_starts`, by the hashes (128 bits) of all windows; 16 bytes a window are held."""
+    rooms = np.array([len(v[3]) - length + 1 for v in variants])
+    hashed = b"".join(
+        xxhash.xxh3_128_digest(data[i : i + length]) for (*_, data), room in zip(variants, rooms, strict=True) for i in range(room)
+    )
+    pairs = np.frombuffer(hashed, "<i8").reshape(-1, 2)
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    same = (pairs[order[1:]] == pairs[order[:-1]]).all(axis=1)
+    again = np.zeros(len(pairs), bool)
+    again[order[1:]] = same
+    again[order[:-1]] |= same
+    edges = np.cumsum(rooms)
+    return [np.flatnonzero(part) for part in np.split(again, edges[:-1])]
+
+
+def _transform(length: int, anchor_bytes: int):
     """Arrow map: variants in order of anchor to the ranges of their repeated windows, some anchors at a time."""
 
-    def settle(held: list[tuple]) -> pa.RecordBatch:
-        found = repeated_starts([h[3] for h in held], length)
+    def settle(held: list[tuple], found: list[np.ndarray]) -> pa.RecordBatch:
         keep = [i for i, places in enumerate(found) if len(places)]
         return pa.RecordBatch.from_arrays(
             [pa.array([held[i][1] for i in keep], pa.int64()), pa.array([held[i][2] for i in keep], pa.int64()), pa.array([as_ranges(found[i]) for i in keep], pa.binary())],
             names=["v1", "v2", "ranges"],
         )
 
+    def size(variants: list[tuple]) -> int:
+        return sum(len(v[3]) for v in variants)
+
     def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+        ready: list[tuple] = []
+        now: list[tuple] = []
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            """The variants of one anchor are complete."""
+            if size(now) > anchor_bytes:
+                yield settle(now, repeated_windows(now, length))
+            else:
+                ready.extend(now)
+            if size(ready) > TRANSFORM_BYTES:
+                yield settle(ready, repeated_starts([v[3] for v in ready], length))
+                ready.clear()
+
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("anchor", "v1", "v2", "bytes")]
             for variant in zip(*columns, strict=True):
-                if held and held[-1][:3] == variant[:3]:
-                    continue  # equal rows bring the same variant
-                if size > TRANSFORM_BYTES and held[-1][0] != variant[0]:
-                    yield settle(held)
-                    held, size = [], 0
-                held.append(variant)
-                size += len(variant[3])
-        if held:
-            yield settle(held)
+                if now and now[-1][0] != variant[0]:
+                    yield from finish()
+                    now = []
+                if not now or now[-1][:3] != variant[:3]:  # equal rows bring the same variant
+                    now.append(variant)
+        yield from finish()
+        if ready:
+            yield settle(ready, repeated_starts([v[3] for v in ready], length))
 
     return transform
 
@@ -391,7 +421,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, anchor_bytes: int = ANCHOR_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts anywhere else, in the same text or another.
 
     Returns the columns of ``docs`` (doc_id, text and any others; of the names added here, its own are replaced) and
@@ -437,14 +467,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     shape = "anchor bigint, v1 bigint, v2 bigint, n bigint, bytes binary"
 
     def fetched(wide: bool) -> DataFrame:
-        chosen = wanted.withColumn("wanted", F.filter("all", lambda v: (v["size"] > anchor_bytes) == F.lit(wide))).where("size(wanted) > 0")
+        chosen = wanted.withColumn("wanted", F.filter("all", lambda v: (v["size"] > task_bytes) == F.lit(wide))).where("size(wanted) > 0")
         return candidates.select("row", "text").join(chosen.select("row", "wanted"), "row").mapInArrow(_fetch(length), shape)
 
     narrow = (
-        fetched(False).repartition("anchor").sortWithinPartitions("anchor", "v1", "v2").mapInArrow(_transform(length), "v1 bigint, v2 bigint, ranges binary")
+        fetched(False).repartition("anchor").sortWithinPartitions("anchor", "v1", "v2").mapInArrow(_transform(length, anchor_bytes), "v1 bigint, v2 bigint, ranges binary")
     )
     found = narrow
-    if varied.where(F.col("size") > anchor_bytes).limit(1).count():
+    if varied.where(F.col("size") > task_bytes).limit(1).count():
         windows = written(
             fetched(True).dropDuplicates(["anchor", "v1", "v2"]).mapInArrow(_windows(length), "v1 bigint, v2 bigint, n bigint, at bigint, h1 bigint, h2 bigint"),
             scratch_path(spark, "windows"),

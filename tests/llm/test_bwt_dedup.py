@@ -28,10 +28,12 @@ def check(found):
     return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.collect())
 
 
-@pytest.mark.parametrize("length, gram, limit", [(400, 200, bwt_dedup.ANCHOR_BYTES), (60, 20, 1)])
-def test_matches_brute_force(spark, length, gram, limit):
-    # With the limit of 1 every anchor is settled by its windows' hashes.
-    found = bwt_dedup.remove_repeated_bytes(documents(spark), length, gram, limit)
+@pytest.mark.parametrize(
+    "length, gram, limits", [(400, 200, (bwt_dedup.ANCHOR_BYTES, bwt_dedup.TASK_BYTES)), (60, 20, (1, 1 << 20)), (60, 20, (1, 1))]
+)
+def test_matches_brute_force(spark, length, gram, limits):
+    # With limits of 1 every anchor is settled by its windows' hashes, in its task or across tasks.
+    found = bwt_dedup.remove_repeated_bytes(documents(spark), length, gram, *limits)
     assert check(found) == brute_force(texts(), length)
     assert "row" in found.columns
 
@@ -63,6 +65,10 @@ def test_expansion_finds_all_repeats(length, wide):
         counts = Counter(p[i : i + length] for p in parts for i in range(len(p) - length + 1))
         wanted = [[i for i in range(len(p) - length + 1) if counts[p[i : i + length]] > 1] for p in parts]
         assert [x.tolist() for x in bwt_dedup.repeated_starts(parts, length, wide)] == wanted
+        long = [(0, 0, 0, p) for p in parts if len(p) >= length]
+        if long:
+            wanted = [w for w, p in zip(wanted, parts, strict=True) if len(p) >= length]
+            assert [x.tolist() for x in bwt_dedup.repeated_windows(long, length)] == wanted
 
 
 def test_anchors_cover_every_window_once():
