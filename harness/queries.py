@@ -147,17 +147,21 @@ def label_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""WITH parts AS (
-    SELECT doc_id, i, trim(unnest(string_split(text, ','))) AS part, i AS n
-    FROM (SELECT doc_id, 0 AS i, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM documents)),
-  numbered AS (SELECT doc_id, part, row_number() OVER (PARTITION BY doc_id) AS n FROM parts WHERE part <> ''),
-  cut AS (SELECT doc_id, n, part, least(nullif(strpos(part, '='), 0), nullif(strpos(part, ':'), 0)) AS c FROM numbered),
-  pairs AS (SELECT doc_id, n, upper(trim(substr(part, 1, c - 1))) AS k, upper(trim(substr(part, c + 1))) AS v FROM cut)
-  SELECT d.doc_id, coalesce(bool_or(n IS NOT NULL AND (coalesce(k, '') = '' OR coalesce(v, '') = '')), false) AS malformed
-  FROM documents d LEFT JOIN pairs p ON p.doc_id = d.doc_id GROUP BY d.doc_id""")
+@query(r"""WITH parts AS (SELECT doc_id, unnest(string_split(text, ',')) AS part, unnest(range(len(string_split(text, ',')))) AS n
+    FROM documents),
+  cleaned AS (SELECT doc_id, n, regexp_replace(part, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS part FROM parts),
+  cut AS (SELECT doc_id, n, part, least(nullif(strpos(part, '='), 0), nullif(strpos(part, ':'), 0)) AS c FROM cleaned WHERE part <> ''),
+  pairs AS (SELECT doc_id, n, upper(regexp_replace(substr(part, 1, c - 1), '[\x00-\x20]+$', '')) AS k,
+    upper(regexp_replace(substr(part, c + 1), '^[\x00-\x20]+', '')) AS v FROM cut),
+  judged AS (SELECT doc_id, bool_or(coalesce(k, '') = '' OR coalesce(v, '') = '') AS malformed FROM pairs GROUP BY doc_id),
+  last AS (SELECT doc_id, k, arg_max(v, n) AS v FROM pairs GROUP BY doc_id, k),
+  listed AS (SELECT doc_id, string_agg(k || '=' || v, ',' ORDER BY k || '=' || v) AS entries FROM last GROUP BY doc_id)
+  SELECT d.doc_id, coalesce(malformed, false) AS malformed, CASE WHEN malformed THEN '' ELSE coalesce(entries, '') END AS entries
+  FROM documents d LEFT JOIN judged j ON j.doc_id = d.doc_id LEFT JOIN listed l ON l.doc_id = d.doc_id""")
 def label_parsing_of_prose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select(
-        "doc_id", parse_label(F.regexp_replace("text", "[\r\n]", " "))["malformed"].alias("malformed")
+    label = parse_label(F.col("text"))
+    return views.table(spark, sf_dir, "documents").select("doc_id", label.alias("label")).select(
+        "doc_id", F.col("label.malformed").alias("malformed"), text_pairs(F.col("label.entries")).alias("entries")
     )
 
 
@@ -479,9 +483,11 @@ def ordered_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.ordered_delivery(sent).select("consumer_id", "topic", "offset", "position")
 
 
+_CONSUMERS = sorted({consumer for _, _, consumer, _ in views.POLICY})
+
+
 @query(f"""{DECISIONS}, asked AS (
-    SELECT DISTINCT consumer, m.topic FROM (SELECT DISTINCT consumer FROM policy) p, (SELECT DISTINCT topic FROM messages) m
-    WHERE (ascii(right(m.topic, 1)) + length(consumer)) % 2 = 0),
+    SELECT DISTINCT {_CONSUMERS}[(pos // 7) % {len(_CONSUMERS)} + 1] AS consumer, topic FROM messages),
   asked_rules AS (SELECT a.consumer, a.topic, p.name, p.value FROM asked a JOIN policy p ON p.consumer = a.consumer
     AND p.has_attribute AND (lower(p.topic) = lower(a.topic) OR lower(p.product) = lower(a.topic)))
   SELECT a.consumer AS consumer_id, a.topic, m.pos AS "offset" FROM asked a JOIN messages m ON m.topic = a.topic
@@ -492,12 +498,10 @@ def federate_requests_without_grant(spark: SparkSession, sf_dir: str) -> DataFra
     """Requested topics of known consumers without a topic grant, as file references are handed out on request."""
     rows = message_source.security_label(views.messages(spark, sf_dir))
     policy = views.grants(spark)
-    # Both sides are distinct names: the policy's consumers and the topics.
-    consumers = policy.select("consumer_id").distinct()
-    topics = rows.select("topic").distinct()
-    asked = topics.withColumn("odd", F.ascii(F.right("topic", F.lit(1))) % 2).join(
-        consumers.withColumn("odd", F.length("consumer_id") % 2), "odd"
-    )
+    # Every seven messages another consumer asks for their topics.
+    names = F.array(*[F.lit(c) for c in _CONSUMERS])
+    place = F.pmod(F.floor(F.col("offset") / 7), F.lit(len(_CONSUMERS))) + 1
+    asked = rows.select(F.element_at(names, place.cast("int")).alias("consumer_id"), "topic").distinct()
     sent = federation.federate(rows, policy, requests=asked, require_topic_grant=False)
     return sent.select("consumer_id", "topic", "offset")
 
