@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -23,26 +24,33 @@ CAPACITY = 2048
 TOLERANCE = 32
 #: Appended to every document.
 END_ID = 1
-#: Words whose ids a worker remembers.
-REMEMBERED = 700_000
+#: Words whose ids a task remembers.
+REMEMBERED = 400_000
 
 #: The splitting pattern of the public byte-level vocabulary, for texts of the characters below.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Outside these the classes of Python's patterns and of the tokenizer's could differ, so such texts are encoded whole.
 _OTHER = re.compile("[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿-ɏ]")
 
-_ENCODERS: dict[str, Encoder] = {}
+_TOKENIZERS: dict[str, Any] = {}
+
+
+def tokenizer(path: str) -> Any:
+    """The worker's tokenizer for a vocabulary file."""
+    from tokenizers import Tokenizer
+
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = Tokenizer.from_file(path)
+        _TOKENIZERS[path].encode_special_tokens = True
+    return _TOKENIZERS[path]
 
 
 class Encoder(dict):
-    """Ids of a word as little-endian bytes, remembered up to a bound."""
+    """Ids of a word as little-endian bytes, remembered up to a bound, and no longer than the task."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = tokenizer(path)
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
@@ -57,13 +65,6 @@ class Encoder(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, _PIECES.findall(text))), "<u4")
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def cut_lengths(n: int, capacity: int = CAPACITY, tolerance: int = TOLERANCE) -> list[int]:
     """Lengths of the pieces of a document of n ids, in order."""
     lengths = [capacity] * (n // capacity)
@@ -137,7 +138,7 @@ def _pack(path: str, capacity: int, with_ids: bool):
         return pa.RecordBatch.from_pydict(columns)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(path)
+        known = Encoder(path)
         # Each task numbers its sequences in a range of its own.
         packer = Packer(TaskContext.get().partitionId() << 36, capacity)
         end = np.array([END_ID], "<u4")
