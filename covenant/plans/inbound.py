@@ -18,7 +18,7 @@ from covenant.operators.files import (
 )
 from covenant.operators.joins import keyed_join
 from covenant.operators.versions import first_failures, held_back, next_counters, plan_versions, store_until_first_failure
-from covenant.session import written
+from covenant.session import check_reachable, written
 from covenant.sinks.files import publish_files, write_files, write_large_files
 
 
@@ -41,14 +41,18 @@ def land_files(
     work: str,
     *,
     block_chunks: int = BLOCK_CHUNKS,
+    mounted: bool = False,
 ) -> Landing:
-    """Store the files of some runs below ``root``.
+    """Store the files of some runs below ``root``. On a cluster that is a store, a folder below the shared one, or, with
+    ``mounted``, a path that all machines have mounted.
 
     ``chunks`` has the chunk columns and ``run``; ``destinations`` gives ``run, destination``. Everything that is used
     more than once is a table below ``work`` (a folder all executors reach), so lost executors repeat little and no
     file is stored by a plan that is evaluated twice. Files are stored under a staging name, in any order, and moved
     to their names only up to the first failure of their run.
     """
+    spark = chunks.sparkSession
+    check_reachable(root, spark.sparkContext.master, spark.conf.get("spark.checkpoint.dir", None), mounted=mounted)
     assembled = verify_files(assemble_files(chunks, block_chunks, by=["run"]))
     received = written(
         keyed_join(assembled, destinations, ["run"], spread=["file_sequence_id"]), f"{work}/received"

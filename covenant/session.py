@@ -38,6 +38,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def check_reachable(root: str, master: str, shared: str | None, *, mounted: bool = False) -> None:
+    """Refuse a local folder that the executors of a cluster do not share: files staged there by one machine could not be
+    published by another. ``mounted`` says that the folder is a mount that all of them have."""
+    path, inside = (x and x.removeprefix("file://").removeprefix("file:").rstrip("/") for x in (root, shared))
+    on_machine = root.startswith(("file:", "/"))
+    if on_machine and not mounted and not master.startswith(("local[", "local ")) and master != "local":
+        if not inside or not (path == inside or path.startswith(f"{inside}/")):
+            raise ValueError(f"{root} is a folder of one machine; name one that all executors share, or say it is mounted")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"

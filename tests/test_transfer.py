@@ -13,6 +13,7 @@ from covenant.plans import outbound
 from covenant.plans.inbound import land_files
 from covenant.plans.outbound import outbound_files
 from covenant.schemas import GRANTS_DOCUMENT, MESSAGE
+from covenant.session import check_reachable
 from covenant.sinks.files import publish_files, write_files, write_large_files
 from covenant.sinks.messages import write_messages
 from covenant.sources import messages as source
@@ -209,6 +210,27 @@ def next_ids(landing):
     return {r["run"]: r["next_sequence_id"] for r in landing.progress.collect()}
 
 
+@pytest.mark.parametrize(
+    "root, master, mounted, fine",
+    [
+        ("file:/data/in", "local[4]", False, True),
+        ("file:/data/in", "spark://h:7077", False, False),
+        ("/data/in", "yarn", False, False),
+        ("/data/in", "yarn", True, True),
+        ("file:///shared/run/in", "yarn", False, True),
+        ("file:/shared-not/in", "yarn", False, False),
+        ("s3a://box/in", "yarn", False, True),
+    ],
+)
+def test_folders_of_one_machine_are_refused_on_a_cluster(root, master, mounted, fine):
+    try:
+        check_reachable(root, master, "file:/shared", mounted=mounted)
+    except ValueError:
+        assert not fine
+    else:
+        assert fine
+
+
 def test_an_unfinished_file_is_read_again(spark, work):
     landing = landing_of(spark, work, {"a": [1, 2, 3]}, {"a": "in/s-o-p.txt"}, {}, "NOT (file_sequence_id = 2 AND is_last_chunk)")
     assert next_ids(landing) == {"a": 2}
