@@ -27,11 +27,11 @@ LENGTH = 400
 GRAM = 200
 #: Bytes of variants in one transform, the most that variants of one anchor may have to be in one, and the most that one
 #: task holds of an anchor.
-TRANSFORM_BYTES = 1 << 20
-ANCHOR_BYTES = 1 << 20
-TASK_BYTES = 16 << 20
+TRANSFORM_BYTES = 1 << 19
+ANCHOR_BYTES = 1 << 19
+TASK_BYTES = 8 << 20
 #: Anchors a task gathers before it sorts out those it has seen twice.
-GATHER = 2_000_000
+GATHER = 300_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -201,27 +201,31 @@ def suffix_order(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
     n = len(symbols)
     # Seven symbols in one number to begin with; nothing is read past an end.
     key, inside, reach = np.zeros(n, np.int64), np.ones(n, bool), 7
-    padded = np.r_[symbols.astype(np.int64), np.zeros(reach, np.int64)]
+    padded = np.r_[symbols, np.zeros(reach, symbols.dtype)]
     for i in range(reach):
         inside &= padded[i : i + n] > 0
-        key = (key << 9) | np.where(inside, padded[i : i + n], 0)
+        key <<= 9
+        key |= np.where(inside, padded[i : i + n], 0)
     order = np.argsort(key)
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[order] = _first_of_equals(key[order])
+    del key, inside, padded, order
     finish = np.flatnonzero(symbols == 0)
     rank[finish] = np.arange(len(finish))
-    open_ = np.flatnonzero(symbols > 0)
+    open_ = np.flatnonzero(symbols > 0).astype(np.int32)
     while True:
         sizes = np.bincount(rank, minlength=n)
         open_ = open_[sizes[rank[open_]] > 1]
+        del sizes
         if not len(open_):
-            out = np.empty(n, np.int64)
-            out[rank] = np.arange(n)
+            out = np.empty(n, np.int32)
+            out[rank] = np.arange(n, dtype=np.int32)
             return out
         own = rank[open_]
-        pair = own * n + rank[np.minimum(open_ + reach, ends[open_])]
+        pair = own.astype(np.int64) * n + rank[np.minimum(open_ + reach, ends[open_])]
         by = np.argsort(pair)
         own, pair, places = own[by], pair[by], open_[by]
+        del by
         # Ranks are the first place of the group, so groups that are settled keep theirs.
         rank[places] = own + _first_of_equals(pair) - _first_of_equals(own)
         reach *= 2
@@ -230,7 +234,7 @@ def suffix_order(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _first_of_equals(values: np.ndarray) -> np.ndarray:
     """For each of some sorted values the first place of its equals."""
     first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
-    return np.repeat(first, np.diff(np.r_[first, len(values)]))
+    return np.repeat(first.astype(np.int32), np.diff(np.r_[first, len(values)]))
 
 
 def repeated_starts(texts: list[bytes], length: int, wide_levels: int = 6) -> list[np.ndarray]:
@@ -243,20 +247,23 @@ def repeated_starts(texts: list[bytes], length: int, wide_levels: int = 6) -> li
     sizes = np.array([len(t) for t in texts])
     data = np.frombuffer(b"".join(t + b"\0" for t in texts), np.uint8)
     finish = np.cumsum(sizes + 1) - 1
-    symbols = data.astype(np.int32) + 1
+    symbols = data.astype(np.int16) + np.int16(1)
     symbols[finish] = 0
     n = len(symbols)
-    order = suffix_order(symbols, np.repeat(finish, sizes + 1))
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    order = suffix_order(symbols, np.repeat(finish.astype(np.int32), sizes + 1))
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     before = (order - 1) % n
     last = symbols[before].astype(np.uint16)
     step = place[before]
+    del place, before
     # The occurrence of the same symbol before each place of the transform; ends of texts have none.
     by = np.argsort(last, kind="stable")
-    previous = np.full(n, -1)
-    same = (last[by][1:] == last[by][:-1]) & (last[by][1:] > 0)
+    previous = np.full(n, -1, np.int32)
+    last = last[by]
+    same = (last[1:] == last[:-1]) & (last[1:] > 0)
     previous[by[1:][same]] = by[:-1][same]
+    del by, last, same
 
     heads = symbols[order]
     known = np.r_[True, (heads[1:] != heads[:-1]) | (heads[1:] == 0)]
@@ -265,7 +272,7 @@ def repeated_starts(texts: list[bytes], length: int, wide_levels: int = 6) -> li
     following = None
     for level in range(length - 1):
         if level < wide_levels:
-            count = np.cumsum(known)
+            count = np.cumsum(known, dtype=np.int32)
             hit = usable & ~known[step]
             hit[hit] = count[hit.nonzero()[0]] > count[previous[hit]]
             fresh = step[hit]
@@ -273,8 +280,9 @@ def repeated_starts(texts: list[bytes], length: int, wide_levels: int = 6) -> li
             if not len(fresh):
                 break
             if following is None or level & (level - 1) == 0 or level % 48 == 0:
-                marks = np.where(known, np.arange(n), n)
-                following = np.r_[np.minimum.accumulate(marks[::-1])[::-1][1:], n]
+                marks = np.where(known, np.arange(n, dtype=np.int32), np.int32(n))
+                following = np.r_[np.minimum.accumulate(marks[::-1])[::-1][1:], np.int32(n)]
+                del marks
             runs = following[fresh] - fresh
             spots = np.repeat(fresh - np.r_[0, np.cumsum(runs)[:-1]], runs) + np.arange(runs.sum())
             begin = np.repeat(fresh, runs)
@@ -302,12 +310,13 @@ def repeated_windows(variants: list[tuple], length: int) -> list[np.ndarray]:
     """As :func:`repeated_starts`, by the hashes (128 bits) of all windows; 16 bytes a window are held."""
     rooms = np.array([len(v[3]) - length + 1 for v in variants])
     hashed = b"".join(
-        xxhash.xxh3_128_digest(data[i : i + length]) for (*_, data), room in zip(variants, rooms, strict=True) for i in range(room)
+        b"".join(xxhash.xxh3_128_digest(data[i : i + length]) for i in range(room))
+        for (*_, data), room in zip(variants, rooms, strict=True)
     )
-    pairs = np.frombuffer(hashed, "<i8").reshape(-1, 2)
-    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    same = (pairs[order[1:]] == pairs[order[:-1]]).all(axis=1)
-    again = np.zeros(len(pairs), bool)
+    one, two = np.frombuffer(hashed, "<i8").reshape(-1, 2).T
+    order = np.lexsort((two, one))
+    same = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
+    again = np.zeros(len(one), bool)
     again[order[1:]] = same
     again[order[:-1]] |= same
     edges = np.cumsum(rooms)
@@ -342,6 +351,7 @@ def _transform(length: int, anchor_bytes: int):
                 ready.clear()
 
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             columns = [batch.column(c).to_pylist() for c in ("anchor", "v1", "v2", "bytes")]
             for variant in zip(*columns, strict=True):
                 if now and now[-1][0] != variant[0]:
