@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import mix, row_key, signed, split_rows, text_slices
+from covenant.llm.common import mix, release_memory, row_key, signed, split_rows, text_slices
 from covenant.session import scratch_path, written
 
 LENGTH = 400
@@ -351,7 +351,7 @@ def _transform(length: int, anchor_bytes: int):
                 ready.clear()
 
         for batch in batches:
-            pa.default_memory_pool().release_unused()
+            release_memory()
             columns = [batch.column(c).to_pylist() for c in ("anchor", "v1", "v2", "bytes")]
             for variant in zip(*columns, strict=True):
                 if now and now[-1][0] != variant[0]:

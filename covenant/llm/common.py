@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -54,6 +55,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def release_memory() -> None:
+    """Give memory that arrays of this worker no longer use back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a text column: first row, end row, bytes, and offsets of the rows in them. Nulls are empty."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
@@ -71,6 +80,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         end = min(end, n)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
+    release_memory()
 
 
 @dataclass

@@ -141,7 +141,7 @@ def _predict(shared):
         place[model.codes] = np.arange(width, dtype=np.int16)
         for batch in batches:
             letter = batch.column("__letter").to_numpy(zero_copy_only=False)
-            names, scores = [], []
+            kept = [c for c in batch.schema.names if c != "__letter"]
             for first, end, data, offsets in text_slices(batch.column("text")):
                 n = end - first
                 present = np.zeros((n, width + 1), bool)
@@ -158,13 +158,12 @@ def _predict(shared):
                 best = found.argmax(axis=1)
                 sure = np.clip(found[np.arange(n), best], 0, 1).astype(float)
                 ok = letter[first:end]
-                names += [model.languages[b] if yes else UNDETERMINED for b, yes in zip(best, ok, strict=True)]
-                scores += list(np.where(ok, sure, 0.0))
-            kept = [c for c in batch.schema.names if c != "__letter"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*kept, "lang_pred", "score"],
-            )
+                names = [model.languages[b] if yes else UNDETERMINED for b, yes in zip(best, ok, strict=True)]
+                part = batch.slice(first, n)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in kept], pa.array(names, pa.string()), pa.array(np.where(ok, sure, 0.0))],
+                    names=[*kept, "lang_pred", "score"],
+                )
 
     return predict
 

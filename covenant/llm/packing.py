@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covenant.llm.common import release_memory
+
 CAPACITY = 2048
 #: A bin may waste one part in so many before a rest is cut.
 TOLERANCE = 32
@@ -151,6 +153,8 @@ def _pack(path: str, capacity: int, with_ids: bool):
         packer.finish()
         if packer.rows:
             yield batch_of(packer.rows)
+        del known, packer
+        release_memory()
 
     return pack
 

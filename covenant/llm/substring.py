@@ -74,7 +74,6 @@ def _sketch(cells: int, width: int, depth: int):
                     for row in range(depth):
                         found = gram_hashes(words.hashes, width, row + 1)[at]
                         parts[row].append(_cell(found, cells).astype(np.uint32))
-            pa.default_memory_pool().release_unused()
             if sum(map(len, parts[0])) > SKETCHED:
                 yield from emit(parts)
                 parts = [[] for _ in range(depth)]
@@ -153,7 +152,6 @@ def _candidates(bits, cells: int, width: int, depth: int):
         held, amount = [], 0
         sketch = np.frombuffer(bits.value, np.uint8).reshape(depth, -1)
         for batch in batches:
-            pa.default_memory_pool().release_unused()
             keys = batch.column("row").to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").fill_null(int(_LAST)).to_numpy(zero_copy_only=False)
             for first, end, data, offsets in text_slices(batch.column("text")):
