@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import Words, held_out, row_key, signed, split_words, text_slices
+from covenant.llm.common import Words, held_out, row_key, signed, small_batches, split_words, text_slices
 from covenant.session import scratch_path, written
 
 UNIT_SHARE = 4_000
@@ -225,6 +225,7 @@ class Model:
 def train(docs: DataFrame, number: int = CLASSES, sweeps: int = SWEEPS) -> Model:
     """Fit on all rows of ``docs`` (text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     counts = written(
         docs.select("text").mapInArrow(_count_words, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")),
         scratch_path(spark, "words"),
@@ -309,6 +310,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     with one added to every count) and score (this model), both log10. A null text is empty: its only token is the end.
     Equal rows get equal results."""
     spark = docs.sparkSession
+    small_batches(spark)
     keyed = docs.select(row_key("doc_id", "text").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     memory = (model.known, np.log10(model.known_counts + 1.0), model.units, model.classes, model.transitions, model.emission)
     shared = spark.sparkContext.broadcast(memory)

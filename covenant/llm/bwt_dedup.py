@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import mix, release_memory, row_key, signed, split_rows, text_slices
+from covenant.llm.common import mix, release_memory, row_key, signed, small_batches, split_rows, text_slices
 from covenant.session import scratch_path, written
 
 LENGTH = 400
@@ -440,6 +440,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     judged on the input. Repeated rows are each other's repetition. ``gram`` must not exceed ``length``.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     keyed = docs.withColumn("__row", row_key("doc_id", "text"))
     texts = keyed.select(F.col("__row").alias("row"), "text")

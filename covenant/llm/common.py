@@ -18,6 +18,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Texts are handled in slices of about this many bytes, so that temporary arrays stay small.
 SLICE_BYTES = 1 << 20
 
+BATCH_ROWS = 1_000
+
 #: Words longer than this are hashed one by one.
 LONG_WORD = 256
 
@@ -55,6 +57,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python workers in batches of at most BATCH_ROWS rows, for the session's queries from now on: batches are
+    held by the executor and the worker at once, and Spark's usual size is meant for numbers."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(setting))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
+
 def release_memory() -> None:
     """Give memory that arrays of this worker no longer use back to the system: workers live on between tasks."""
     pa.default_memory_pool().release_unused()

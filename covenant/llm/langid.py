@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from covenant.llm.common import held_out, text_slices
+from covenant.llm.common import held_out, small_batches, text_slices
 
 #: Bound of the labelled sample, over all languages; languages get equal shares.
 SAMPLE = 2400
@@ -172,6 +172,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred`` (a learned language, or ``und`` for null texts and texts without a letter) and ``score``
     (the regression's value for it, cut to 0..1). Only ``text`` is looked at, and all of it. Columns of these names are
     replaced; all others pass through. Ties go to the language that sorts first; without a model all is ``und``."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     if not model.languages:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import gram_hashes, in_filter, mix, row_filter, row_key, signed, split_words, text_slices
+from covenant.llm.common import gram_hashes, in_filter, mix, row_filter, row_key, signed, small_batches, split_words, text_slices
 from covenant.llm.components import components
 from covenant.session import scratch_path, written
 
@@ -236,6 +236,7 @@ def near_duplicates(
     rows without one are linked with nothing and kept, with a null component.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = band_rows(percent, bands, miss)
     keyed = docs.select(row_key("doc_id", "text").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     described = written(

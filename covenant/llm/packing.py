@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import release_memory
+from covenant.llm.common import release_memory, small_batches
 
 CAPACITY = 2048
 #: A bin may waste one part in so many before a rest is cut.
@@ -170,5 +170,6 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: b
     """
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
     schema += ", ids array<int>" if with_ids else ""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return rows.mapInArrow(_pack(vocabulary, capacity, with_ids), schema)

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import gram_hashes, gram_starts, row_key, signed, split_rows, split_words, text_slices
+from covenant.llm.common import gram_hashes, gram_starts, row_key, signed, small_batches, split_rows, split_words, text_slices
 from covenant.session import scratch_path, written
 
 #: Words of a window.
@@ -324,6 +324,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
     worker.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.drop("kept_text", "n_words", "n_removed", "kept_sha256")
     keyed = docs.withColumn("__row", row_key("doc_id", "text"))
     rows = keyed.select(F.col("__row").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
