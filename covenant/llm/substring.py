@@ -31,9 +31,11 @@ DEPTH = 2
 CELLS_PER_WINDOW = 3
 MAX_CELLS = 1 << 29
 BLOCK = 1 << 22
-#: Windows a task gathers for a part of the sketch, and windows or flags it gathers before it passes them on.
+#: Windows a task gathers for a part of the sketch, windows it gathers before it settles them, and flags (12 bytes each) it
+#: gathers before it passes them on, a row per document.
 SKETCHED = 4_000_000
 GATHER = 400_000
+FLAGS = 2_000_000
 
 _LAST = np.int64(np.iinfo(np.int64).max)
 
@@ -259,7 +261,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((k[over], p[over].view(np.uint64) & np.uint64(0xFFFFFFFF)))
             amount += int(over.sum())
         window, check, first = w[-1], c[-1], least[-1]
-        if amount > GATHER:
+        if amount > FLAGS:
             yield from flush()
             held, amount = [], 0
     yield from flush()
