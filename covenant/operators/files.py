@@ -313,6 +313,26 @@ def fold_repeats(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def file_blocks(chunks: DataFrame, block_chunks: int = BLOCK_CHUNKS, *, by: Sequence[str] = ()) -> DataFrame:
+    """The bytes of files in one form for all sizes: runs of ``block_chunks`` chunks, in the order of ``block_index``.
+
+    Repeated chunks are folded as in :func:`fold_repeats`, by the one shuffle that brings a block together. No job runs
+    before. Files whose marker is missing have their blocks, too, but no row in :func:`file_facts`.
+    """
+    keys = [*_keys(by), "block_index"]
+    dealt = chunks.withColumn("file_name", base_name(F.col("file_name"))).withColumn(
+        "block_index", block_of(F.col("chunk_index"), block_chunks)
+    )
+    values = ("chunk_data", "total_chunks", "file_size", "file_checksum")
+    single = dealt.repartition(*keys).groupBy(*keys, "is_last_chunk", "chunk_index").agg(*[F.max(c).alias(c) for c in values])
+    return single.groupBy(*keys).agg(*_parts())
+
+
+def file_facts(blocks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """One row per finished file of :func:`file_blocks`, of any size: counts, expected and actual size and digest, no bytes."""
+    return file_digests(blocks, by=by).drop("content")
+
+
 def _shape(chunks: DataFrame, block_chunks: int, by: Sequence[str]) -> tuple[bool, bool]:
     """Whether there are files above the block size, and repeated chunks. Reads no payload."""
     keys = [*by, "file_sequence_id", base_name(F.col("file_name")), "is_last_chunk", "chunk_index"]
@@ -334,7 +354,8 @@ def assemble_files(
     """Finished files (those whose marker arrived), with expected and actual size and digest.
 
     Files of up to ``block_chunks`` chunks are joined into ``content`` with one shuffle. Larger ones keep their bytes
-    in :func:`assemble_blocks` and have null ``content`` here. Every chunk of a transfer states the same total, which
+    in :func:`assemble_blocks` and have null ``content`` here; :func:`file_blocks` and :func:`file_facts` give one form
+    for all sizes. Every chunk of a transfer states the same total, which
     decides. Repeated chunks are folded first. ``large_files`` and ``repeats`` say whether any exist; left out, one
     job over the chunk numbers finds out, so that the payload is not shuffled twice for nothing. ``by`` names columns
     that tell files with equal ids and names apart.

@@ -815,15 +815,27 @@ _RECEIVED = f"""{_FILES}, received AS (SELECT *, total - (k % 97 = 0 AND total >
   size AS file_size, sha256(content) AS file_checksum, octet_length(actual) AS actual_size, sha256(actual) AS actual_checksum
   FROM received WHERE k % 89 <> 0""")
 def assemble_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = files.assemble_files(_received(spark, sf_dir), block_chunks=8)
-    return built.drop("content", "block_count")
+    """Size and digest are those of the bytes returned, of small files and of files of many blocks alike."""
+    keys = ["file_sequence_id", "file_name"]
+    blocks = files.file_blocks(_received(spark, sf_dir), block_chunks=8)
+    content = F.expr("listagg(content) WITHIN GROUP (ORDER BY block_index)")
+    whole = blocks.groupBy(*keys).agg(content.alias("content"))
+    return files.file_facts(blocks).drop("block_count", "actual_size", "actual_checksum").join(whole, keys).select(
+        *keys,
+        "chunk_count",
+        "total_chunks",
+        "file_size",
+        "file_checksum",
+        F.octet_length("content").cast("bigint").alias("actual_size"),
+        F.sha2("content", 256).alias("actual_checksum"),
+    )
 
 
 @query(f"""WITH {_RECEIVED} SELECT k AS file_sequence_id, name AS file_name, NOT (k % 97 = 0 AND size > 0) AS checksum_ok,
   NOT (k % 97 = 0 AND size > 0) AS size_ok, CASE WHEN k % 97 = 0 AND size > 0 THEN 'CHECKSUM_MISMATCH' END AS error
   FROM received WHERE k % 89 <> 0""")
 def verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = files.verify_files(files.assemble_files(_received(spark, sf_dir)))
+    checked = files.verify_files(files.file_facts(files.file_blocks(_received(spark, sf_dir))))
     return checked.select("file_sequence_id", "file_name", "checksum_ok", "size_ok", "error")
 
 
@@ -842,7 +854,7 @@ def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN k % 97 = 0 AND size > 0 THEN 0 ELSE size END::BIGINT AS output_bytes,
   CASE WHEN k % 97 = 0 AND size > 0 THEN 'FAIL -- exception' ELSE 'PASS' END AS match FROM received WHERE k % 89 <> 0""")
 def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = files.verify_files(files.assemble_files(_received(spark, sf_dir)))
+    checked = files.verify_files(files.file_facts(files.file_blocks(_received(spark, sf_dir))))
     destination = F.when(F.col("file_sequence_id") % 2 == 0, "in/s-o-p.nt").otherwise("in/other.nt")
     return messages.file_report(checked, destination, F.lit("hub")).drop(
         "storage_provider", "expected_checksum", "actual_checksum", "exception", "checksum_status"

@@ -63,6 +63,20 @@ def test_blocks_hold_every_byte(chunks):
         assert b"".join(parts) == data and max(map(len, parts)) <= 16
 
 
+@pytest.mark.parametrize("block_chunks", [1, 2, 64])
+def test_one_form_for_all_sizes(chunks, block_chunks):
+    blocks = files.file_blocks(chunks.unionAll(chunks).orderBy(F.rand(5)), block_chunks)
+    facts = files.verify_files(files.file_facts(blocks))
+    assert "content" not in facts.columns
+    parts = {(b["file_sequence_id"], b["block_index"]): bytes(b["content"]) for b in blocks.collect()}
+    found = {r["file_sequence_id"]: r for r in facts.collect()}
+    for key, (_, data) in CONTENTS.items():
+        assert b"".join(parts[k] for k in sorted(parts) if k[0] == key) == data
+        row = found[key]
+        assert (row["actual_checksum"], row["actual_size"], row["error"]) == (sha(data), len(data), None)
+        assert row["chunk_count"] == row["total_chunks"] == -(-len(data) // 8)
+
+
 @pytest.mark.parametrize("block_chunks", [2, 64])
 def test_repeated_chunks_count_once(chunks, block_chunks):
     built = files.verify_files(files.assemble_files(chunks.unionAll(chunks).unionAll(chunks), block_chunks))
