@@ -108,15 +108,16 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray, fold: bool) -> Words:
-    """Words separated by space, tab, line breaks, vertical tab or form feed; ``fold`` lower-cases A-Z first."""
+def split_words(data: np.ndarray, offsets: np.ndarray, fold: bool, inside: np.ndarray | None = None) -> Words:
+    """Words separated by space, tab, line breaks, vertical tab or form feed, or made of the bytes that a table of 256 marks
+    as ``inside``; ``fold`` lower-cases A-Z first."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), none, none, np.zeros(len(offsets), np.int64))
     if fold:
         data = _FOLD[data]
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13))) if inside is None else inside[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[1:-1]

@@ -14,8 +14,11 @@ from covenant.llm import (
     chat,
     decontaminate,
     langid,
+    licenses,
+    merkle,
     near_dup,
     packing,
+    spelling,
     sql,
     substring,
     warc,
@@ -152,3 +155,21 @@ def op4_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query(sql.MANIFEST)
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.verify(table(spark, sf_dir, "documents"), tampered=third)
+
+
+@query(sql.LICENCES)
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query(sql.VARIANTS)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(table(spark, sf_dir, "documents"), drop_every=97)
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
