@@ -211,7 +211,7 @@ def fold(leaf: str, path: list[tuple[str, str]]) -> str:
 
 
 def _siblings(give):
-    """Cogroup of the children of a block with the block: ``give`` makes columns of their paths, lowest level first."""
+    """Cogroup of the children of a block with the block: ``give`` makes a table of their paths, lowest level first."""
 
     def retrieve(children: pa.Table, blocks: pa.Table) -> pa.Table:
         if not blocks.num_rows:
@@ -244,14 +244,23 @@ def _descend(children: DataFrame, blocks: DataFrame, give, schema: str) -> DataF
     return children.groupBy("tree", number).cogroup(blocks.groupBy("tree", "block")).applyInArrow(_siblings(give), schema)
 
 
+_PATHS = "tree string, block bigint, proof binary, subroot string"
+
+
 def _give_path(children: pa.Table, block: dict, paths: list) -> pa.Table:
-    packed = pa.array([pack_path(p) for p in paths], pa.binary())
-    return pa.table({"tree": children.column("tree").cast(pa.string()), "block": children.column("position"), "proof": packed})
+    return pa.table(
+        {
+            "tree": children.column("tree").cast(pa.string()),
+            "block": children.column("position"),
+            "proof": pa.array([pack_path(p) for p in paths], pa.binary()),
+            "subroot": pa.array([block["subroot"]] * len(paths), pa.string()),
+        }
+    )
 
 
 def block_paths(trees: Trees, above: DataFrame) -> DataFrame:
-    """The lowest blocks with ``proof``: the way from the block's root up through its tree and on by ``above`` (tree, proof),
-    from the top tier down."""
+    """The lowest blocks with ``proof``, the way from the block's root up through its tree and on by ``above`` (tree, proof,
+    subroot), and their tree's ``subroot``, from the top tier down."""
     spark = above.sparkSession
     paths = None
     for tier in range(len(trees.tiers) - 1, -1, -1):
@@ -267,13 +276,14 @@ def block_paths(trees: Trees, above: DataFrame) -> DataFrame:
         found = written(found, scratch_path(spark, "paths"))
         below = _levels_above(F.col("leaves")) > BLOCK_LEVELS * tier
         children = trees.tiers[tier - 1].where(below).select("tree", F.col("block").alias("position"))
-        paths = written(_descend(children, found, _give_path, "tree string, block bigint, proof binary"), scratch_path(spark, "paths"))
+        paths = written(_descend(children, found, _give_path, _PATHS), scratch_path(spark, "paths"))
     raise AssertionError
 
 
 def _give_proofs(claims: bool):
     def give(children: pa.Table, block: dict, paths: list) -> pa.Table:
         columns = {c: children.column(c) for c in children.column_names}
+        columns["subroot"] = pa.array([block["subroot"]] * len(paths), pa.string())
         columns["proof_sha256"] = pa.array([_hash("".join(a + b for a, b in p)) for p in paths], pa.string())
         if claims:
             leaves = children.column("claim").to_pylist()
@@ -312,24 +322,31 @@ def build(rows: DataFrame) -> Manifest:
 def _group_paths(manifest: Manifest) -> DataFrame:
     """(tree, proof) of every group: the way from its root to the root of all."""
     spark = manifest.groups.sparkSession
-    root = spark.createDataFrame([(_TOP, b"")], "tree string, proof binary")
+    root = spark.createDataFrame([(_TOP, b"", None)], "tree string, proof binary, subroot string")
 
     def give(children: pa.Table, block: dict, paths: list) -> pa.Table:
-        return pa.table({"tree": children.column("group").cast(pa.string()), "proof": pa.array([pack_path(p) for p in paths], pa.binary())})
+        return pa.table(
+            {
+                "tree": children.column("group").cast(pa.string()),
+                "proof": pa.array([pack_path(p) for p in paths], pa.binary()),
+                "subroot": children.column("leaf").cast(pa.string()),
+            }
+        )
 
-    return written(_descend(manifest.groups, block_paths(manifest.top, root), give, "tree string, proof binary"), scratch_path(spark, "groups"))
+    found = _descend(manifest.groups, block_paths(manifest.top, root), give, "tree string, proof binary, subroot string")
+    return written(found, scratch_path(spark, "groups"))
 
 
 def proofs(manifest: Manifest, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (tree, position and others) with ``proof_sha256``, the digest of the siblings' hex digests from the leaf to
-    the root of all, level by level and left to right.
+    """``wanted`` (tree, position and others) with ``subroot``, the root of their tree, and ``proof_sha256``, the digest of the
+    siblings' hex digests from the leaf to the root of all, level by level and left to right.
 
     With a column ``claim`` (the digest a leaf is said to have) comes ``folded_root``, the root that the claim and the siblings
     make; without it, ``proof``, which ``read_path`` reads. Positions that are in no block are an error.
     """
     claims = "claim" in wanted.columns
-    own = wanted.drop("proof_sha256", "folded_root", "proof")
-    extra = {"proof_sha256": F.lit(""), "folded_root" if claims else "proof": F.lit("" if claims else b"")}
+    own = wanted.drop("subroot", "proof_sha256", "folded_root", "proof")
+    extra = {"subroot": F.lit(""), "proof_sha256": F.lit(""), "folded_root" if claims else "proof": F.lit("" if claims else b"")}
     schema = own.withColumns(extra).schema
     return _descend(own, block_paths(manifest.trees, _group_paths(manifest)), _give_proofs(claims), schema)
 
@@ -353,9 +370,7 @@ def verify(docs: DataFrame, group: str = "lang", key: str = "doc_id", fields: Se
     placed = numbered(rows, ["key", "leaf"])
     manifest = build(placed.select("tree", "position", "leaf", "leaves"))
     found = proofs(manifest, placed.drop("leaves"))
-    # Groups may be many; their roots are joined, not sent along with every block.
-    subroots = manifest.trees.roots.select("tree", F.col("root").alias("subroot"))
-    return found.join(subroots, "tree").select(
+    return found.select(
         F.col("key").alias(key),
         "leaf",
         "subroot",
