@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -160,51 +159,58 @@ def _keys(by: Sequence[str]) -> list[str]:
     return [*by, *_FILE_KEYS]
 
 
+_VALUES = ("chunk_data", "total_chunks", "file_size", "file_checksum")
+
+
 def _parts() -> list[Column]:
     last = F.col("is_last_chunk")
     return [
         F.expr(f"coalesce({_JOINED}, X'')").alias("content"),
-        F.count_if(~last).alias("chunk_count"),
+        F.count_if(~last).cast("bigint").alias("chunk_count"),
         F.max(F.when(last, F.col("chunk_index"))).alias("marker_index"),
         F.max("total_chunks").alias("total_chunks"),
         F.max("file_size").alias("file_size"),
         F.max(F.when(last, F.col("file_checksum"))).alias("file_checksum"),
+        F.count_if("conflict").cast("bigint").alias("conflicting"),
     ]
 
 
+def _one_copy(keys: Sequence[str], chunks: DataFrame) -> DataFrame:
+    """One of the copies of every chunk, as a whole: of copies that differ the greatest, and ``conflict`` is true."""
+    copy = F.struct(*_VALUES)
+    picked = chunks.groupBy(*keys, "is_last_chunk", "chunk_index").agg(
+        F.max(copy).alias("__copy"), (F.min(copy) != F.max(copy)).alias("conflict")
+    )
+    return picked.select(*keys, "is_last_chunk", "chunk_index", "__copy.*", "conflict")
+
+
 def block_of(chunk_index: Column, block_chunks: int) -> Column:
     """Block of a chunk. A marker after a full block makes an empty block of its own, so full blocks need not wait."""
     return F.floor(chunk_index / F.lit(block_chunks)).cast("int")
 
 
-def assemble_blocks(chunks: DataFrame, block_chunks: int = BLOCK_CHUNKS, *, by: Sequence[str] = ()) -> DataFrame:
-    """Join runs of ``block_chunks`` chunks. ``by`` names columns that tell files with equal ids and names apart.
-
-    A block never grows with its file, so a file holding most of the rows spreads over all tasks.
-    """
-    named = chunks.withColumn("file_name", base_name(F.col("file_name"))).withColumn(
-        "block_index", block_of(F.col("chunk_index"), block_chunks)
-    )
-    return named.groupBy(*_keys(by), "block_index").agg(*_parts())
-
-
 def file_digests(blocks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """Size and digest of finished files from their blocks, read in order with one block in memory at a time.
 
-    SHA-256 is sequential, so a file is one pass; its blocks were joined in parallel before. Missing blocks or chunks
-    show as a wrong size and digest; a repeated block is read once.
+    SHA-256 is sequential, so a file is one pass; its blocks were joined in parallel before. A block that is a whole file may
+    bring its ``digest`` and no content. Missing blocks or chunks show as a wrong size and digest; a repeated block is read
+    once.
     """
     keys = _keys(by)
+    given = {f.name for f in blocks.schema.fields}
     ordered = (
         blocks.select(
             *keys,
             "block_index",
             "content",
+            (F.col("size") if "size" in given else F.octet_length("content")).cast("bigint").alias("size"),
+            (F.col("digest") if "digest" in given else F.lit(None)).cast("string").alias("digest"),
             F.col("chunk_count").cast("bigint").alias("chunk_count"),
             "marker_index",
             "total_chunks",
             "file_size",
             "file_checksum",
+            (F.col("conflicting") if "conflicting" in given else F.lit(0)).cast("bigint").alias("conflicting"),
         )
         .repartition(*keys)
         .sortWithinPartitions(*keys, "block_index")
@@ -214,25 +220,36 @@ def file_digests(blocks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
 
 
 _DIGEST_FIELDS = [
-    T.StructField("content", T.BinaryType()),
     T.StructField("chunk_count", T.LongType()),
     T.StructField("block_count", T.IntegerType()),
     T.StructField("total_chunks", T.IntegerType()),
     T.StructField("file_size", T.LongType()),
     T.StructField("file_checksum", T.StringType()),
+    T.StructField("conflicting", T.LongType()),
     T.StructField("actual_size", T.LongType()),
     T.StructField("actual_checksum", T.StringType()),
 ]
 _DIGEST_ARROW = [
-    ("content", pa.binary()),
     ("chunk_count", pa.int64()),
     ("block_count", pa.int32()),
     ("total_chunks", pa.int32()),
     ("file_size", pa.int64()),
     ("file_checksum", pa.string()),
+    ("conflicting", pa.int64()),
     ("actual_size", pa.int64()),
     ("actual_checksum", pa.string()),
 ]
+_BLOCK_FACTS = (
+    "block_index",
+    "size",
+    "digest",
+    "chunk_count",
+    "marker_index",
+    "total_chunks",
+    "file_size",
+    "file_checksum",
+    "conflicting",
+)
 
 
 class _OpenFile:
@@ -241,36 +258,42 @@ class _OpenFile:
     def __init__(self, key: tuple) -> None:
         self.key = key
         self.digest = hashlib.sha256()
-        self.size = self.chunks = self.blocks = 0
+        self.known = None
+        self.size = self.chunks = self.blocks = self.conflicting = 0
         self.finished = False
         self.last_block = None
         self.total_chunks = self.file_size = self.checksum = None
 
-    def add(self, block: dict) -> None:
-        if block["block_index"] == self.last_block:
+    def add(self, facts: dict, content: pa.Scalar) -> None:
+        if facts["block_index"] == self.last_block:
             return
-        self.last_block = block["block_index"]
-        content = block["content"] or b""
-        self.digest.update(content)
-        self.size += len(content)
-        self.chunks += block["chunk_count"]
+        self.last_block = facts["block_index"]
+        if facts["digest"] is None:
+            self.digest.update(content.as_buffer() or b"")
+        else:
+            self.known = facts["digest"]
+        self.size += facts["size"] or 0
+        self.chunks += facts["chunk_count"]
         self.blocks += 1
-        self.total_chunks = _larger(self.total_chunks, block["total_chunks"])
-        self.file_size = _larger(self.file_size, block["file_size"])
-        if block["marker_index"] is not None:
-            self.finished, self.checksum = True, block["file_checksum"]
+        self.conflicting += facts["conflicting"]
+        self.total_chunks = _larger(self.total_chunks, facts["total_chunks"])
+        self.file_size = _larger(self.file_size, facts["file_size"])
+        if facts["marker_index"] is not None:
+            self.finished, self.checksum = True, facts["file_checksum"]
 
     def row(self, names: Sequence[str]) -> dict:
+        # Blocks after a whole one are leftovers of copies that differed in their length: no digest fits them.
+        whole = self.known is not None and self.blocks == 1
         return {
             **dict(zip(names, self.key)),
-            "content": None,
             "chunk_count": self.chunks,
             "block_count": self.blocks,
             "total_chunks": self.total_chunks,
             "file_size": self.file_size,
             "file_checksum": self.checksum,
+            "conflicting": self.conflicting,
             "actual_size": self.size,
-            "actual_checksum": self.digest.hexdigest(),
+            "actual_checksum": self.known if whole else self.digest.hexdigest(),
         }
 
 
@@ -284,14 +307,15 @@ def _block_folder(keys: Sequence[str]):
         for batch in batches:
             schema = pa.schema([batch.schema.field(k) for k in keys] + [pa.field(*f) for f in _DIGEST_ARROW])
             done = []
-            for i in range(batch.num_rows):
-                block = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                key = tuple(block[k] for k in keys)
+            facts = batch.select([*keys, *_BLOCK_FACTS]).to_pylist()
+            contents = batch.column("content")
+            for i, row in enumerate(facts):
+                key = tuple(row[k] for k in keys)
                 if current is None or current.key != key:
                     if current is not None and current.finished:
                         done.append(current.row(keys))
                     current = _OpenFile(key)
-                current.add(block)
+                current.add(row, contents[i])
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=schema)
         if current is not None and current.finished:
@@ -303,87 +327,47 @@ def _block_folder(keys: Sequence[str]):
 def fold_repeats(chunks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """One row per chunk of a file. Delivery is at least once, so copies of a chunk are not part of the file twice.
 
-    Of copies that differ the largest is kept and ``conflict`` is true.
+    Of copies that differ one is kept as a whole and ``conflict`` is true.
     """
-    named = chunks.withColumn("file_name", base_name(F.col("file_name")))
-    values = ("chunk_data", "total_chunks", "file_size", "file_checksum")
-    differ = [F.coalesce(F.min(c) != F.max(c), F.lit(False)) for c in values]
-    return named.groupBy(*_keys(by), "is_last_chunk", "chunk_index").agg(
-        *[F.max(c).alias(c) for c in values], reduce(lambda a, b: a | b, differ).alias("conflict")
-    )
+    return _one_copy(_keys(by), chunks.withColumn("file_name", base_name(F.col("file_name"))))
 
 
 def file_blocks(chunks: DataFrame, block_chunks: int = BLOCK_CHUNKS, *, by: Sequence[str] = ()) -> DataFrame:
     """The bytes of files in one form for all sizes: runs of ``block_chunks`` chunks, in the order of ``block_index``.
 
-    Repeated chunks are folded as in :func:`fold_repeats`, by the one shuffle that brings a block together. No job runs
-    before. Files whose marker is missing have their blocks, too, but no row in :func:`file_facts`.
+    A block never grows with its file, so a file holding most of the rows spreads over all tasks. ``by`` names columns that
+    tell files with equal ids and names apart. Repeated chunks are folded as in :func:`fold_repeats`, by the one shuffle that
+    brings a block together, and ``conflicting`` counts those whose copies differ; ``whole`` says that the block is its file,
+    and has its ``digest``. No job runs before. Files whose marker is missing have their blocks, too, but no row in :func:`file_facts`.
     """
     keys = [*_keys(by), "block_index"]
     dealt = chunks.withColumn("file_name", base_name(F.col("file_name"))).withColumn(
         "block_index", block_of(F.col("chunk_index"), block_chunks)
     )
-    values = ("chunk_data", "total_chunks", "file_size", "file_checksum")
-    single = dealt.repartition(*keys).groupBy(*keys, "is_last_chunk", "chunk_index").agg(*[F.max(c).alias(c) for c in values])
-    return single.groupBy(*keys).agg(*_parts())
+    blocks = _one_copy(keys, dealt.repartition(*keys)).groupBy(*keys).agg(*_parts())
+    whole = F.coalesce(F.col("marker_index") < block_chunks, F.lit(False))
+    return blocks.withColumn("whole", whole).withColumn("digest", F.when(F.col("whole"), F.sha2("content", 256)))
 
 
 def file_facts(blocks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
-    """One row per finished file of :func:`file_blocks`, of any size: counts, expected and actual size and digest, no bytes."""
-    return file_digests(blocks, by=by).drop("content")
+    """One row per finished file of :func:`file_blocks`, of any size: counts, expected and actual size and digest, no bytes.
 
+    A file of one block is digested where the block is, and only its facts go on; the bytes of the others are read in order.
+    """
+    bytes_left = F.when(~F.col("whole"), F.col("content"))
+    return file_digests(blocks.withColumns({"size": F.octet_length("content"), "content": bytes_left}), by=by)
 
-def _shape(chunks: DataFrame, block_chunks: int, by: Sequence[str]) -> tuple[bool, bool]:
-    """Whether there are files above the block size, and repeated chunks. Reads no payload."""
-    keys = [*by, "file_sequence_id", base_name(F.col("file_name")), "is_last_chunk", "chunk_index"]
-    per_chunk = chunks.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("copies"), F.max("total_chunks").alias("total")
-    )
-    most = per_chunk.agg(F.max("total").alias("total"), F.max("copies").alias("copies")).first()
-    return (most["total"] or 0) > block_chunks, (most["copies"] or 0) > 1
 
+def assemble_files(chunks: DataFrame, block_chunks: int = BLOCK_CHUNKS, *, by: Sequence[str] = ()) -> DataFrame:
+    """Finished files (those whose marker arrived) of any size, with expected and actual size and digest; their bytes are in
+    :func:`file_blocks`. ``by`` names columns that tell files with equal ids and names apart."""
+    return file_facts(file_blocks(chunks, block_chunks, by=by), by=by)
 
-def assemble_files(
-    chunks: DataFrame,
-    block_chunks: int = BLOCK_CHUNKS,
-    *,
-    by: Sequence[str] = (),
-    large_files: bool | None = None,
-    repeats: bool | None = None,
-) -> DataFrame:
-    """Finished files (those whose marker arrived), with expected and actual size and digest.
-
-    Files of up to ``block_chunks`` chunks are joined into ``content`` with one shuffle. Larger ones keep their bytes
-    in :func:`assemble_blocks` and have null ``content`` here; :func:`file_blocks` and :func:`file_facts` give one form
-    for all sizes. Every chunk of a transfer states the same total, which
-    decides. Repeated chunks are folded first. ``large_files`` and ``repeats`` say whether any exist; left out, one
-    job over the chunk numbers finds out, so that the payload is not shuffled twice for nothing. ``by`` names columns
-    that tell files with equal ids and names apart.
-    """
-    if large_files is None or repeats is None:
-        found = _shape(chunks, block_chunks, by)
-        large_files = found[0] if large_files is None else large_files
-        repeats = found[1] if repeats is None else repeats
-    single = fold_repeats(chunks, by=by) if repeats else chunks
-    is_large = F.coalesce(F.col("total_chunks") > block_chunks, F.lit(False))
-    small = (single.where(~is_large) if large_files else single).withColumn(
-        "file_name", base_name(F.col("file_name"))
-    )
-    joined = small.groupBy(*_keys(by)).agg(*_parts()).where("marker_index IS NOT NULL")
-    whole = joined.select(
-        *_keys(by),
-        "content",
-        F.col("chunk_count").cast("bigint").alias("chunk_count"),
-        F.lit(1).alias("block_count"),
-        "total_chunks",
-        "file_size",
-        "file_checksum",
-        F.octet_length("content").cast("bigint").alias("actual_size"),
-        F.sha2("content", 256).alias("actual_checksum"),
-    )
-    if not large_files:
-        return whole
-    return whole.unionByName(file_digests(assemble_blocks(single.where(is_large), block_chunks, by=by), by=by))
+
+def joined_blocks(blocks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """The ``content`` of files as one value each, for files that a row can hold."""
+    content = F.expr("listagg(content) WITHIN GROUP (ORDER BY block_index)")
+    return blocks.groupBy(*_keys(by)).agg(content.alias("content"))
 
 
 def verify_files(assembled: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ def number_rows(
     number: str = "row_number",
     total: str = "group_rows",
     width: int = 100_000,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group by ``order`` (a whole number) and the group's size.
+    """Add the 1-based position of each row in its group by ``order`` (a whole number), then ``ties``, and the group's size.
 
     The order column is cut into ranges of ``width`` values. Ranges are numbered on their own, each starting where the
     row counts of the ranges before it end, so the largest sort is one range of one group and only the counts of a
@@ -33,7 +34,7 @@ def number_rows(
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"),
         F.sum("__rows").over(whole).alias(total),
     )
-    local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy(*groups).orderBy(order)))
+    local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy(*groups).orderBy(order, *ties)))
     return (
         local.join(starts, groups)
         .withColumn(number, F.col("__start") + F.col("__local"))

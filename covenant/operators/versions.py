@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covenant.functions.naming import product_key, unversioned_destination, versioned_destination
@@ -13,16 +13,17 @@ from covenant.operators.ranking import number_rows
 
 
 def plan_versions(
-    files: DataFrame, counters: DataFrame, *, width: int = 100_000, salt: bool = False
+    files: DataFrame, counters: DataFrame, *, width: int = 100_000, salt: bool = False, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Final destination of every file of a run.
 
     ``files`` has ``destination, file_name, file_sequence_id``; ``counters`` has ``product_key, counter``. A product's
-    only file keeps the plain name; two or more get the versions after its counter, in sequence order.
+    only file keeps the plain name; two or more get the versions after its counter, in sequence order. ``ties`` orders files
+    with equal sequence ids, as those of several partitions have.
     """
     keyed = files.withColumn("product_key", product_key(F.col("destination")))
     numbered = number_rows(
-        keyed, ["product_key"], "file_sequence_id", number="__position", total="run_files", width=width
+        keyed, ["product_key"], "file_sequence_id", number="__position", total="run_files", width=width, ties=ties
     )
     counted = keyed_join(
         numbered, counters, ["product_key"], how="left", spread=["file_sequence_id"], salt=salt
@@ -40,24 +41,34 @@ def plan_versions(
     )
 
 
-def first_failures(results: DataFrame, run_keys: Sequence[str] = ("run",)) -> DataFrame:
-    """Lowest failed sequence id of each run that had a failure."""
-    return results.where(~F.col("ok")).groupBy(*run_keys).agg(F.min("file_sequence_id").alias("failed_at"))
+def _place(order: Sequence[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def first_failures(
+    results: DataFrame, run_keys: Sequence[str] = ("run",), *, order: Sequence[str] = ("file_sequence_id",)
+) -> DataFrame:
+    """Lowest failed sequence id of each run that had a failure; with several columns of ``order``, the lowest place."""
+    return results.where(~F.col("ok")).groupBy(*run_keys).agg(F.min(_place(order)).alias("failed_at"))
 
 
 def store_until_first_failure(
-    results: DataFrame, run_keys: Sequence[str] = ("run",), *, salt: bool = False
+    results: DataFrame,
+    run_keys: Sequence[str] = ("run",),
+    *,
+    salt: bool = False,
+    order: Sequence[str] = ("file_sequence_id",),
 ) -> DataFrame:
-    """Stored files a run may publish: those before its first failure."""
+    """Stored files a run may publish: those before its first failure in ``order``."""
     joined = keyed_join(
         results,
-        first_failures(results, run_keys),
+        first_failures(results, run_keys, order=order),
         list(run_keys),
         how="left",
         spread=["file_sequence_id"],
         salt=salt,
     )
-    return joined.where(F.col("failed_at").isNull() | (F.col("file_sequence_id") < F.col("failed_at"))).drop(
+    return joined.where(F.col("failed_at").isNull() | (_place(order) < F.col("failed_at"))).drop(
         "failed_at"
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,15 @@ def written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, as the session's filesystems see it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], path: str) -> DataFrame:
+    """The table an earlier attempt finished at ``path``, or else the one that ``make`` gives, written there."""
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.parquet(path)
+    return written(make(), path)

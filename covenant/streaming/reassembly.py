@@ -135,17 +135,17 @@ def reassemble(chunks: DataFrame, *, block_chunks: int = BLOCK_CHUNKS, timeout_m
 
 
 def finished_files(blocks: DataFrame) -> DataFrame:
-    """Files whose blocks have all been emitted, from the table of blocks: small ones as they are, large ones digested."""
+    """Facts of files whose blocks have all been emitted, from the table of blocks, which has the bytes."""
     kept = blocks.where("NOT abandoned")
     whole = kept.where("actual_checksum IS NOT NULL").dropDuplicates(_FILE)
     small = whole.select(
         *_FILE,
-        "content",
         "chunk_count",
         F.lit(1).alias("block_count"),
         "total_chunks",
         "file_size",
         "file_checksum",
+        F.lit(0).cast("bigint").alias("conflicting"),
         F.octet_length("content").cast("bigint").alias("actual_size"),
         "actual_checksum",
     )

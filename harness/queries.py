@@ -13,7 +13,7 @@ from covenant.functions import text as txt
 from covenant.functions.labels import parse_label
 from covenant.operators import counts, federation, feeds, files, grants, messages, snapshots, versions
 from covenant.operators import rdf as rdf_ops
-from covenant.plans.inbound import land_files
+from covenant.plans.inbound import Landing, land_files
 from covenant.plans.outbound import outbound_files as outbound_file_plan
 from covenant.plans.outbound import outbound_messages
 from covenant.sinks.files import write_files
@@ -817,10 +817,10 @@ _RECEIVED = f"""{_FILES}, received AS (SELECT *, total - (k % 97 = 0 AND total >
 def assemble_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size and digest are those of the bytes returned, of small files and of files of many blocks alike."""
     keys = ["file_sequence_id", "file_name"]
-    blocks = files.file_blocks(_received(spark, sf_dir), block_chunks=8)
-    content = F.expr("listagg(content) WITHIN GROUP (ORDER BY block_index)")
-    whole = blocks.groupBy(*keys).agg(content.alias("content"))
-    return files.file_facts(blocks).drop("block_count", "actual_size", "actual_checksum").join(whole, keys).select(
+    chunks = _received(spark, sf_dir)
+    whole = files.joined_blocks(files.file_blocks(chunks, block_chunks=8))
+    facts = files.assemble_files(chunks, block_chunks=8).drop("block_count", "actual_size", "actual_checksum")
+    return facts.join(whole, keys).select(
         *keys,
         "chunk_count",
         "total_chunks",
@@ -835,7 +835,7 @@ def assemble_files(spark: SparkSession, sf_dir: str) -> DataFrame:
   NOT (k % 97 = 0 AND size > 0) AS size_ok, CASE WHEN k % 97 = 0 AND size > 0 THEN 'CHECKSUM_MISMATCH' END AS error
   FROM received WHERE k % 89 <> 0""")
 def verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = files.verify_files(files.file_facts(files.file_blocks(_received(spark, sf_dir))))
+    checked = files.verify_files(files.assemble_files(_received(spark, sf_dir)))
     return checked.select("file_sequence_id", "file_name", "checksum_ok", "size_ok", "error")
 
 
@@ -854,7 +854,7 @@ def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN k % 97 = 0 AND size > 0 THEN 0 ELSE size END::BIGINT AS output_bytes,
   CASE WHEN k % 97 = 0 AND size > 0 THEN 'FAIL -- exception' ELSE 'PASS' END AS match FROM received WHERE k % 89 <> 0""")
 def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = files.verify_files(files.file_facts(files.file_blocks(_received(spark, sf_dir))))
+    checked = files.verify_files(files.assemble_files(_received(spark, sf_dir)))
     destination = F.when(F.col("file_sequence_id") % 2 == 0, "in/s-o-p.nt").otherwise("in/other.nt")
     return messages.file_report(checked, destination, F.lit("hub")).drop(
         "storage_provider", "expected_checksum", "actual_checksum", "exception", "checksum_status"
@@ -914,7 +914,7 @@ def outbound_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     chunks, deliveries, _ = outbound_file_plan(messages_in, grants, chunk_size=1000, work=f"{root}/work")
     sent = chunks.join(deliveries, ["topic", "partition", "file_sequence_id"])
-    built = files.assemble_files(sent, by=["consumer_id", "topic", "partition"], large_files=True, repeats=False)
+    built = files.assemble_files(sent, by=["consumer_id", "topic", "partition"])
     return built.select("consumer_id", "topic", "file_sequence_id", "actual_checksum")
 
 
@@ -1176,9 +1176,7 @@ def drained_file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     references = spark.read.parquet(f"{root}/references")
     stream = spark.readStream.schema(references.schema).parquet(f"{root}/references")
     streams.drain(stream, writer, f"{root}/checkpoint")
-    built = files.assemble_files(
-        streams.read_sink(spark, f"{root}/chunks"), by=["topic", "partition"], large_files=True, repeats=False
-    )
+    built = files.assemble_files(streams.read_sink(spark, f"{root}/chunks"), by=["topic", "partition"])
     rejects = streams.read_sink(spark, f"{root}/rejects")
     return rejects.select("file_sequence_id", "topic", "reason", F.lit(None).cast("string").alias("checksum")).union(
         built.select("file_sequence_id", "topic", F.lit(None).cast("string"), "actual_checksum")
@@ -1236,3 +1234,61 @@ def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring_index("uri", "/store/", -1).alias("name"),
         F.sha2("content", 256).alias("checksum"),
     )
+
+
+_PARTITIONED = f"""{_RECEIVED}, placed AS (SELECT r.*, lang || '-' || (doc_id // 60) AS run, source AS topic,
+    (k % 3)::INT AS "partition", k // 3 AS seq, k % 97 = 0 AND size > 0 AS bad
+    FROM received r JOIN documents ON doc_id = k % 1000000000),
+  good AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY seq, topic, "partition") AS rn, count(*) OVER (PARTITION BY run) AS n
+    FROM placed WHERE k % 89 <> 0 AND NOT bad),
+  failed AS (SELECT run, min((seq, topic, "partition")) AS stop FROM placed WHERE k % 89 <> 0 AND bad GROUP BY run),
+  out AS (SELECT g.* FROM good g LEFT JOIN failed f ON f.run = g.run WHERE stop IS NULL OR (seq, topic, "partition") < stop)"""
+
+
+def _partitioned_landing(spark: SparkSession, sf_dir: str) -> Landing:
+    """Files of several topics and partitions, whose offsets repeat, with one name; the attempt is repeated once."""
+    root = scratch_path(spark, "partitions")
+    key = F.col("file_sequence_id")
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    placed = _received(spark, sf_dir).join(docs, F.col("doc_id") == key % 1_000_000_000)
+    chunks = placed.select(
+        F.concat("lang", F.lit("-"), F.floor(F.col("doc_id") / 60).cast("string")).alias("run"),
+        F.col("source").alias("topic"),
+        (key % 3).cast("int").alias("partition"),
+        F.floor(key / 3).alias("file_sequence_id"),
+        F.lit("same.txt").alias("file_name"),
+        *[c for c in placed.columns if c not in ("file_sequence_id", "file_name", *docs.columns)],
+    )
+    chunks = written(chunks, f"{root}/chunks")
+    runs = chunks.select("run").distinct()
+    destinations = runs.withColumn("destination", F.concat(F.lit("in/"), "run", F.lit(".txt")))
+    counters = runs.select(F.col("run").alias("product_key"), F.lit(10).cast("bigint").alias("counter"))
+    store = f"{root}/store" if "://" in root or root.startswith("file:") else f"file:{root}/store"
+    land_files(chunks, destinations, counters, store, f"{root}/work", block_chunks=8)
+    moved_on = counters.withColumn("counter", F.col("counter") + 7)
+    return land_files(chunks, destinations, moved_on, store, f"{root}/work", block_chunks=8)
+
+
+@query(f"""WITH {_PARTITIONED} SELECT run, topic, "partition", seq AS file_sequence_id,
+  'in/' || run || CASE WHEN n > 1 THEN '-v' || (10 + rn) ELSE '' END || '.txt' AS name, sha256(content) AS checksum FROM out""")
+def landed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal offsets and equal names in several partitions, landed by an attempt that is repeated: one result a file."""
+    published = _partitioned_landing(spark, sf_dir).published
+    back = read_files(stat_files(published.where("ok")))
+    return published.join(back, "uri").select(
+        "run",
+        "topic",
+        "partition",
+        "file_sequence_id",
+        F.substring_index("uri", "/store/", -1).alias("name"),
+        F.sha2("content", 256).alias("checksum"),
+    )
+
+
+@query(f"""WITH {_PARTITIONED}, seen AS (SELECT p.run, p.topic, p."partition", p.seq, o.k IS NOT NULL AS done FROM placed p
+    LEFT JOIN out o ON o.k = p.k WHERE p.k % 89 <> 0 OR p.arrived > 0)
+  SELECT run, topic, "partition", least(max(seq) FILTER (done) + 1, min(seq) FILTER (NOT done)) AS next_sequence_id
+  FROM seen GROUP BY ALL""")
+def landed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every partition is read on after that."""
+    return _partitioned_landing(spark, sf_dir).progress

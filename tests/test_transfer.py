@@ -166,8 +166,10 @@ def test_files_stay_within_their_topic(spark, work, inline_bytes):
     )
     keys = ["topic", "partition", "file_sequence_id"]
     sent = chunks.join(deliveries, keys)
-    built = files.verify_files(files.assemble_files(sent, by=["consumer_id", "topic", "partition"])).collect()
-    found = {(r["consumer_id"], r["topic"], r["partition"]): bytes(r["content"]) for r in built}
+    by = ["consumer_id", "topic", "partition"]
+    built = files.verify_files(files.assemble_files(sent, by=by)).collect()
+    joined = files.joined_blocks(files.file_blocks(sent, by=by), by=by).collect()
+    found = {(r["consumer_id"], r["topic"], r["partition"]): bytes(r["content"]) for r in joined}
     assert found == {("ca", "ta", 0): wanted["ta", 0], ("ca", "ta", 1): wanted["ta", 1], ("cb", "tb", 0): wanted["tb", 0]}
     assert all(r["error"] is None for r in built) and rejects.count() == 0
 
@@ -243,6 +245,117 @@ def test_a_failed_publication_is_read_again_and_nothing_is_replaced(spark, work)
     assert {r["product_key"]: r["counter"] for r in landing.counters.collect()} == {"s-o-p": 13}
 
 
+def partitioned(spark, lost="false"):
+    """Two topics and two partitions with the same offsets and the same file names, in one run."""
+    places = [(t, p) for t in ("t/a", "t b") for p in (0, 1)]
+    rows = [("r", t, p, i, f"f{i}.txt", f"{t} {p} {i} ".encode() * i) for t, p in places for i in range(1, 4)]
+    table = spark.createDataFrame(
+        rows, "run string, topic string, partition int, file_sequence_id bigint, file_name string, content binary"
+    )
+    by = ["run", "topic", "partition"]
+    return {r[1:4]: r[5] for r in rows}, files.chunk_files(table, 7, by=by).where(f"NOT ({lost})")
+
+
+def land(spark, work, chunks, counter=0, **options):
+    return land_files(
+        chunks,
+        spark.createDataFrame([("r", "in/s-o-p.txt")], "run string, destination string"),
+        spark.createDataFrame([("s-o-p", counter)], "product_key string, counter bigint"),
+        f"file:{work}/store",
+        f"{work}/work",
+        block_chunks=2,
+        **options,
+    )
+
+
+def contents_of(landing):
+    return {
+        (r["topic"], r["partition"], r["file_sequence_id"]): open(r["uri"].removeprefix("file:"), "rb").read()
+        for r in landing.published.where("ok").collect()
+    }
+
+
+def place_of(rows):
+    return {(r["topic"], r["partition"]): r["next_sequence_id"] for r in rows.collect()}
+
+
+def test_equal_offsets_of_partitions_are_different_files(spark, work):
+    wanted, chunks = partitioned(spark)
+    landing = land(spark, work, chunks)
+    assert contents_of(landing) == wanted and landing.results.count() == landing.published.count() == len(wanted)
+    versions = [
+        (r["topic"], r["partition"], r["file_sequence_id"])
+        for r in landing.manifest.orderBy("version").collect()
+    ]
+    assert versions == sorted(wanted, key=lambda k: (k[2], k[0], k[1]))
+    assert place_of(landing.progress) == {(t, p): 4 for t in ("t/a", "t b") for p in (0, 1)}
+
+
+def test_a_failure_in_one_partition_ends_the_run_there(spark, work):
+    wanted, chunks = partitioned(spark, "topic = 't/a' AND partition = 0 AND file_sequence_id = 2 AND chunk_index = 0")
+    landing = land(spark, work, chunks)
+    before = {k for k in wanted if (k[2], k[0], k[1]) < (2, "t/a", 0)}
+    assert contents_of(landing) == {k: wanted[k] for k in before}
+    assert place_of(landing.progress) == {("t/a", 0): 2, ("t/a", 1): 2, ("t b", 0): 3, ("t b", 1): 3}
+    assert [r["counter"] for r in landing.counters.collect()] == [0]
+
+
+def test_a_repeated_attempt_follows_its_manifest(spark, work):
+    wanted, chunks = partitioned(spark)
+    first = land(spark, work, chunks, counter=5)
+    names = {tuple(r)[:4]: r["uri"] for r in first.manifest.collect()}
+    # The attempt ended while it was moving files: some are at their names, some are not, and nothing was reported.
+    moved = sorted(names.values())[::2]
+    for r in first.manifest.collect():
+        if r["uri"] not in moved:
+            os.rename(r["uri"].removeprefix("file:"), r["staged_uri"].removeprefix("file:"))
+    os.rename(f"{work}/work/published", f"{work}/lost")
+    again = land(spark, work, chunks.limit(0), counter=99)
+    assert {tuple(r)[:4]: r["uri"] for r in again.manifest.collect()} == names
+    assert contents_of(again) == wanted and not os.listdir(f"{work}/store/.staged")
+    # A foreign file at the place of one that was moved is not taken for it.
+    os.rename(f"{work}/work/published", f"{work}/lost-too")
+    with open(moved[0].removeprefix("file:"), "wb") as out:
+        out.write(b"foreign")
+    failed = land(spark, work, chunks).published.where("NOT ok").collect()
+    assert [r["target"] for r in failed] == [moved[0]] and "another file" in failed[0]["error"]
+
+
+def test_equal_targets_are_an_error_of_the_later_file(spark, work):
+    rows = [("a", 1, "x.txt", b"one"), ("b", 1, "x.txt", b"two"), ("c", 1, "y.txt", b"three")]
+    table = spark.createDataFrame(rows, "run string, file_sequence_id bigint, file_name string, content binary")
+    landing = land_files(
+        files.chunk_files(table, 2, by=["run"]),
+        spark.createDataFrame([("a", "in/"), ("b", "/in/x.txt"), ("c", "out/")], "run string, destination string"),
+        spark.createDataFrame([], "product_key string, counter bigint"),
+        f"file:{work}/store",
+        f"{work}/work",
+    )
+    assert {r["run"]: r["error"] for r in landing.results.collect()} == {"a": None, "b": "DUPLICATE_TARGET", "c": None}
+    assert open(f"{work}/store/in/x.txt", "rb").read() == b"one" and next_ids(landing) == {"a": 2, "b": 1, "c": 2}
+
+
+@pytest.mark.parametrize(
+    "provider, bucket, stored, progress",
+    [
+        ("S3", "box", "s3://box/in/s-o-p-v1.txt", 4),
+        ("GCP", "box", "gs://box/in/s-o-p-v1.txt", 4),
+        ("AZURE", "box", "azure://box/in/s-o-p-v1.txt", 4),
+        ("LOCAL", "", "in/s-o-p-v1.txt", 4),
+        ("S3", " ", None, 1),
+        ("GCP", "", None, 1),
+        ("AZURE", "", None, 4),
+    ],
+)
+def test_stores_are_named_and_a_blank_bucket_takes_nothing(spark, work, provider, bucket, stored, progress):
+    _, chunks = partitioned(spark)
+    landing = land(spark, work, chunks, provider=provider, bucket=bucket)
+    first = landing.published.where("version = 1").collect()
+    assert [r["stored"] for r in first] == ([stored] if progress > 1 else [])
+    assert set(place_of(landing.progress).values()) == {progress}
+    assert os.path.exists(f"{work}/store/in") == (stored is not None)
+
+
 def test_runs_of_one_product_wait_for_each_other(spark, work):
     lost = "NOT (run = 'a' AND file_sequence_id = 2 AND chunk_index = 0)"
     landing = landing_of(spark, work, {"a": [1, 2], "b": [1, 5]}, {"a": "in/s-o-p.txt", "b": "in/s-o-p.txt"}, {"s-o-p": 10}, lost)
