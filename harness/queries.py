@@ -13,6 +13,7 @@ from covenant.functions import text as txt
 from covenant.functions.labels import parse_label
 from covenant.operators import counts, federation, feeds, files, grants, messages, snapshots, versions
 from covenant.operators import rdf as rdf_ops
+from covenant.operators.rules import federate_classes
 from covenant.plans.inbound import Landing, land_files
 from covenant.plans.outbound import outbound_files as outbound_file_plan
 from covenant.plans.outbound import outbound_messages
@@ -1292,3 +1293,30 @@ def landed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every partition is read on after that."""
     return _partitioned_landing(spark, sf_dir).progress
+
+
+_GRANTED = """WITH m AS (SELECT doc_id, 't' || (doc_id % (SELECT count(*) FROM supplier) + 1) AS topic, doc_id % 29 = 0 AS bad,
+    CASE doc_id % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'F' END AS ls, CASE doc_id % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'N' WHEN 2 THEN 'R' END AS rf,
+    text FROM documents),
+  g AS (SELECT 't' || l_suppkey AS topic, 'c' || o_custkey AS consumer_id,
+    list(DISTINCT l_linestatus) FILTER (l_linenumber >= 2) AS ls, list(DISTINCT l_returnflag) FILTER (l_linenumber > 2) AS rf
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+  sent AS (SELECT consumer_id, m.* FROM m JOIN g ON g.topic = m.topic WHERE coalesce(len(g.ls), 0) + coalesce(len(g.rf), 0) = 0
+    OR (NOT bad AND (g.ls IS NULL OR g.ls = [m.ls]) AND (g.rf IS NULL OR g.rf = [m.rf])))"""
+
+
+@query(f"""{_GRANTED} SELECT consumer_id, topic, count(*) AS messages FROM sent GROUP BY ALL""")
+def federate_granted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to the consumers of a grants table of one row per order line and attribute, judged by class."""
+    routed = views.granted_messages(spark, sf_dir).drop("value")
+    return federation.delivered_counts(federate_classes(routed, views.grant_rows(spark, sf_dir)))
+
+
+@query(f"""{_GRANTED} SELECT topic, doc_id AS "offset", sha256(text) AS payload_checksum, count(*) AS consumers,
+  min(consumer_id) AS first_consumer FROM sent GROUP BY ALL""")
+def federate_granted_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message that anyone gets, shaped and digested once, with its consumers counted."""
+    sent = federate_classes(views.granted_messages(spark, sf_dir), views.grant_rows(spark, sf_dir), shape=messages.to_envelope)
+    return sent.groupBy("topic", "offset", "payload_checksum").agg(
+        F.count(F.lit(1)).alias("consumers"), F.min("consumer_id").alias("first_consumer")
+    )

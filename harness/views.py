@@ -187,6 +187,26 @@ def grant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def granted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as messages on the topics of :func:`grant_rows`, labelled with the states that order lines have."""
+    topics = table(spark, sf_dir, "supplier").select("s_suppkey")
+    number = F.col("doc_id") % F.lit(topics.count()) + 1
+    key = F.col("doc_id")
+    status = F.when(key % 3 == 0, "linestatus=O").when(key % 3 == 1, "linestatus : f")
+    flag = F.when(key % 4 == 0, "returnflag=A").when(key % 4 == 1, "returnflag=N").when(key % 4 == 2, "returnflag=R")
+    label = F.when(key % 29 == 0, "linestatus=").otherwise(F.concat_ws(",", F.lit("kind=order"), flag, status))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select(
+        F.concat(F.lit("t"), number.cast("string")).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("doc_id").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(None).cast("binary").alias("key"),
+        F.encode("text", "UTF-8").alias("value"),
+        F.array(header("Security-Label", label)).alias("headers"),
+    )
+
+
 def topic_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic request per order, by its customer."""
     return table(spark, sf_dir, "orders").select(
