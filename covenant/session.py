@@ -60,10 +60,27 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), found
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, as the session's filesystems see it."""
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
+    filesystem, found = _located(spark, path)
+    return filesystem.exists(found)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    filesystem, found = _located(spark, path)
+    return [s.getPath().getName() for s in filesystem.listStatus(found)] if filesystem.exists(found) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path and all below it."""
+    filesystem, found = _located(spark, path)
+    filesystem.delete(found, True)
 
 
 def settled(spark: SparkSession, make: Callable[[], DataFrame], path: str) -> DataFrame:

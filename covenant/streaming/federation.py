@@ -33,7 +33,7 @@ from covenant.operators.messages import (
 from covenant.plans.outbound import SEQUENCE, file_chunks
 from covenant.session import scratch_path, written
 from covenant.sources.objects import stat_files
-from covenant.streaming.progress import KEYS, ProgressTable, not_yet_delivered
+from covenant.streaming.progress import KEYS, DeliveredTable, ProgressTable, not_yet_delivered
 from covenant.streaming.refresh import Refreshed
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -121,16 +121,19 @@ def inbound_writer(
 ) -> BatchWriter:
     """Verify and store one micro-batch of envelopes.
 
-    ABORT raises before anything of the batch is written. ``exact`` drops rows whose position an earlier micro-batch wrote
-    to the sink; offsets may come late and in any order.
+    ABORT raises before anything of the batch is written. ``exact`` drops rows whose position an earlier micro-batch wrote;
+    offsets may come late and in any order. What was written is remembered as ranges beside the sink, so that a batch costs what
+    it holds, however many came before it.
     """
     action = mismatch_action(on_mismatch)
+    ranges = f"{sink.rstrip('/')}-delivered"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         named = batch.withColumns({"client": F.lit(client), "server": F.lit(server)})
         if exact:
             # What an earlier attempt at this batch wrote does not count.
-            named = not_yet_delivered(named, delivered_before(batch.sparkSession, sink, batch_id))
+            delivered = DeliveredTable(batch.sparkSession, ranges)
+            named = not_yet_delivered(named, delivered.ranges(before=batch_id))
         checked = with_checksum_status(named)
         if action == ABORT:
             abort_on_mismatch(checked)
@@ -146,8 +149,10 @@ def inbound_writer(
             checksum_report(rows, on_mismatch, F.lit(server), F.col("payload_bytes")).write.mode("overwrite").parquet(
                 batch_folder(reports, batch_id)
             )
+        rows = _read_batch(batch.sparkSession, stored, folder, [*KEYS, "offset"])
+        if exact:
+            delivered.commit(rows, batch_id)
         if progress is not None:
-            rows = _read_batch(batch.sparkSession, stored, folder, ["client", "server", "topic", "partition", "offset"])
             progress.commit(next_offsets(rows), batch_id)
 
     return write
@@ -213,15 +218,6 @@ def _object_writer(sink: str, rejects: str, chunk_size: int, azure_account: str
     return write
 
 
-def delivered_before(spark: SparkSession, sink: str, batch: int) -> DataFrame | None:
-    """Positions that earlier micro-batches wrote to a sink; None when there are none."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return None
-    written_before = spark.read.option("basePath", sink).parquet(sink).where(F.col("batch") < batch)
-    return written_before.select(*KEYS, "offset")
-
-
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     """Everything the micro-batches wrote."""
     return spark.read.option("basePath", sink).parquet(sink).drop("batch")

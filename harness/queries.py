@@ -23,7 +23,7 @@ from covenant.sinks.messages import for_target
 from covenant.sources import messages as message_source
 from covenant.sources.objects import read_files, stat_files
 from covenant.streaming import federation as streams
-from covenant.streaming.progress import ProgressTable, merge_progress
+from covenant.streaming.progress import DeliveredTable, ProgressTable, merge_progress
 from covenant.streaming.reassembly import finished_files, reassemble
 from covenant.streaming.refresh import Refreshed
 from harness import views
@@ -1320,3 +1320,42 @@ def federate_granted_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.groupBy("topic", "offset", "payload_checksum").agg(
         F.count(F.lit(1)).alias("consumers"), F.min("consumer_id").alias("first_consumer")
     )
+
+
+_RUNS = "event_id * 40 // (SELECT max(event_id) + 1 FROM events)"
+
+
+def _event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as 40 small runs of one client, written so that each run is read on its own."""
+    rows = views.event_messages(spark, sf_dir).select("topic", "partition", "offset")
+    end = rows.agg(F.max("offset") + 1).first()[0] or 1
+    run = F.expr(f"offset * 40 div {end}").alias("run")
+    path = scratch_path(spark, "runs")
+    rows.select(F.lit("c").alias("client"), F.lit("s").alias("server"), "*", run).write.partitionBy("run").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(f"""WITH runs AS (SELECT event_type AS topic, (user_id % 4)::INT AS partition, {_RUNS} AS run, max(event_id) + 1 AS n
+    FROM events GROUP BY ALL)
+  SELECT 'c' AS client, 's' AS server, topic, partition, arg_max(n, run) AS next_offset, max(run) AS run
+  FROM runs GROUP BY topic, partition""")
+def compacted_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress of many small batches, folded into snapshots on the way."""
+    runs = _event_runs(spark, sf_dir)
+    progress = ProgressTable(spark, scratch_path(spark, "progress"), every=8)
+    for run in range(40):
+        progress.commit(messages.next_offsets(runs.where(F.col("run") == run)), run)
+    return progress.current()
+
+
+@query("""WITH seen AS (SELECT DISTINCT event_type AS topic, (user_id % 4)::INT AS partition, event_id AS p FROM events),
+  islands AS (SELECT *, p - row_number() OVER (PARTITION BY topic, partition ORDER BY p) AS i FROM seen)
+  SELECT 'c' AS client, 's' AS server, topic, partition, min(p) AS first, max(p) AS last FROM islands GROUP BY topic, partition, i""")
+def delivered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered positions as ranges: batches hold late offsets and repeat some of the batch before."""
+    runs = _event_runs(spark, sf_dir)
+    delivered = DeliveredTable(spark, scratch_path(spark, "delivered"), every=5)
+    for batch in range(20):
+        late = F.col("run").isin((batch * 7) % 20, (batch * 7) % 20 + 20, (batch * 7 - 7) % 20)
+        delivered.commit(runs.where(late), batch)
+    return delivered.ranges()

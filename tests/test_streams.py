@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from covenant.operators import federation, files
 from covenant.operators.grants import flatten_grants
+from covenant.operators.ranges import position_ranges
 from covenant.schemas import CHUNK, ENVELOPE, GRANTS_DOCUMENT, MESSAGE
 from covenant.streaming import federation as streams
-from covenant.streaming.progress import ProgressTable, not_yet_delivered
+from covenant.streaming.progress import KEYS, ProgressTable, not_yet_delivered
 from covenant.streaming.reassembly import reassemble
 from covenant.streaming.refresh import Refreshed
 
@@ -119,7 +120,7 @@ def test_redelivery(spark):
         "client string, server string, topic string, partition int, offset bigint",
     )
     # Offset 1 came after 2: it is not covered by what was delivered.
-    before = spark.createDataFrame([("c", "s", "t", 0, 2)], rows.schema)
+    before = position_ranges(spark.createDataFrame([("c", "s", "t", 0, 2)], rows.schema), KEYS, "offset")
     assert sorted((r["topic"], r["offset"]) for r in not_yet_delivered(rows, before).collect()) == [("t", 1), ("u", 1)]
     assert not_yet_delivered(rows, None).count() == 3
 
