@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import release_memory, small_batches
+from covenant.llm.common import release_memory, small_batches, text_slices
 
 CAPACITY = 2048
 #: A bin may waste one part in so many before a rest is cut.
@@ -33,38 +33,92 @@ REMEMBERED = 400_000
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Outside these the classes of Python's patterns and of the tokenizer's could differ, so such texts are encoded whole.
 _OTHER = re.compile("[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿-ɏ]")
+#: White space that is split otherwise when a text is cut before its spaces: several in a run, or between others.
+_SPACED = re.compile(r"  | $|[^\S ] [^\S ]")
 
 _TOKENIZERS: dict[str, Any] = {}
 
 
 def tokenizer(path: str) -> Any:
-    """The worker's tokenizer for a vocabulary file."""
+    """The worker's tokenizer for a vocabulary file, as it is loaded."""
     from tokenizers import Tokenizer
 
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _TOKENIZERS[path].encode_special_tokens = True
     return _TOKENIZERS[path]
 
 
-class Encoder(dict):
-    """Ids of a word as little-endian bytes, remembered up to a bound, and no longer than the task."""
+class Encoder:
+    """Ids of texts as little-endian bytes, the same as the tokenizer gives for the whole text.
+
+    A text is cut before its spaces, where no piece of the splitting pattern goes on; each distinct word of a batch is encoded
+    once, all new ones in one call, and remembered up to a bound and no longer than the task. Texts with added tokens or
+    characters beyond the common ones are encoded whole, and those with unusual white space by the pieces of the pattern.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = tokenizer(path)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = ids
-        return ids
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        line = self._encoded("\n")
+        self.line = int.from_bytes(line, "little") if len(line) == 4 else None
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if piece not in self.pieces:
+            if len(self.pieces) >= REMEMBERED:
+                self.pieces.clear()
+            self.pieces[piece] = self._encoded(piece)
+        return self.pieces[piece]
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of words (with a space before them): one call for all, cut at the line breaks between them."""
+        plain = [w for w in words if w and not w.isspace() and len(w.split()) == 1 and not (w[0].isspace() or w[-1].isspace())]
+        for word in words.difference(plain) if self.line is not None else words:
+            self.words[word] = self._encoded(f" {word}")
+        if not plain or self.line is None:
+            return
+        ids = np.array(self.tokenizer.encode("\n".join([f" {w}" for w in plain]), add_special_tokens=False).ids, "<u4")
+        edges = np.flatnonzero(ids == self.line)
+        if len(edges) != len(plain) - 1:
+            raise ValueError("a word holds the id of a line break")
+        data, starts, ends = ids.tobytes(), (np.r_[-1, edges] + 1).tolist(), np.r_[edges, len(ids)].tolist()
+        self.words.update((w, data[4 * a : 4 * b]) for w, a, b in zip(plain, starts, ends, strict=True))
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of some texts."""
+        cut: list[list[str] | bytes] = []
+        for text in texts:
+            if _OTHER.search(text) or (self.added is not None and self.added.search(text)):
+                cut.append(self._encoded(text))
+            elif _SPACED.search(text):
+                cut.append(b"".join(map(self._piece, _PIECES.findall(text))))
+            else:
+                cut.append(text.split(" "))
+        wanted: set[str] = set()
+        for words in cut:
+            if isinstance(words, list):
+                wanted.update(words[1:])
+        new = wanted.difference(self.words)
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+            new = wanted
+        if new:
+            self._learn(new)
+        out = []
+        for words in cut:
+            if isinstance(words, list):
+                first = b"".join(map(self._piece, _PIECES.findall(words[0])))
+                words = first + b"".join(map(self.words.__getitem__, words[1:]))
+            out.append(np.frombuffer(words, "<u4"))
+        return out
 
     def ids(self, text: str) -> np.ndarray:
-        if _OTHER.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.frombuffer(b"".join(map(self.__getitem__, _PIECES.findall(text))), "<u4")
+        return self.batch([text])[0]
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, tolerance: int = TOLERANCE) -> list[int]:
@@ -145,8 +199,11 @@ def _pack(path: str, capacity: int, with_ids: bool):
         packer = Packer(TaskContext.get().partitionId() << 36, capacity)
         end = np.array([END_ID], "<u4")
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                packer.add(doc.as_py(), np.concatenate([known.ids(text.as_py() or ""), end]))
+            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for first, last, _, _ in text_slices(texts):
+                part = [text or "" for text in texts.slice(first, last - first).to_pylist()]
+                for doc, ids in zip(docs[first:last], known.batch(part), strict=True):
+                    packer.add(doc, np.concatenate([ids, end]))
                 if len(packer.rows) >= 5000:
                     yield batch_of(packer.rows)
                     packer.rows = []
@@ -163,7 +220,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: b
     """Pieces of tokenised documents placed in sequences of at most ``capacity`` ids.
 
     Takes (doc_id, text), other columns are ignored; ``vocabulary`` is the path of a tokenizer file that every worker can
-    read. A null text is empty, and every document ends with the id 1, so each row has at least one piece. Returns doc_id,
+    read. Texts are encoded as the tokenizer does as loaded: the string of an added token is that token. A null text is empty, and
+    every document ends with the id 1, so each row has at least one piece; an empty table gives no rows. Returns doc_id,
     start (ids of the document before the piece), length, ids_crc32, doc_tokens, sequence_id, offset (in the sequence)
     and, if asked for, ids. Repeated rows are packed each on their own. There is no shuffle: a task that is run again
     packs the same documents the same way.

@@ -15,9 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def test_pieces_cover_every_document(spark, tokenizer):
@@ -51,15 +49,28 @@ def test_empty_table(spark):
     assert packing.pack(no_documents(spark), PATH, with_ids=False).collect() == []
 
 
-def test_words_give_the_same_ids_as_whole_texts(tokenizer):
+def test_words_give_the_same_ids_as_whole_texts(tokenizer, monkeypatch):
     known = packing.Encoder(PATH)
     rng = random.Random(0)
     alphabet = "abcdeéüßÑ  \n\t.,'!?_-0123456789<|>=\x1c\x85 ²½ 漢😀"
     cases = ["", " ", "it's we'll  go\n\n now", "<|endoftext|> a_b __ _x", "x" * 3000, "a  b   c \n d"]
     cases += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))) for _ in range(400)]
+    cases += ["".join(rng.choice("ab \n\t.1é") for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
     cases += ["".join(rng.choice(alphabet[:45]) for _ in range(rng.randrange(1, 60))) for _ in range(400)]
-    for text in cases:
-        assert known.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    wanted = [tokenizer.encode(text, add_special_tokens=False).ids for text in cases]
+    for text, ids in zip(cases, wanted, strict=True):
+        assert known.ids(text).tolist() == ids, repr(text)
+    # All at once, and with words forgotten on the way.
+    assert [x.tolist() for x in packing.Encoder(PATH).batch(cases)] == wanted
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    few = packing.Encoder(PATH)
+    for at in range(0, len(cases), 7):
+        assert [x.tolist() for x in few.batch(cases[at : at + 7])] == wanted[at : at + 7]
+
+
+def test_an_added_token_is_that_token():
+    # The fixed value is what the public vocabulary gives.
+    assert packing.Encoder(PATH).ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
 
 
 def test_cuts():
