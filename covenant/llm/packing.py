@@ -26,8 +26,9 @@ CAPACITY = 2048
 TOLERANCE = 32
 #: Appended to every document.
 END_ID = 1
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Words, and pieces of words, whose ids a task remembers, and pieces that are encoded by one call.
+REMEMBERED = 500_000
+TOGETHER = 5_000
 
 #: The splitting pattern of the public byte-level vocabulary, for texts of the characters below.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -36,6 +37,15 @@ _OTHER = re.compile("[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿-ɏ]")
 #: White space that is split otherwise when a text is cut before its spaces: several in a run, or between others.
 _SPACED = re.compile(r"  | $|[^\S ] [^\S ]")
 
+_CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+
+
+def _unusual(text: str) -> bool:
+    if "  " in text or text.endswith(" "):
+        return True
+    return (" \n" in text or " \t" in text or " \r" in text) and _SPACED.search(text) is not None
+
+
 _TOKENIZERS: dict[str, Any] = {}
 
 
@@ -51,9 +61,9 @@ def tokenizer(path: str) -> Any:
 class Encoder:
     """Ids of texts as little-endian bytes, the same as the tokenizer gives for the whole text.
 
-    A text is cut before its spaces, where no piece of the splitting pattern goes on; each distinct word of a batch is encoded
-    once, all new ones in one call, and remembered up to a bound and no longer than the task. Texts with added tokens or
-    characters beyond the common ones are encoded whole, and those with unusual white space by the pieces of the pattern.
+    A text is cut before its spaces, where no piece of the splitting pattern goes on. Words that are new in a batch are cut into
+    pieces, and new pieces encoded, each once; both are remembered up to a bound and no longer than the task. Texts with added
+    tokens or characters beyond the common ones are encoded whole, and those with unusual white space piece by piece.
     """
 
     def __init__(self, path: str):
@@ -62,60 +72,57 @@ class Encoder:
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        line = self._encoded("\n")
-        self.line = int.from_bytes(line, "little") if len(line) == 4 else None
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if piece not in self.pieces:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            self.pieces[piece] = self._encoded(piece)
-        return self.pieces[piece]
-
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of words (with a space before them): one call for all, cut at the line breaks between them."""
-        plain = [w for w in words if w and not w.isspace() and len(w.split()) == 1 and not (w[0].isspace() or w[-1].isspace())]
-        for word in words.difference(plain) if self.line is not None else words:
-            self.words[word] = self._encoded(f" {word}")
-        if not plain or self.line is None:
-            return
-        ids = np.array(self.tokenizer.encode("\n".join([f" {w}" for w in plain]), add_special_tokens=False).ids, "<u4")
-        edges = np.flatnonzero(ids == self.line)
-        if len(edges) != len(plain) - 1:
-            raise ValueError("a word holds the id of a line break")
-        data, starts, ends = ids.tobytes(), (np.r_[-1, edges] + 1).tolist(), np.r_[edges, len(ids)].tolist()
-        self.words.update((w, data[4 * a : 4 * b]) for w, a, b in zip(plain, starts, ends, strict=True))
+    def _learn(self, new: list[str], pieces: list[list[str]]) -> None:
+        """Remember words (as they are after a space) of which these are the pieces, first those that are pieces themselves."""
+        whole = {p[1:] for cut in pieces for p in cut if p[0] == " " and len(p) > 1}.difference(self.words)
+        needed = {p for cut in pieces for p in cut if p[0] != " " or len(p) == 1}
+        other = needed.difference(self.pieces)
+        if len(self.pieces) + len(other) > REMEMBERED:
+            self.pieces.clear()
+            other = needed
+        for known, wanted, space in ((self.words, list(whole), " "), (self.pieces, list(other), "")):
+            for at in range(0, len(wanted), TOGETHER):
+                part = wanted[at : at + TOGETHER]
+                found = self.tokenizer.encode_batch_fast([space + w for w in part], add_special_tokens=False)
+                known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True))
+        for word, cut in zip(new, pieces, strict=False):
+            if word not in whole:
+                self.words[word] = self._of(cut)
+
+    def _of(self, pieces: list[str]) -> bytes:
+        return b"".join([self.words[p[1:]] if p[0] == " " and len(p) > 1 else self.pieces[p] for p in pieces])
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of some texts."""
-        cut: list[list[str] | bytes] = []
-        for text in texts:
-            if _OTHER.search(text) or (self.added is not None and self.added.search(text)):
-                cut.append(self._encoded(text))
-            elif _SPACED.search(text):
-                cut.append(b"".join(map(self._piece, _PIECES.findall(text))))
+        out: list[bytes] = [b""] * len(texts)
+        spaced: dict[int, list[str]] = {}
+        heads: dict[int, list[str]] = {}
+        for i, text in enumerate(texts):
+            if (not text.isascii() and _OTHER.search(text)) or (text.isascii() and _CONTROL.search(text)):
+                out[i] = self._encoded(text)
+            elif self.added is not None and self.added.search(text):
+                out[i] = self._encoded(text)
+            elif _unusual(text):
+                heads[i] = _PIECES.findall(text)
             else:
-                cut.append(text.split(" "))
-        wanted: set[str] = set()
-        for words in cut:
-            if isinstance(words, list):
-                wanted.update(words[1:])
-        new = wanted.difference(self.words)
+                spaced[i] = text.split(" ")
+                heads[i] = _PIECES.findall(spaced[i].pop(0))
+        wanted = {word for words in spaced.values() for word in words}
+        new = list(wanted.difference(self.words))
         if len(self.words) + len(new) > REMEMBERED:
             self.words.clear()
-            new = wanted
-        if new:
-            self._learn(new)
-        out = []
-        for words in cut:
-            if isinstance(words, list):
-                first = b"".join(map(self._piece, _PIECES.findall(words[0])))
-                words = first + b"".join(map(self.words.__getitem__, words[1:]))
-            out.append(np.frombuffer(words, "<u4"))
-        return out
+            new = list(wanted)
+        self._learn(new, [_PIECES.findall(f" {word}") for word in new])
+        self._learn([], list(heads.values()))
+        for i, pieces in heads.items():
+            out[i] = self._of(pieces)
+        for i, words in spaced.items():
+            out[i] += b"".join(map(self.words.__getitem__, words))
+        return [np.frombuffer(ids, "<u4") for ids in out]
 
     def ids(self, text: str) -> np.ndarray:
         return self.batch([text])[0]
