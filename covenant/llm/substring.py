@@ -5,6 +5,10 @@ own, block by block, and the blocks are merged by block number. Counters saturat
 of them, so a merged block is one bit per cell. The second pass keeps the windows whose cells all reached two (a superset of
 the repeated ones), settles within the partition what it can, sends at most one document per window and partition on,
 and groups those exactly.
+
+Windows travel under their anchor, the least hash of the short runs of words in them. Equal windows have equal anchors, and
+neighbouring windows mostly the same one, so that a stretch of a document is one row wherever it goes, and what is
+decided about it comes back as one row.
 """
 
 from __future__ import annotations
@@ -31,11 +35,12 @@ DEPTH = 2
 CELLS_PER_WINDOW = 3
 MAX_CELLS = 1 << 29
 BLOCK = 1 << 22
-#: Windows a task gathers for a part of the sketch, windows it gathers before it settles them, and flags (12 bytes each) it
-#: gathers before it passes them on, a row per document.
+#: Windows a task gathers for a part of the sketch, and windows it gathers before it settles them.
 SKETCHED = 4_000_000
 GATHER = 400_000
-FLAGS = 2_000_000
+#: Words of the runs whose least hash is a window's anchor, and windows that are decided at a time.
+ANCHOR_WORDS = 4
+DECIDED = 500_000
 
 _LAST = np.int64(np.iinfo(np.int64).max)
 
@@ -143,11 +148,34 @@ def repeat_sketch(texts: DataFrame, cells: int, width: int = WIDTH, depth: int =
     )
 
 
+#: A window as it travels: 96 bits of hashes.
+_WINDOW = np.dtype([("hash", "<u8"), ("check", "<u4")])
+_STRETCH = "anchor bigint, doc_id bigint, row bigint, place int, windows binary, flags binary"
+
+
+def anchors(words: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """The least hash of the runs of ANCHOR_WORDS words within every run of ``width`` words, given by their hashes."""
+    size = min(ANCHOR_WORDS, width)
+    grams = gram_hashes(words, size, seed)
+    n = max(len(words) - width + 1, 0)
+    least = grams[:n].copy()
+    for i in range(1, width - size + 1):
+        np.minimum(least, grams[i : i + n], out=least)
+    return least
+
+
+def _binary(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of an array, cut before the items at ``starts``."""
+    offsets = (np.r_[starts, len(values)] * values.dtype.itemsize).astype(np.int32)
+    data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), data])
+
+
 def _candidates(bits, cells: int, width: int, depth: int):
-    """Arrow map: rows (row, doc_id, text) to the windows that may repeat.
+    """Arrow map: rows (row, doc_id, text) to the windows that may repeat, as stretches under their anchors.
 
-    Per partition and window only the document with the smallest id is passed on (kind ``pos``); the words at which
-    the others start that window are settled and travel as packed flags instead.
+    Per partition and window only the document with the smallest id is passed on; the words at which the others start that
+    window are settled and travel as packed flags instead.
     """
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,19 +190,21 @@ def _candidates(bits, cells: int, width: int, depth: int):
                 if not len(at):
                     continue
                 kept = np.ones(len(at), bool)
-                hashes = []
+                window = None
                 for row in range(depth):
                     found = gram_hashes(words.hashes, width, row + 1)[at]
                     cell = _cell(found, cells)
                     kept &= (sketch[row][cell >> np.uint64(3)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8)) & 1) > 0
-                    hashes.append(found)
+                    window = found if window is None else window
                 if not kept.any():
                     continue
-                number = words.rows[at[kept]]
-                place = at[kept] - words.bounds[number]
-                check = gram_hashes(words.hashes, width, depth + 1)[at[kept]] >> np.uint64(32)
-                packed = (check << np.uint64(32)) | place.astype(np.uint64)
-                held.append((hashes[0][kept], packed, ids[first:end][number], keys[first:end][number]))
+                at = at[kept]
+                number = words.rows[at]
+                full = np.empty(len(at), _WINDOW)
+                full["hash"] = window[kept]
+                full["check"] = gram_hashes(words.hashes, width, depth + 1)[at] >> np.uint64(32)
+                place = (at - words.bounds[number]).astype(np.int32)
+                held.append((full, anchors(words.hashes, width, depth + 2)[at], place, ids[first:end][number], keys[first:end][number]))
                 amount += len(place)
                 if amount > GATHER:
                     yield from settle(held)
@@ -183,36 +213,57 @@ def _candidates(bits, cells: int, width: int, depth: int):
             yield from settle(held)
 
     def settle(held: list) -> Iterator[pa.RecordBatch]:
-        window, packed, ids, keys = (np.concatenate(x) for x in zip(*held, strict=True))
-        check = packed >> np.uint64(32)
-        order = np.lexsort((ids, check, window))
-        window, packed, check, ids, keys = (x[order] for x in (window, packed, check, ids, keys))
-        new = np.ones(len(window), bool)
-        new[1:] = (window[1:] != window[:-1]) | (check[1:] != check[:-1])
-        least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-        open_ = ids == least
-        yield rows(window[open_], packed[open_], ids[open_], keys[open_], None)
-        settled = ~open_
-        if settled.any():
-            packs = pack_flags(keys[settled], packed[settled] & np.uint64(0xFFFFFFFF))
-            spread = mix_keys(packs[0])
-            yield rows(spread, np.zeros(len(spread), np.uint64), np.full(len(spread), _LAST), packs[0], packs[1])
-
-    def rows(window, packed, ids, keys, flags) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
+        window, anchor, place, ids, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        over = _later(window, ids)
+        if over.any():
+            flagged, packs = pack_flags(keys[over], place[over])
+            n = len(flagged)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(signed(mix_keys(flagged))),
+                    pa.array(np.full(n, _LAST)),
+                    pa.array(flagged),
+                    pa.array(np.zeros(n, np.int32)),
+                    pa.nulls(n, pa.binary()),
+                    pa.array(packs, pa.binary()),
+                ],
+                names=["anchor", "doc_id", "row", "place", "windows", "flags"],
+            )
+            window, anchor, place, ids, keys = (x[~over] for x in (window, anchor, place, ids, keys))
+        by = np.lexsort((place, keys))
+        window, anchor, place, ids, keys = (x[by] for x in (window, anchor, place, ids, keys))
+        # Equal rows have equal windows at equal places: once is enough.
+        once = np.r_[True, (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])]
+        window, anchor, place, ids, keys = (x[once] for x in (window, anchor, place, ids, keys))
+        starts = np.flatnonzero(
+            np.r_[True, (keys[1:] != keys[:-1]) | (place[1:] != place[:-1] + 1) | (anchor[1:] != anchor[:-1])]
+        )
+        yield pa.RecordBatch.from_arrays(
             [
-                pa.array(signed(window)),
-                pa.array(signed(packed)),
-                pa.array(ids),
-                pa.array(keys),
-                pa.nulls(len(window), pa.binary()) if flags is None else pa.array(flags, pa.binary()),
+                pa.array(signed(anchor[starts])),
+                pa.array(ids[starts]),
+                pa.array(keys[starts]),
+                pa.array(place[starts]),
+                _binary(window, starts),
+                pa.nulls(len(starts), pa.binary()),
             ],
-            names=["window", "packed", "doc_id", "row", "flags"],
+            names=["anchor", "doc_id", "row", "place", "windows", "flags"],
         )
 
     return candidates
 
 
+def _later(window: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which windows also stand under a smaller id."""
+    order = np.lexsort((ids, window["check"], window["hash"]))
+    h, c, d = window["hash"][order], window["check"][order], ids[order]
+    new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])]
+    over = np.empty(len(order), bool)
+    over[order] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return over
+
+
 def mix_keys(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
@@ -227,44 +278,56 @@ def pack_flags(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list[b
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows in order, smallest id first: flags every start in a document that is not the first. Streams."""
-    held, amount = [], 0
-    window = check = first = None
+    """Stretches in order of their anchors to flags: every start of a window in a document that is not its first.
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        if held:
-            keys, packs = pack_flags(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(packs, pa.binary())], names=["row", "flags"])
+    Whole anchors are decided at a time. Flags of a document come out as one row per anchor, however the anchors are dealt.
+    Of an anchor with very many windows, only the windows themselves (12 bytes each) are held whole.
+    """
+    held: list[pa.RecordBatch] = []
+    amount = 0
+
+    def decide(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        packed = rows.column("windows").combine_chunks()
+        offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+        window = np.frombuffer(packed.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(_WINDOW)
+        bounds = (offsets - offsets[0]) // _WINDOW.itemsize
+        anchor, ids, keys, places = (rows.column(c).to_numpy() for c in ("anchor", "doc_id", "row", "place"))
+        parts = 1 + len(window) // (4 * DECIDED)
+        for part in range(parts):
+            at = np.arange(len(window)) if parts == 1 else np.flatnonzero(window["check"] % np.uint32(parts) == part)
+            of = np.searchsorted(bounds, at, "right") - 1
+            over = _later(window[at], ids[of])
+            at, of = at[over], of[over]
+            if not len(at):
+                continue
+            place = (places[of] + at - bounds[of]).astype("<u4")
+            by = np.lexsort((place, keys[of], anchor[of]))
+            of, place = of[by], place[by]
+            starts = np.flatnonzero(np.r_[True, (keys[of][1:] != keys[of][:-1]) | (anchor[of][1:] != anchor[of][:-1])])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[of[starts]]), _binary(place, starts)], names=["row", "flags"])
+
+    def chunk(last: bool) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        anchor = rows.column("anchor").to_numpy()
+        end = len(anchor) if last else int(np.searchsorted(anchor, anchor[-1]))
+        if end:
+            yield from decide(rows.slice(0, end).combine_chunks())
+        held[:] = rows.slice(end).to_batches()
 
     for batch in batches:
         flags = batch.column("flags")
-        ready = flags.is_valid().to_numpy(zero_copy_only=False)
-        if ready.any():
-            chosen = pa.array(ready)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row").filter(chosen), flags.filter(chosen)], names=["row", "flags"]
-            )
-        undecided = ~ready
-        w, p, d, k = (batch.column(c).to_numpy(zero_copy_only=False)[undecided] for c in ("window", "packed", "doc_id", "row"))
-        if not len(w):
-            continue
-        c = p.view(np.uint64) >> np.uint64(32)
-        new = np.ones(len(w), bool)
-        new[1:] = (w[1:] != w[:-1]) | (c[1:] != c[:-1])
-        if w[0] == window and c[0] == check:
-            new[0] = False
-        starts = np.flatnonzero(new)
-        firsts = np.r_[d[0] if first is None or new[0] else first, d[starts]]
-        least = firsts[np.cumsum(new)]
-        over = d > least
-        if over.any():
-            held.append((k[over], p[over].view(np.uint64) & np.uint64(0xFFFFFFFF)))
-            amount += int(over.sum())
-        window, check, first = w[-1], c[-1], least[-1]
-        if amount > FLAGS:
-            yield from flush()
-            held, amount = [], 0
-    yield from flush()
+        ready = flags.is_valid()
+        done, rest = batch.filter(ready), batch.filter(flags.is_null())
+        if done.num_rows:
+            yield done.select(["row", "flags"])
+        if rest.num_rows:
+            held.append(rest)
+            amount += rest.column("windows").nbytes // _WINDOW.itemsize
+        if amount > DECIDED:
+            yield from chunk(False)
+            amount = sum(b.column("windows").nbytes // _WINDOW.itemsize for b in held)
+    if held:
+        yield from chunk(True)
 
 
 def _merge_flags(width: int):
@@ -343,10 +406,10 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
     ranges = written(
         rows.mapInArrow(
             _candidates(spark.sparkContext.broadcast(bits.tobytes()), cells, width, depth),
-            "window bigint, packed bigint, doc_id bigint, row bigint, flags binary",
+            _STRETCH,
         )
-        .repartition("window")
-        .sortWithinPartitions("window", F.shiftrightunsigned("packed", 32), "doc_id")
+        .repartition("anchor")
+        .sortWithinPartitions("anchor")
         .mapInArrow(_decide, "row bigint, flags binary")
         .groupBy("row")
         .agg(F.collect_list("flags").alias("flags"))

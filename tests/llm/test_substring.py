@@ -49,3 +49,51 @@ def test_gaps_round_trip():
     cells = np.array([0, 1, 254, 255, 256, 511, 5000, 4194303], np.uint32)
     assert substring.read_gaps(substring.write_gaps(cells)).tolist() == cells.tolist()
     assert substring.read_gaps(substring.write_gaps(cells[:0])).tolist() == []
+
+
+def test_stretches_are_decided_in_pieces_of_any_size(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for row in range(400):
+        n = int(rng.integers(1, 9))
+        windows = np.zeros(n, substring._WINDOW)
+        windows["hash"], windows["check"] = rng.integers(0, 40, n), rng.integers(0, 3, n)
+        rows.append((int(rng.choice([1, 1, 1, 2, 5, 9])), int(rng.integers(0, 12)), row, int(rng.integers(0, 100)), windows))
+    rows.sort(key=lambda r: r[0])
+    # A window's anchor is given by the window in real stretches; here it is part of what is compared.
+    least = {}
+    for anchor, doc, _, _, windows in rows:
+        for w in windows.tolist():
+            least[anchor, w] = min(least.get((anchor, w), 99), doc)
+    wanted = {}
+    for anchor, doc, row, place, windows in rows:
+        at = {place + i for i, w in enumerate(windows.tolist()) if doc > least[anchor, w]}
+        if at:
+            wanted[row] = at
+    for anchor in {r[0] for r in rows}:
+        for r in rows:
+            if r[0] == anchor:
+                r[4]["hash"] += np.uint64(1000 * anchor)
+    batches = [
+        pa.RecordBatch.from_pydict(
+            {
+                "anchor": pa.array([r[0] for r in part], pa.int64()),
+                "doc_id": pa.array([r[1] for r in part], pa.int64()),
+                "row": pa.array([r[2] for r in part], pa.int64()),
+                "place": pa.array([r[3] for r in part], pa.int32()),
+                "windows": pa.array([r[4].tobytes() for r in part], pa.binary()),
+                "flags": pa.nulls(len(part), pa.binary()),
+            }
+        )
+        for part in (rows[i : i + 37] for i in range(0, len(rows), 37))
+    ]
+    for decided in (10, 100, 10**6):
+        monkeypatch.setattr(substring, "DECIDED", decided)
+        got = {}
+        for batch in substring._decide(iter(batches)):
+            for row, flags in zip(batch.column("row").to_pylist(), batch.column("flags").to_pylist(), strict=True):
+                got.setdefault(row, set()).update(np.frombuffer(flags, "<u4").tolist())
+        assert got == wanted
