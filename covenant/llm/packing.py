@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import Any
 
@@ -26,25 +27,17 @@ CAPACITY = 2048
 TOLERANCE = 32
 #: Appended to every document.
 END_ID = 1
-#: Words, and pieces of words, whose ids a task remembers, and pieces that are encoded by one call.
+#: Words whose ids a task remembers, and words encoded by one call.
 REMEMBERED = 500_000
 TOGETHER = 5_000
 
 #: The splitting pattern of the public byte-level vocabulary, for texts of the characters below.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_PIECES = re.compile(
+    rf" ?[{_LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"
+)
 #: Outside these the classes of Python's patterns and of the tokenizer's could differ, so such texts are encoded whole.
 _OTHER = re.compile("[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿-ɏ]")
-#: White space that is split otherwise when a text is cut before its spaces: several in a run, or between others.
-_SPACED = re.compile(r"  | $|[^\S ] [^\S ]")
-
-_CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
-
-
-def _unusual(text: str) -> bool:
-    if "  " in text or text.endswith(" "):
-        return True
-    return (" \n" in text or " \t" in text or " \r" in text) and _SPACED.search(text) is not None
-
 
 _TOKENIZERS: dict[str, Any] = {}
 
@@ -59,70 +52,40 @@ def tokenizer(path: str) -> Any:
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes, the same as the tokenizer gives for the whole text.
+    """Ids of texts as the tokenizer gives them, with those of words remembered up to a bound, and no longer than the task.
 
-    A text is cut before its spaces, where no piece of the splitting pattern goes on. Words that are new in a batch are cut into
-    pieces, and new pieces encoded, each once; both are remembered up to a bound and no longer than the task. Texts with added
-    tokens or characters beyond the common ones are encoded whole, and those with unusual white space piece by piece.
+    Texts are cut by the vocabulary's own pattern, and the words of some texts that are new are encoded by one call. Texts with
+    added tokens or characters beyond the common ones are encoded whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, new: list[str], pieces: list[list[str]]) -> None:
-        """Remember words (as they are after a space) of which these are the pieces, first those that are pieces themselves."""
-        whole = {p[1:] for cut in pieces for p in cut if p[0] == " " and len(p) > 1}.difference(self.words)
-        needed = {p for cut in pieces for p in cut if p[0] != " " or len(p) == 1}
-        other = needed.difference(self.pieces)
-        if len(self.pieces) + len(other) > REMEMBERED:
-            self.pieces.clear()
-            other = needed
-        for known, wanted, space in ((self.words, list(whole), " "), (self.pieces, list(other), "")):
-            for at in range(0, len(wanted), TOGETHER):
-                part = wanted[at : at + TOGETHER]
-                found = self.tokenizer.encode_batch_fast([space + w for w in part], add_special_tokens=False)
-                known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True))
-        for word, cut in zip(new, pieces, strict=False):
-            if word not in whole:
-                self.words[word] = self._of(cut)
-
-    def _of(self, pieces: list[str]) -> bytes:
-        return b"".join([self.words[p[1:]] if p[0] == " " and len(p) > 1 else self.pieces[p] for p in pieces])
 
-    def batch(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of some texts."""
-        out: list[bytes] = [b""] * len(texts)
-        spaced: dict[int, list[str]] = {}
-        heads: dict[int, list[str]] = {}
-        for i, text in enumerate(texts):
-            if (not text.isascii() and _OTHER.search(text)) or (text.isascii() and _CONTROL.search(text)):
-                out[i] = self._encoded(text)
-            elif self.added is not None and self.added.search(text):
-                out[i] = self._encoded(text)
-            elif _unusual(text):
-                heads[i] = _PIECES.findall(text)
-            else:
-                spaced[i] = text.split(" ")
-                heads[i] = _PIECES.findall(spaced[i].pop(0))
-        wanted = {word for words in spaced.values() for word in words}
+    def _whole(self, text: str) -> bool:
+        return _OTHER.search(text) is not None or any(a in text for a in self.added)
+
+    def _learn(self, wanted: set[str]) -> None:
         new = list(wanted.difference(self.words))
         if len(self.words) + len(new) > REMEMBERED:
             self.words.clear()
             new = list(wanted)
-        self._learn(new, [_PIECES.findall(f" {word}") for word in new])
-        self._learn([], list(heads.values()))
-        for i, pieces in heads.items():
-            out[i] = self._of(pieces)
-        for i, words in spaced.items():
-            out[i] += b"".join(map(self.words.__getitem__, words))
-        return [np.frombuffer(ids, "<u4") for ids in out]
+        for at in range(0, len(new), TOGETHER):
+            part = new[at : at + TOGETHER]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.words.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found, strict=True))
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of some texts."""
+        cut = [None if self._whole(text) else _PIECES.findall(text) for text in texts]
+        self._learn(set().union(*(words for words in cut if words)))
+        return [
+            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            if words is None
+            else np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u4")
+            for text, words in zip(texts, cut, strict=True)
+        ]
 
     def ids(self, text: str) -> np.ndarray:
         return self.batch([text])[0]

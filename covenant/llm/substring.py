@@ -256,6 +256,8 @@ def _candidates(bits, cells: int, width: int, depth: int):
 
 def _later(window: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Which windows also stand under a smaller id."""
+    if not len(window):
+        return np.zeros(0, bool)
     order = np.lexsort((ids, window["check"], window["hash"]))
     h, c, d = window["hash"][order], window["check"][order], ids[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])]
