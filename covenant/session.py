@@ -83,6 +83,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     filesystem.delete(found, True)
 
 
+def create_mark(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it was there already."""
+    filesystem, found = _located(spark, path)
+    return filesystem.createNewFile(found)
+
+
 def settled(spark: SparkSession, make: Callable[[], DataFrame], path: str) -> DataFrame:
     """The table an earlier attempt finished at ``path``, or else the one that ``make`` gives, written there."""
     if path_exists(spark, f"{path}/_SUCCESS"):

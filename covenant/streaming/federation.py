@@ -32,9 +32,10 @@ from covenant.operators.messages import (
 )
 from covenant.plans.outbound import SEQUENCE, file_chunks
 from covenant.session import scratch_path, written
+from covenant.sinks.exchange import DELIVERED, exchange_rows, read_exchange, write_exchange
 from covenant.sources.objects import stat_files
 from covenant.streaming.progress import KEYS, DeliveredTable, ProgressTable, not_yet_delivered
-from covenant.streaming.refresh import Refreshed
+from covenant.streaming.refresh import Refreshed, VersionedTable
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -62,8 +63,18 @@ def _read_batch(spark: SparkSession, like: DataFrame, path: str, columns: list[s
     return spark.read.schema(like.select(*columns).schema).parquet(path)
 
 
+Grants = Refreshed | VersionedTable | DataFrame
+
+
+def _grants_of(grants: Grants, batch: int) -> DataFrame:
+    """The grants that a micro-batch goes by."""
+    if isinstance(grants, VersionedTable):
+        return grants.bound(batch)
+    return grants.get() if isinstance(grants, Refreshed) else grants
+
+
 def outbound_writer(
-    grants: Refreshed | DataFrame,
+    grants: Grants,
     sink: str,
     *,
     server: str,
@@ -78,8 +89,7 @@ def outbound_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        current = grants.get() if isinstance(grants, Refreshed) else grants
-        shaped = federate_decisions(batch, current, shape=lambda rows: to_envelope(rows, shared, payload))
+        shaped = federate_decisions(batch, _grants_of(grants, batch_id), shape=lambda rows: to_envelope(rows, shared, payload))
         folder = batch_folder(sink, batch_id)
         shaped.write.mode("overwrite").parquet(folder)
         if progress is not None:
@@ -92,21 +102,55 @@ def outbound_writer(
     return write
 
 
+def exchange_writer(
+    grants: Grants,
+    sink: str,
+    *,
+    server: str,
+    target: str = "",
+    progress: ProgressTable | None = None,
+    payload: Payload = normalise_rdf,
+    shared: tuple[str, ...] = DEFAULT_SHARED_HEADERS,
+) -> BatchWriter:
+    """Decide and shape one micro-batch into the exchange sink: delivered messages by target topic and consumer, refused ones
+    beside them as dead letters, in one pass. What a batch has committed stands, so a repeated attempt at it adds no row."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        shaped = federate_decisions(batch, _grants_of(grants, batch_id), shape=lambda rows: to_envelope(rows, shared, payload))
+        # The topic it came from stays beside the one it goes to: progress is kept by it.
+        rows = exchange_rows(shaped.withColumn("source_topic", F.col("topic")), F.lit(server), F.lit(target))
+        write_exchange(rows, sink, batch_id)
+        if progress is not None:
+            sent = read_exchange(batch.sparkSession, sink, DELIVERED, batch=batch_id)
+            if sent is not None:
+                keyed = sent.select(
+                    F.col("consumer_id").alias("client"), F.lit(server).alias("server"), F.col("source_topic").alias("topic"), "partition", "offset"
+                )
+                progress.commit(next_offsets(keyed), batch_id)
+
+    return write
+
+
 def run_federation(
     stream: DataFrame,
-    grants: Refreshed | DataFrame,
+    grants: Grants,
     sink: str,
     checkpoint: str,
     *,
     server: str = "",
+    target: str = "",
     progress: ProgressTable | None = None,
     payload: Payload = normalise_rdf,
     shared: tuple[str, ...] = DEFAULT_SHARED_HEADERS,
     continuous: bool = False,
+    exchange: bool = False,
 ) -> StreamingQuery:
-    """Deliver a stream of messages to every entitled consumer."""
-    each = outbound_writer(grants, sink, server=server, progress=progress, payload=payload, shared=shared)
-    return start(stream, each, checkpoint, continuous=continuous)
+    """Deliver a stream of messages to every entitled consumer: as one folder of decisions a batch, or, with ``exchange``, by
+    target topic and consumer with dead letters beside them."""
+    options = {"server": server, "progress": progress, "payload": payload, "shared": shared}
+    if exchange:
+        return start(stream, exchange_writer(grants, sink, target=target, **options), checkpoint, continuous=continuous)
+    return start(stream, outbound_writer(grants, sink, **options), checkpoint, continuous=continuous)
 
 
 def inbound_writer(

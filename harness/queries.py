@@ -17,15 +17,16 @@ from covenant.operators.rules import federate_classes
 from covenant.plans.inbound import Landing, land_files
 from covenant.plans.outbound import outbound_files as outbound_file_plan
 from covenant.plans.outbound import outbound_messages
-from covenant.sinks.files import write_files
 from covenant.session import scratch_path, written
+from covenant.sinks.exchange import DEAD_LETTER, DELIVERED, read_exchange
+from covenant.sinks.files import write_files
 from covenant.sinks.messages import for_target
 from covenant.sources import messages as message_source
 from covenant.sources.objects import read_files, stat_files
 from covenant.streaming import federation as streams
 from covenant.streaming.progress import DeliveredTable, ProgressTable, merge_progress
 from covenant.streaming.reassembly import finished_files, reassemble
-from covenant.streaming.refresh import Refreshed
+from covenant.streaming.refresh import Refreshed, VersionedTable
 from harness import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1061,12 +1062,17 @@ def read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams and stores ------------------------------------------------------------------------------------------
 
-_EVENT_DELIVERY = f"""WITH messages AS (
+def _event_delivery(policy: list) -> str:
+    """Decisions about the events under a policy."""
+    return f"""WITH messages AS (
     SELECT event_id AS pos, event_type AS topic, (user_id % 4)::INT AS partition, event_id % 100 = 0 AS bad, props, value,
       user_id FROM events),
   entries AS (SELECT pos, 'LEVEL' AS k, CASE WHEN value >= 20 THEN 'HIGH' ELSE 'LOW' END AS v FROM messages WHERE NOT bad
     UNION ALL SELECT pos, 'HOME', (user_id % 5)::VARCHAR FROM messages WHERE NOT bad),
-  {_policy(views.EVENT_POLICY)}, {_JUDGED}"""
+  {_policy(policy)}, {_JUDGED}"""
+
+
+_EVENT_DELIVERY = _event_delivery(views.EVENT_POLICY)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1359,3 +1365,82 @@ def delivered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         late = F.col("run").isin((batch * 7) % 20, (batch * 7) % 20 + 20, (batch * 7 - 7) % 20)
         delivered.commit(runs.where(late), batch)
     return delivered.ranges()
+
+
+class _Ended(Exception):
+    """A driver that goes away."""
+
+
+def _ended(writer: streams.BatchWriter, batch: int, *, before: bool) -> streams.BatchWriter:
+    """A writer whose driver ends in a batch, ``before`` its commit (with files written) or right after it."""
+
+    def write(rows: DataFrame, number: int) -> None:
+        if number == batch and before:
+            last = rows.agg(F.max("offset")).first()[0]
+            late = F.when(F.col("offset") == last, F.raise_error(F.lit("ended")).cast("binary")).otherwise(F.col("value"))
+            writer(rows.withColumn("value", late), number)
+        writer(rows, number)
+        if number == batch:
+            raise _Ended(str(batch))
+
+    return write
+
+
+def _drain_until_ended(stream: DataFrame, writer: streams.BatchWriter, checkpoint: str) -> None:
+    try:
+        streams.drain(stream, writer, checkpoint)
+    except Exception as problem:
+        if "ended" not in str(problem) and "_Ended" not in str(problem):
+            raise
+
+
+@query(f"""{_EVENT_DELIVERY} SELECT CASE WHEN reason IS NULL THEN 'delivered' ELSE 'dead-letter' END AS kind, d.consumer AS consumer_id,
+  'hub-' || d.topic AS topic, m.partition, d.pos AS "offset", 'Dead-Letter-Reason=' || reason AS letter,
+  CASE WHEN reason IS NULL THEN sha256(m.props) END AS payload_checksum FROM decisions d JOIN messages m ON m.pos = d.pos""")
+def exchanged_federation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into the exchange sink whose driver ends in mid-batch, before and after a commit: no row twice, none lost."""
+    root = scratch_path(spark, "exchange")
+    sink = f"{root}/sink" if "://" in root or root.startswith("file:") else f"file:{root}/sink"
+    events = views.table(spark, sf_dir, "events")
+    events.repartition(4, "event_id").write.parquet(f"{root}/events")
+    stream = views.as_event_messages(
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    )
+    writer = streams.exchange_writer(views.event_grants(spark), sink, server="hub")
+    for ended in (_ended(writer, 1, before=True), _ended(writer, 2, before=False), writer):
+        _drain_until_ended(stream, ended, f"{root}/checkpoint")
+    last = F.element_at("headers", -1)
+    letter = F.when(last["key"] == "Dead-Letter-Reason", F.concat_ws("=", last["key"], last["value"]))
+    parts = [
+        read_exchange(spark, sink, kind).select(
+            F.lit(kind).alias("kind"), "consumer_id", "topic", "partition", "offset", letter.alias("letter"), "payload_checksum"
+        )
+        for kind in (DELIVERED, DEAD_LETTER)
+    ]
+    return parts[0].union(parts[1])
+
+
+_VERSIONED = " UNION ALL ".join(
+    f"""SELECT * FROM ({_event_delivery(policy)} SELECT d.consumer AS consumer_id, d.topic, m.partition, d.pos AS "offset", reason
+    FROM decisions d JOIN messages m ON m.pos = d.pos WHERE d.pos % 3 {part})"""
+    for policy, part in ((views.EVENT_POLICY, "< 2"), (views.LATER_POLICY, "= 2"))
+)
+
+
+@query(_VERSIONED)
+def federated_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grants that change in mid-stream: a batch that is attempted again after the change goes by what it was planned with."""
+    root = scratch_path(spark, "versions")
+    events = views.table(spark, sf_dir, "events")
+    grants = VersionedTable(spark, f"{root}/grants")
+    writer = streams.outbound_writer(grants, f"{root}/sink", server="hub")
+    for batch in range(3):
+        events.where(F.col("event_id") % 3 == batch).write.mode("append").parquet(f"{root}/events")
+        stream = views.as_event_messages(spark.readStream.schema(events.schema).parquet(f"{root}/events"))
+        if batch == 0:
+            grants.publish(views.event_grants(spark))
+        if batch == 1:
+            _drain_until_ended(stream, _ended(writer, 1, before=False), f"{root}/checkpoint")
+            grants.publish(views.event_grants(spark, views.LATER_POLICY))
+        streams.drain(stream, writer, f"{root}/checkpoint")
+    return streams.read_sink(spark, f"{root}/sink").select("consumer_id", "topic", "partition", "offset", "reason")

@@ -298,10 +298,19 @@ EVENT_POLICY = [
 ]
 
 
-def event_grants(spark: SparkSession) -> DataFrame:
+#: What the policy is changed to in mid-stream: one consumer loses a topic, one gains one, one gets other attributes.
+LATER_POLICY = [
+    ("clicks", "click", "e-high", [("level", "low")]),
+    ("views", "VIEW", "e-home", [("level", "low"), ("home", "3")]),
+    ("errors", "error", "e-all", []),
+    ("errors", "error", "e-home", [("home", "1")]),
+]
+
+
+def event_grants(spark: SparkSession, policy: list = EVENT_POLICY) -> DataFrame:
     products = [
         {"name": p, "topic": t, "consumers": [{"idpClientId": c, "attributes": [{"name": n, "value": v} for n, v in a]}]}
-        for p, t, c, a in EVENT_POLICY
+        for p, t, c, a in policy
     ]
     text = json.dumps({"clientId": "owner", "producers": [{"name": "p-1", "products": products}]})
     return _grants_of(spark, text)
