@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from covenant.functions.headers import SECURITY_LABEL
@@ -32,7 +32,10 @@ def read_messages(
     """Messages of some topics in the shape of :data:`covenant.schemas.MESSAGE`.
 
     ``source`` is the Kafka bootstrap servers, the path of files in ``format``, or any DataFrame of that shape.
-    ``options`` are passed through (``kafka.*`` for consumer properties).
+    ``options`` are passed through (``kafka.*`` for consumer properties). ``start`` is an end of the partitions or offsets by
+    topic and partition, where partitions that are not named are read from their beginning; files and frames honour it, too.
+    ``max_records`` bounds a micro-batch of Kafka, and what is read of files and frames at a time (a stream of files is bounded
+    by ``max_files``).
     """
     if not topics:
         raise ValueError("at least one topic is required")
@@ -40,13 +43,15 @@ def read_messages(
         raise ValueError("max_records must be at least 1")
     wanted = F.col("topic").isin(*topics)
     if isinstance(source, DataFrame):
-        return source.where(wanted).select(*MESSAGE.fieldNames())
+        given = source.where(wanted & _after(start)).select(*MESSAGE.fieldNames())
+        return given if max_records is None or given.isStreaming else first_records(given, max_records)
     reader = spark.readStream if streaming else spark.read
     reader = reader.options(**dict(options or {}))
     if format != "kafka":
         if streaming and max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.format(format).schema(MESSAGE).load(source).where(wanted)
+        given = reader.format(format).schema(MESSAGE).load(source).where(wanted & _after(start))
+        return given if max_records is None or streaming else first_records(given, max_records)
     reader = (
         reader.format("kafka")
         .option("kafka.bootstrap.servers", source)
@@ -59,6 +64,66 @@ def read_messages(
     return with_text_headers(reader.load()).select(*MESSAGE.fieldNames())
 
 
+def _after(start: str | Mapping[str, Mapping[str, int]]) -> Column:
+    """Whether a message is not before its partition's start."""
+    if isinstance(start, str):
+        return F.lit(start != "latest")
+    keep = F.lit(True)
+    for topic, partitions in start.items():
+        for partition, offset in partitions.items():
+            here = (F.col("topic") == topic) & (F.col("partition") == int(partition))
+            keep = keep & (~here | (F.lit(offset != LATEST) & (F.col("offset") >= max(int(offset), 0))))
+    return keep
+
+
+def first_records(messages: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` messages, the first of every partition alike; what one poll of a consumer would give."""
+    order = Window.partitionBy("topic", "partition").orderBy("offset")
+    near = messages.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= limit)
+    return near.orderBy("__place", "topic", "partition").limit(limit).drop("__place")
+
+
+def index_messages(messages: DataFrame) -> DataFrame:
+    """The offsets that files of messages hold: (file, topic, partition, first, last, messages). ``messages`` is read from files."""
+    named = messages.select("topic", "partition", "offset", F.col("_metadata.file_path").alias("file"))
+    return named.groupBy("file", "topic", "partition").agg(
+        F.min("offset").alias("first"), F.max("offset").alias("last"), F.count(F.lit(1)).alias("messages")
+    )
+
+
+def read_from(
+    spark: SparkSession, index: DataFrame, starts: DataFrame, *, max_records: int | None = None, format: str = "parquet"
+) -> DataFrame:
+    """Messages from given offsets on, out of the files of an ``index`` that hold any; no other file is opened.
+
+    ``starts`` has (topic, partition, offset), as :func:`start_offsets` gives them: partitions that are not named are not read,
+    EARLIEST reads all and LATEST nothing. ``max_records`` bounds each partition; files that lie after that many messages are not
+    opened either.
+    """
+    begin = starts.where(F.col("offset").isNotNull() & (F.col("offset") != LATEST)).select(
+        "topic", "partition", F.greatest(F.col("offset"), F.lit(0)).alias("begin")
+    )
+    held = index.join(begin, ["topic", "partition"]).where("last >= begin")
+    if max_records is not None:
+        # Messages that surely come before a file: those of files that begin after the start and have ended where it begins.
+        files = Window.partitionBy("topic", "partition").orderBy("first", "last")
+        earlier = files.rowsBetween(Window.unboundedPreceding, -1)
+        counted = F.coalesce(F.sum(F.when(F.col("first") >= F.col("begin"), F.col("messages"))).over(earlier), F.lit(0))
+        apart = F.coalesce(F.max("last").over(earlier) < F.col("first"), F.lit(True))
+        held = held.withColumn("__counted", F.when(apart, counted))
+        held = held.withColumn("__before", F.last("__counted", ignorenulls=True).over(files.rowsBetween(Window.unboundedPreceding, 0)))
+        held = held.where(F.col("__before") < max_records)
+    paths = sorted(row["file"] for row in held.select("file").distinct().collect())
+    if not paths:
+        return spark.createDataFrame([], MESSAGE)
+    found = spark.read.schema(MESSAGE).format(format).load(paths).join(begin, ["topic", "partition"])
+    found = found.where(F.col("offset") >= F.col("begin")).select(*MESSAGE.fieldNames())
+    if max_records is None:
+        return found
+    order = Window.partitionBy("topic", "partition").orderBy("offset")
+    return found.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= max_records).drop("__place")
+
+
 def with_text_headers(messages: DataFrame) -> DataFrame:
     """Header values as text; Kafka gives them as bytes."""
     return messages.withColumn(

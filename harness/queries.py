@@ -22,10 +22,11 @@ from covenant.sinks.exchange import DEAD_LETTER, DELIVERED, read_exchange
 from covenant.sinks.files import write_files
 from covenant.sinks.messages import for_target
 from covenant.sources import messages as message_source
+from covenant.sources.documents import read_feeds_config
 from covenant.sources.objects import read_files, stat_files
 from covenant.streaming import federation as streams
+from covenant.streaming.intake import Intake, intake_writer
 from covenant.streaming.progress import DeliveredTable, ProgressTable, merge_progress
-from covenant.streaming.reassembly import finished_files, reassemble
 from covenant.streaming.refresh import Refreshed, VersionedTable
 from harness import views
 
@@ -1198,22 +1199,8 @@ def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = files.chunk_files(named, 1000, by=["topic", "partition"])
     stored = written(chunks.repartition("chunk_index"), f"{root}/chunks")
     stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/chunks")
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        started = (
-            reassemble(stream, block_chunks=16)
-            .writeStream.format("parquet")
-            .option("path", f"{root}/blocks")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
-        started.awaitTermination()
-    finally:
-        spark.conf.set(provider, before)
-    return finished_files(spark.read.parquet(f"{root}/blocks")).select(
+    streams.drain(stream, intake_writer(f"{root}/intake", block_chunks=16), f"{root}/checkpoint")
+    return files.file_facts(Intake(spark, f"{root}/intake").blocks(), by=["topic", "partition"]).select(
         "file_sequence_id", "file_name", "chunk_count", "actual_size", "actual_checksum", "file_checksum"
     )
 
@@ -1444,3 +1431,79 @@ def federated_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
             grants.publish(views.event_grants(spark, views.LATER_POLICY))
         streams.drain(stream, writer, f"{root}/checkpoint")
     return streams.read_sink(spark, f"{root}/sink").select("consumer_id", "topic", "partition", "offset", "reason")
+
+
+# --- sources and hooks -------------------------------------------------------------------------------------------
+
+
+@query("""WITH m AS (SELECT event_type AS topic, (user_id % 4)::INT AS partition, event_id AS pos, props FROM events),
+  ends AS (SELECT max(event_id) + 1 AS n FROM events),
+  begun AS (SELECT m.*, row_number() OVER (PARTITION BY topic, partition ORDER BY pos) AS r FROM m, ends
+    WHERE partition < 3 AND pos >= CASE partition WHEN 0 THEN 0 WHEN 1 THEN n // 2 ELSE n - n // 8 END)
+  SELECT topic, partition, pos AS "offset", props AS value FROM begun WHERE r <= 50""")
+def bounded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 50 messages of each partition from its own start on, out of those files of a message table that hold them."""
+    root = scratch_path(spark, "bounded")
+    views.event_messages(spark, sf_dir).repartitionByRange(16, "offset").write.parquet(f"{root}/messages")
+    index = message_source.index_messages(spark.read.parquet(f"{root}/messages"))
+    n = index.agg(F.max("last") + 1).first()[0] or 0
+    begin = F.when(F.col("partition") == 0, message_source.EARLIEST).when(F.col("partition") == 1, n // 2)
+    begin = begin.when(F.col("partition") == 2, n - n // 8).otherwise(message_source.LATEST)
+    starts = index.select("topic", "partition").distinct().withColumn("offset", begin.cast("bigint"))
+    found = message_source.read_from(spark, index, starts, max_records=50)
+    return found.select("topic", "partition", "offset", F.decode("value", "UTF-8").alias("value"))
+
+
+@query("""SELECT event_type AS topic, (user_id % 4)::INT AS partition, event_id AS "offset" FROM events
+  WHERE event_type IN ('click', 'view') AND (event_type <> 'click' OR user_id % 4 <> 1 OR event_id >= 500)
+    AND (event_type <> 'view' OR user_id % 4 <> 2)""")
+def read_messages_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of messages with starts by topic and partition."""
+    path = scratch_path(spark, "messages")
+    views.event_messages(spark, sf_dir).write.parquet(path)
+    start = {"click": {"1": 500, "0": message_source.EARLIEST}, "view": {"2": message_source.LATEST}}
+    found = message_source.read_messages(spark, path, ["click", "view"], start=start, format="parquet")
+    return found.select("topic", "partition", "offset")
+
+
+@query(f"WITH {_FEEDS} SELECT * EXCLUDE (c) FROM feeds")
+def feeds_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds of consumer documents that are read from files."""
+    path = scratch_path(spark, "documents")
+    views.consumer_documents(spark, sf_dir).write.json(path)
+    found = feeds.feeds(read_feeds_config(spark, path, multi_line=False), "node-1")
+    return found.select(
+        *feeds.FEED_COLUMNS,
+        F.col("effective_schedule.schedule_type").alias("effective_type"),
+        F.col("effective_schedule.schedule_expression").alias("effective_expression"),
+    )
+
+
+@query(f"""WITH {MESSAGES} SELECT topic, pos AS "offset", text || chr(10) || topic AS value, sha256(text || chr(10) || topic) AS payload_checksum
+  FROM messages""")
+def envelope_of_own_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload handler of the caller's own, applied before the digest, behind a processor that marks each message."""
+
+    def marked(rows: DataFrame) -> DataFrame:
+        mark = F.struct(F.lit("mark").alias("key"), F.col("topic").alias("value"))
+        return rows.withColumn("headers", F.array_append("headers", mark))
+
+    def handler(value: Column, headers: Column) -> Column:
+        last = F.element_at(headers, -1)
+        return F.concat(value, F.encode(F.concat(F.lit("\n"), last["value"]), "UTF-8"))
+
+    shaped = messages.to_envelope(views.messages(spark, sf_dir).transform(marked), payload=handler)
+    return shaped.select("topic", "offset", F.decode("value", "UTF-8").alias("value"), "payload_checksum")
+
+
+@query(f"""{_EVENT_DELIVERY} SELECT d.consumer AS consumer_id, d.topic, d.pos AS "offset" FROM decisions d
+  WHERE reason IS NULL AND NOT EXISTS (SELECT 1 FROM entries e WHERE e.pos = d.pos AND e.k = 'HOME' AND e.v = '4')""")
+def federate_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule of the caller's own beside the attributes."""
+
+    def elsewhere(look: Callable[[str], Column], attributes: Column) -> Column:
+        return F.coalesce(look("home") != "4", F.lit(True))
+
+    rows = views.event_messages(spark, sf_dir).drop("value")
+    sent = federation.federate(rows, views.event_grants(spark), predicate=elsewhere)
+    return sent.select("consumer_id", "topic", "offset")
