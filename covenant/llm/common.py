@@ -19,6 +19,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 SLICE_BYTES = 1 << 20
 
 BATCH_ROWS = 1_000
+BATCH_BYTES = 4 << 20
 
 #: Words longer than this are hashed one by one.
 LONG_WORD = 256
@@ -58,12 +59,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts go to Python workers in batches of at most BATCH_ROWS rows, for the session's queries from now on: batches are
-    held by the executor and the worker at once, and Spark's usual size is meant for numbers."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(setting))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(setting, BATCH_ROWS)
+    """Texts go to Python workers in batches of at most BATCH_ROWS rows and BATCH_BYTES, for the session's queries from now on:
+    a batch is held by the executor and the worker at once, and a row may be a whole text."""
+    for setting, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        setting = f"spark.sql.execution.arrow.{setting}"
+        now = int(spark.conf.get(setting).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(setting, most)
 
 
 def release_memory() -> None:
