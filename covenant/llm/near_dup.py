@@ -261,6 +261,10 @@ def near_duplicates(
     pivots = member.groupBy("band", "hash").agg(
         F.min(F.struct("class", "first_row")).alias("pivot"), F.count(F.lit(1)).alias("n")
     ).where("n > 1")
+    # A pivot stands in buckets of its own, where others may be smaller: its buckets go by the least of these, so that a group
+    # of near copies, whose buckets differ in who is missing, is one cluster and not one for each band.
+    own = member.join(pivots, ["band", "hash"]).groupBy("class").agg(F.min("pivot").alias("root"))
+    pivots = pivots.withColumn("class", F.col("pivot.class")).join(own, "class").select("band", "hash", F.col("root").alias("pivot"))
     pairs = written(
         member.join(pivots, ["band", "hash"])
         .where("class <> pivot.class")
