@@ -39,11 +39,13 @@ SEED = 11
 
 @dataclass
 class Lists:
-    """Centroids, the length of the longest vector, and, once known, into how many parts each list is cut."""
+    """Centroids, the length of the longest vector, and, once known, into how many parts each list is cut and how many ids
+    it adds for certain to those of any other lists."""
 
     centroids: np.ndarray
     longest: float
     parts: np.ndarray | None = None
+    ids: np.ndarray | None = None
     shards: int = 1
 
 
@@ -114,8 +116,9 @@ def _assign(shared):
     return assign
 
 
-def _probe(shared, probes: int):
-    """Arrow map: queries to a row per shard that has parts of the lists they scan, with those lists."""
+def _probe(shared, probes: int, k: int):
+    """Arrow map: queries to a row per shard that has parts of the lists they scan, with those lists: the ``probes`` nearest,
+    and the next ones until they hold k ids besides the query's own, or all."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists: Lists = shared.value
@@ -124,9 +127,11 @@ def _probe(shared, probes: int):
                 continue
             vectors = _as_matrix(batch.column("vector"))
             # A query's further component is zero.
-            found = _nearest(np.c_[vectors, np.zeros(len(vectors))], lists.centroids, probes)
+            found = _nearest(np.c_[vectors, np.zeros(len(vectors))], lists.centroids, len(lists.centroids))
+            enough = (np.cumsum(lists.ids[found], axis=1) <= k).sum(axis=1) + 1
             rows, shards, chosen = [], [], []
             for i, own in enumerate(found):
+                own = own[: max(probes, enough[i])]
                 of = np.repeat(own, lists.parts[own])
                 part = np.arange(len(of)) - np.repeat(np.cumsum(lists.parts[own]) - lists.parts[own], lists.parts[own])
                 shard = (of + part) % lists.shards
@@ -147,12 +152,14 @@ def scan(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k nearest of each query among the vectors of its lists: query, id and inner product.
 
-    ``probed[q, l]`` tells whether query q scans list l, ``member`` is the list of each vector. Ties go to smaller ids.
+    ``probed[q, l]`` tells whether query q scans list l, ``member`` is the list of each vector. Ties go to smaller ids;
+    of vectors with one id the nearest counts.
     """
     size = vectors.shape[1] + 1
     rotation = np.linalg.qr(np.random.default_rng(SEED).standard_normal((size, size)))[0]
     order = np.argsort(ids, kind="stable")
     ids, vectors, member = ids[order], vectors[order], member[order]
+    repeated = bool((ids[1:] == ids[:-1]).any())
     edges = [*range(0, size, COLUMNS), size]
     spans = list(zip(edges, edges[1:], strict=False))
     rotated = _lifted(vectors, longest) @ rotation
@@ -171,6 +178,11 @@ def scan(
                 continue
             row, place = np.r_[row, r], np.r_[place, c + left]
             score = np.r_[score, (vectors[c + left] * given[r]).sum(axis=1)]
+            if repeated:
+                by = np.lexsort((-score, ids[place], row))
+                row, place, score = row[by], place[by], score[by]
+                first = np.r_[True, (row[1:] != row[:-1]) | (ids[place[1:]] != ids[place[:-1]])]
+                row, place, score = row[first], place[first], score[first]
             by = np.lexsort((place, -score, row))
             row, place, score = row[by], place[by], score[by]
             begin = np.searchsorted(row, np.arange(len(given) + 1))
@@ -253,41 +265,51 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int, probe_sha
     """The ``k`` rows of ``vectors`` with the largest inner product with each row of ``queries``: (query_id, rank, vec_id, score).
 
     Both are (vec_id, embedding); other columns are ignored. Rows with a query's own id are no candidates. Vectors that are
-    null, empty, zero, or hold null or non-finite components take no part, nor do those of another size than the most
-    frequent one (the smaller of two equally frequent). Rows that share an id count once, the nearest of them. Ties go to
+    null, empty, zero, or hold null or non-finite components take no part. A query's candidates are the vectors of its size;
+    each size has its own lists, and its own few jobs. Rows that share an id count once, the nearest of them. Ties go to
     smaller ids. Every vector is indexed; there are about as many lists as the root of the number of vectors, and at most one for
     16 vectors of the sample, which is the rows with the smallest hashes of their ids. A query scans ``probe_share`` of the
-    lists, those nearest to it, and at least one.
+    lists, those nearest to it, and more until they hold ``k`` ids, so it gets ``k`` rows, or all candidates if they are
+    fewer. Empty tables give no rows.
     """
     spark = vectors.sparkSession
     schema = "vec_id bigint, vector binary, size int, norm double"
-    empty = "query_id bigint, rank int, vec_id bigint, score double"
+    found = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
 
     def cleaned(df: DataFrame) -> DataFrame:
         return df.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").mapInArrow(_clean, schema)
 
     clean = written(cleaned(vectors), scratch_path(spark, "vectors"))
+    asked = written(cleaned(queries), scratch_path(spark, "queries"))
+    # One row per size that has vectors and queries.
     sizes = clean.groupBy("size").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest"))
-    common = sizes.orderBy(F.desc("n"), "size").first()
-    if common is None:
-        return spark.createDataFrame([], empty)
-    clean = clean.where(F.col("size") == common["size"])
-    asked = cleaned(queries).where(F.col("size") == common["size"])
+    for row in sizes.join(asked.select("size").distinct(), "size").orderBy("size").collect():
+        of_size = F.col("size") == row["size"]
+        found = found.union(_of_one_size(clean.where(of_size), asked.where(of_size), row["n"], row["longest"], k, probe_share, sample))
+    return found
+
+
+def _of_one_size(clean: DataFrame, asked: DataFrame, total: int, longest: float, k: int, probe_share: float, sample: int) -> DataFrame:
+    """The search among vectors of one size, ``total`` in number."""
+    spark = clean.sparkSession
     chosen = clean.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(sample).select("vector").toArrow().column("vector").combine_chunks()
-    points = _lifted(_as_matrix(chosen), common["longest"])
-    number = max(1, min(int(np.sqrt(common["n"])), len(points) // 16))
-    lists = Lists(_fit(points, number), common["longest"])
+    points = _lifted(_as_matrix(chosen), longest)
+    number = max(1, min(int(np.sqrt(total)), len(points) // 16))
+    lists = Lists(_fit(points, number), longest)
     placed = clean.select("vec_id", "vector").mapInArrow(_assign(spark.sparkContext.broadcast(lists)), "vec_id bigint, vector binary, list bigint")
     placed = written(placed, scratch_path(spark, "lists"))
 
     # One number per list: a list is cut into parts, which go to neighbouring shards.
-    lists.parts, lists.shards = np.zeros(number, int), max(1, -(-common["n"] // SHARD))
+    lists.parts, lists.ids, lists.shards = np.zeros(number, int), np.zeros(number, int), max(1, -(-total // SHARD))
     for row in placed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts")).collect():
         lists.parts[row["list"]] = min(row["parts"], lists.shards)
+    # An id in several lists counts for one of them.
+    for row in placed.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
+        lists.ids[row["list"]] = row["count"]
     shared = spark.sparkContext.broadcast(lists)
     probes = max(1, int(np.ceil(number * probe_share)))
     probing = written(
-        asked.select("vec_id", "vector").mapInArrow(_probe(shared, probes), "shard bigint, vec_id bigint, vector binary, lists array<bigint>"),
+        asked.select("vec_id", "vector").mapInArrow(_probe(shared, probes, k), "shard bigint, vec_id bigint, vector binary, lists array<bigint>"),
         scratch_path(spark, "probes"),
     )
     query_parts = max(1, -(-asked.count() // QUERY_BLOCK))

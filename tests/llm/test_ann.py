@@ -60,6 +60,36 @@ def test_empty_table(spark):
     assert ann.nearest_neighbours(empty, empty, 3).collect() == []
 
 
+def test_every_size_is_searched(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.standard_normal(3 if i % 3 else 5)]) for i in range(60)] + [(60, [1.0, 2.0])]
+    given = spark.createDataFrame([(i, v, 0, 1, 2) for i, v in rows], SCHEMA)
+    found = results(ann.nearest_neighbours(given, given, 4, probe_share=1.0))
+    assert set(found) == set(range(60))
+    for query, own in rows[:60]:
+        same = [(i, np.dot(np.float32(v).astype(float), np.float32(own).astype(float))) for i, v in rows if len(v) == len(own) and i != query]
+        assert [r[1] for r in found[query]] == [i for i, _ in sorted(same, key=lambda x: (-x[1], x[0]))[:4]]
+
+
+@pytest.mark.parametrize("number", [48, 64])
+def test_scans_on_until_enough_are_found(spark, number):
+    # Small clusters far apart: the nearest lists hold fewer than k vectors.
+    rng = np.random.default_rng(4)
+    vectors = np.eye(8)[rng.integers(0, 8, number)] * 10 + rng.standard_normal((number, 8)) * 0.01
+    given = table(spark, vectors)
+    found = results(ann.nearest_neighbours(given, given, number - 2, probe_share=0.01))
+    assert {len(r) for r in found.values()} == {number - 2} and len(found) == number
+    assert {len(r) for r in results(ann.nearest_neighbours(given, given, number, probe_share=0.01)).values()} == {number - 1}
+
+
+def test_repeated_ids_leave_room_for_others(spark):
+    rng = np.random.default_rng(5)
+    vectors = np.r_[np.ones((200, 6)) * 3, rng.standard_normal((40, 6))]
+    given = table(spark, vectors, [7] * 200 + list(range(100, 140)))
+    found = results(ann.nearest_neighbours(given, given, 10, probe_share=0.01))
+    assert len(found) == 41 and all(len({r[1] for r in rows}) == 10 for rows in found.values())
+
+
 @pytest.mark.parametrize("columns", [4, 16])
 def test_scan_without_abandoning_is_exact(monkeypatch, columns):
     monkeypatch.setattr(ann, "COLUMNS", columns)
