@@ -73,13 +73,16 @@ sized AS (SELECT *, place = 1 AND role = 'system' AS leads,
 summed AS (SELECT *, coalesce(sum(CASE WHEN leads THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY place
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
     coalesce(max(CASE WHEN leads THEN tokens END) OVER (PARTITION BY conv_id), 0) AS lead_tokens FROM sized),
-numbered AS (SELECT *, start // greatest(({BUDGET} - {HISTORY} - lead_tokens) // 2, 1) AS number FROM summed),
-windows AS (SELECT conv_id, number, sum(size) AS size, min(start) FILTER (NOT leads) AS begin,
-    row_number() OVER (PARTITION BY conv_id ORDER BY number) AS k FROM numbered GROUP BY conv_id, number),
-tails AS (SELECT w.conv_id, sum(n.size) AS size FROM windows w JOIN windows v ON v.conv_id = w.conv_id AND v.k = w.k - 1
-  JOIN numbered n ON n.conv_id = v.conv_id AND n.number = v.number AND NOT n.leads AND w.begin - n.start <= {HISTORY}
-  GROUP BY w.conv_id),
-repeats AS (SELECT w.conv_id, (max(k) - 1) * coalesce(max(s.size), 0) AS size FROM windows w
+roomy AS (SELECT *, start + CASE WHEN leads THEN 0 ELSE tokens END AS finish, greatest({BUDGET} - {HISTORY} - lead_tokens, 1) AS room FROM summed),
+celled AS (SELECT *, finish > (start // room + 1) * room AS crosses,
+    CASE WHEN finish > (start // room + 1) * room THEN finish // room ELSE start // room END AS cell FROM roomy),
+fitted AS (SELECT *, crosses OR max(finish) OVER (PARTITION BY conv_id, cell) - min(start) OVER (PARTITION BY conv_id, cell) <= room AS early FROM celled),
+numbered AS (SELECT *, min(start) OVER own AS begin, max(finish) OVER own AS until FROM fitted WINDOW own AS (PARTITION BY conv_id, cell, early)),
+windows AS (SELECT conv_id, begin, least({HISTORY}, {BUDGET} - max(lead_tokens) - coalesce(sum(tokens) FILTER (NOT leads), 0)) AS spare
+  FROM numbered GROUP BY conv_id, begin),
+tails AS (SELECT w.conv_id, sum(n.size) AS size FROM windows w JOIN numbered n
+  ON n.conv_id = w.conv_id AND n.until = w.begin AND NOT n.leads AND w.begin - n.start <= w.spare GROUP BY w.conv_id),
+repeats AS (SELECT w.conv_id, (count(*) - 1) * coalesce(max(s.size), 0) AS size FROM windows w
   LEFT JOIN numbered s ON s.conv_id = w.conv_id AND s.leads GROUP BY w.conv_id)
 SELECT n.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,

@@ -1,5 +1,7 @@
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from covenant.llm import chat
@@ -54,21 +56,70 @@ def test_round_trip_and_mask(spark):
     assert any(r.repeated > 1 for r in learned)
 
 
-def test_windows_keep_to_the_budget(spark):
-    budget, history = 200, 40
-    given = spark.createDataFrame(turns(), SCHEMA)
-    step = (budget - history) // 2 - 60
-    windows = chat.format_chat(given, budget, history).withColumn("tokens", F.regexp_count("text", F.lit(chat.TOKEN)))
-    small = given.withColumn("n", F.regexp_count("text", F.lit(chat.TOKEN))).groupBy("conv_id").agg(F.max("n").alias("most"))
-    # Marks in the formatted text are counted by their characters here, so only their number of turns is bounded.
-    assert windows.join(small, "conv_id").where(F.col("most") < step).count() > 0
-    assert windows.where("size(loss_mask) > 60").count() == 0
+def counted(text):
+    return len(re.findall(chat.TOKEN, text)) + chat.MARKS
+
+
+@pytest.mark.parametrize("budget, history", [(200, 40), (90, 60), (64, 0), (1024, 128)])
+def test_windows_keep_to_the_budget(spark, budget, history):
+    windows = chat.read_turns(chat.format_chat(spark.createDataFrame(turns(), SCHEMA).repartition(5), budget, history)).collect()
+    found = {}
+    for r in windows:
+        found.setdefault(r.conv_id, []).append(r)
+    for conv, own in ordered().items():
+        system = counted(own[0][1]) if own[0][0] == "system" else 0
+        rest = [counted(t) for _, t in own[system > 0 :]]
+        place = 0
+        for r in sorted(found[conv], key=lambda r: r.window):
+            again = r.repeated - (system > 0 and r.window > 0)
+            mine = len(r.turns) - (system > 0 and r.window == 0)
+            repeated, held = sum(rest[place - again : place]), sum(rest[place : place + mine])
+            assert repeated <= history
+            assert system + repeated + held <= budget or mine <= 1 and system + held > budget and not again
+            place += mine
+        assert place == len(rest)
+
+
+def windows_of(spark, sizes, **options):
+    rows = [(1, i, "user", "", n) for i, n in enumerate(sizes)]
+    given = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, ids int")
+    found = chat.read_turns(chat.format_chat(given, tokens="ids", **options)).orderBy("window").collect()
+    return [len(r.turns) for r in found]
+
+
+def test_windows_are_chosen_against_the_budget(spark):
+    assert windows_of(spark, [100, 300, 900, 50]) == [2, 1, 1]
+    assert windows_of(spark, [440] * 8) == [2, 2, 2, 2]
+    assert windows_of(spark, [1020] * 3) == [1, 1, 1]
+    assert windows_of(spark, [None, -5, 5000, 1]) == [2, 1, 1]
+    # Two neighbouring windows never fit into one.
+    rng = random.Random(5)
+    sizes = [rng.randrange(1, 500) for _ in range(300)]
+    counts = windows_of(spark, sizes)
+    assert sum(counts) == 300 and len(counts) <= 2 * sum(n + chat.MARKS for n in sizes) / (chat.BUDGET - chat.HISTORY) + 1
+
+
+def test_one_conversation_in_many_ranges(spark):
+    rows = [(1, i, "system" if i == 0 else ("assistant" if i % 2 else "user"), f"t{i} " * (i % 40)) for i in range(4000)]
+    given = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        windows = chat.read_turns(chat.format_chat(given))
+        found = windows.withColumn("learned", chat.learned_text(windows)).orderBy("window").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert [r.window for r in found] == list(range(len(found))) and len(found) > 50
+    assert [(t.role, t.text) for r in found for t in r.turns] == [(r, t) for _, _, r, t in rows]
+    assert "".join(r.learned for r in found) == "".join(t for _, _, r, t in rows if r == "assistant")
 
 
 def test_empty_table(spark):
     assert chat.format_chat(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_no_python_on_the_way(spark):
+def test_no_python_on_the_way(spark, monkeypatch):
+    # Without the written tables between, the plan is that of the whole way.
+    monkeypatch.setattr(chat, "written", lambda df, path: df)
     plan = chat.read_turns(chat.format_chat(spark.createDataFrame(turns(), SCHEMA)))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "MapInArrow"))
