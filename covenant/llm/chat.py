@@ -63,15 +63,7 @@ def format_chat(conversations: DataFrame, budget: int = BUDGET, history: int = H
     ``budget`` together wherever each turn does beside the system turn; a turn that does not has a window of its own.
     """
     spark = conversations.sparkSession
-    given = F.regexp_count("text", F.lit(TOKEN)) if tokens is None else F.greatest(F.col("tokens"), F.lit(0))
-    turns = (
-        conversations.select("conv_id", "turn", "role", "text", *([] if tokens is None else [F.col(tokens).alias("tokens")]))
-        .fillna("", ["role", "text"])
-        .withColumn("tokens", (F.coalesce(given, F.lit(0)) + MARKS).cast("bigint"))
-        .withColumn("head", F.char_length(F.concat(F.lit('<turn role="'), escape_role(F.col("role")), F.lit('">'))))
-        .withColumn("body", F.char_length(escape(F.col("text"))))
-        .withColumn("length", (F.col("head") + F.col("body") + 8).cast("bigint"))
-    )
+    turns = conversations.select("conv_id", "turn", "role", "text", *([] if tokens is None else [F.col(tokens).alias("tokens")]))
     turns = _numbered(turns, budget, history)
     turns = written(_in_windows(turns), scratch_path(spark, "turns"))
     return _built(turns, budget, history)
@@ -84,7 +76,17 @@ def _numbered(turns: DataFrame, budget: int, history: int) -> DataFrame:
     """
     spark = turns.sparkSession
     order = [F.asc_nulls_first("turn"), "role", "text", "tokens"]
-    ranged = turns.repartitionByRange("conv_id", *order).withColumn("range", F.spark_partition_id())
+    turns = turns.fillna("", ["role", "text"])
+    # What is measured is measured behind the shuffle, whose ranges are drawn from a pass of its own over the keys.
+    ranged = turns.repartitionByRange("conv_id", *[c for c in order if c != "tokens" or "tokens" in turns.columns])
+    given = F.greatest(F.col("tokens"), F.lit(0)) if "tokens" in turns.columns else F.regexp_count("text", F.lit(TOKEN))
+    ranged = (
+        ranged.withColumn("range", F.spark_partition_id())
+        .withColumn("tokens", (F.coalesce(given, F.lit(0)) + MARKS).cast("bigint"))
+        .withColumn("head", F.char_length(F.concat(F.lit('<turn role="'), escape_role(F.col("role")), F.lit('">'))))
+        .withColumn("body", F.char_length(escape(F.col("text"))))
+        .withColumn("length", (F.col("head") + F.col("body") + 8).cast("bigint"))
+    )
     ranged = written(ranged, scratch_path(spark, "ranges"))
     by_range = Window.partitionBy("conv_id").orderBy("range")
     earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
