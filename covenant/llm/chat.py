@@ -75,10 +75,10 @@ def _numbered(turns: DataFrame, budget: int, history: int) -> DataFrame:
     Turns are sorted into ranges; sums within a range start from those of the conversation's earlier ranges.
     """
     spark = turns.sparkSession
-    order = [F.asc_nulls_first("turn"), "role", "text", "tokens"]
+    order = ["turn", "role", "text", "tokens"]
     turns = turns.fillna("", ["role", "text"])
     # What is measured is measured behind the shuffle, whose ranges are drawn from a pass of its own over the keys.
-    ranged = turns.repartitionByRange("conv_id", *[c for c in order if c != "tokens" or "tokens" in turns.columns])
+    ranged = turns.repartitionByRange("conv_id", *[c for c in order if c in turns.columns])
     given = F.greatest(F.col("tokens"), F.lit(0)) if "tokens" in turns.columns else F.regexp_count("text", F.lit(TOKEN))
     ranged = (
         ranged.withColumn("range", F.spark_partition_id())
