@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covenant.llm import decontaminate, langid, near_dup, packing, substring
-from covenant.llm.common import drop_rows, row_key, table
+from covenant.llm.common import drop_rows, row_key, split_rows, table
 from covenant.llm.queries import vocabulary
 from covenant.session import scratch_path, written
 
@@ -36,12 +36,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id. Of rows that share that id one text
-    stays, with its exact repetitions; rows without an id stay."""
-    found = written(near_dup.near_duplicates(docs).select("row", "doc_id", "kept"), scratch_path(spark, "groups"))
-    first = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("row").alias("first"))
-    gone = found.join(first, "doc_id", "left").where("NOT kept OR row <> first").select(F.col("row").alias("__row")).distinct()
-    return drop_rows(docs, written(gone, scratch_path(spark, "gone"))).select(*docs.columns)
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    Rows are told apart by id and text. Of the texts that share an id one keeps it; the others, and those without an id, go by
+    an id made from both, larger than any other. So texts that resemble nothing stay, and of equal rows or texts one does.
+    """
+    row = row_key("doc_id", "text")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("__first")).where("n > 1 OR doc_id IS NULL")
+    ids = written(ids.select(row_key("doc_id").alias("__row"), "__first"), scratch_path(spark, "clashing"))
+    maybe, no = split_rows(docs.withColumn("__row", row_key("doc_id")), ids)
+    own = F.col("doc_id").cast("bigint")
+    made = F.shiftrightunsigned(row, 2).bitwiseOR(F.lit(1 << 62))
+    other = F.col("doc_id").isNull() | (row != F.col("__first"))
+    clashes = maybe.join(ids.select("__row", "__first"), "__row", "left").withColumn("__name", F.when(other, made).otherwise(own))
+    clashes = clashes.select(*no.columns, "__name").dropDuplicates(["__name"])
+    named = written(no.withColumn("__name", own).union(clashes).drop("__row"), scratch_path(spark, "named"))
+    found = near_dup.near_duplicates(named.select(F.col("__name").alias("doc_id"), "text"))
+    gone = written(found.where("NOT kept").select(F.col("row").alias("__row")).distinct(), scratch_path(spark, "gone"))
+    kept = named.withColumnsRenamed({"doc_id": "__own", "__name": "doc_id"})
+    return drop_rows(kept, gone).drop("doc_id").withColumnRenamed("__own", "doc_id").select(*docs.columns)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
