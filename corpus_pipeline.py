@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covenant.llm import decontaminate, langid, near_dup, packing, substring
-from covenant.llm.common import drop_rows, row_key, split_rows, table
+from covenant.llm.common import drop_rows, row_key, table
 from covenant.llm.queries import vocabulary
 from covenant.session import scratch_path, written
 
@@ -42,15 +42,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     an id made from both, larger than any other. So texts that resemble nothing stay, and of equal rows or texts one does.
     """
     row = row_key("doc_id", "text")
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("__first")).where("n > 1 OR doc_id IS NULL")
-    ids = written(ids.select(row_key("doc_id").alias("__row"), "__first"), scratch_path(spark, "clashing"))
-    maybe, no = split_rows(docs.withColumn("__row", row_key("doc_id")), ids)
-    own = F.col("doc_id").cast("bigint")
+    shared = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("__first"))
+    shared = written(shared.where("n > 1").select("doc_id", "__first"), scratch_path(spark, "shared"))
+    # Rows with an id of their own stay where they are; only the others are shuffled, to be once each.
+    met = docs.join(shared, "doc_id", "left")
     made = F.shiftrightunsigned(row, 2).bitwiseOR(F.lit(1 << 62))
-    other = F.col("doc_id").isNull() | (row != F.col("__first"))
-    clashes = maybe.join(ids.select("__row", "__first"), "__row", "left").withColumn("__name", F.when(other, made).otherwise(own))
-    clashes = clashes.select(*no.columns, "__name").dropDuplicates(["__name"])
-    named = written(no.withColumn("__name", own).union(clashes).drop("__row"), scratch_path(spark, "named"))
+    own = F.col("doc_id").cast("bigint")
+    alone = met.where("doc_id IS NOT NULL AND __first IS NULL").withColumn("__name", own)
+    others = met.where("doc_id IS NULL OR __first IS NOT NULL").withColumn("__name", F.when(row == F.col("__first"), own).otherwise(made))
+    named = alone.union(others.dropDuplicates(["__name"])).select(*docs.columns, "__name")
     found = near_dup.near_duplicates(named.select(F.col("__name").alias("doc_id"), "text"))
     gone = written(found.where("NOT kept").select(F.col("row").alias("__row")).distinct(), scratch_path(spark, "gone"))
     kept = named.withColumnsRenamed({"doc_id": "__own", "__name": "doc_id"})
