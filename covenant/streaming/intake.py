@@ -57,7 +57,7 @@ class Intake:
         marks = rows.where("done_at IS NOT NULL").groupBy(*FILE).agg(F.max("done_at").alias("done_at"), F.max("run").alias("run"))
         left = rows.where("done_at IS NULL").join(marks.select(*FILE), FILE, "left_anti")
         since = left.groupBy(*FILE).agg(F.min("run").alias("run"))
-        ranges = merge_ranges(left.where("first IS NOT NULL").select(*FILE, "first", "last"), FILE).join(since, FILE)
+        ranges = merge_ranges(left.where("first IS NOT NULL").select(*FILE, "first", "last"), FILE, short=True).join(since, FILE)
         markers = left.where("marker_index IS NOT NULL").groupBy(*FILE).agg(F.max("marker_index").alias("marker_index"), F.min("run").alias("run"))
         return _padded(ranges).unionByName(_padded(markers)).unionByName(_padded(self._alive(marks)))
 
@@ -72,14 +72,14 @@ class Intake:
         named = chunks.withColumn("file_name", base_name(F.col("file_name")))
         arrived = written(named.join(marks, FILE, "left_anti"), f"{self.root}/chunks/batch={batch}")
         last = F.col("is_last_chunk")
-        ranges = position_ranges(arrived.where(~last), FILE, "chunk_index")
+        ranges = position_ranges(arrived.where(~last), FILE, "chunk_index", short=True)
         markers = arrived.where(last).groupBy(*FILE).agg(F.max("chunk_index").cast("int").alias("marker_index"))
         run = F.lit(batch).cast("bigint").alias("run")
         new = written(
             _padded(ranges.withColumn("run", run)).unionByName(_padded(markers.withColumn("run", run))), f"{self.root}/new"
         )
         open_ = known.where("done_at IS NULL").unionByName(new)
-        begun = merge_ranges(open_.where("first IS NOT NULL").select(*FILE, "first", "last"), FILE).where("first <= 0")
+        begun = merge_ranges(open_.where("first IS NOT NULL").select(*FILE, "first", "last"), FILE, short=True).where("first <= 0")
         marked = open_.groupBy(*FILE).agg(F.max("marker_index").alias("marker_index"), F.min("run").alias("since"))
         complete = (F.col("marker_index") == 0) | (F.col("last") >= F.col("marker_index") - 1)
         finished = marked.where("marker_index IS NOT NULL").join(begun, FILE, "left").where(complete)

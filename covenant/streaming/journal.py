@@ -61,9 +61,9 @@ class Journal:
         if len(settled) < self.every:
             return
         upto = settled[-1]
-        self.fold(self._read(earlier, settled)).select(*self.schema.fieldNames()).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/snapshot/upto={upto}"
-        )
+        # As many files as the fold has partitions: a snapshot may hold as much as everything delivered.
+        folded = self.fold(self._read(earlier, settled)).select(*self.schema.fieldNames())
+        folded.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
         if earlier:
             for run in (r for r in runs if r <= earlier[-1]):
                 remove_path(self.spark, f"{self.path}/log/run={run}")

@@ -57,6 +57,44 @@ def test_merging(spark):
     assert ranges.merge_ranges(table.limit(0), ["k"]).collect() == []
 
 
+@pytest.mark.parametrize("stretch", [4, 16])
+def test_merging_across_stretches(spark, monkeypatch, stretch):
+    monkeypatch.setattr(ranges, "STRETCH", stretch)
+    rng = random.Random(stretch)
+    given = [(rng.choice(["a", "b", None]), rng.choice([1, None]), p := rng.randrange(-200, 800), p + rng.choice([-1, 0, 1, 3, 4, 40])) for _ in range(220)]
+    given += [("c", 1, 0, 3), ("c", 1, 4, 7), ("c", 1, 8, 90), ("c", 1, 9, 11), ("c", 1, 92, 93), ("d", 1, 3, None)]
+    expected = {}
+    for k, n, first, last in given:
+        if last is not None:
+            expected.setdefault((k, n), set()).update(range(first, last + 1))
+    table = spark.createDataFrame(given, "k string, n int, first bigint, last bigint")
+    for short in (False, True):
+        got = {}
+        for r in ranges.merge_ranges(table, ["k", "n"], short=short).collect():
+            got.setdefault((r["k"], r["n"]), []).append((r["first"], r["last"]))
+        assert {k: sorted(v) for k, v in got.items()} == {k: islands(v) for k, v in expected.items() if v}
+
+
+def test_ranges_of_one_key_are_merged_by_many_tasks(spark, work, monkeypatch):
+    monkeypatch.setattr(ranges, "STRETCH", 64)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        table = spark.range(0, 4000, 2).selectExpr("'a' AS k", "id AS first", "id AS last")
+        merged = ranges.merge_ranges(table, ["k"])
+        assert merged.count() == 2000 and merged.select(F.spark_partition_id()).distinct().count() > 4
+        delivered = DeliveredTable(spark, f"{work}/delivered", every=2)
+        for run in range(3):
+            delivered.commit(rows(spark, [("t", 0, o) for o in range(run, 3000, 6)]), run)
+        snapshot = spark.read.parquet(f"{work}/delivered/snapshot/upto=1")
+        assert snapshot.count() == 500 and len(snapshot.inputFiles()) > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_journals_stay_small_and_lose_nothing(spark, work):
     progress, delivered = ProgressTable(spark, f"{work}/progress", every=3), DeliveredTable(spark, f"{work}/delivered", every=3)
     everything = set()
