@@ -1076,6 +1076,21 @@ def _event_delivery(policy: list) -> str:
 _EVENT_DELIVERY = _event_delivery(views.EVENT_POLICY)
 
 
+#: Bytes of a file that a stream reads, about.
+FED_BYTES = 16 << 20
+
+
+def _feed(rows: DataFrame, path: str, key: Column, size: Column, *, files: int, each: int) -> int:
+    """Add rows to the folder of a stream, dealt by ``key``: as that many files, or more where rows of ``size`` bytes are many.
+
+    Gives the number of files of a micro-batch: ``each`` of ``files``, in proportion, so that micro-batches grow and not their number.
+    """
+    total = rows.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    dealt = max(files, -(-total // FED_BYTES))
+    rows.repartition(dealt, key).write.mode("append").parquet(path)
+    return -(-dealt * each // files)
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = views.table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -1139,8 +1154,8 @@ def _inbound(spark: SparkSession, sf_dir: str, action: str, times: int) -> DataF
     )
     for _ in range(times):
         # Offsets arrive in no order.
-        envelopes.repartition(3, F.xxhash64("offset")).write.mode("append").parquet(f"{root}/envelopes")
-        stream = spark.readStream.schema(envelopes.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/envelopes")
+        each = _feed(envelopes, f"{root}/envelopes", F.xxhash64("offset"), F.octet_length("value"), files=3, each=2)
+        stream = spark.readStream.schema(envelopes.schema).option("maxFilesPerTrigger", each).parquet(f"{root}/envelopes")
         streams.drain(stream, writer, f"{root}/checkpoint")
     stored = streams.read_sink(spark, f"{root}/sink")
     return stored.select("topic", "offset", "checksum_status", "skipped")

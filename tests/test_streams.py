@@ -15,6 +15,7 @@ from covenant.streaming import federation as streams
 from covenant.streaming.progress import KEYS, ProgressTable, not_yet_delivered
 from covenant.streaming.reassembly import reassemble
 from covenant.streaming.refresh import Refreshed
+from harness import queries
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -163,3 +164,17 @@ def test_reassembly(spark, work):
     found = {r["file_sequence_id"]: r["actual_checksum"] for r in done if r["error"] is None}
     assert found == {i: hashlib.sha256(data).hexdigest() for i, data in contents.items() if i != 2}
     assert set(CHUNK.fieldNames()) <= set(schema.fieldNames())
+
+
+def test_stream_files_grow_in_number_not_in_size(spark, work, monkeypatch):
+    monkeypatch.setattr(queries, "FED_BYTES", 1000)
+    rows = spark.range(400).select("id", F.rpad(F.lit("x"), 50, "y").alias("value"))
+    for key, files_, each in (("a", 3, 2), ("b", 8, 4), ("c", 40, 10)):
+        place = F.lit(0) if key == "c" else F.xxhash64("id")
+        fed = queries._feed(rows, f"{work}/{key}", place, F.octet_length("value"), files=files_, each=each)
+        back = spark.read.parquet(f"{work}/{key}")
+        assert sorted(r["id"] for r in back.collect()) == list(range(400))
+        assert fed == -(-max(20, files_) * each // files_)
+    assert len(spark.read.parquet(f"{work}/a").inputFiles()) > 10
+    few = queries._feed(rows.limit(3), f"{work}/d", F.xxhash64("id"), F.octet_length("value"), files=3, each=2)
+    assert few == 2 and queries._feed(rows.limit(0), f"{work}/e", F.col("id"), F.octet_length("value"), files=4, each=1) == 1
