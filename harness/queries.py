@@ -1404,9 +1404,10 @@ def exchanged_federation(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "exchange")
     sink = f"{root}/sink" if "://" in root or root.startswith("file:") else f"file:{root}/sink"
     events = views.table(spark, sf_dir, "events")
-    events.repartition(4, "event_id").write.parquet(f"{root}/events")
+    size = F.octet_length("props") + 50
+    each = _feed(events, f"{root}/events", F.col("event_id"), size, files=4, each=1)
     stream = views.as_event_messages(
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", each).parquet(f"{root}/events")
     )
     writer = streams.exchange_writer(views.event_grants(spark), sink, server="hub")
     for ended in (_ended(writer, 1, before=True), _ended(writer, 2, before=False), writer):
