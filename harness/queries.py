@@ -1212,8 +1212,10 @@ def reassembled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "reassembled")
     named = views.files(spark, sf_dir).withColumns({"topic": F.lit("files"), "partition": F.lit(0)})
     chunks = files.chunk_files(named, 1000, by=["topic", "partition"])
-    stored = written(chunks.repartition("chunk_index"), f"{root}/chunks")
-    stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/chunks")
+    # Chunks of a file come in no order, in several micro-batches.
+    place = F.xxhash64("file_sequence_id", "chunk_index")
+    each = _feed(chunks, f"{root}/chunks", place, F.coalesce(F.octet_length("chunk_data"), F.lit(0)) + 100, files=8, each=4)
+    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", each).parquet(f"{root}/chunks")
     streams.drain(stream, intake_writer(f"{root}/intake", block_chunks=16), f"{root}/checkpoint")
     return files.file_facts(Intake(spark, f"{root}/intake").blocks(), by=["topic", "partition"]).select(
         "file_sequence_id", "file_name", "chunk_count", "actual_size", "actual_checksum", "file_checksum"
