@@ -82,14 +82,15 @@ def flatten_grants(documents: DataFrame) -> DataFrame:
 
 
 def consumer_topics(
-    grants: DataFrame, only: DataFrame | None = None, *, salt: bool = False
+    grants: DataFrame, only: DataFrame | None = None, *, topics: DataFrame | None = None, ordered: bool = True, salt: bool = False
 ) -> DataFrame:
     """``(consumer_id, topic_key, granted, attributes)`` per consumer and topic **or product name**, in lower case.
 
     ``granted`` is true when a product's topic is the key; a product's name alone only contributes attributes.
     Attributes are the union over all matching products, in document order. A repeated attribute counts once: the
     rule is a conjunction, and repeats are folded before they are shuffled into a list. ``only`` holds the keys of
-    interest; others are dropped first.
+    interest; others are dropped first. So are keys that are not among ``topics`` (topic_key), where these are given. Without
+    ``ordered`` attributes come in the order of their names and values, and positions are not carried along.
     """
     attribute = ["has_attribute", "attribute_name", "attribute_value"]
     named = grants.where("consumer_id IS NOT NULL").select(
@@ -99,6 +100,8 @@ def consumer_topics(
     keyed = named.select(
         "consumer_id", F.explode(names).alias("topic_key"), "topic", "position", *attribute
     ).where("topic_key IS NOT NULL")
+    if topics is not None:
+        keyed = keyed.join(topics, "topic_key", "left_semi")
     if only is not None:
         keyed = keyed_join(
             keyed,
@@ -108,18 +111,17 @@ def consumer_topics(
             spread=["position", "attribute_name", "attribute_value"],
             salt=salt,
         )
-    folded = keyed.groupBy("consumer_id", "topic_key", *attribute).agg(
-        F.min("position").alias("position"),
-        F.max(F.coalesce(F.col("topic_key") == F.col("topic"), F.lit(False))).alias("granted"),
-    )
-    stated = F.when(
-        F.col("has_attribute"),
-        F.struct("position", F.col("attribute_name").alias("name"), F.col("attribute_value").alias("value")),
-    )
+    granted = F.max(F.coalesce(F.col("topic_key") == F.col("topic"), F.lit(False))).alias("granted")
+    stated = [F.col("attribute_name").alias("name"), F.col("attribute_value").alias("value")]
+    if not ordered:
+        # Equal attributes are one in a set, so that nothing has to be folded before.
+        found = F.collect_set(F.when(F.col("has_attribute"), F.struct(*stated)))
+        return keyed.groupBy("consumer_id", "topic_key").agg(granted, F.array_sort(found).alias("attributes"))
+    folded = keyed.groupBy("consumer_id", "topic_key", *attribute).agg(F.min("position").alias("position"), granted)
     return folded.groupBy("consumer_id", "topic_key").agg(
         F.max("granted").alias("granted"),
         F.transform(
-            F.array_sort(F.collect_list(stated)),
+            F.array_sort(F.collect_list(F.when(F.col("has_attribute"), F.struct("position", *stated)))),
             lambda a: F.struct(a["name"].alias("name"), a["value"].alias("value")),
         ).alias("attributes"),
     )
@@ -134,23 +136,31 @@ def access_pairs(grants: DataFrame) -> DataFrame:
     )
 
 
-def entitlements(grants: DataFrame, requests: DataFrame | None = None, *, require_topic_grant: bool = True) -> DataFrame:
+def entitlements(
+    grants: DataFrame,
+    requests: DataFrame | None = None,
+    *,
+    require_topic_grant: bool = True,
+    topics: DataFrame | None = None,
+    ordered: bool = True,
+) -> DataFrame:
     """``(consumer_id, topic_key, attributes)``: what each consumer may read and under which attributes.
 
     Without ``requests`` every granted pair counts. With them only requested pairs do; and without
     ``require_topic_grant`` a request of any known consumer is honoured even when no product grants the topic.
+    ``topics`` and ``ordered`` are those of :func:`consumer_topics`; grants of other topics may be missing.
     """
-    topics = consumer_topics(grants)
+    lists = consumer_topics(grants, topics=topics, ordered=ordered)
     if requests is None:
         if not require_topic_grant:
             raise ValueError("without topic grants the requested topics must be given")
-        return topics.where("granted").drop("granted")
+        return lists.where("granted").drop("granted")
     asked = requests.select("consumer_id", F.lower(trim_all(F.col("topic"))).alias("topic_key")).distinct()
     if require_topic_grant:
-        return asked.join(topics.where("granted").drop("granted"), ["consumer_id", "topic_key"])
+        return asked.join(lists.where("granted").drop("granted"), ["consumer_id", "topic_key"])
     known = grants.select("consumer_id").distinct()
     joined = asked.join(known, "consumer_id", "left_semi").join(
-        topics.drop("granted"), ["consumer_id", "topic_key"], "left"
+        lists.drop("granted"), ["consumer_id", "topic_key"], "left"
     )
     return joined.withColumn("attributes", F.coalesce("attributes", F.array().cast(ATTRIBUTES)))
 

@@ -90,18 +90,22 @@ def federate_classes(
 ) -> DataFrame:
     """The rows of :func:`covenant.operators.federation.federate`, judged by class.
 
-    For topics with many consumers and messages: a label class is judged once, not once per message and consumer. The rules
-    are written as a table first; messages are read twice, for their classes and for the expansion. ``predicate`` may look at the
-    label and the attribute list, as there.
+    For topics with many consumers and messages: a label class is judged once, not once per message and consumer. The topics of
+    the messages and then the rules for them are written as tables first; messages are read three times, for their topics, for
+    their classes and for the expansion. ``predicate`` may look at the label and the attribute list, as there.
     """
     spark = messages.sparkSession
     labelled = _labelled(messages).withColumn("label_class", label_class(F.col("__label")))
-    entitled = entitlements(grants, requests, require_topic_grant=require_topic_grant)
-    rules = written(rule_classes(entitled, ordered=predicate is not None), scratch_path(spark, "rules"))
+    ordered = predicate is not None
+    topics = written(labelled.select("topic_key").distinct(), scratch_path(spark, "topics"))
+    entitled = entitlements(grants, requests, require_topic_grant=require_topic_grant, topics=topics, ordered=ordered)
+    named = rule_classes(entitled, ordered=ordered).select("topic_key", "rule_class", "consumer_id", "attributes")
+    rules = written(named, scratch_path(spark, "rules"))
     labels = labelled.groupBy("topic_key", "label_class").agg(F.any_value("__label").alias("label"))
-    classes = rules.groupBy("topic_key", "rule_class").agg(
-        F.any_value("rule").alias("rule"), F.any_value("attributes").alias("attributes")
-    )
+    # Lists of a class are few, however many consumers have them, so they are folded as they are first.
+    variants = rules.select("topic_key", "rule_class", "attributes").distinct()
+    classes = variants.groupBy("topic_key", "rule_class").agg(F.any_value("attributes").alias("attributes"))
+    classes = classes.withColumn("rule", attribute_rule(F.col("attributes")))
     accepted = accepted_classes(labels, classes, predicate=predicate)
     if on_bad_label == "fail":
         closed = classes.groupBy("topic_key").agg(F.bool_or(~F.col("rule.open")).alias("closed"))

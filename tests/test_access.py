@@ -208,3 +208,27 @@ def test_routing_reads_no_payload(spark):
     rows = security_label(views.messages(spark, "/root/testdata/sf0.001"))
     plan = federation.federate(rows, views.grants(spark))._jdf.queryExecution().executedPlan().toString()
     assert "text:string" not in plan and "doc_id:bigint" in plan
+
+
+def test_lists_of_some_topics_without_order(spark):
+    fields = "product string, topic string, consumer_id string, position struct<document:bigint>, has_attribute boolean, attribute_name string, attribute_value string"
+    given = [
+        ("p", "T", "c", (1,), True, "b", "2"),
+        ("q", "t", "c", (0,), True, "a", "1"),
+        ("q", "t", "c", (5,), True, "b", "2"),
+        ("t", "x", "c", (2,), True, None, "3"),
+        ("r", "t", "d", (3,), False, None, None),
+        ("r", "u", "d", (3,), True, "z", "1"),
+        ("t", "u", "e", (4,), True, "z", None),
+        ("t", "t", None, (4,), True, "z", "9"),
+    ]
+    table = spark.createDataFrame(given, fields)
+    topics = spark.createDataFrame([("t",), (None,), ("v",)], "topic_key string")
+    found = {(r["consumer_id"], r["topic_key"]): (r["granted"], [tuple(a) for a in r["attributes"]]) for r in grants.consumer_topics(table, topics=topics, ordered=False).collect()}
+    assert found == {
+        ("c", "t"): (True, [(None, "3"), ("a", "1"), ("b", "2")]),
+        ("d", "t"): (True, []),
+        ("e", "t"): (False, [("z", None)]),
+    }
+    every = {(r["consumer_id"], r["topic_key"]): (r["granted"], {tuple(a) for a in r["attributes"]}) for r in grants.consumer_topics(table).collect()}
+    assert {k: (g, set(a)) for k, (g, a) in found.items()} == {k: v for k, v in every.items() if k[1] == "t"}
