@@ -63,14 +63,22 @@ class _Results:
             self.rows = []
 
 
+def _create_folder(filesystem: pafs.FileSystem, path: str, folders: set[str]) -> None:
+    """Create the folder of a file, unless it is one of ``folders``: those the task has created."""
+    folder = path.rsplit("/", 1)[0]
+    if folder not in folders:
+        filesystem.create_dir(folder, recursive=True)
+        folders.add(folder)
+
+
 class _Landing:
     """One file being written. Local files appear under their name only when complete; stores publish on close."""
 
-    def __init__(self, uri: str) -> None:
+    def __init__(self, uri: str, folders: set[str]) -> None:
         self.filesystem, self.path = open_filesystem(uri)
         self.local = isinstance(self.filesystem, pafs.LocalFileSystem)
         if self.local:
-            self.filesystem.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
+            _create_folder(self.filesystem, self.path, folders)
         self.written = f"{self.path}.{uuid.uuid4().hex}.part" if self.local else self.path
         self.stream = self.filesystem.open_output_stream(self.written)
 
@@ -88,13 +96,13 @@ def write_files(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        results = _Results(keys)
+        results, folders = _Results(keys), set()
         for batch in batches:
             uris, contents = batch.column("uri").to_pylist(), batch.column("content")
             for i, key in enumerate(results.read(batch)):
                 problem = None
                 try:
-                    landing = _Landing(uris[i])
+                    landing = _Landing(uris[i], folders)
                     landing.stream.write(contents[i].as_buffer() or b"")
                     landing.finish()
                 except _PROBLEMS as found:
@@ -122,7 +130,7 @@ def write_large_files(blocks: DataFrame, keys: Sequence[str] = KEYS) -> DataFram
 
 def _block_writer(keys: Sequence[str]):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        results = _Results(keys)
+        results, folders = _Results(keys), set()
         current = landing = problem = None
         digest, expected, last_block = hashlib.sha256(), None, None
 
@@ -150,7 +158,7 @@ def _block_writer(keys: Sequence[str]):
                         close()
                     current, problem, digest, expected = found_key, None, hashlib.sha256(), None
                     try:
-                        landing = _Landing(uris[i])
+                        landing = _Landing(uris[i], folders)
                     except _PROBLEMS as failure:
                         problem = failure
                 expected = checksums[i] or expected
@@ -178,7 +186,7 @@ def publish_files(staged: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     checks = "actual_checksum" in staged.columns
 
     def publish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        results = _Results(keys)
+        results, folders = _Results(keys), set()
         for batch in batches:
             found = results.read(batch)
             sources, targets = batch.column("staged_uri").to_pylist(), batch.column("uri").to_pylist()
@@ -186,7 +194,7 @@ def publish_files(staged: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
             for key, source, target, digest in zip(found, sources, targets, digests, strict=True):
                 problem = None
                 try:
-                    _publish(source, target, digest)
+                    _publish(source, target, digest, folders)
                 except _PROBLEMS as failure:
                     problem = failure
                 results.add(key, target, problem)
@@ -196,10 +204,10 @@ def publish_files(staged: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return staged.select(*columns).mapInArrow(publish, _schema(staged, keys))
 
 
-def _publish(staged_uri: str, uri: str, digest: str | None) -> None:
+def _publish(staged_uri: str, uri: str, digest: str | None, folders: set[str]) -> None:
     filesystem, source = open_filesystem(staged_uri)
     _, target = open_filesystem(uri)
-    filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+    _create_folder(filesystem, target, folders)
     if filesystem.get_file_info(source).type == pafs.FileType.File:
         filesystem.move(source, target)
     elif filesystem.get_file_info(target).type != pafs.FileType.File:

@@ -78,8 +78,13 @@ def read_files(listing: DataFrame, inline_bytes: int = INLINE_BYTES, partitions:
 _WHOLE = pa.schema([("uri", pa.string()), ("content", pa.binary()), ("size", pa.int64()), ("error", pa.string())])
 
 
+#: Bytes of files that a task gathers before it hands them on; a larger file goes by itself.
+GATHER_BYTES = 4 << 20
+
+
 def _read_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        rows, held = [], 0
         for uri in batch.column("uri").to_pylist():
             row = {"uri": uri, "content": None, "size": None, "error": None}
             try:
@@ -89,7 +94,13 @@ def _read_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row["size"] = len(row["content"])
             except (OSError, ValueError, pa.ArrowException) as problem:
                 row["error"] = f"{FETCH}: {type(problem).__name__}"
-            yield pa.RecordBatch.from_pylist([row], schema=_WHOLE)
+            if rows and held + (row["size"] or 0) > GATHER_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, schema=_WHOLE)
+                rows, held = [], 0
+            rows.append(row)
+            held += row["size"] or 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=_WHOLE)
 
 
 def read_large_chunks(

@@ -1,9 +1,13 @@
 """Starts and limits of message tables."""
 
+import os
+
+import pyarrow as pa
 import pytest
 
 from covenant.schemas import MESSAGE
 from covenant.sources import messages as source
+from covenant.sources import objects
 
 
 def table(spark, places):
@@ -48,3 +52,18 @@ def test_only_files_that_hold_wanted_offsets_are_opened(spark, work):
     assert found(df) == [("t", 0, 33), ("t", 0, 34), ("t", 0, 35), ("t", 1, 7)]
     df = source.read_from(spark, index, starts(("t", 0, source.LATEST), ("x", 0, 1), ("t", 1, None), ("t", 0, 61)))
     assert found(df) == []
+
+
+def test_small_files_are_read_together(work, monkeypatch):
+    os.makedirs(work, exist_ok=True)
+    sizes = [10, 0, 30, 100, 5, 5]
+    for i, size in enumerate(sizes):
+        with open(f"{work}/f{i}", "wb") as out:
+            out.write(b"x" * size)
+    monkeypatch.setattr(objects, "GATHER_BYTES", 40)
+    uris = [f"file:{work}/f{i}" for i in range(3)] + [f"file:{work}/none"] + [f"file:{work}/f{i}" for i in range(3, 6)]
+    read = list(objects._read_whole([pa.RecordBatch.from_pydict({"uri": uris})]))
+    assert [b.num_rows for b in read] == [4, 1, 2]
+    rows = [r for b in read for r in b.to_pylist()]
+    assert [r["uri"] for r in rows] == uris and [r["size"] for r in rows] == [10, 0, 30, None, 100, 5, 5]
+    assert [r["error"] for r in rows] == [None] * 3 + ["FETCH: FileNotFoundError"] + [None] * 3
