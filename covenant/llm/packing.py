@@ -27,9 +27,9 @@ CAPACITY = 2048
 TOLERANCE = 32
 #: Appended to every document.
 END_ID = 1
-#: Words whose ids a task remembers, and words encoded by one call.
-REMEMBERED = 500_000
-TOGETHER = 5_000
+#: Words whose ids a worker keeps in either generation, and words encoded by one call.
+REMEMBERED = 300_000
+TOGETHER = 1_000
 
 #: The splitting pattern of the public byte-level vocabulary, for texts of the characters below.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -40,6 +40,7 @@ _PIECES = re.compile(
 _OTHER = re.compile("[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿-ɏ]")
 
 _TOKENIZERS: dict[str, Any] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def tokenizer(path: str) -> Any:
@@ -51,40 +52,72 @@ def tokenizer(path: str) -> Any:
     return _TOKENIZERS[path]
 
 
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: what it has learnt in one task serves the next one."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+class _Remembered(dict):
+    """Ids of words in two generations: a word that is met again moves from the old one to the young one, and when the young
+    one is full it becomes the old one. Words in neither are gathered in ``new``, with an empty place for their ids."""
+
+    def __init__(self) -> None:
+        self.old: dict[str, bytes] = {}
+        self.new: dict[str, bytearray] = {}
+
+    def __missing__(self, word: str) -> bytes | bytearray:
+        ids = self.old.get(word)
+        if ids is None:
+            return self.new.setdefault(word, bytearray())
+        self[word] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
-    """Ids of texts as the tokenizer gives them, with those of words remembered up to a bound, and no longer than the task.
+    """Ids of texts as the tokenizer gives them, with those of words remembered up to a bound.
 
-    Texts are cut by the vocabulary's own pattern, and the words of some texts that are new are encoded by one call. Texts with
-    added tokens or characters beyond the common ones are encoded whole.
+    Texts are cut by the vocabulary's own pattern, and the words of some texts that are new are encoded by one call, as parts of
+    one sequence. Texts with added tokens or characters beyond the common ones are encoded whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
+        self.words = _Remembered()
 
     def _whole(self, text: str) -> bool:
         return _OTHER.search(text) is not None or any(a in text for a in self.added)
 
-    def _learn(self, wanted: set[str]) -> None:
-        new = list(wanted.difference(self.words))
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = list(wanted)
+    def _learn(self) -> None:
+        new = list(self.words.new)
         for at in range(0, len(new), TOGETHER):
             part = new[at : at + TOGETHER]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.words.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found, strict=True))
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = array("I", found.ids).tobytes()
+            edges = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))).tolist()
+            for word, a, b in zip(part, edges[:-1], edges[1:], strict=True):
+                self.words[word] = own = ids[a:b]
+                self.words.new[word] += own
+        self.words.new = {}
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of some texts."""
-        cut = [None if self._whole(text) else _PIECES.findall(text) for text in texts]
-        self._learn(set().union(*(words for words in cut if words)))
+        look = self.words.__getitem__
+        found = [None if self._whole(text) else list(map(look, _PIECES.findall(text))) for text in texts]
+        self._learn()
+        self.words.age()
         return [
             np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
             if words is None
-            else np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u4")
-            for text, words in zip(texts, cut, strict=True)
+            else np.frombuffer(b"".join(words), "<u4")
+            for text, words in zip(texts, found, strict=True)
         ]
 
     def ids(self, text: str) -> np.ndarray:
@@ -164,7 +197,7 @@ def _pack(path: str, capacity: int, with_ids: bool):
         return pa.RecordBatch.from_pydict(columns)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Encoder(path)
+        known = encoder(path)
         # Each task numbers its sequences in a range of its own.
         packer = Packer(TaskContext.get().partitionId() << 36, capacity)
         end = np.array([END_ID], "<u4")
@@ -180,7 +213,7 @@ def _pack(path: str, capacity: int, with_ids: bool):
         packer.finish()
         if packer.rows:
             yield batch_of(packer.rows)
-        del known, packer
+        del packer
         release_memory()
 
     return pack

@@ -66,6 +66,23 @@ def test_words_give_the_same_ids_as_whole_texts(tokenizer, monkeypatch):
         assert [x.tolist() for x in few.batch(cases[at : at + 7])] == wanted[at : at + 7]
 
 
+def test_words_stay_known_from_task_to_task(monkeypatch):
+    first = packing.encoder(PATH).ids("many planted words, many").tolist()
+    later = packing.encoder(PATH)
+    monkeypatch.setattr(later, "tokenizer", None)  # nothing can be encoded anew
+    assert later.ids("many planted words, many").tolist() == first
+
+
+def test_words_in_use_outlive_the_others(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    known = packing.Encoder(PATH)
+    for n in range(20):
+        known.ids(f"common{' ' + chr(97 + n) * 3}")
+    assert len(known.words) + len(known.words.old) <= 8
+    monkeypatch.setattr(known, "tokenizer", None)
+    assert len(known.ids("common"))
+
+
 def test_an_added_token_is_that_token():
     # The fixed value is what the public vocabulary gives.
     assert packing.Encoder(PATH).ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
