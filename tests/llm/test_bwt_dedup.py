@@ -71,6 +71,41 @@ def test_expansion_finds_all_repeats(length, wide):
             assert [x.tolist() for x in bwt_dedup.repeated_windows(long, length)] == wanted
 
 
+@pytest.mark.parametrize("alphabet", ["a", "ab", "abcdefghij"])
+def test_expansion_from_the_anchor_finds_all_repeats(alphabet):
+    length, gram = 24, 8
+    rng = random.Random(len(alphabet))
+    base = [rng.choice(alphabet) for _ in range(150)]
+    variants = set()
+    for _ in range(60):
+        text = base[rng.randrange(60) : rng.randrange(90, 150)]
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(len(text))] = rng.choice(alphabet + "\0")
+        data = "".join(text).encode()
+        rows = bwt_dedup.anchors(np.frombuffer(data, np.uint8), np.array([0, len(data)]), length, gram)
+        variants |= {(a, data[s : s + m + length]) for a, s, m in zip(*(x.tolist() for x in rows[1:]), strict=True)}
+    variants = sorted(variants)
+    groups, parts = [a for a, _ in variants], [t for _, t in variants]
+    counts = Counter(t[i : i + length] for t in parts for i in range(len(t) - length + 1))
+    wanted = [[i for i in range(len(t) - length + 1) if counts[t[i : i + length]] > 1] for t in parts]
+    assert any(wanted) or alphabet == "a"
+    found = bwt_dedup.anchored_ranges(parts, groups, np.array(groups, np.uint64), length, gram)
+    assert found == [bwt_dedup.as_ranges(np.array(w, int)) for w in wanted]
+    assert [x.tolist() for x in bwt_dedup.repeated_starts(parts, length)] == wanted
+
+
+def test_many_variants_of_one_anchor_are_expanded_together():
+    rng = random.Random(1)
+    middle = bytes(rng.randrange(97, 123) for _ in range(260))
+    parts = sorted({bytes(rng.randrange(97, 99) for _ in range(100)) + middle + bytes(rng.randrange(97, 99) for _ in range(120)) for _ in range(6000)})
+    # Texts of 480 bytes that share 260 and a few more: none holds 400 that another does.
+    data = np.frombuffer(parts[0], np.uint8)
+    anchor = bwt_dedup.span_hashes(data, 200)[110]
+    assert bwt_dedup.anchored_ranges(parts, [0] * len(parts), np.full(len(parts), anchor), 400, 200) == [b""] * len(parts)
+    # More than the half megabyte beyond which every window of an anchor was hashed by itself.
+    assert bwt_dedup.ANCHOR_BYTES > sum(map(len, parts)) > 1 << 19
+
+
 def test_anchors_cover_every_window_once():
     rng = np.random.default_rng(0)
     sizes = [0, 10, 900, 399, 400, 2500]
