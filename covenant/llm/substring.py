@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import gram_hashes, gram_starts, row_key, signed, small_batches, split_rows, split_words, text_slices
+from covenant.llm.common import gram_hashes, gram_starts, release_memory, row_key, signed, small_batches, split_rows, split_words, text_slices
 from covenant.session import scratch_path, written
 
 #: Words of a window.
@@ -36,8 +36,8 @@ CELLS_PER_WINDOW = 3
 MAX_CELLS = 1 << 29
 BLOCK = 1 << 22
 #: Windows a task gathers for a part of the sketch, and windows it gathers before it settles them.
-SKETCHED = 4_000_000
-GATHER = 400_000
+SKETCHED = 1_000_000
+GATHER = 200_000
 #: Words of the runs whose least hash is a window's anchor, and windows that are decided at a time.
 ANCHOR_WORDS = 4
 DECIDED = 500_000
@@ -85,6 +85,7 @@ def _sketch(cells: int, width: int, depth: int):
                 yield from emit(parts)
                 parts = [[] for _ in range(depth)]
         yield from emit(parts)
+        release_memory()
 
     def emit(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for row in range(depth):
@@ -211,6 +212,7 @@ def _candidates(bits, cells: int, width: int, depth: int):
                     held, amount = [], 0
         if held:
             yield from settle(held)
+        release_memory()
 
     def settle(held: list) -> Iterator[pa.RecordBatch]:
         window, anchor, place, ids, keys = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -330,6 +332,8 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             amount = sum(b.column("windows").nbytes // _WINDOW.itemsize for b in held)
     if held:
         yield from chunk(True)
+        held.clear()
+    release_memory()
 
 
 def _merge_flags(width: int):
@@ -405,9 +409,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
     for found in repeat_sketch(docs, cells, width, depth).toLocalIterator():
         row, block = divmod(found["block"], per_row)
         bits[row, block * (BLOCK // 8) : (block + 1) * (BLOCK // 8)] = np.frombuffer(unpack(bytes(found["two"])), np.uint8)
+    sketch = spark.sparkContext.broadcast(bits.tobytes())
+    del bits
     ranges = written(
         rows.mapInArrow(
-            _candidates(spark.sparkContext.broadcast(bits.tobytes()), cells, width, depth),
+            _candidates(sketch, cells, width, depth),
             _STRETCH,
         )
         .repartition("anchor")
@@ -418,6 +424,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, depth: int = DEPTH, max_
         .mapInArrow(_merge_flags(width), "__row bigint, __ranges binary"),
         scratch_path(spark, "ranges"),
     )
+    # The ranges are written, so no task reads the sketch again; workers would hold it for as long as they live.
+    sketch.destroy()
     # Only texts that may lose words are shuffled to meet their ranges.
     maybe, no = split_rows(keyed, ranges)
     none = no.withColumn("__ranges", F.lit(None).cast("binary"))

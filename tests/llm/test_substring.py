@@ -97,3 +97,23 @@ def test_stretches_are_decided_in_pieces_of_any_size(monkeypatch):
             for row, flags in zip(batch.column("row").to_pylist(), batch.column("flags").to_pylist(), strict=True):
                 got.setdefault(row, set()).update(np.frombuffer(flags, "<u4").tolist())
         assert got == wanted
+
+
+def test_the_sketch_is_given_back(spark, monkeypatch):
+    """Workers hold a broadcast for as long as they live, unless it is taken back."""
+    made = []
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: made.append(broadcast(self, value)) or made[-1])
+    given_back = []
+    kind = type(spark.sparkContext.broadcast(b""))
+    destroy = kind.destroy
+    monkeypatch.setattr(kind, "destroy", lambda self, blocking=False: given_back.append(self) or destroy(self, blocking))
+    assert substring.remove_repeats(documents(spark)).count() == len(texts())
+    assert made[1] in given_back
+
+
+def test_files_are_read_in_small_batches(spark):
+    setting = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.unset(setting)
+    substring.remove_repeats(documents(spark))
+    assert int(spark.conf.get(setting)) <= 1_000
