@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covenant.llm.common import release_memory, small_batches, text_slices
+from covenant.llm.common import kept_in_stage, release_memory, small_batches, text_slices
 
 CAPACITY = 2048
 #: A bin may waste one part in so many before a rest is cut.
@@ -39,24 +39,17 @@ _PIECES = re.compile(
 #: Outside these the classes of Python's patterns and of the tokenizer's could differ, so such texts are encoded whole.
 _OTHER = re.compile("[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿-ɏ]")
 
-_TOKENIZERS: dict[str, Any] = {}
-_ENCODERS: dict[str, Encoder] = {}
-
 
 def tokenizer(path: str) -> Any:
-    """The worker's tokenizer for a vocabulary file, as it is loaded."""
+    """The tokenizer for a vocabulary file, as it is loaded."""
     from tokenizers import Tokenizer
 
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-    return _TOKENIZERS[path]
+    return Tokenizer.from_file(path)
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder: what it has learnt in one task serves the next one."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder: what it has learnt in one task serves the stage's next one, and goes with the stage."""
+    return kept_in_stage(f"encoder of {path}", lambda: Encoder(path))
 
 
 class _Remembered(dict):

@@ -1,4 +1,5 @@
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -7,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from covenant.llm import packing
+from covenant.llm import common, packing
 from tests.llm.corpora import documents, no_documents, texts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +74,19 @@ def test_words_stay_known_from_task_to_task(monkeypatch):
     assert later.ids("many planted words, many").tolist() == first
 
 
+def test_what_a_stage_learnt_goes_with_it(monkeypatch):
+    monkeypatch.setattr(common, "_stage", lambda: 1)
+    known = packing.encoder(PATH)
+    common.release_memory()
+    assert packing.encoder(PATH) is known
+    left = weakref.ref(known)
+    del known
+    # The worker goes on with a stage of another operator.
+    monkeypatch.setattr(common, "_stage", lambda: 2)
+    common.release_memory()
+    assert left() is None
+
+
 def test_words_in_use_outlive_the_others(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     known = packing.Encoder(PATH)
