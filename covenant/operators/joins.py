@@ -57,6 +57,16 @@ def keyed_join(
     return salted.join(repeated.hint("merge"), full, how).drop("__salt", "__r_salt", *dropped)
 
 
+def shuffled_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` that shuffles both sides whatever Spark takes them for: for tables with a row per file.
+
+    Before it has run, a Parquet table counts as its compressed bytes, shared out over its columns by their types. Numbers and
+    names that differ little take up a fortieth of what they are in memory, so a table of hundreds of MB passes for one below
+    the threshold and is collected by the driver.
+    """
+    return left.join(right.hint("merge"), list(keys), how)
+
+
 def _hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[int, int]:
     """Hashes of keys holding at least ``share`` of the rows, with the number of partitions each deserves.
 

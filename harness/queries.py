@@ -13,6 +13,7 @@ from covenant.functions import text as txt
 from covenant.functions.labels import parse_label
 from covenant.operators import counts, federation, feeds, files, grants, messages, snapshots, versions
 from covenant.operators import rdf as rdf_ops
+from covenant.operators.joins import shuffled_join
 from covenant.operators.rules import federate_classes
 from covenant.plans.inbound import Landing, land_files
 from covenant.plans.outbound import outbound_files as outbound_file_plan
@@ -1239,11 +1240,12 @@ def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = runs.select(F.col("run").alias("product_key"), F.lit(10).cast("bigint").alias("counter"))
     store = f"{root}/store" if "://" in root or root.startswith("file:") else f"file:{root}/store"
     landing = land_files(chunks, destinations, counters, store, f"{root}/work", block_chunks=8)
-    back = read_files(stat_files(landing.published.where("ok")))
-    return landing.published.join(back, "uri").select(
+    # Digests are taken where files are read: bytes are not shuffled, and neither side is collected by the driver.
+    back = read_files(stat_files(landing.published.where("ok"))).select("uri", F.sha2("content", 256).alias("checksum"))
+    return shuffled_join(landing.published, back, ["uri"]).select(
         "file_sequence_id",
         F.substring_index("uri", "/store/", -1).alias("name"),
-        F.sha2("content", 256).alias("checksum"),
+        "checksum",
     )
 
 

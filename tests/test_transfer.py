@@ -18,6 +18,7 @@ from covenant.sinks.files import publish_files, write_files, write_large_files
 from covenant.sinks.messages import write_messages
 from covenant.sources import messages as source
 from covenant.sources.objects import read_files, read_large_chunks, scan_files, stat_files
+from harness.queries import QUERIES
 
 
 def sha(data):
@@ -363,6 +364,18 @@ def test_runs_of_one_product_wait_for_each_other(spark, work):
     assert {r["product_key"]: r["counter"] for r in landing.counters.collect()} == {"s-o-p": 10}
 
 
+def test_published_files_are_read_back_without_a_broadcast(spark, work):
+    """A table with a row per file is not collected by the driver, however small it is taken for."""
+    texts = {i: f"text {i} " * 200 * i for i in range(1, 6)}
+    rows = [(i, text, "en", "src") for i, text in texts.items()]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    documents.write.parquet(f"{work}/documents.parquet")
+    landed = QUERIES["landed_files"](spark, work)
+    assert "Broadcast" not in landed._jdf.queryExecution().executedPlan().toString()
+    found = {r["file_sequence_id"]: (r["name"], r["checksum"]) for r in landed.collect()}
+    assert found == {i: (f"in/p0-v{10 + i}.txt", sha(text.encode())) for i, text in texts.items()}
+
+
 def test_tagged_text(spark, work):
     lines = [
         "Security-Label:nationality=GBR¬Content-Type:application/n-triples\t<s> <p> \"a:b\tc\" .",
